@@ -21,8 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetcast.functions.frames import at_most
-from fleetcast.functions.geo import EARTH_RADIUS_KM, haversine_km
+from fleetcast.functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, haversine_km
 from fleetcast.functions.scoring import Ranker, sigmoid
 
 DEFAULT_TOP_K = 5
@@ -79,26 +78,33 @@ def _cells(lat: Column, lon: Column, p: int) -> tuple[Column, Column]:
     return cy, cx
 
 
-def plan_grid(drivers: DataFrame, max_top_k: int, per_block: int = 4,
+def plan_grid(drivers: DataFrame, max_top_k: int, w_distance: float, per_block: int = 4,
               max_cell_rows: int | None = None, broadcast_rows: int = 2_000_000,
               finest_p: int = 26) -> GridPlan:
-    """Choose the finest grid level from the drivers' spread and densest cell.
+    """Choose the starting (finest) grid level from the driver snapshot.
 
-    One aggregate over the driver snapshot gives count, extent and the best
-    static logit; a second one counts the densest cell for twelve candidate
-    levels at once.  Both return a handful of rows.
+    A request resolves once its block margin exceeds the distance to its k-th
+    driver plus the score slack ``(max g - g_k) / |w_distance|``; the start
+    level is sized for a typical request from the drivers' density and mean
+    ``g``.  A second aggregate caps the densest cell (many drivers on one
+    spot) by moving to a finer start.  Both aggregates return a handful of rows.
     """
-    st = drivers.agg(F.count(F.lit(1)).alias("n"), F.max("_g").alias("g"),
+    st = drivers.agg(F.count(F.lit(1)).alias("n"), F.max("_g").alias("g"), F.avg("_g").alias("gm"),
                      F.min("lat").alias("a0"), F.max("lat").alias("a1"),
                      F.min("lon").alias("o0"), F.max("lon").alias("o1")).first()
     n = int(st["n"])
     if n == 0:
         return GridPlan([1], 0, 0.0, True)
-    area = max(st["a1"] - st["a0"], 1e-3) * max(st["o1"] - st["o0"], 1e-3)
-    want = math.sqrt(per_block * max_top_k * area / (9.0 * n))   # ~per_block*k drivers per 3x3 block
-    p0 = int(min(finest_p, max(1, math.ceil(math.log2(360.0 / want)))))
+    lat_span = max(st["a1"] - st["a0"], 1e-3)
+    lon_span = max(st["o1"] - st["o0"], 1e-3)
+    coslat = max(math.cos(math.radians(max(abs(st["a0"]), abs(st["a1"])))), 1e-3)
+    area_km2 = lat_span * lon_span * KM_PER_DEGREE ** 2 * coslat
+    r_k = math.sqrt(max_top_k * area_km2 / (math.pi * n))            # radius holding k drivers
+    slack = (float(st["g"]) - float(st["gm"])) / abs(w_distance)
+    margin_deg = (r_k + slack) / (KM_PER_DEGREE * coslat)
+    p_slack = int(min(finest_p, max(1, math.floor(math.log2(360.0 / max(margin_deg, 1e-9))))))
     cap = max_cell_rows or 16 * per_block * max_top_k
-    cands = list(range(p0, min(finest_p, p0 + 11) + 1))
+    cands = list(range(p_slack, min(finest_p, p_slack + 11) + 1))
     lv = F.explode(F.array(*[F.lit(p) for p in cands])).alias("_p")
     exploded = drivers.select("lat", "lon", lv)
     cy = F.lit(None).cast("long")
@@ -110,8 +116,8 @@ def plan_grid(drivers: DataFrame, max_top_k: int, per_block: int = 4,
     occ = (exploded.groupBy("_p", cy.alias("_cy"), cx.alias("_cx")).count()
            .groupBy("_p").agg(F.max("count").alias("m")).collect())
     dense = {r["_p"]: r["m"] for r in occ}
-    p_fine = next((p for p in cands if dense.get(p, 0) <= cap), cands[-1])
-    return GridPlan(list(range(p_fine, 0, -1)), n, float(st["g"]), n <= broadcast_rows)
+    p_start = next((p for p in cands if dense.get(p, 0) <= cap), cands[-1])
+    return GridPlan(list(range(p_start, 0, -1)), n, float(st["g"]), n <= broadcast_rows)
 
 
 def _block_margin_km(lat: Column, lon: Column, p: int) -> Column:
@@ -165,14 +171,14 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
     feats = [f for f in ranker.features if f != "distance_km"]
     drv = drivers.select("driver_id", "lat", "lon", *feats).withColumn("_g", ranker.static_logit())
     drv = drv.persist()
-    plan = plan or plan_grid(drv, max_top_k)
+    plan = plan or plan_grid(drv, max_top_k, w_d)
     parts = request_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    req = requests.select("request_id", "rider_lat", "rider_lon",
-                          F.col("top_k").alias("_k"))
     if plan.n_drivers == 0:
         drv.unpersist()
-        return _empty_result(req, feats)
-    pending = req.repartition(parts, "request_id").checkpoint()
+        return _empty_result(requests, feats)
+    pending = (requests.select("request_id", "rider_lat", "rider_lon", F.col("top_k").alias("_k"),
+                               F.lit(None).cast("double").alias("_floor"))
+               .repartition(parts, "request_id"))
     results = []
     bound_logit_max = float(ranker.intercept) + plan.max_static
     for i, p in enumerate(plan.levels):
@@ -182,11 +188,14 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
         bound = sigmoid(F.lit(bound_logit_max) + F.lit(w_d) * margin + F.lit(1e-9))
         done = F.lit(True) if terminal else ((F.col("_cnt") >= F.col("_k")) & (bound < F.col("_kth")))
         ranked = ranked.withColumn("_done", done).checkpoint()
-        results.append(ranked.where(F.col("_done") & (F.col("rank") <= F.col("_k"))))
+        results.append(ranked.where(F.col("_done") & F.col("driver_id").isNotNull()
+                                    & (F.col("rank") <= F.col("_k"))))
         if terminal:
             break
-        finished = ranked.where("_done").select("request_id").distinct()
-        pending = pending.join(finished, "request_id", "left_anti").checkpoint()
+        # One row per unresolved request; its k-th score so far is a floor for
+        # the next, coarser block, which contains this block.
+        pending = ranked.where(~F.col("_done") & (F.col("rank") == 1)).select(
+            "request_id", "rider_lat", "rider_lon", "_k", F.col("_kth").alias("_floor"))
         if pending.isEmpty():
             break
     drv.unpersist()
@@ -198,6 +207,14 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
 
 def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, p: int, max_top_k: int,
                 broadcast: bool, feats: list[str]) -> DataFrame:
+    """Score the pairs of one grid level and rank them per request.
+
+    Requests are exploded to the 9 cell keys of their block and equi-joined to
+    the drivers on the cell key (left join: a request with an empty block
+    keeps one null row so it stays pending).  The drivers are broadcast only
+    when ``plan_grid`` counted them below the broadcast bound; otherwise this
+    is a shuffle join on the cell key, with AQE splitting hot cells.
+    """
     n_lat, n_lon = max(1, 2 ** (p - 1)), 2 ** p
     cy, cx = _cells(F.col("rider_lat"), F.col("rider_lon"), p)
     offs = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
@@ -205,23 +222,26 @@ def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, p: int, max_
         F.struct((F.col("_cy") + dy).alias("cy"), F.pmod(F.col("_cx") + dx, F.lit(n_lon)).alias("cx"))
         for dy, dx in offs]))
     reqs = (pending.withColumn("_cy", cy).withColumn("_cx", cx)
-            .select("request_id", "rider_lat", "rider_lon", "_k", F.explode(block).alias("_b"))
-            .select("request_id", "rider_lat", "rider_lon", "_k",
+            .select("request_id", "rider_lat", "rider_lon", "_k", "_floor", F.explode(block).alias("_b"))
+            .select("request_id", "rider_lat", "rider_lon", "_k", "_floor",
                     F.col("_b.cy").alias("cy"), F.col("_b.cx").alias("cx"))
             .where((F.col("cy") >= 0) & (F.col("cy") < n_lat)))
     dcy, dcx = _cells(F.col("lat"), F.col("lon"), p)
     side = drv.select("driver_id", "lat", "lon", *feats, dcy.alias("cy"), dcx.alias("cx"))
     if broadcast:
         side = F.broadcast(side)
-    pairs = reqs.join(side, ["cy", "cx"], "inner")
+    pairs = reqs.join(side, ["cy", "cx"], "left")
     dist = haversine_km(F.col("rider_lat"), F.col("rider_lon"), F.col("lat"), F.col("lon"))
-    scored = pairs.select("request_id", "rider_lat", "rider_lon", "_k", "driver_id", *feats,
+    scored = pairs.select("request_id", "rider_lat", "rider_lon", "_k", "_floor", "driver_id", *feats,
                           dist.alias("distance_km"))
     scored = scored.withColumn("score", sigmoid(ranker.logit({"distance_km": F.col("distance_km")})))
-    w = Window.partitionBy("request_id").orderBy(F.col("score").desc(), F.col("driver_id").asc())
+    # Pairs below the floor cannot reach the top k (k candidates already beat it).
+    scored = scored.where(F.col("_floor").isNull() | F.col("score").isNull()
+                          | (F.col("score") >= F.col("_floor")))
+    w = Window.partitionBy("request_id").orderBy(F.col("score").desc_nulls_last(), F.col("driver_id").asc())
     ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_top_k)
     whole = Window.partitionBy("request_id")
-    return (ranked.withColumn("_cnt", F.max("rank").over(whole))
+    return (ranked.withColumn("_cnt", F.count("driver_id").over(whole))
             .withColumn("_kth", F.max(F.when(F.col("rank") == F.col("_k"), F.col("score"))).over(whole)))
 
 
