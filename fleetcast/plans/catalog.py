@@ -79,3 +79,189 @@ def q_match_drivers(spark, sf_dir):
     flat = match_drivers(fx.rider_requests(ev), snap, FIXTURE_RANKER)
     return flat.select("request_id", F.col("rank").cast("int").alias("rank"), "driver_id",
                        r6("distance_km"), r9("score"))
+
+
+# ------------------------------------------------------------ S4/S5/S12/P1-P5 ingest
+
+from fleetcast.sources import events as src  # noqa: E402
+
+_CLEAN = "NOT (event_id % 29 = 0 OR event_id % 31 = 0 OR event_id % 23 = 0)"
+
+
+@register("decode_events", with_fixtures(f"""
+SELECT event_id, event_type, driver_id, event_ts, lat, lon, status, accept_rate_7d, avg_response_ms
+FROM fx_driver_events WHERE {_CLEAN}"""))
+def q_decode_events(spark, sf_dir):
+    lines = fx.driver_events_json(events(spark, sf_dir))
+    return src.route_driver_events(src.decode_events(lines))
+
+
+@register("ingest_audit", with_fixtures("""
+SELECT CAST((SELECT count(*) FROM fx_driver_events) + (SELECT count(*) FROM fx_rider_requests) AS BIGINT) AS consumed,
+  CAST((SELECT count(*) FROM fx_driver_events WHERE event_id % 29 <> 0 AND event_id % 31 = 0) AS BIGINT) AS empty,
+  CAST((SELECT count(*) FROM fx_driver_events WHERE event_id % 29 <> 0 AND event_id % 31 <> 0 AND event_id % 23 <> 0) AS BIGINT) AS driver_rows,
+  CAST((SELECT count(*) FROM fx_rider_requests) AS BIGINT) AS rider_rows,
+  CAST((SELECT count(*) FROM fx_driver_events WHERE event_id % 29 = 0) AS BIGINT) AS malformed,
+  CAST(0 AS BIGINT) AS bad_timestamp,
+  CAST((SELECT count(*) FROM fx_driver_events WHERE event_id % 29 <> 0 AND event_id % 31 <> 0 AND event_id % 23 = 0) AS BIGINT) AS unroutable"""))
+def q_ingest_audit(spark, sf_dir):
+    return src.ingest_audit(src.decode_events(fx.topic_lines(events(spark, sf_dir))))
+
+
+@register("ingest_flat", with_fixtures("""
+SELECT request_id, rider_id, request_ts AS event_ts, rider_lat, rider_lon, pref_vehicle
+FROM fx_rider_requests"""))
+def q_ingest_flat(spark, sf_dir):
+    lines = fx.rider_requests_json(events(spark, sf_dir))
+    flat = src.decode_events(lines, on_bad="fail")
+    return src.route_rider_requests(flat).select(
+        "request_id", "rider_id", "event_ts", "rider_lat", "rider_lon", "pref_vehicle")
+
+
+@register("extract_partition_cols", with_fixtures(f"""
+SELECT CAST(year(event_ts) AS INTEGER) AS year, CAST(month(event_ts) AS INTEGER) AS month,
+       CAST(day(event_ts) AS INTEGER) AS day, CAST(count(*) AS BIGINT) AS row_count
+FROM fx_driver_events WHERE {_CLEAN} GROUP BY 1, 2, 3"""))
+def q_extract_partition_cols(spark, sf_dir):
+    drv = src.route_driver_events(src.decode_events(fx.driver_events_json(events(spark, sf_dir))))
+    return src.extract_partition_cols(drv).groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("row_count"))
+
+
+# ------------------------------------------------------------ J1-J3 point in time
+
+import datetime as _dt  # noqa: E402
+
+from fleetcast.operators import asof  # noqa: E402
+from fleetcast.operators import latest as lt  # noqa: E402
+from fleetcast.specs import DRIVER_AGG, DRIVER_STATUS, MATCH_FEATURES, default_registry  # noqa: E402
+
+
+def _pit_sql(fields: dict[str, int | None]) -> str:
+    cols = []
+    for f, ttl in fields.items():
+        if ttl is None:
+            cols.append(f"f.{f} AS {f}")
+        else:
+            cols.append(f"CASE WHEN f.event_ts >= e.event_timestamp - INTERVAL {ttl} SECOND THEN f.{f} END AS {f}")
+    return with_fixtures(f"""
+SELECT e.row_id, e.driver_id, e.event_timestamp, {', '.join(cols)}
+FROM fx_entities e ASOF LEFT JOIN fx_driver_events f
+  ON e.driver_id = f.driver_id AND e.event_timestamp >= f.event_ts""")
+
+
+@register("point_in_time_join", _pit_sql({"lat": 300, "lon": 300, "status": 300}))
+def q_point_in_time_join(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    return asof.point_in_time_join(fx.entities(ev), fx.driver_events(ev), ["driver_id"],
+                                   ["lat", "lon", "status"], ttl=_dt.timedelta(minutes=5))
+
+
+@register("point_in_time_join_1d", _pit_sql({"accept_rate_7d": 86400, "avg_response_ms": 86400,
+                                             "lat": 86400}))
+def q_point_in_time_join_1d(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    return asof.point_in_time_join(fx.entities(ev), fx.driver_events(ev), ["driver_id"],
+                                   ["accept_rate_7d", "avg_response_ms", "lat"], ttl=_dt.timedelta(days=1))
+
+
+@register("multi_view_join", _pit_sql({"lat": 300, "lon": 300, "accept_rate_7d": 3600,
+                                       "avg_response_ms": 3600}))
+def q_multi_view_join(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    refs = default_registry().resolve(MATCH_FEATURES)
+    return asof.multi_view_join(fx.entities(ev), fx.driver_events(ev), [DRIVER_STATUS, DRIVER_AGG], refs)
+
+
+_DRIVER_KEYS_SQL = "SELECT DISTINCT concat('driver_', CAST(user_id AS VARCHAR(20))) AS driver_id FROM events"
+
+
+def _driver_keys(ev: DataFrame) -> DataFrame:
+    return ev.select(F.concat(F.lit("driver_"), F.col("user_id").cast("string")).alias("driver_id")).distinct()
+
+
+def _max_ts(df: DataFrame, col: str):
+    return df.agg(F.max(col)).first()[0]
+
+
+_AS_OF_SQL = with_fixtures(f"""
+, k AS ({_DRIVER_KEYS_SQL})
+, a AS (SELECT max(event_ts) AS t FROM fx_driver_events)
+, s AS ({LATEST_DRIVER_SQL})
+SELECT k.driver_id,
+  CASE WHEN s.event_ts >= a.t - INTERVAL 300 SECOND THEN s.lat END AS lat,
+  CASE WHEN s.event_ts >= a.t - INTERVAL 300 SECOND THEN s.lon END AS lon,
+  CASE WHEN s.event_ts >= a.t - INTERVAL 300 SECOND THEN s.status END AS status,
+  CASE WHEN s.event_ts >= a.t - INTERVAL 3600 SECOND THEN s.accept_rate_7d END AS accept_rate_7d,
+  CASE WHEN s.event_ts >= a.t - INTERVAL 3600 SECOND THEN s.avg_response_ms END AS avg_response_ms
+FROM k CROSS JOIN a LEFT JOIN s ON k.driver_id = s.driver_id""")
+
+
+@register("batch_scoring_join", _AS_OF_SQL)
+def q_batch_scoring_join(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    feats = fx.driver_events(ev)
+    out = asof.batch_scoring_join(_driver_keys(ev), feats, [DRIVER_STATUS, DRIVER_AGG], _max_ts(feats, "event_ts"))
+    return out.select("driver_id", "lat", "lon", "status", "accept_rate_7d", "avg_response_ms")
+
+
+# ------------------------------------------------------------ A2-A4, J4, A10 online
+
+@register("online_lookup", _AS_OF_SQL)
+def q_online_lookup(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    feats = fx.driver_events(ev)
+    as_of = _max_ts(feats, "event_ts")
+    snaps = [(lt.materialize(feats, v, None, as_of), v.field_names) for v in (DRIVER_STATUS, DRIVER_AGG)]
+    return lt.online_lookup(_driver_keys(ev), snaps, ["driver_id"], as_of, [DRIVER_STATUS.ttl, DRIVER_AGG.ttl])
+
+
+@register("materialize", with_fixtures("""
+, a AS (SELECT max(event_ts) AS t FROM fx_driver_events)
+SELECT driver_id, lat, lon, status, event_ts FROM (
+  SELECT f.*, row_number() OVER (PARTITION BY driver_id ORDER BY event_ts DESC, event_id DESC) AS rn_
+  FROM fx_driver_events f, a WHERE f.event_ts BETWEEN a.t - INTERVAL 1 DAY AND a.t) x WHERE rn_ = 1"""))
+def q_materialize(spark, sf_dir):
+    feats = fx.driver_events(events(spark, sf_dir))
+    end = _max_ts(feats, "event_ts")
+    return lt.materialize(feats, DRIVER_STATUS, end - _dt.timedelta(days=1), end)
+
+
+@register("materialize_incremental", with_fixtures(f"""
+SELECT driver_id, accept_rate_7d, avg_response_ms, event_ts FROM ({LATEST_DRIVER_SQL}) s"""))
+def q_materialize_incremental(spark, sf_dir):
+    feats = fx.driver_events(events(spark, sf_dir))
+    b = feats.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")).first()
+    mid = b["lo"] + (b["hi"] - b["lo"]) / 2
+    first = lt.materialize(feats, DRIVER_AGG, None, mid)
+    return lt.materialize_incremental(feats, first, DRIVER_AGG, mid, b["hi"])
+
+
+@register("expire", with_fixtures(f"""
+, a AS (SELECT max(event_ts) AS t FROM fx_driver_events)
+SELECT driver_id,
+  CASE WHEN s.event_ts >= a.t - INTERVAL 3600 SECOND THEN accept_rate_7d END AS accept_rate_7d,
+  CASE WHEN s.event_ts >= a.t - INTERVAL 3600 SECOND THEN avg_response_ms END AS avg_response_ms,
+  s.event_ts
+FROM ({LATEST_DRIVER_SQL}) s, a"""))
+def q_expire(spark, sf_dir):
+    feats = fx.driver_events(events(spark, sf_dir))
+    as_of = _max_ts(feats, "event_ts")
+    snap = lt.materialize(feats, DRIVER_AGG)
+    return lt.expire(snap, as_of, DRIVER_AGG.ttl, DRIVER_AGG.field_names)
+
+
+@register("online_coverage", with_fixtures(f"""
+, a AS (SELECT max(event_ts) AS t FROM fx_driver_events)
+, k AS ({_DRIVER_KEYS_SQL})
+SELECT k.driver_id, (s.event_ts >= a.t - INTERVAL 1 DAY AND coalesce(CAST(s.accept_rate_7d AS VARCHAR),
+  CAST(s.avg_response_ms AS VARCHAR)) IS NOT NULL) IS TRUE AS has_features
+FROM k CROSS JOIN a LEFT JOIN ({LATEST_DRIVER_SQL}) s ON k.driver_id = s.driver_id"""))
+def q_online_coverage(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    feats = fx.driver_events(ev)
+    as_of = _max_ts(feats, "event_ts")
+    snap = lt.materialize(feats, DRIVER_AGG)
+    looked = lt.online_lookup(_driver_keys(ev), [(snap, DRIVER_AGG.field_names)], ["driver_id"], as_of,
+                              [_dt.timedelta(days=1)])
+    return lt.online_coverage(looked, ["driver_id"], DRIVER_AGG.field_names)
