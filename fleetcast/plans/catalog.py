@@ -265,3 +265,131 @@ def q_online_coverage(spark, sf_dir):
     looked = lt.online_lookup(_driver_keys(ev), [(snap, DRIVER_AGG.field_names)], ["driver_id"], as_of,
                               [_dt.timedelta(days=1)])
     return lt.online_coverage(looked, ["driver_id"], DRIVER_AGG.field_names)
+
+
+# ------------------------------------------------------------ Q2 training set, J7, A5, P18, A11
+
+from fleetcast.functions.hashing import sql_seeded_hash32, sql_seeded_md5  # noqa: E402
+from fleetcast.operators import quality as qa  # noqa: E402
+from fleetcast.operators import training as tr  # noqa: E402
+
+_TRAINING_CTES = f"""
+, located AS (SELECT driver_id, lat, lon, accept_rate_7d, avg_response_ms FROM ({LATEST_DRIVER_SQL}) s
+              WHERE lat IS NOT NULL AND lon IS NOT NULL)
+, idx AS (SELECT *, row_number() OVER (ORDER BY driver_id) - 1 AS idx_ FROM located)
+, n AS (SELECT count(*) AS n FROM located)
+, req AS (SELECT request_id, rider_lat, rider_lon, least(num_candidates, n.n) AS k, n.n AS n FROM fx_rider_requests, n)
+, js AS (SELECT request_id, rider_lat, rider_lon, k, n, unnest(range(k)) AS j FROM req)
+, picks AS (SELECT *, j * (n // k) + {sql_seeded_hash32(42, 'request_id', 'j')} % (n // k) AS idx_ FROM js)
+, pairs AS (SELECT p.request_id, p.rider_lat, p.rider_lon, i.driver_id, i.lat, i.lon, i.accept_rate_7d,
+                   i.avg_response_ms FROM picks p JOIN idx i ON p.idx_ = i.idx_)
+, dist AS (SELECT *, {haversine_sql('rider_lat', 'rider_lon', 'lat', 'lon')} AS distance_km FROM pairs)
+, ts_ AS (SELECT request_id, driver_id, distance_km, accept_rate_7d, avg_response_ms,
+          CASE WHEN row_number() OVER (PARTITION BY request_id ORDER BY distance_km, driver_id) = 1
+               THEN 1 ELSE 0 END AS label FROM dist WHERE distance_km IS NOT NULL)
+, split_ AS (SELECT t.*, CASE WHEN row_number() OVER (PARTITION BY label ORDER BY
+               {sql_seeded_md5(42, 'request_id', 'driver_id')}, request_id, driver_id) - 1
+               < ceil(0.2 * count(*) OVER (PARTITION BY label)) THEN 'val' ELSE 'train' END AS split FROM ts_ t)"""
+
+
+def _training(spark, sf_dir) -> DataFrame:
+    ev = events(spark, sf_dir)
+    return tr.training_set(fx.driver_events(ev), fx.rider_requests(ev), [DRIVER_STATUS, DRIVER_AGG])
+
+
+@register("training_set", with_fixtures(_TRAINING_CTES + """
+SELECT request_id, driver_id, round(distance_km, 6) AS distance_km, accept_rate_7d, avg_response_ms,
+       CAST(label AS INTEGER) AS label FROM ts_"""))
+def q_training_set(spark, sf_dir):
+    return _training(spark, sf_dir).select("request_id", "driver_id", r6("distance_km"), "accept_rate_7d",
+                                           "avg_response_ms", "label")
+
+
+@register("sample_candidates", with_fixtures(_TRAINING_CTES + """
+SELECT request_id, driver_id, CAST(j AS BIGINT) AS slot FROM picks JOIN idx USING (idx_)"""))
+def q_sample_candidates(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    snap = latest_per_key(fx.driver_events(ev))
+    located = snap.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select("driver_id")
+    return tr.sample_candidates(fx.rider_requests(ev).select("request_id", "num_candidates"), located) \
+        .select("request_id", "driver_id", F.col("_j").alias("slot"))
+
+
+@register("label_balance", with_fixtures(_TRAINING_CTES + """
+SELECT CAST(sum(label) AS BIGINT) AS positives, avg(label) AS positive_share,
+       CAST(count(*) AS BIGINT) AS examples, CAST(count(DISTINCT request_id) AS BIGINT) AS requests FROM ts_"""))
+def q_label_balance(spark, sf_dir):
+    return qa.label_balance(_training(spark, sf_dir))
+
+
+@register("bounded_sample", with_fixtures(f"""
+SELECT driver_id, event_ts AS event_timestamp FROM fx_driver_events
+ORDER BY {sql_seeded_md5(42, 'driver_id', 'event_ts')}, driver_id, event_ts LIMIT 500"""))
+def q_bounded_sample(spark, sf_dir):
+    ent = tr.entity_rows(fx.driver_events(events(spark, sf_dir)))
+    return tr.bounded_sample(ent, 500, ["driver_id", "event_timestamp"])
+
+
+@register("stratified_split", with_fixtures(_TRAINING_CTES + """
+SELECT request_id, driver_id, CAST(label AS INTEGER) AS label, split FROM split_"""))
+def q_stratified_split(spark, sf_dir):
+    return tr.stratified_split(_training(spark, sf_dir)).select("request_id", "driver_id", "label", "split")
+
+
+_MED = "quantile_cont({c}, 0.5) FILTER (WHERE {c} IS NOT NULL)"
+
+
+@register("impute_median", with_fixtures(_TRAINING_CTES + f"""
+, med AS (SELECT quantile_cont(accept_rate_7d, 0.5) AS ma, quantile_cont(avg_response_ms, 0.5) AS mr
+          FROM split_ WHERE split = 'train')
+SELECT request_id, driver_id, coalesce(accept_rate_7d, med.ma) AS accept_rate_7d,
+       coalesce(avg_response_ms, med.mr) AS avg_response_ms FROM split_, med"""))
+def q_impute_median(spark, sf_dir):
+    ts = tr.stratified_split(_training(spark, sf_dir)).persist()
+    cols = ["accept_rate_7d", "avg_response_ms"]
+    med = tr.fit_medians(ts.where(F.col("split") == "train"), cols)
+    return tr.impute(ts, med).select("request_id", "driver_id", *cols)
+
+
+def _baseline_sql(src: str) -> str:
+    parts = []
+    for f in ("distance_km", "accept_rate_7d", "avg_response_ms"):
+        parts.append(f"""SELECT '{f}' AS feature, CAST(count({f}) AS BIGINT) AS count, avg({f}) AS mean,
+  stddev_samp({f}) AS std, quantile_cont({f}, 0.5) AS p50, quantile_cont({f}, 0.95) AS p95,
+  min({f}) AS min, max({f}) AS max FROM {src}""")
+    return "\nUNION ALL\n".join(parts)
+
+
+_R = ", ".join(f"round({c}, 6) AS {c}" for c in ("mean", "std", "p50", "p95", "min", "max"))
+
+
+@register("feature_baseline", with_fixtures(_TRAINING_CTES + f"""
+, tr_ AS (SELECT * FROM split_ WHERE split = 'train')
+SELECT feature, count, {_R} FROM ({_baseline_sql('tr_')}) b"""))
+def q_feature_baseline(spark, sf_dir):
+    ts = tr.stratified_split(_training(spark, sf_dir))
+    b = qa.feature_baseline(ts.where(F.col("split") == "train"),
+                            ["distance_km", "accept_rate_7d", "avg_response_ms"])
+    return b.select("feature", "count", *[r6(c) for c in ("mean", "std", "p50", "p95", "min", "max")])
+
+
+def _long_counts(sub: str, cols, fn: str, name: str, value: str) -> str:
+    parts = [f"SELECT '{c}' AS {name}, CAST({fn.format(c=c)} AS BIGINT) AS {value} FROM ({sub}) x" for c in cols]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("missing_counts", _long_counts(_AS_OF_SQL, ["lat", "lon", "accept_rate_7d", "avg_response_ms"],
+                                         "count_if({c} IS NULL)", "feature_name", "missing"))
+def q_missing_counts(spark, sf_dir):
+    looked = q_online_lookup(spark, sf_dir)
+    return qa.missing_counts(looked, ["lat", "lon", "accept_rate_7d", "avg_response_ms"])
+
+
+_PIT_1D_COLS = ["row_id", "driver_id", "event_timestamp", "accept_rate_7d", "avg_response_ms", "lat"]
+
+
+@register("non_null_counts", _long_counts(
+    _pit_sql({"accept_rate_7d": 86400, "avg_response_ms": 86400, "lat": 86400}), _PIT_1D_COLS,
+    "count({c})", "column_name", "non_null"))
+def q_non_null_counts(spark, sf_dir):
+    return qa.non_null_counts(q_point_in_time_join_1d(spark, sf_dir), _PIT_1D_COLS)
