@@ -152,14 +152,17 @@ def _block_margin_km(lat: Column, lon: Column, p: int) -> Column:
 
 
 def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top_k: int | None = None,
-                request_partitions: int | None = None, plan: GridPlan | None = None) -> DataFrame:
+                request_partitions: int | None = None, plan: GridPlan | None = None,
+                carry=()) -> DataFrame:
     """K1 over the exact grid search: the ``top_k`` best drivers per request.
 
     ``requests``: request_id, rider_lat, rider_lon, top_k (already validated).
     ``drivers``: driver_id, lat, lon (not null) and the ranker's other features.
-    Output: request_id, rank, driver_id, distance_km, score (plus the driver
-    features), ordered by score desc then driver_id; at most ``top_k`` rows.
+    Output: request_id, rank, driver_id, distance_km, score, the driver
+    features and the request columns named in ``carry``; at most ``top_k``
+    rows per request, ranked by score desc then driver_id.
     """
+    carry = list(carry)
     w_d = float(ranker.weights["distance_km"])
     if w_d >= 0:
         raise ValueError("grid search needs a ranker whose score falls with distance (w_distance < 0)")
@@ -175,15 +178,15 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
     parts = request_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if plan.n_drivers == 0:
         drv.unpersist()
-        return _empty_result(requests, feats)
+        return _empty_result(requests, feats, carry)
     pending = (requests.select("request_id", "rider_lat", "rider_lon", F.col("top_k").alias("_k"),
-                               F.lit(None).cast("double").alias("_floor"))
+                               F.lit(None).cast("double").alias("_floor"), *carry)
                .repartition(parts, "request_id"))
     results = []
     bound_logit_max = float(ranker.intercept) + plan.max_static
     for i, p in enumerate(plan.levels):
         terminal = i == len(plan.levels) - 1
-        ranked = _rank_level(pending, drv, ranker, p, max_top_k, plan.broadcast_drivers, feats)
+        ranked = _rank_level(pending, drv, ranker, p, max_top_k, plan.broadcast_drivers, feats, carry)
         margin = _block_margin_km(F.col("rider_lat"), F.col("rider_lon"), p)
         bound = sigmoid(F.lit(bound_logit_max) + F.lit(w_d) * margin + F.lit(1e-9))
         done = F.lit(True) if terminal else ((F.col("_cnt") >= F.col("_k")) & (bound < F.col("_kth")))
@@ -195,18 +198,18 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
         # One row per unresolved request; its k-th score so far is a floor for
         # the next, coarser block, which contains this block.
         pending = ranked.where(~F.col("_done") & (F.col("rank") == 1)).select(
-            "request_id", "rider_lat", "rider_lon", "_k", F.col("_kth").alias("_floor"))
+            "request_id", "rider_lat", "rider_lon", "_k", F.col("_kth").alias("_floor"), *carry)
         if pending.isEmpty():
             break
     drv.unpersist()
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)
-    return out.select("request_id", "rank", "driver_id", "distance_km", "score", *feats)
+    return out.select("request_id", "rank", "driver_id", "distance_km", "score", *feats, *carry)
 
 
 def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, p: int, max_top_k: int,
-                broadcast: bool, feats: list[str]) -> DataFrame:
+                broadcast: bool, feats: list[str], carry: list[str]) -> DataFrame:
     """Score the pairs of one grid level and rank them per request.
 
     Requests are exploded to the 9 cell keys of their block and equi-joined to
@@ -222,8 +225,8 @@ def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, p: int, max_
         F.struct((F.col("_cy") + dy).alias("cy"), F.pmod(F.col("_cx") + dx, F.lit(n_lon)).alias("cx"))
         for dy, dx in offs]))
     reqs = (pending.withColumn("_cy", cy).withColumn("_cx", cx)
-            .select("request_id", "rider_lat", "rider_lon", "_k", "_floor", F.explode(block).alias("_b"))
-            .select("request_id", "rider_lat", "rider_lon", "_k", "_floor",
+            .select("request_id", "rider_lat", "rider_lon", "_k", "_floor", *carry, F.explode(block).alias("_b"))
+            .select("request_id", "rider_lat", "rider_lon", "_k", "_floor", *carry,
                     F.col("_b.cy").alias("cy"), F.col("_b.cx").alias("cx"))
             .where((F.col("cy") >= 0) & (F.col("cy") < n_lat)))
     dcy, dcx = _cells(F.col("lat"), F.col("lon"), p)
@@ -232,7 +235,7 @@ def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, p: int, max_
         side = F.broadcast(side)
     pairs = reqs.join(side, ["cy", "cx"], "left")
     dist = haversine_km(F.col("rider_lat"), F.col("rider_lon"), F.col("lat"), F.col("lon"))
-    scored = pairs.select("request_id", "rider_lat", "rider_lon", "_k", "_floor", "driver_id", *feats,
+    scored = pairs.select("request_id", "rider_lat", "rider_lon", "_k", "_floor", *carry, "driver_id", *feats,
                           dist.alias("distance_km"))
     scored = scored.withColumn("score", sigmoid(ranker.logit({"distance_km": F.col("distance_km")})))
     # Pairs below the floor cannot reach the top k (k candidates already beat it).
@@ -245,12 +248,12 @@ def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, p: int, max_
             .withColumn("_kth", F.max(F.when(F.col("rank") == F.col("_k"), F.col("score"))).over(whole)))
 
 
-def _empty_result(req: DataFrame, feats) -> DataFrame:
+def _empty_result(req: DataFrame, feats, carry=()) -> DataFrame:
     return req.select("request_id", F.lit(None).cast("int").alias("rank"),
                       F.lit(None).cast("string").alias("driver_id"),
                       F.lit(None).cast("double").alias("distance_km"),
                       F.lit(None).cast("double").alias("score"),
-                      *[F.lit(None).cast("double").alias(f) for f in feats]).where(F.lit(False))
+                      *[F.lit(None).cast("double").alias(f) for f in feats], *carry).where(F.lit(False))
 
 
 # ----------------------------------------------------------- response shapes
@@ -273,8 +276,8 @@ def keep_empty_requests(requests: DataFrame, nested: DataFrame) -> DataFrame:
 
 
 def match_drivers(requests: DataFrame, snapshot: DataFrame, ranker: Ranker,
-                  max_top_k: int | None = None, default_top_k: int = DEFAULT_TOP_K) -> DataFrame:
+                  max_top_k: int | None = None, default_top_k: int = DEFAULT_TOP_K, carry=()) -> DataFrame:
     """Q1 (flat form): validate → drop unlocated candidates → exact grid top-k."""
     valid = valid_requests(requests, default_top_k)
     drivers = drop_unlocated(snapshot)
-    return match_top_k(valid, drivers, ranker, max_top_k=max_top_k)
+    return match_top_k(valid, drivers, ranker, max_top_k=max_top_k, carry=carry)

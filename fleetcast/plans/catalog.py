@@ -57,26 +57,33 @@ def q_latest_per_driver(spark, sf_dir):
 
 # ------------------------------------------------------------ Q1 match
 
-_MATCH_ORACLE = with_fixtures(f"""
+MATCH_CTES = f"""
 , snap AS (SELECT * FROM ({LATEST_DRIVER_SQL}) s WHERE lat IS NOT NULL AND lon IS NOT NULL)
-, req AS (SELECT request_id, rider_lat, rider_lon, coalesce(top_k, 5) AS k FROM fx_rider_requests
+, req AS (SELECT request_id, request_ts, rider_lat, rider_lon, coalesce(top_k, 5) AS k FROM fx_rider_requests
           WHERE rider_id IS NOT NULL AND coalesce(top_k, 5) >= 1)
-, pairs AS (SELECT r.request_id, r.k, s.driver_id, s.accept_rate_7d, s.avg_response_ms,
+, pairs AS (SELECT r.request_id, r.request_ts, r.k, s.driver_id, s.accept_rate_7d, s.avg_response_ms,
                    {haversine_sql('r.rider_lat', 'r.rider_lon', 's.lat', 's.lon')} AS distance_km
             FROM req r CROSS JOIN snap s)
 , scored AS (SELECT *, {score_sql(FIXTURE_RANKER, {})} AS score FROM pairs)
 , ranked AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, driver_id) AS rank
              FROM scored)
+, matches AS (SELECT * FROM ranked WHERE rank <= k)"""
+
+_MATCH_ORACLE = with_fixtures(MATCH_CTES + """
 SELECT request_id, CAST(rank AS INTEGER) AS rank, driver_id, round(distance_km, 6) AS distance_km,
-       round(score, 9) AS score
-FROM ranked WHERE rank <= k""")
+       round(score, 9) AS score FROM matches""")
 
 
-@register("match_drivers", _MATCH_ORACLE)
-def q_match_drivers(spark, sf_dir):
+def fixture_matches(spark, sf_dir) -> DataFrame:
+    """Flat top-k matches of the fixture requests, with request time carried."""
     ev = events(spark, sf_dir)
     snap = latest_per_key(fx.driver_events(ev))
-    flat = match_drivers(fx.rider_requests(ev), snap, FIXTURE_RANKER)
+    return match_drivers(fx.rider_requests(ev), snap, FIXTURE_RANKER, carry=("request_ts",))
+
+
+@register("match_drivers", _MATCH_ORACLE)
+def q_match_drivers(spark, sf_dir):
+    flat = fixture_matches(spark, sf_dir)
     return flat.select("request_id", F.col("rank").cast("int").alias("rank"), "driver_id",
                        r6("distance_km"), r9("score"))
 
@@ -393,3 +400,224 @@ _PIT_1D_COLS = ["row_id", "driver_id", "event_timestamp", "accept_rate_7d", "avg
     "count({c})", "column_name", "non_null"))
 def q_non_null_counts(spark, sf_dir):
     return qa.non_null_counts(q_point_in_time_join_1d(spark, sf_dir), _PIT_1D_COLS)
+
+
+# ------------------------------------------------------------ P16, K2, K3 request / response shapes
+
+from fleetcast.operators import match as mt  # noqa: E402
+
+
+@register("rejected_requests", with_fixtures("""
+SELECT request_id, CAST(coalesce(top_k, 5) AS INTEGER) AS top_k,
+  CASE WHEN rider_id IS NULL THEN 'missing_rider_id'
+       WHEN rider_lat IS NULL OR rider_lon IS NULL THEN 'missing_location'
+       WHEN coalesce(top_k, 5) < 1 THEN 'invalid_top_k' END AS error_type
+FROM fx_rider_requests
+WHERE rider_id IS NULL OR rider_lat IS NULL OR rider_lon IS NULL OR coalesce(top_k, 5) < 1"""))
+def q_rejected_requests(spark, sf_dir):
+    return mt.rejected_requests(fx.rider_requests(events(spark, sf_dir))).select("request_id", "top_k", "error_type")
+
+
+@register("match_response")
+def q_match_response(spark, sf_dir):
+    """K2 + K3: one row per valid request, ``matches`` as an ordered list (empty when none)."""
+    ev = events(spark, sf_dir)
+    flat = fixture_matches(spark, sf_dir)
+    return mt.keep_empty_requests(mt.valid_requests(fx.rider_requests(ev)), mt.nest_matches(flat))
+
+
+# ------------------------------------------------------------ M3-M8, Q3 model
+
+from fleetcast.operators import model as md  # noqa: E402
+from fleetcast.plans.sqltext import score_sql as _score_sql  # noqa: E402
+
+
+@register("score", with_fixtures(_TRAINING_CTES + f"""
+, s_ AS (SELECT request_id, driver_id, {_score_sql(FIXTURE_RANKER, {})} AS score FROM ts_)
+SELECT request_id, driver_id, round(score, 9) AS score, CAST(score > 0.5 AS INTEGER) AS predicted FROM s_"""))
+def q_score(spark, sf_dir):
+    s = md.score_rows(_training(spark, sf_dir), FIXTURE_RANKER)
+    return s.select("request_id", "driver_id", r9("score"), "predicted")
+
+
+_EPS = "CAST(2.220446049250313e-16 AS DOUBLE)"
+_P = f"greatest(least(score, 1 - {_EPS}), {_EPS})"
+
+
+@register("evaluate_ranker", with_fixtures(_TRAINING_CTES + f"""
+, s_ AS (SELECT label, {_score_sql(FIXTURE_RANKER, {})} AS score FROM ts_)
+, r_ AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS ar
+         FROM s_)
+, c_ AS (SELECT CAST(sum(label) AS DOUBLE) AS p, CAST(count(*) - sum(label) AS DOUBLE) AS n,
+                count(*) AS total FROM s_)
+SELECT round(((SELECT sum(ar) FROM r_ WHERE label = 1) - c_.p * (c_.p + 1) / 2.0) / (c_.p * c_.n), 9) AS auc,
+  round((SELECT avg(CASE WHEN CAST(score > 0.5 AS INTEGER) = label THEN 1.0 ELSE 0.0 END) FROM s_), 9) AS accuracy,
+  round((SELECT avg(-(label * ln({_P}) + (1 - label) * ln(1 - {_P}))) FROM s_), 9) AS log_loss,
+  CAST(c_.total AS BIGINT) AS n
+FROM c_"""))
+def q_evaluate_ranker(spark, sf_dir):
+    m = md.evaluate_ranker(md.score_rows(_training(spark, sf_dir), FIXTURE_RANKER))
+    return spark.createDataFrame([(round(m["auc"], 9), round(m["accuracy"], 9), round(m["log_loss"], 9), m["n"])],
+                                 "auc double, accuracy double, log_loss double, n bigint")
+
+
+@register("train_ranker")
+def q_train_ranker(spark, sf_dir):
+    """Q3 (rows-only check): fit on the fixture training set; one row per metric."""
+    ranker, metrics, _ = md.train_ranker(_training(spark, sf_dir))
+    rows = [(k, float(v)) for k, v in sorted(metrics.items())]
+    rows += [("intercept", ranker.intercept)] + [(f"w_{k}", v) for k, v in ranker.weights.items()]
+    return spark.createDataFrame(rows, "metric string, value double")
+
+
+# ------------------------------------------------------------ A12-A18, Q6 monitoring
+
+from fleetcast.operators import metrics as mx  # noqa: E402
+
+_LAT_BOUNDS = ", ".join(f"({b!r})" for b in (*mx.LATENCY_BOUNDS, "inf"))
+
+
+def _calls(spark, sf_dir) -> DataFrame:
+    return fx.calls(events(spark, sf_dir))
+
+
+def _hist_sql(src: str, value: str, bounds, keys=()) -> str:
+    vals = ", ".join(f"(CAST({b!r} AS DOUBLE))" for b in (*bounds,)) + ", (CAST('inf' AS DOUBLE))"
+    k = "".join(f"{c}, " for c in keys)
+    g = f"GROUP BY {', '.join(keys)}" if keys else ""
+    kj = " AND ".join(f"o.{c} = t.{c}" for c in keys) or "TRUE"
+    return f"""
+, obs_ AS (SELECT {k}{value} AS v FROM {src} WHERE {value} IS NOT NULL)
+, tot_ AS (SELECT {k}sum(v) AS s, count(*) AS c FROM obs_ {g})
+, b_ AS (SELECT * FROM (VALUES {vals}) t(le))
+, h_ AS (SELECT {''.join(f't.{c}, ' for c in keys)}b_.le, CAST(count(o.v) AS BIGINT) AS bucket_count,
+                t.s AS sum, CAST(t.c AS BIGINT) AS count
+         FROM tot_ t CROSS JOIN b_ LEFT JOIN obs_ o ON {kj} AND o.v <= b_.le
+         GROUP BY {''.join(f't.{c}, ' for c in keys)}b_.le, t.s, t.c)"""
+
+
+@register("latency_histogram", with_fixtures(_hist_sql("fx_calls", "latency_s", mx.LATENCY_BOUNDS) + """
+SELECT le, bucket_count, round(sum, 6) AS sum, count FROM h_"""))
+def q_latency_histogram(spark, sf_dir):
+    h = mx.bucket_histogram(_calls(spark, sf_dir), "latency_s", mx.LATENCY_BOUNDS)
+    return h.select("le", "bucket_count", r6("sum"), "count")
+
+
+@register("error_counts", with_fixtures("""
+SELECT error_type, CAST(count(*) AS BIGINT) AS total FROM fx_calls WHERE error_type IS NOT NULL GROUP BY 1"""))
+def q_error_counts(spark, sf_dir):
+    return mx.labelled_counter(_calls(spark, sf_dir), "error_type")
+
+
+@register("error_rate_per_minute", with_fixtures("""
+SELECT date_trunc('minute', ts) AS window_start, error_type, count(*) / 60.0 AS rate
+FROM fx_calls WHERE error_type IS NOT NULL GROUP BY 1, 2"""))
+def q_error_rate_per_minute(spark, sf_dir):
+    c = _calls(spark, sf_dir).where(F.col("error_type").isNotNull())
+    return mx.rate_per_window(c, "ts", "1 minute", ["error_type"])
+
+
+_Q_SQL = """
+, q_ AS (SELECT *, max(bucket_count) OVER (PARTITION BY day) AS total_,
+                lag(le) OVER (PARTITION BY day ORDER BY le) AS prev_le,
+                coalesce(lag(bucket_count) OVER (PARTITION BY day ORDER BY le), 0) AS prev_cum,
+                max(CASE WHEN le <> CAST('inf' AS DOUBLE) THEN le END) OVER (PARTITION BY day) AS max_fin
+         FROM h_)
+, hit_ AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY le) AS r_
+           FROM q_ WHERE bucket_count >= 0.95 * total_ AND total_ > 0)
+SELECT day, round(CASE WHEN le = CAST('inf' AS DOUBLE) THEN max_fin ELSE
+  coalesce(prev_le, least(0.0, le)) + (le - coalesce(prev_le, least(0.0, le))) *
+  CASE WHEN bucket_count - prev_cum > 0 THEN (0.95 * total_ - prev_cum) / (bucket_count - prev_cum) ELSE 1.0 END
+  END, 9) AS quantile
+FROM hit_ WHERE r_ = 1"""
+
+
+@register("latency_p95_daily", with_fixtures(
+    ", calls_d AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, latency_s FROM fx_calls)"
+    + _hist_sql("calls_d", "latency_s", mx.LATENCY_BOUNDS, ("day",)) + _Q_SQL))
+def q_latency_p95_daily(spark, sf_dir):
+    c = _calls(spark, sf_dir).withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    h = mx.bucket_histogram(c, "latency_s", mx.LATENCY_BOUNDS, extra_keys=("day",))
+    return mx.histogram_quantile(h, 0.95, keys=["day"]).select("day", r9("quantile"))
+
+
+_OBS_SQL = """
+, obs_all AS (
+  SELECT 'distance_km' AS feature_name, distance_km AS value, request_ts, request_id, rank FROM matches
+  UNION ALL SELECT 'accept_rate_7d', accept_rate_7d, request_ts, request_id, rank FROM matches
+  UNION ALL SELECT 'avg_response_ms', avg_response_ms, request_ts, request_id, rank FROM matches)
+, obs AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, request_ts) AS window_start
+          FROM obs_all WHERE value IS NOT NULL AND NOT isnan(value))"""
+
+
+def _observations(spark, sf_dir) -> DataFrame:
+    from fleetcast.operators.drift import observations
+    m = fixture_matches(spark, sf_dir)
+    return observations(m, ["distance_km", "accept_rate_7d", "avg_response_ms"], ["request_ts", "request_id", "rank"])
+
+
+@register("feature_sum_by_le", with_fixtures(MATCH_CTES + _OBS_SQL + """
+, wl AS (SELECT DISTINCT window_start FROM obs)
+, b_ AS (SELECT * FROM (VALUES (0.0), (1.0), (2.0), (5.0), (10.0), (20.0), (50.0), (100.0),
+                               (CAST('inf' AS DOUBLE))) t(le))
+SELECT wl.window_start, CAST(b_.le AS DOUBLE) AS le, CAST(count(o.value) AS BIGINT) AS bucket_count
+FROM wl CROSS JOIN b_ LEFT JOIN obs o ON o.window_start = wl.window_start AND o.value <= b_.le
+GROUP BY 1, 2"""))
+def q_feature_sum_by_le(spark, sf_dir):
+    o = _observations(spark, sf_dir).withColumn(
+        "window_start", F.window("request_ts", "5 minutes").start.cast("timestamp_ntz"))
+    h = mx.bucket_histogram(o, "value", mx.FEATURE_BOUNDS, labels=("feature_name",), extra_keys=("window_start",))
+    return mx.sum_by_le(h, ["window_start"])
+
+
+@register("score_histogram", with_fixtures(MATCH_CTES + _hist_sql("matches", "score", mx.SCORE_BOUNDS) + """
+SELECT le, bucket_count, round(sum, 6) AS sum, count FROM h_"""))
+def q_score_histogram(spark, sf_dir):
+    h = mx.bucket_histogram(fixture_matches(spark, sf_dir), "score", mx.SCORE_BOUNDS)
+    return h.select("le", "bucket_count", r6("sum"), "count")
+
+
+# ------------------------------------------------------------ A14/A15 drift
+
+from fleetcast.operators import drift as dr  # noqa: E402
+
+# Baseline p95 per feature from the reference's stored statistics.
+BASELINE_P95 = {"distance_km": 6.917964599408996, "accept_rate_7d": 0.93, "avg_response_ms": 1426.0}
+
+_BASE_SQL = ", base AS (SELECT * FROM (VALUES " + ", ".join(
+    f"('{k}', CAST({v!r} AS DOUBLE))" for k, v in BASELINE_P95.items()) + ") t(feature_name, baseline_p95))"
+
+_DRIFT_SQL = MATCH_CTES + _OBS_SQL + _BASE_SQL + """
+, num AS (SELECT *, row_number() OVER (PARTITION BY feature_name ORDER BY request_ts, request_id, rank) AS n
+          FROM obs)
+, win AS (SELECT feature_name, n,
+            quantile_cont(value, 0.95) OVER (PARTITION BY feature_name ORDER BY n ROWS BETWEEN 999 PRECEDING AND CURRENT ROW) AS cur,
+            count(*) OVER (PARTITION BY feature_name ORDER BY n ROWS BETWEEN 999 PRECEDING AND CURRENT ROW) AS ws
+          FROM num)
+, d_ AS (SELECT w.feature_name, w.n, w.ws, w.cur, b.baseline_p95,
+           CASE WHEN b.baseline_p95 = 0 THEN abs(w.cur - b.baseline_p95)
+                ELSE abs(w.cur - b.baseline_p95) / b.baseline_p95 END AS drift
+         FROM win w JOIN base b USING (feature_name) WHERE w.n % 100 = 0)"""
+
+
+def _baseline_df(spark) -> DataFrame:
+    return spark.createDataFrame(list(BASELINE_P95.items()), "feature_name string, p95 double")
+
+
+def _drift(spark, sf_dir) -> DataFrame:
+    return dr.drift_score(_observations(spark, sf_dir), _baseline_df(spark), ["request_ts", "request_id", "rank"])
+
+
+@register("drift_score", with_fixtures(_DRIFT_SQL + """
+SELECT feature_name, CAST(n AS BIGINT) AS observations, CAST(ws AS BIGINT) AS window_size,
+       round(cur, 6) AS current_p95, baseline_p95, round(drift, 9) AS drift FROM d_"""))
+def q_drift_score(spark, sf_dir):
+    return _drift(spark, sf_dir).select("feature_name", "observations", "window_size", r6("current_p95"),
+                                        "baseline_p95", r9("drift"))
+
+
+@register("drift_status", with_fixtures(_DRIFT_SQL + """
+SELECT feature_name, CAST(n AS BIGINT) AS observations,
+       CASE WHEN drift < 0.1 THEN 'green' WHEN drift < 0.2 THEN 'yellow' ELSE 'red' END AS status FROM d_"""))
+def q_drift_status(spark, sf_dir):
+    return dr.drift_status(_drift(spark, sf_dir)).select("feature_name", "observations", "status")
