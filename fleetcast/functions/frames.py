@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint (to the shared ``spark.checkpoint.dir``) computed once.
+
+    A bare ``checkpoint()`` runs the plan twice: once for the eager action and
+    once more to write the files.  Persisting first makes the write read the
+    cached blocks; the cache is dropped once the files exist.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
+
+
 def at_most(df: DataFrame, n: int) -> bool:
     """True when ``df`` has at most ``n`` rows; reads at most n+1 rows."""
     return df.limit(n + 1).count() <= n
@@ -38,8 +52,8 @@ def with_group_index(df: DataFrame, order_cols: list, group_cols: list[str] | No
     keys = [F.col(c) for c in group_cols] + [c if isinstance(c, Column) else F.col(c) for c in order_cols]
     tagged = (df.orderBy(*keys)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint())
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    tagged = cut_lineage(tagged)
     per_part = tagged.groupBy("_pid", *group_cols).agg(
         F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group_cols).orderBy("_pid") if group_cols else Window.orderBy("_pid")

@@ -36,13 +36,27 @@ def drift_score(obs: DataFrame, baseline: DataFrame, order_cols, window: int = 1
     ``obs``: feature_name, value, *order_cols.  ``baseline``: feature_name, p95.
     Features absent from the baseline are ignored.
     """
+    obs = obs.join(F.broadcast(baseline.select("feature_name")), "feature_name", "left_semi")  # few features
+    numbered = with_group_index(obs, list(order_cols), ["feature_name"], "_i") \
+        .select("feature_name", "value", (F.col("_i") + 1).alias("_n"))
+    bounds = obs.groupBy("feature_name").agg(F.lit(0).cast("long").alias("_lo"),
+                                             F.count(F.lit(1)).alias("_hi"))
+    return drift_checkpoints(numbered, bounds, baseline, window, step, quantile)
+
+
+def drift_checkpoints(numbered: DataFrame, bounds: DataFrame, baseline: DataFrame, window: int = 1000,
+                      step: int = 100, quantile: float = 0.95) -> DataFrame:
+    """Checkpoints ``c`` (multiples of ``step``) with ``_lo < c <= _hi`` per feature.
+
+    ``numbered``: feature_name, value, ``_n`` (global 1-based position); it must
+    hold every observation in ``(c - window, c]`` of each such checkpoint.
+    ``bounds``: feature_name, ``_lo``, ``_hi`` (one row per feature).
+    """
     base = baseline.select("feature_name", F.col("p95").alias("baseline_p95"))
-    obs = obs.join(F.broadcast(base.select("feature_name")), "feature_name", "left_semi")  # few features
-    numbered = with_group_index(obs, list(order_cols), ["feature_name"], "_i").withColumn("_n", F.col("_i") + 1)
-    totals = obs.groupBy("feature_name").agg(F.count(F.lit(1)).alias("_total"))
-    lo = F.ceil(F.col("_n") / F.lit(step))
-    hi = F.least(F.floor((F.col("_n") + F.lit(window - 1)) / F.lit(step)), F.floor(F.col("_total") / F.lit(step)))
-    spread = (numbered.join(F.broadcast(totals), "feature_name")
+    n = F.col("_n")
+    lo = F.greatest(F.ceil(n / F.lit(step)), F.floor(F.col("_lo") / F.lit(step)) + 1)
+    hi = F.least(F.floor((n + F.lit(window - 1)) / F.lit(step)), F.floor(F.col("_hi") / F.lit(step)))
+    spread = (numbered.join(F.broadcast(bounds), "feature_name")
               .where(lo <= hi)
               .withColumn("checkpoint", F.explode(F.sequence(lo.cast("long"), hi.cast("long")))))
     cur = spread.groupBy("feature_name", "checkpoint").agg(

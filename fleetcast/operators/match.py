@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fleetcast.functions.frames import cut_lineage
 from fleetcast.functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, haversine_km
 from fleetcast.functions.scoring import Ranker, sigmoid
 
@@ -190,7 +191,7 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
         margin = _block_margin_km(F.col("rider_lat"), F.col("rider_lon"), p)
         bound = sigmoid(F.lit(bound_logit_max) + F.lit(w_d) * margin + F.lit(1e-9))
         done = F.lit(True) if terminal else ((F.col("_cnt") >= F.col("_k")) & (bound < F.col("_kth")))
-        ranked = ranked.withColumn("_done", done).checkpoint()
+        ranked = cut_lineage(ranked.withColumn("_done", done))
         results.append(ranked.where(F.col("_done") & F.col("driver_id").isNotNull()
                                     & (F.col("rank") <= F.col("_k"))))
         if terminal:

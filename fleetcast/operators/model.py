@@ -20,6 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetcast.functions.frames import cut_lineage
 from fleetcast.functions.scoring import FEATURES, Ranker, predict_label, score
 from fleetcast.operators.training import fit_medians, impute
 
@@ -110,7 +111,7 @@ def train_ranker(training: DataFrame, features=FEATURES, seed: int = 42, stats_p
     from fleetcast.sources.online_store import write_stats
 
     spark = training.sparkSession
-    split = stratified_split(training, seed=seed).checkpoint()
+    split = cut_lineage(stratified_split(training, seed=seed))
     train = split.where(F.col("split") == "train")
     val = split.where(F.col("split") == "val")
     ranker, model = fit_ranker(train, features)
