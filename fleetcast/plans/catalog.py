@@ -621,3 +621,68 @@ SELECT feature_name, CAST(n AS BIGINT) AS observations,
        CASE WHEN drift < 0.1 THEN 'green' WHEN drift < 0.2 THEN 'yellow' ELSE 'red' END AS status FROM d_"""))
 def q_drift_status(spark, sf_dir):
     return dr.drift_status(_drift(spark, sf_dir)).select("feature_name", "observations", "status")
+
+
+# ------------------------------------------------------------ P6-P9, P12, P15, T7, T8
+
+from fleetcast.specs import FeatureView  # noqa: E402
+from fleetcast.streaming.jobs import dedupe_events as _dedupe  # noqa: E402
+
+
+@register("entity_rows", with_fixtures("""
+, a AS (SELECT max(event_ts) AS t FROM fx_driver_events)
+SELECT driver_id, event_ts AS event_timestamp FROM fx_driver_events, a
+WHERE driver_id IS NOT NULL AND length(driver_id) > 0 AND event_ts BETWEEN a.t - INTERVAL 7 DAY AND a.t"""))
+def q_entity_rows(spark, sf_dir):
+    feats = fx.driver_events(events(spark, sf_dir))
+    start, end = tr.lookback_window(_max_ts(feats, "event_ts"), 7)
+    return tr.entity_rows(feats, start, end)
+
+
+_FLOAT_VIEW = FeatureView("driver_status_f32", DRIVER_STATUS.entities,
+                          (("lat", "float"), ("lon", "float"), ("status", "string")), DRIVER_STATUS.source)
+
+
+@register("apply_view_schema", with_fixtures("""
+SELECT driver_id, CAST(lat AS FLOAT) AS lat, CAST(lon AS FLOAT) AS lon, status, event_ts FROM fx_driver_events"""))
+def q_apply_view_schema(spark, sf_dir):
+    feats = fx.driver_events(events(spark, sf_dir))
+    return feats.select("driver_id", *_FLOAT_VIEW.typed_fields(), "event_ts")
+
+
+@register("on_demand_features", with_fixtures("""
+SELECT e.row_id, e.driver_id, e.event_timestamp,
+  CASE WHEN f.event_ts >= e.event_timestamp - INTERVAL 86400 SECOND THEN f.accept_rate_7d END AS accept_rate_7d,
+  CAST(hour(e.event_timestamp) AS INTEGER) AS val_to_add,
+  CASE WHEN f.event_ts >= e.event_timestamp - INTERVAL 86400 SECOND THEN f.accept_rate_7d END
+    + hour(e.event_timestamp) AS accept_rate_plus_val
+FROM fx_entities e ASOF LEFT JOIN fx_driver_events f
+  ON e.driver_id = f.driver_id AND e.event_timestamp >= f.event_ts"""))
+def q_on_demand_features(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    ent = fx.entities(ev).withColumn("val_to_add", F.hour("event_timestamp"))
+    j = asof.point_in_time_join(ent, fx.driver_events(ev), ["driver_id"], ["accept_rate_7d"],
+                                ttl=_dt.timedelta(days=1))
+    return asof.on_demand_features(j, {"accept_rate_plus_val": F.col("accept_rate_7d") + F.col("val_to_add")})
+
+
+@register("late_rows", with_fixtures(f"""
+SELECT driver_id, accept_rate_7d, avg_response_ms, event_ts FROM ({LATEST_DRIVER_SQL}) s"""))
+def q_late_rows(spark, sf_dir):
+    """The newer half arrives first, the older half late; the newest event time must win."""
+    feats = fx.driver_events(events(spark, sf_dir))
+    b = feats.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")).first()
+    mid = b["lo"] + (b["hi"] - b["lo"]) / 2
+    newer = lt.materialize(feats.where(F.col("event_ts") > F.lit(mid)), DRIVER_AGG)
+    older = lt.materialize(feats.where(F.col("event_ts") <= F.lit(mid)), DRIVER_AGG)
+    return lt.merge_newest(newer, older, ["driver_id"])
+
+
+@register("dedupe_events", with_fixtures(f"""
+SELECT event_id, event_type, driver_id, event_ts, lat, lon, status, accept_rate_7d, avg_response_ms
+FROM fx_driver_events WHERE {_CLEAN}"""))
+def q_dedupe_events(spark, sf_dir):
+    """A replayed topic (every line delivered twice) decodes to the rows of one delivery."""
+    lines = fx.driver_events_json(events(spark, sf_dir))
+    replay = lines.unionByName(lines)
+    return _dedupe(src.route_driver_events(src.decode_events(replay)), keys=("driver_id", "event_ts", "event_id"))

@@ -212,7 +212,9 @@ def stream_metrics(calls: DataFrame, bounds, value: str, ts: str, out_path: str,
     """
     from fleetcast.operators.metrics import bucket_le
 
-    obs = calls.withWatermark(ts, watermark).where(F.col(value).isNotNull()) \
+    # Watermarks need TIMESTAMP; in a UTC session the cast keeps the wall clock.
+    obs = calls.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark) \
+        .where(F.col(value).isNotNull()) \
         .withColumn("le", bucket_le(F.col(value), bounds))
     agg = obs.groupBy(F.window(ts, width).alias("w"), *labels, "le").agg(
         F.count(F.lit(1)).alias("bucket_count"), F.sum(value).alias("sum"))
@@ -230,5 +232,8 @@ def dedupe_events(drivers: DataFrame, watermark: str | None = "1 hour",
     Streams keep state only within the watermark; batches drop all repeats.
     """
     if drivers.isStreaming and watermark:
-        return drivers.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(list(keys))
+        ntz = dict(drivers.dtypes).get("event_ts") == "timestamp_ntz"
+        d = drivers.withColumn("event_ts", F.col("event_ts").cast("timestamp")) if ntz else drivers
+        d = d.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(list(keys))
+        return d.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")) if ntz else d
     return drivers.dropDuplicates(list(keys))
