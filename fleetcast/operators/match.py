@@ -185,8 +185,9 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
                .repartition(parts, "request_id"))
     results = []
     bound_logit_max = float(ranker.intercept) + plan.max_static
-    for i, p in enumerate(plan.levels):
-        terminal = i == len(plan.levels) - 1
+    p = plan.levels[0]
+    while True:
+        terminal = p <= plan.levels[-1]
         ranked = _rank_level(pending, drv, ranker, p, max_top_k, plan.broadcast_drivers, feats, carry)
         margin = _block_margin_km(F.col("rider_lat"), F.col("rider_lon"), p)
         bound = sigmoid(F.lit(bound_logit_max) + F.lit(w_d) * margin + F.lit(1e-9))
@@ -202,6 +203,9 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
             "request_id", "rider_lat", "rider_lon", "_k", F.col("_kth").alias("_floor"), *carry)
         if pending.isEmpty():
             break
+        # One level at a time: a coarser block pairs a request with up to 4x
+        # more drivers, which costs more than the extra round.
+        p -= 1
     drv.unpersist()
     out = results[0]
     for r in results[1:]:
@@ -236,9 +240,13 @@ def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, p: int, max_
         side = F.broadcast(side)
     pairs = reqs.join(side, ["cy", "cx"], "left")
     dist = haversine_km(F.col("rider_lat"), F.col("rider_lon"), F.col("lat"), F.col("lon"))
-    scored = pairs.select("request_id", "rider_lat", "rider_lon", "_k", "_floor", *carry, "driver_id", *feats,
-                          dist.alias("distance_km"))
-    scored = scored.withColumn("score", sigmoid(ranker.logit({"distance_km": F.col("distance_km")})))
+    base = ["request_id", "rider_lat", "rider_lon", "_k", "_floor", *carry, "driver_id", *feats]
+    # Distance and score are produced by Generates (``inline``): the floor
+    # filter below cannot be pushed under them, so each pair's trigonometry
+    # runs once instead of once per expression that reads the score.
+    scored = pairs.select(*base, F.inline(F.array(F.struct(dist.alias("distance_km")))))
+    scored = scored.select(*base, "distance_km", F.inline(F.array(F.struct(
+        sigmoid(ranker.logit({"distance_km": F.col("distance_km")})).alias("score")))))
     # Pairs below the floor cannot reach the top k (k candidates already beat it).
     scored = scored.where(F.col("_floor").isNull() | F.col("score").isNull()
                           | (F.col("score") >= F.col("_floor")))

@@ -14,7 +14,17 @@ from pyspark.sql import functions as F
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one table; spread it when the scan would under-fill the cluster.
+
+    A table stored as a single row group scans as one task, which would run
+    all row-local work of the query serially.  Large tables split into many
+    scan tasks and are left as they are (no extra shuffle).
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
 
 
 def _id_str(c: str) -> Column:

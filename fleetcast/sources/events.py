@@ -69,14 +69,17 @@ def decode_events(lines: DataFrame, value_col: str = "value", on_bad: str = "rej
     extra = [c for c in lines.columns if c != value_col]
     if on_bad == "fail":
         nonempty = lines.where(~empty)
-        parsed = nonempty.select(*extra, F.from_json(v, EVENT_SCHEMA, {"mode": "FAILFAST"}).alias("_r"))
-        out = parsed.select(*extra, "_r.*").withColumn("_error", F.lit(None).cast("string"))
+        out = nonempty.select(*extra, F.inline(F.array(F.from_json(v, EVENT_SCHEMA, {"mode": "FAILFAST"})))) \
+            .withColumn("_error", F.lit(None).cast("string"))
     else:
         schema = T.StructType(EVENT_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType())])
-        parsed = lines.select(*extra, v.alias("_raw"), empty.alias("_empty"),
-                              F.when(~empty, F.from_json(v, schema, {
-                                  "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})).alias("_r"))
-        out = parsed.select(*extra, "_raw", "_empty", "_r.*").withColumn(
+        parsed_struct = F.when(~empty, F.from_json(v, schema, {
+            "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+        # ``inline`` (a Generate) yields the parsed fields as columns once per
+        # line.  Filters on them cannot be pushed below it, so the optimizer
+        # does not re-parse the JSON for every predicate that reads a field.
+        out = lines.select(*extra, v.alias("_raw"), empty.alias("_empty"),
+                           F.inline(F.array(parsed_struct))).withColumn(
             "_error", F.when(F.col("_empty"), F.lit("empty"))
             .when(F.col(CORRUPT).isNotNull(), F.lit("malformed_json")))
         out = out.drop(CORRUPT, "_empty")
