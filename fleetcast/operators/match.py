@@ -61,41 +61,45 @@ def candidate_pool(spark, n: int, prefix: str = "driver_") -> DataFrame:
 
 @dataclass(frozen=True)
 class GridPlan:
-    levels: list[int]            # grid exponents p: cell = 360 / 2**p degrees, finest first
+    p_start: int                 # finest grid exponent p: cell = 360 / 2**p degrees
     n_drivers: int
     max_static: float            # max over drivers of the distance-free logit part
     broadcast_drivers: bool
+    bbox: tuple = (0.0, 0.0, 0.0, 0.0)   # drivers' lat min/max, lon min/max
+    reach_km: float = 0.0        # radius holding k drivers + score slack
 
 
-def _cell(p: int) -> float:
-    return 360.0 / (2 ** p)
+def _pow2(p: Column) -> Column:
+    return F.pow(F.lit(2.0), p.cast("double"))
 
 
-def _cells(lat: Column, lon: Column, p: int) -> tuple[Column, Column]:
-    c = _cell(p)
-    n_lat = max(1, 2 ** (p - 1))
-    cy = F.least(F.floor((lat + F.lit(90.0)) / F.lit(c)).cast("long"), F.lit(n_lat - 1))
-    cx = F.pmod(F.floor((lon + F.lit(180.0)) / F.lit(c)).cast("long"), F.lit(2 ** p))
+def _cells(lat: Column, lon: Column, p: Column) -> tuple[Column, Column]:
+    """Cell row/column at (per-row) level ``p``; longitude wraps at the antimeridian."""
+    c = F.lit(360.0) / _pow2(p)
+    n_lat = F.greatest(_pow2(p - 1), F.lit(1.0)).cast("long")
+    n_lon = _pow2(p).cast("long")
+    cy = F.least(F.floor((lat + F.lit(90.0)) / c).cast("long"), n_lat - 1)
+    cx = F.pmod(F.floor((lon + F.lit(180.0)) / c).cast("long"), n_lon)
     return cy, cx
 
 
 def plan_grid(drivers: DataFrame, max_top_k: int, w_distance: float, per_block: int = 4,
               max_cell_rows: int | None = None, broadcast_rows: int = 2_000_000,
               finest_p: int = 26) -> GridPlan:
-    """Choose the starting (finest) grid level from the driver snapshot.
+    """Size the grid from the driver snapshot (two small aggregates).
 
     A request resolves once its block margin exceeds the distance to its k-th
-    driver plus the score slack ``(max g - g_k) / |w_distance|``; the start
-    level is sized for a typical request from the drivers' density and mean
-    ``g``.  A second aggregate caps the densest cell (many drivers on one
-    spot) by moving to a finer start.  Both aggregates return a handful of rows.
+    driver plus the score slack ``(max g - g) / |w_distance|``.  The finest
+    level is sized from the drivers' density and mean ``g``; a second
+    aggregate (densest cell at twelve candidate levels at once) moves it finer
+    when many drivers share one spot.
     """
     st = drivers.agg(F.count(F.lit(1)).alias("n"), F.max("_g").alias("g"), F.avg("_g").alias("gm"),
                      F.min("lat").alias("a0"), F.max("lat").alias("a1"),
                      F.min("lon").alias("o0"), F.max("lon").alias("o1")).first()
     n = int(st["n"])
     if n == 0:
-        return GridPlan([1], 0, 0.0, True)
+        return GridPlan(1, 0, 0.0, True)
     lat_span = max(st["a1"] - st["a0"], 1e-3)
     lon_span = max(st["o1"] - st["o0"], 1e-3)
     coslat = max(math.cos(math.radians(max(abs(st["a0"]), abs(st["a1"])))), 1e-3)
@@ -108,37 +112,50 @@ def plan_grid(drivers: DataFrame, max_top_k: int, w_distance: float, per_block:
     cands = list(range(p_slack, min(finest_p, p_slack + 11) + 1))
     lv = F.explode(F.array(*[F.lit(p) for p in cands])).alias("_p")
     exploded = drivers.select("lat", "lon", lv)
-    cy = F.lit(None).cast("long")
-    cx = F.lit(None).cast("long")
-    for p in cands:
-        y, x = _cells(F.col("lat"), F.col("lon"), p)
-        cy = F.when(F.col("_p") == p, y).otherwise(cy)
-        cx = F.when(F.col("_p") == p, x).otherwise(cx)
+    cy, cx = _cells(F.col("lat"), F.col("lon"), F.col("_p"))
     occ = (exploded.groupBy("_p", cy.alias("_cy"), cx.alias("_cx")).count()
            .groupBy("_p").agg(F.max("count").alias("m")).collect())
     dense = {r["_p"]: r["m"] for r in occ}
     p_start = next((p for p in cands if dense.get(p, 0) <= cap), cands[-1])
-    return GridPlan(list(range(p_start, 0, -1)), n, float(st["g"]), n <= broadcast_rows)
+    return GridPlan(p_start, n, float(st["g"]), n <= broadcast_rows,
+                    (st["a0"], st["a1"], st["o0"], st["o1"]), r_k + slack)
 
 
-def _block_margin_km(lat: Column, lon: Column, p: int) -> Column:
+def _start_level(lat: Column, lon: Column, plan: GridPlan) -> Column:
+    """Per-request first level: coarse enough to reach the drivers' area.
+
+    Only a starting point (speed): every level still applies the exact
+    stopping test.  Requests inside the drivers' box start at the finest level.
+    """
+    a0, a1, o0, o1 = plan.bbox
+    dlat = F.greatest(F.lit(a0) - lat, lat - F.lit(a1), F.lit(0.0))
+    dlon = F.greatest(F.lit(o0) - lon, lon - F.lit(o1), F.lit(0.0))
+    coslat = F.greatest(F.cos(F.radians(lat)), F.lit(1e-3))
+    d_km = F.sqrt(F.pow(dlat * KM_PER_DEGREE, 2) + F.pow(dlon * KM_PER_DEGREE * coslat, 2))
+    need_deg = (d_km + F.lit(plan.reach_km)) / (F.lit(KM_PER_DEGREE) * coslat)
+    # One level finer than the estimate: that block usually reaches some
+    # drivers, whose k-th score becomes the floor that prunes the next level.
+    p = F.floor(F.log2(F.lit(360.0) / need_deg)) + 1
+    p = F.when(d_km == 0, F.lit(plan.p_start)).otherwise(F.least(p, F.lit(plan.p_start)))
+    return F.greatest(p, F.lit(1)).cast("int")
+
+
+def _block_margin_km(lat: Column, lon: Column, p: Column) -> Column:
     """Lower bound (km) on the distance from a request to any point outside its 3x3 block."""
-    c = _cell(p)
-    n_lat, n_lon = max(1, 2 ** (p - 1)), 2 ** p
+    c = F.lit(360.0) / _pow2(p)
+    n_lat = F.greatest(_pow2(p - 1), F.lit(1.0))
+    n_lon = _pow2(p)
     inf = F.lit(float("inf"))
     ys = lat + F.lit(90.0)
     xs = lon + F.lit(180.0)
-    cy = F.least(F.floor(ys / F.lit(c)), F.lit(float(n_lat - 1)))
-    cx = F.floor(xs / F.lit(c))
-    south_edge = (cy - 1) * F.lit(c)
-    north_edge = (cy + 2) * F.lit(c)
+    cy = F.least(F.floor(ys / c), n_lat - 1)
+    cx = F.floor(xs / c)
+    south_edge = (cy - 1) * c
+    north_edge = (cy + 2) * c
     m_south = F.when(south_edge <= 0, inf).otherwise(ys - south_edge)
     m_north = F.when(north_edge >= 180.0, inf).otherwise(north_edge - ys)
     m_lat = F.least(m_south, m_north)
-    if n_lon <= 3:
-        m_lon = inf
-    else:
-        m_lon = F.least(xs - (cx - 1) * F.lit(c), (cx + 2) * F.lit(c) - xs)
+    m_lon = F.when(n_lon <= 3, inf).otherwise(F.least(xs - (cx - 1) * c, (cx + 2) * c - xs))
     d_lat = F.lit(EARTH_RADIUS_KM) * F.radians(m_lat)
     phi_a = F.radians(F.greatest(south_edge, F.lit(0.0)) - F.lit(90.0))
     phi_b = F.radians(F.least(north_edge, F.lit(180.0)) - F.lit(90.0))
@@ -181,31 +198,29 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
         drv.unpersist()
         return _empty_result(requests, feats, carry)
     pending = (requests.select("request_id", "rider_lat", "rider_lon", F.col("top_k").alias("_k"),
-                               F.lit(None).cast("double").alias("_floor"), *carry)
+                               F.lit(None).cast("double").alias("_floor"), *carry,
+                               _start_level(F.col("rider_lat"), F.col("rider_lon"), plan).alias("_p"))
                .repartition(parts, "request_id"))
     results = []
     bound_logit_max = float(ranker.intercept) + plan.max_static
-    p = plan.levels[0]
     while True:
-        terminal = p <= plan.levels[-1]
-        ranked = _rank_level(pending, drv, ranker, p, max_top_k, plan.broadcast_drivers, feats, carry)
-        margin = _block_margin_km(F.col("rider_lat"), F.col("rider_lon"), p)
+        # The levels in use this round: at most ``p_start`` small integers.
+        levels = sorted(r[0] for r in pending.select("_p").distinct().collect())
+        ranked = _rank_level(pending, drv, ranker, levels, max_top_k, plan.broadcast_drivers, feats, carry)
+        margin = _block_margin_km(F.col("rider_lat"), F.col("rider_lon"), F.col("_p"))
         bound = sigmoid(F.lit(bound_logit_max) + F.lit(w_d) * margin + F.lit(1e-9))
-        done = F.lit(True) if terminal else ((F.col("_cnt") >= F.col("_k")) & (bound < F.col("_kth")))
+        done = (F.col("_p") <= 1) | ((F.col("_cnt") >= F.col("_k")) & (bound < F.col("_kth")))
         ranked = cut_lineage(ranked.withColumn("_done", done))
         results.append(ranked.where(F.col("_done") & F.col("driver_id").isNotNull()
                                     & (F.col("rank") <= F.col("_k"))))
-        if terminal:
-            break
         # One row per unresolved request; its k-th score so far is a floor for
-        # the next, coarser block, which contains this block.
+        # the next, coarser block, which contains this block.  One level at a
+        # time: a coarser block pairs a request with up to 4x more drivers.
         pending = ranked.where(~F.col("_done") & (F.col("rank") == 1)).select(
-            "request_id", "rider_lat", "rider_lon", "_k", F.col("_kth").alias("_floor"), *carry)
+            "request_id", "rider_lat", "rider_lon", "_k", F.col("_kth").alias("_floor"), *carry,
+            (F.col("_p") - 1).alias("_p"))
         if pending.isEmpty():
             break
-        # One level at a time: a coarser block pairs a request with up to 4x
-        # more drivers, which costs more than the extra round.
-        p -= 1
     drv.unpersist()
     out = results[0]
     for r in results[1:]:
@@ -213,34 +228,39 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
     return out.select("request_id", "rank", "driver_id", "distance_km", "score", *feats, *carry)
 
 
-def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, p: int, max_top_k: int,
+def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, levels: list[int], max_top_k: int,
                 broadcast: bool, feats: list[str], carry: list[str]) -> DataFrame:
-    """Score the pairs of one grid level and rank them per request.
+    """Score the pairs of one round (each request at its own level) and rank them.
 
     Requests are exploded to the 9 cell keys of their block and equi-joined to
-    the drivers on the cell key (left join: a request with an empty block
-    keeps one null row so it stays pending).  The drivers are broadcast only
-    when ``plan_grid`` counted them below the broadcast bound; otherwise this
-    is a shuffle join on the cell key, with AQE splitting hot cells.
+    the drivers on (level, cell) — the drivers indexed once per level in use.
+    It is a left join: a request with an empty block keeps one null row so it
+    stays pending.  The drivers are broadcast only when ``plan_grid`` counted
+    them below the broadcast bound; otherwise this is a shuffle join on the
+    cell key, with AQE splitting hot cells.
     """
-    n_lat, n_lon = max(1, 2 ** (p - 1)), 2 ** p
+    p = F.col("_p")
+    n_lon = _pow2(p).cast("long")
+    n_lat = F.greatest(_pow2(p - 1), F.lit(1.0)).cast("long")
     cy, cx = _cells(F.col("rider_lat"), F.col("rider_lon"), p)
     offs = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
     block = F.array_distinct(F.array(*[
-        F.struct((F.col("_cy") + dy).alias("cy"), F.pmod(F.col("_cx") + dx, F.lit(n_lon)).alias("cx"))
+        F.struct((F.col("_cy") + dy).alias("cy"), F.pmod(F.col("_cx") + dx, n_lon).alias("cx"))
         for dy, dx in offs]))
+    keep = ["request_id", "rider_lat", "rider_lon", "_k", "_floor", "_p", *carry]
     reqs = (pending.withColumn("_cy", cy).withColumn("_cx", cx)
-            .select("request_id", "rider_lat", "rider_lon", "_k", "_floor", *carry, F.explode(block).alias("_b"))
-            .select("request_id", "rider_lat", "rider_lon", "_k", "_floor", *carry,
-                    F.col("_b.cy").alias("cy"), F.col("_b.cx").alias("cx"))
-            .where((F.col("cy") >= 0) & (F.col("cy") < n_lat)))
-    dcy, dcx = _cells(F.col("lat"), F.col("lon"), p)
-    side = drv.select("driver_id", "lat", "lon", *feats, dcy.alias("cy"), dcx.alias("cx"))
+            .select(*keep, n_lat.alias("_nlat"), F.explode(block).alias("_b"))
+            .select(*keep, "_nlat", F.col("_b.cy").alias("cy"), F.col("_b.cx").alias("cx"))
+            .where((F.col("cy") >= 0) & (F.col("cy") < F.col("_nlat"))).drop("_nlat"))
+    side = drv.select("driver_id", "lat", "lon", *feats,
+                      F.explode(F.array(*[F.lit(lv) for lv in levels])).alias("_p"))
+    dcy, dcx = _cells(F.col("lat"), F.col("lon"), F.col("_p"))
+    side = side.select("driver_id", "lat", "lon", *feats, "_p", dcy.alias("cy"), dcx.alias("cx"))
     if broadcast:
         side = F.broadcast(side)
-    pairs = reqs.join(side, ["cy", "cx"], "left")
+    pairs = reqs.join(side, ["_p", "cy", "cx"], "left")
     dist = haversine_km(F.col("rider_lat"), F.col("rider_lon"), F.col("lat"), F.col("lon"))
-    base = ["request_id", "rider_lat", "rider_lon", "_k", "_floor", *carry, "driver_id", *feats]
+    base = [*keep, "driver_id", *feats]
     # Distance and score are produced by Generates (``inline``): the floor
     # filter below cannot be pushed under them, so each pair's trigonometry
     # runs once instead of once per expression that reads the score.
