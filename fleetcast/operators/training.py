@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetcast.functions.frames import with_group_index
+from fleetcast.functions.frames import cut_lineage, with_group_index
 from fleetcast.functions.geo import haversine_km
 from fleetcast.functions.hashing import seeded_hash32, seeded_md5
 from fleetcast.operators.latest import time_bounds
@@ -111,7 +111,8 @@ def training_set(driver_events: DataFrame, requests: DataFrame, views, start=Non
     ent = entity_rows(driver_events, start, end)
     if max_entity_rows is not None:
         ent = bounded_sample(ent, max_entity_rows, ["driver_id", "event_timestamp"], seed)
-    feats = multi_view_join(ent, driver_events, views, tiebreak=("event_id",))
+    # Checkpointed once: the guard reads it, and so does the rest of the plan.
+    feats = cut_lineage(multi_view_join(ent, driver_events, views, tiebreak=("event_id",)))
     all_null_guard(feats, ("lat", "lon"))
     latest = latest_per_key(feats, ["driver_id"], "event_timestamp", tiebreak=())
     located = latest.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
@@ -126,12 +127,11 @@ def training_set(driver_events: DataFrame, requests: DataFrame, views, start=Non
 
 def stratified_split(df: DataFrame, label: str = "label", key_cols=("request_id", "driver_id"),
                      test_size: float = 0.2, seed: int = SEED) -> DataFrame:
-    """M1: per label, the ``round(test_size * n_label)`` rows with the smallest hash
+    """M1: per label, the ``ceil(test_size * n_label)`` rows with the smallest hash
     go to ``val``; the rest to ``train``.  Exact sizes, distributed ranking."""
     h = seeded_md5(seed, *key_cols)
     ranked = with_group_index(df.withColumn("_h", h), [F.col("_h"), *key_cols], [label], "_pos")
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    # Python's round-half-even on 0.2*n matches the usual splitter's ceil only at .5; use ceil like it.
     cut = F.ceil(F.col("_n") * F.lit(test_size))
     return (ranked.join(F.broadcast(counts), label)
             .withColumn("split", F.when(F.col("_pos") < cut, F.lit("val")).otherwise(F.lit("train")))
