@@ -55,10 +55,11 @@ def multi_view_join(entity: DataFrame, features: DataFrame, views, refs=None,
                     bucket: dt.timedelta = dt.timedelta(days=1)) -> DataFrame:
     """Several views over one source in a single pass; each view keeps its own TTL.
 
-    ``views``: FeatureView objects sharing a source and keys.  ``refs``:
-    optional {view_name: [field, ...]} from ``Registry.resolve``.  Views with
-    different sources are joined one after another (each pass preserves the
-    entity rows one to one, so no row id is needed).
+    ``features``: one DataFrame holding every view's rows, or
+    {view_name: DataFrame}.  Views over the same source (and keys) share one
+    pass; different sources are joined one after another (each pass keeps the
+    entity rows one to one, so no row id is needed).  ``refs``: optional
+    {view_name: [field, ...]} from ``Registry.resolve``.
     """
     by_source: dict = {}
     for v in views:
@@ -72,7 +73,7 @@ def multi_view_join(entity: DataFrame, features: DataFrame, views, refs=None,
                 field_ttl[f] = v.ttl
         if not field_ttl:
             continue
-        src = features if len(by_source) == 1 else features[source]
+        src = features[vs[0].name] if isinstance(features, dict) else features
         out = _asof(out, src, list(keys), field_ttl, entity_ts, source.timestamp_field, tiebreak, bucket, None)
     return out
 

@@ -86,3 +86,26 @@ def test_expire(spark):
                                  "driver_id string, lat double, event_ts timestamp_ntz")
     got = {r["driver_id"]: r["lat"] for r in lt.expire(snap, ts(60), dt.timedelta(minutes=5), ["lat"]).collect()}
     assert got == {"a": None, "b": 2.0}
+
+
+def test_multi_view_join_two_sources_and_refs(spark):
+    from fleetcast.specs import DRIVER, FeatureView, Registry, SourceSpec
+
+    loc = FeatureView("loc", (DRIVER,), (("lat", "double"),), SourceSpec("a", "event_ts"),
+                      ttl=dt.timedelta(minutes=5))
+    rate = FeatureView("rate", (DRIVER,), (("acc", "double"),), SourceSpec("b", "event_ts"),
+                       ttl=dt.timedelta(hours=1))
+    f1 = spark.createDataFrame([(1, "a", ts(0), 1.0), (2, "a", ts(30), 2.0)], FEAT_SCHEMA)
+    f2 = spark.createDataFrame([(1, "a", ts(0), 0.5)], "event_id long, driver_id string, event_ts timestamp_ntz, "
+                                                        "acc double")
+    ents = spark.createDataFrame([("e1", "a", ts(3)), ("e2", "a", ts(40)), ("e3", "a", ts(70))], ENT_SCHEMA)
+    refs = Registry().add(loc, rate).resolve(["loc:lat", "rate:acc"])
+    out = asof.multi_view_join(ents, {"loc": f1, "rate": f2}, [loc, rate], refs)
+    got = {r["row_id"]: (r["lat"], r["acc"]) for r in out.collect()}
+    assert got == {"e1": (1.0, 0.5), "e2": (None, 0.5), "e3": (None, None)}
+    import pytest
+    loc2 = FeatureView("loc2", (DRIVER,), (("lat", "double"),), SourceSpec("c", "event_ts"))
+    with pytest.raises(ValueError):   # the same output name from two views
+        Registry().add(loc, loc2).resolve(["loc:lat", "loc2:lat"])
+    with pytest.raises(KeyError):
+        Registry().add(loc, rate).resolve(["rate:lat"])
