@@ -216,9 +216,11 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
         # One row per unresolved request; its k-th score so far is a floor for
         # the next, coarser block, which contains this block.  One level at a
         # time: a coarser block pairs a request with up to 4x more drivers.
+        # Re-partitioning these few rows by request_id lets the next round's
+        # pairs reach the top-k window without an exchange of pairs.
         pending = ranked.where(~F.col("_done") & (F.col("rank") == 1)).select(
             "request_id", "rider_lat", "rider_lon", "_k", F.col("_kth").alias("_floor"), *carry,
-            (F.col("_p") - 1).alias("_p"))
+            (F.col("_p") - 1).alias("_p")).repartition(parts, "request_id")
         if pending.isEmpty():
             break
     drv.unpersist()
