@@ -44,15 +44,22 @@ def point_in_time_join(entity: DataFrame, features: DataFrame, keys, fields,
                        entity_ts: str = "event_timestamp", feature_ts: str = "event_ts",
                        ttl: dt.timedelta | None = None, tiebreak=("event_id",),
                        bucket: dt.timedelta = dt.timedelta(days=1),
-                       feature_ts_alias: str | None = None) -> DataFrame:
-    """J1 for one view; ``fields`` may be a list or {output_name: ttl} via ``ttls``."""
+                       feature_ts_alias: str | None = None,
+                       max_bucket_rows: int | None = 2_000_000) -> DataFrame:
+    """J1 for one view: ``fields`` of the newest feature row ``<= entity_ts`` within ``ttl``.
+
+    ``bucket`` is the default time bucket of the window; a key with more than
+    ``max_bucket_rows`` feature rows in one bucket gets proportionally narrower
+    buckets (None turns the check off).
+    """
     return _asof(entity, features, keys, {f: ttl for f in fields}, entity_ts, feature_ts,
-                 tiebreak, bucket, feature_ts_alias)
+                 tiebreak, bucket, feature_ts_alias, max_bucket_rows)
 
 
 def multi_view_join(entity: DataFrame, features: DataFrame, views, refs=None,
                     entity_ts: str = "event_timestamp", tiebreak=("event_id",),
-                    bucket: dt.timedelta = dt.timedelta(days=1)) -> DataFrame:
+                    bucket: dt.timedelta = dt.timedelta(days=1),
+                    max_bucket_rows: int | None = 2_000_000) -> DataFrame:
     """Several views over one source in a single pass; each view keeps its own TTL.
 
     ``features``: one DataFrame holding every view's rows, or
@@ -74,7 +81,8 @@ def multi_view_join(entity: DataFrame, features: DataFrame, views, refs=None,
         if not field_ttl:
             continue
         src = features[vs[0].name] if isinstance(features, dict) else features
-        out = _asof(out, src, list(keys), field_ttl, entity_ts, source.timestamp_field, tiebreak, bucket, None)
+        out = _asof(out, src, list(keys), field_ttl, entity_ts, source.timestamp_field, tiebreak, bucket, None,
+                    max_bucket_rows)
     return out
 
 
@@ -90,8 +98,31 @@ def on_demand_features(df: DataFrame, transforms: dict[str, Column]) -> DataFram
     return df.withColumns(transforms)
 
 
+def _bucket_widths(frows: DataFrame, keys, bucket_us: int, max_rows: int) -> DataFrame | None:
+    """Keys whose densest default bucket exceeds ``max_rows`` → a narrower width.
+
+    Width = default / 2^e with 2^e >= densest / max_rows, so a hot key's rows
+    spread over many buckets (tasks).  One partially aggregated count pass; the
+    result has at most (rows / max_rows) keys, a bound that makes it safe to
+    broadcast.  Returns None when no key is hot.
+    """
+    per = frows.groupBy(*keys, F.floor(F.unix_micros(F.col(_TS).cast("timestamp")) / F.lit(bucket_us))
+                        .alias("_b0")).agg(F.count(F.lit(1)).alias("_c"))
+    hot = per.where(F.col("_c") > max_rows).groupBy(*keys).agg(F.max("_c").alias("_m"))
+    e = F.ceil(F.log2(F.col("_m") / F.lit(float(max_rows)))).cast("int")
+    # Division by a power of two is exact in double precision.
+    widths = hot.select(*keys, F.greatest((F.lit(float(bucket_us)) / F.pow(F.lit(2.0), e)).cast("long"),
+                                          F.lit(1).cast("long")).alias("_w"))
+    widths = widths.persist()
+    if widths.isEmpty():
+        widths.unpersist()
+        return None
+    return widths
+
+
 def _asof(entity: DataFrame, features: DataFrame, keys, field_ttl: dict, entity_ts: str,
-          feature_ts: str, tiebreak, bucket: dt.timedelta, ts_alias: str | None) -> DataFrame:
+          feature_ts: str, tiebreak, bucket: dt.timedelta, ts_alias: str | None,
+          max_bucket_rows: int | None = 2_000_000) -> DataFrame:
     keys = list(keys)
     fields = list(field_ttl)
     tb = [c for c in tiebreak if c in features.columns]
@@ -120,7 +151,19 @@ def _asof(entity: DataFrame, features: DataFrame, keys, field_ttl: dict, entity_
         *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tb)], feat_struct.alias(_F))
     erows = ent.select(*[F.col(c) for c in ecols], F.col(entity_ts).cast("timestamp_ntz").alias(_TS),
                        F.lit(1).alias(_SIDE))
-    both = erows.unionByName(frows, allowMissingColumns=True).withColumn(_B, _bucket(F.col(_TS), bsec))
+    both = erows.unionByName(frows, allowMissingColumns=True)
+    widths = _bucket_widths(frows, keys, bsec * 1_000_000, max_bucket_rows) if max_bucket_rows else None
+    if widths is None:
+        both = both.withColumn(_B, _bucket(F.col(_TS), bsec))
+        fb = frows.withColumn(_B, _bucket(F.col(_TS), bsec))
+    else:
+        def per_key_bucket(df: DataFrame) -> DataFrame:
+            w = F.coalesce(F.col("_w"), F.lit(bsec * 1_000_000).cast("long"))
+            return (df.join(F.broadcast(widths), keys, "left")
+                    .withColumn(_B, F.floor(F.unix_micros(F.col(_TS).cast("timestamp")) / w).cast("long"))
+                    .drop("_w"))
+        both = per_key_bucket(both)
+        fb = per_key_bucket(frows)
 
     order = [F.col(_TS), F.col(_SIDE)] + [F.col(f"_tb{i}") for i in range(len(tb))]
     w = (Window.partitionBy(*keys, _B).orderBy(*order)
@@ -128,7 +171,7 @@ def _asof(entity: DataFrame, features: DataFrame, keys, field_ttl: dict, entity_
     inb = both.withColumn("_hit", F.last(F.col(_F), ignorenulls=True).over(w)).where(F.col(_SIDE) == 1)
 
     # Newest feature row of each earlier bucket, per key (small: keys x buckets).
-    last_in_bucket = frows.withColumn(_B, _bucket(F.col(_TS), bsec)).groupBy(*keys, _B).agg(
+    last_in_bucket = fb.groupBy(*keys, _B).agg(
         F.max_by(F.col(_F), F.struct(*order[:1], *order[2:])).alias("_lastb"))
     need = inb.where(F.col("_hit").isNull()).select(*keys, _B).distinct()
     carry_in = (need.withColumn(_SIDE, F.lit(0)).withColumn("_lastb", F.lit(None).cast(

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from fleetcast.operators import asof
 from fleetcast.operators import latest as lt
 
@@ -109,3 +111,29 @@ def test_multi_view_join_two_sources_and_refs(spark):
         Registry().add(loc, loc2).resolve(["loc:lat", "loc2:lat"])
     with pytest.raises(KeyError):
         Registry().add(loc, rate).resolve(["rate:lat"])
+
+
+def test_pit_hot_key_gets_narrow_buckets(spark):
+    # Key "a" has ~300 rows per day; with max_bucket_rows=50 its days are split
+    # into 2^e sub-buckets.  Results must equal the unsplit plan and the naive answer.
+    import random
+    rnd = random.Random(11)
+    feats = [(i, "a", ts(rnd.randint(0, 1400)), float(i)) for i in range(600)]
+    feats += [(1000 + i, "b", ts(rnd.randint(0, 1400)), float(i)) for i in range(20)]
+    ents = [(f"e{j}", rnd.choice("ab"), ts(rnd.randint(0, 1500))) for j in range(150)]
+    f = spark.createDataFrame(feats, FEAT_SCHEMA)
+    e = spark.createDataFrame(ents, ENT_SCHEMA)
+    split = asof.point_in_time_join(e, f, ["driver_id"], ["lat"], max_bucket_rows=50)
+    whole = asof.point_in_time_join(e, f, ["driver_id"], ["lat"], max_bucket_rows=None)
+    got = {r["row_id"]: r["lat"] for r in split.collect()}
+    assert got == {r["row_id"]: r["lat"] for r in whole.collect()}
+    for rid, key, t in ents:
+        cands = [(ft, fid, v) for fid, k, ft, v in feats if k == key and ft <= t]
+        assert got[rid] == (max(cands)[2] if cands else None)
+    widths = asof._bucket_widths(
+        f.select("driver_id", F.col("event_ts").alias(asof._TS)), ["driver_id"], 86400 * 10**6, 50).collect()
+    import math
+    from collections import Counter
+    densest = max(Counter(t.date() for _, k, t, _ in feats if k == "a").values())
+    e = math.ceil(math.log2(densest / 50))
+    assert [(r["driver_id"], r["_w"]) for r in widths] == [("a", 86400 * 10**6 // 2 ** e)]
