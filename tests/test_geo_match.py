@@ -94,3 +94,20 @@ def test_nested_response_keeps_empty_requests(spark):
     rows = {r["request_id"]: r["matches"] for r in mt.keep_empty_requests(reqs, mt.nest_matches(flat)).collect()}
     assert [m["driver_id"] for m in rows["q1"]] == ["a", "b"]
     assert rows["q2"] == []
+
+
+def test_grid_top_k_with_colocated_drivers(spark):
+    # 400 drivers on one exact spot plus a few elsewhere; ties in static score too.
+    rnd = random.Random(5)
+    drivers = [(f"h{i:03d}", 40.75, -73.98, 0.5 + (i % 5) / 10, 500.0) for i in range(400)]
+    drivers += [(f"o{i}", 40.7 + rnd.uniform(-0.05, 0.05), -74.0 + rnd.uniform(-0.05, 0.05),
+                 rnd.uniform(0.5, 0.99), 800.0) for i in range(30)]
+    requests = [(f"q{j}", 40.75 + rnd.uniform(-0.05, 0.05), -73.98 + rnd.uniform(-0.05, 0.05),
+                 rnd.randint(1, 9)) for j in range(60)]
+    ddf = spark.createDataFrame(drivers, "driver_id string, lat double, lon double, accept_rate_7d double, "
+                                         "avg_response_ms double")
+    rdf = spark.createDataFrame(requests, "request_id string, rider_lat double, rider_lon double, top_k int")
+    got = {}
+    for r in mt.match_top_k(rdf, ddf, FIXTURE_RANKER).orderBy("request_id", "rank").collect():
+        got.setdefault(r["request_id"], []).append(r["driver_id"])
+    assert got == brute_force(requests, drivers, FIXTURE_RANKER)
