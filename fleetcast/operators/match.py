@@ -64,7 +64,7 @@ class GridPlan:
     p_start: int                 # finest grid exponent p: cell = 360 / 2**p degrees
     n_drivers: int
     max_static: float            # max over drivers of the distance-free logit part
-    broadcast_drivers: bool
+    broadcast_rows: int          # bound on broadcast rows (drivers x levels in use)
     bbox: tuple = (0.0, 0.0, 0.0, 0.0)   # drivers' lat min/max, lon min/max
     reach_km: float = 0.0        # radius holding k drivers + score slack
 
@@ -84,7 +84,7 @@ def _cells(lat: Column, lon: Column, p: Column) -> tuple[Column, Column]:
 
 
 def plan_grid(drivers: DataFrame, max_top_k: int, w_distance: float, per_block: int = 4,
-              max_cell_rows: int | None = None, broadcast_rows: int = 2_000_000,
+              max_cell_rows: int | None = None, broadcast_rows: int = 1_000_000,
               finest_p: int = 26) -> GridPlan:
     """Size the grid from the driver snapshot (two small aggregates).
 
@@ -99,7 +99,7 @@ def plan_grid(drivers: DataFrame, max_top_k: int, w_distance: float, per_block:
                      F.min("lon").alias("o0"), F.max("lon").alias("o1")).first()
     n = int(st["n"])
     if n == 0:
-        return GridPlan(1, 0, 0.0, True)
+        return GridPlan(1, 0, 0.0, broadcast_rows)
     lat_span = max(st["a1"] - st["a0"], 1e-3)
     lon_span = max(st["o1"] - st["o0"], 1e-3)
     coslat = max(math.cos(math.radians(max(abs(st["a0"]), abs(st["a1"])))), 1e-3)
@@ -117,7 +117,7 @@ def plan_grid(drivers: DataFrame, max_top_k: int, w_distance: float, per_block:
            .groupBy("_p").agg(F.max("count").alias("m")).collect())
     dense = {r["_p"]: r["m"] for r in occ}
     p_start = next((p for p in cands if dense.get(p, 0) <= cap), cands[-1])
-    return GridPlan(p_start, n, float(st["g"]), n <= broadcast_rows,
+    return GridPlan(p_start, n, float(st["g"]), broadcast_rows,
                     (st["a0"], st["a1"], st["o0"], st["o1"]), r_k + slack)
 
 
@@ -213,7 +213,10 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
     while True:
         # The levels in use this round: at most ``p_start`` small integers.
         levels = sorted(r[0] for r in pending.select("_p").distinct().collect())
-        ranked = _rank_level(pending, drv, ranker, levels, max_top_k, plan.broadcast_drivers, feats, carry)
+        # Broadcast the driver side only when its counted size (drivers x levels
+        # in use) is under the bound; otherwise shuffle-join on the cell key.
+        small = plan.n_drivers * len(levels) <= plan.broadcast_rows
+        ranked = _rank_level(pending, drv, ranker, levels, max_top_k, small, feats, carry)
         margin = _block_margin_km(F.col("rider_lat"), F.col("rider_lon"), F.col("_p"))
         bound = sigmoid(F.lit(bound_logit_max) + F.lit(w_d) * margin + F.lit(1e-9))
         done = (F.col("_p") <= 1) | ((F.col("_cnt") >= F.col("_k")) & (bound < F.col("_kth")))
@@ -244,8 +247,8 @@ def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, levels: list
     Requests are exploded to the 9 cell keys of their block and equi-joined to
     the drivers on (level, cell) — the drivers indexed once per level in use.
     It is a left join: a request with an empty block keeps one null row so it
-    stays pending.  The drivers are broadcast only when ``plan_grid`` counted
-    them below the broadcast bound; otherwise this is a shuffle join on the
+    stays pending.  The drivers are broadcast only when their counted rows
+    times the levels in use are below the bound; otherwise this is a shuffle join on the
     cell key, with AQE splitting hot cells.
     """
     p = F.col("_p")

@@ -111,3 +111,20 @@ def test_grid_top_k_with_colocated_drivers(spark):
     for r in mt.match_top_k(rdf, ddf, FIXTURE_RANKER).orderBy("request_id", "rank").collect():
         got.setdefault(r["request_id"], []).append(r["driver_id"])
     assert got == brute_force(requests, drivers, FIXTURE_RANKER)
+
+
+def test_grid_top_k_shuffle_join_path(spark):
+    # Force the non-broadcast plan (shuffle join on the cell key).
+    rnd = random.Random(3)
+    drivers = [(f"d{i}", 40.7 + rnd.uniform(-0.05, 0.05), -74 + rnd.uniform(-0.05, 0.05),
+                rnd.uniform(0.5, 1), 700.0) for i in range(200)]
+    reqs = [(f"q{j}", 40.7 + rnd.uniform(-0.2, 0.2), -74 + rnd.uniform(-0.2, 0.2), rnd.randint(1, 8))
+            for j in range(80)]
+    ddf = spark.createDataFrame(drivers, "driver_id string, lat double, lon double, accept_rate_7d double, "
+                                         "avg_response_ms double")
+    rdf = spark.createDataFrame(reqs, "request_id string, rider_lat double, rider_lon double, top_k int")
+    plan = mt.plan_grid(ddf.withColumn("_g", FIXTURE_RANKER.static_logit()), 8, -0.8, broadcast_rows=0)
+    got = {}
+    for r in mt.match_top_k(rdf, ddf, FIXTURE_RANKER, plan=plan).orderBy("request_id", "rank").collect():
+        got.setdefault(r["request_id"], []).append(r["driver_id"])
+    assert got == brute_force(reqs, drivers, FIXTURE_RANKER)
