@@ -21,22 +21,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
-def at_most(df: DataFrame, n: int) -> bool:
-    """True when ``df`` has at most ``n`` rows; reads at most n+1 rows."""
-    return df.limit(n + 1).count() <= n
-
-
-def broadcast_if_at_most(df: DataFrame, n: int) -> tuple[DataFrame, bool]:
-    """Broadcast hint behind a checked row bound; otherwise leave it to the planner."""
-    if at_most(df, n):
-        return F.broadcast(df), True
-    return df, False
-
-
-def struct_of(df: DataFrame, exclude: tuple[str, ...] = ()) -> Column:
-    return F.struct(*[F.col(c) for c in df.columns if c not in exclude])
-
-
 def with_group_index(df: DataFrame, order_cols: list, group_cols: list[str] | None = None,
                      name: str = "idx") -> DataFrame:
     """0-based position of each row in ``order_cols`` order, per group.

@@ -35,13 +35,3 @@ def unpack_point(arr, lat_name: str = "lat", lon_name: str = "lon") -> list[Colu
     ok = F.size(a) == 2
     return [F.when(ok, F.element_at(a, 1).cast("double")).alias(lat_name),
             F.when(ok, F.element_at(a, 2).cast("double")).alias(lon_name)]
-
-
-def lat_cell(lat, cell_deg: float) -> Column:
-    """Row index of a latitude band of ``cell_deg`` degrees (0 at the south pole)."""
-    return F.floor((_c(lat) + F.lit(90.0)) / F.lit(cell_deg)).cast("long")
-
-
-def lon_cell(lon, cell_deg: float, n_lon: int) -> Column:
-    """Column index of a longitude band; wraps at the antimeridian."""
-    return F.pmod(F.floor((_c(lon) + F.lit(180.0)) / F.lit(cell_deg)).cast("long"), F.lit(n_lon))

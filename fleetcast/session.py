@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -67,17 +65,3 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="fleetcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A unique path below the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/fleetcast-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)

@@ -43,6 +43,10 @@ def test_offline_write_read_prunes_and_round_trips(spark, tmp_dir):
     assert back.count() == want.count() > 0
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "event_ts" in plan
+    from fleetcast.specs import SourceSpec
+    via_spec = src.feature_source(spark, SourceSpec(path, "event_ts"), ["driver_id", "event_ts"],
+                                  start=dt.datetime(2024, 1, 3), end=dt.datetime(2024, 1, 5, 23, 59))
+    assert via_spec.count() == back.count()
 
 
 def test_stream_ingest_is_exactly_once(spark, tmp_dir):
