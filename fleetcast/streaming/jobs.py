@@ -106,19 +106,21 @@ def stream_online(lines: DataFrame, online_root: str, views, checkpoint: str, ke
 
 
 def stream_push(lines: DataFrame, offline_path: str, online_root: str, views, checkpoint: str,
-                keys=("driver_id",), available_now: bool = True, interval: str | None = None) -> StreamingQuery:
-    """Each micro-batch is pushed offline (append) and online (upsert), once."""
-    drivers = src.route_driver_events(src.decode_events(lines))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        marker = f"{offline_path}/_pushed/{batch_id}"
-        if _marker_exists(spark, marker):
-            return
-        store.push_features(batch, offline_path, online_root, views, list(keys), version=batch_id + 1)
-        _touch(spark, marker)
-    w = drivers.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _trigger(w, available_now, interval).start()
+                keys=("driver_id",), available_now: bool = True,
+                interval: str | None = None) -> list[StreamingQuery]:
+    """Fresh rows go offline (append) and online (upsert), each exactly once.
+
+    Two queries over the same stream: the offline append uses Spark's file
+    sink, whose commit log never repeats a batch; the online side is the
+    version-keyed upsert of ``stream_online``.  A failure between the two
+    writes therefore cannot duplicate offline rows on replay.
+    """
+    drivers = src.extract_partition_cols(src.route_driver_events(src.decode_events(lines)))
+    offline = drivers.writeStream.format("parquet").option("path", offline_path) \
+        .option("checkpointLocation", f"{checkpoint}/offline").outputMode("append") \
+        .partitionBy("year", "month", "day")
+    return [_trigger(offline, available_now, interval).start(),
+            stream_online(lines, online_root, views, f"{checkpoint}/online", keys, available_now, interval)]
 
 
 # ---------------------------------------------------------------- T4 match

@@ -92,8 +92,10 @@ def test_stream_push_and_match(spark, tmp_dir):
     ev = _events(spark)
     _write_lines(fx.driver_events_json(ev), f"{tmp_dir}/in", parts=2)
     lines = src.read_events_stream(spark, path=f"{tmp_dir}/in", max_per_trigger=1)
-    jobs.stream_push(lines, f"{tmp_dir}/off", f"{tmp_dir}/online", [DRIVER_STATUS, DRIVER_AGG],
-                     f"{tmp_dir}/ck").awaitTermination()
+    for _ in range(2):   # a rerun with the same checkpoint pushes nothing twice
+        for q in jobs.stream_push(lines, f"{tmp_dir}/off", f"{tmp_dir}/online", [DRIVER_STATUS, DRIVER_AGG],
+                                  f"{tmp_dir}/ck"):
+            q.awaitTermination()
     drivers = src.route_driver_events(src.decode_events(fx.driver_events_json(ev)))
     assert spark.read.parquet(f"{tmp_dir}/off").count() == drivers.count()
     # requests stream scored against the pushed snapshot
