@@ -210,9 +210,9 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
                .repartition(parts, "request_id"))
     results = []
     bound_logit_max = float(ranker.intercept) + plan.max_static
+    # The levels in use this round: at most ``p_start`` small integers.
+    levels = sorted(r[0] for r in pending.select("_p").distinct().collect())
     while True:
-        # The levels in use this round: at most ``p_start`` small integers.
-        levels = sorted(r[0] for r in pending.select("_p").distinct().collect())
         # Broadcast the driver side only when its counted size (drivers x levels
         # in use) is under the bound; otherwise shuffle-join on the cell key.
         small = plan.n_drivers * len(levels) <= plan.broadcast_rows
@@ -231,7 +231,10 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
         pending = ranked.where(~F.col("_done") & (F.col("rank") == 1)).select(
             "request_id", "rider_lat", "rider_lon", "_k", F.col("_kth").alias("_floor"), *carry,
             (F.col("_p") - 1).alias("_p")).repartition(parts, "request_id")
-        if pending.isEmpty():
+        # One small job answers both "anything left?" and "which levels next?".
+        levels = sorted(r[0] for r in ranked.where(~F.col("_done") & (F.col("rank") == 1))
+                        .select((F.col("_p") - 1).alias("_p")).distinct().collect())
+        if not levels:
             break
     drv.unpersist()
     out = results[0]
