@@ -686,3 +686,81 @@ def q_dedupe_events(spark, sf_dir):
     lines = fx.driver_events_json(events(spark, sf_dir))
     replay = lines.unionByName(lines)
     return _dedupe(src.route_driver_events(src.decode_events(replay)), keys=("driver_id", "event_ts", "event_id"))
+
+
+# ------------------------------------------------------------ S6-S9, S11, T1, T2, T5 written and read back
+# These write to a fresh folder below the shared checkpoint dir and return what
+# a reader sees, so sinks and streaming jobs are checked against the oracle too.
+
+from fleetcast.session import scratch_path  # noqa: E402
+from fleetcast.sources import online_store as store  # noqa: E402
+from fleetcast.specs import SourceSpec  # noqa: E402
+from fleetcast.streaming import jobs as sj  # noqa: E402
+
+_OFFLINE_RANGE_SQL = with_fixtures(f"""
+, a AS (SELECT min(event_ts) AS lo FROM fx_driver_events WHERE {_CLEAN})
+SELECT driver_id, event_ts, lat, lon, accept_rate_7d, avg_response_ms FROM fx_driver_events, a
+WHERE {_CLEAN} AND event_ts BETWEEN a.lo + INTERVAL 3 DAY AND a.lo + INTERVAL 6 DAY""")
+
+
+@register("offline_round_trip", _OFFLINE_RANGE_SQL)
+def q_offline_round_trip(spark, sf_dir):
+    """S6 write (date partitions) → S8/S7 read with a time range (filter + partition pruning)."""
+    drivers = src.route_driver_events(src.decode_events(fx.driver_events_json(events(spark, sf_dir))))
+    path = scratch_path(spark, "offline")
+    src.write_driver_events(drivers, path)
+    lo = drivers.agg(F.min("event_ts")).first()[0]
+    rows = src.feature_source(spark, SourceSpec(path, "event_ts"),
+                              ["driver_id", "event_ts", "lat", "lon", "accept_rate_7d", "avg_response_ms"],
+                              lo + _dt.timedelta(days=3), lo + _dt.timedelta(days=6))
+    return rows
+
+
+@register("online_upsert", with_fixtures(f"""
+SELECT driver_id, accept_rate_7d, avg_response_ms, event_ts FROM ({LATEST_DRIVER_SQL}) s"""))
+def q_online_upsert(spark, sf_dir):
+    """S9 + T7: newer half committed first, the late older half second; read the newest version."""
+    feats = fx.driver_events(events(spark, sf_dir))
+    b = feats.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")).first()
+    mid = b["lo"] + (b["hi"] - b["lo"]) / 2
+    root = scratch_path(spark, "online")
+    for part in (feats.where(F.col("event_ts") > F.lit(mid)), feats.where(F.col("event_ts") <= F.lit(mid))):
+        store.upsert_online(lt.materialize(part, DRIVER_AGG), root, DRIVER_AGG.name, ["driver_id"])
+    return store.read_online(spark, root, DRIVER_AGG.name)
+
+
+def _topic_files(spark, lines: DataFrame, files: int) -> str:
+    """Write topic lines as ``files`` text files (each becomes one micro-batch)."""
+    path = scratch_path(spark, "topic")
+    lines.repartition(files).write.text(path)
+    return path
+
+
+@register("stream_ingest_offline", with_fixtures(f"""
+SELECT event_id, driver_id, event_ts, lat, lon, status, accept_rate_7d, avg_response_ms,
+       CAST(year(event_ts) AS INTEGER) AS year, CAST(month(event_ts) AS INTEGER) AS month,
+       CAST(day(event_ts) AS INTEGER) AS day
+FROM fx_driver_events WHERE {_CLEAN}"""))
+def q_stream_ingest_offline(spark, sf_dir):
+    """The topic streamed in micro-batches (availableNow) into the partitioned table, read back."""
+    topic = _topic_files(spark, fx.topic_lines(events(spark, sf_dir)), 4)
+    out = scratch_path(spark, "ingest")
+    lines = src.read_events_stream(spark, path=topic, max_per_trigger=1)
+    for q in sj.stream_ingest(spark, lines, f"{out}/drivers", f"{out}/riders", f"{out}/rejects", f"{out}/ck"):
+        q.awaitTermination()
+    return spark.read.parquet(f"{out}/drivers").select(
+        "event_id", "driver_id", "event_ts", "lat", "lon", "status", "accept_rate_7d", "avg_response_ms",
+        "year", "month", "day")
+
+
+@register("stream_online_snapshot", with_fixtures(f"""
+SELECT driver_id, lat, lon, status, event_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY event_ts DESC, event_id DESC) AS rn_
+  FROM fx_driver_events WHERE {_CLEAN}) s WHERE rn_ = 1"""))
+def q_stream_online_snapshot(spark, sf_dir):
+    """The online snapshot kept fresh by a stream of micro-batches equals the batch latest rows."""
+    topic = _topic_files(spark, fx.driver_events_json(events(spark, sf_dir)), 4)
+    root = scratch_path(spark, "online-stream")
+    lines = src.read_events_stream(spark, path=topic, max_per_trigger=1)
+    sj.stream_online(lines, root, [DRIVER_STATUS], f"{root}/_ck").awaitTermination()
+    return store.read_online(spark, root, DRIVER_STATUS.name)

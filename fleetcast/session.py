@@ -65,3 +65,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="fleetcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared checkpoint folder, for tables a job writes and reads back."""
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/fleetcast-{name}-{uuid.uuid4().hex[:12]}"
