@@ -7,17 +7,34 @@ sides before comparison, since JVM and C math may differ in the last bit.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetcast.functions.hashing import sql_seeded_hash32, sql_seeded_md5
 from fleetcast.functions.scoring import FIXTURE_RANKER
+from fleetcast.operators import asof
+from fleetcast.operators import drift as dr
+from fleetcast.operators import latest as lt
+from fleetcast.operators import match as mt
+from fleetcast.operators import metrics as mx
+from fleetcast.operators import model as md
+from fleetcast.operators import quality as qa
+from fleetcast.operators import training as tr
 from fleetcast.operators.latest import latest_per_key
 from fleetcast.operators.match import match_drivers
 from fleetcast.plans import fixtures as fx
 from fleetcast.plans.fixtures import with_fixtures
 from fleetcast.plans.sqltext import LATEST_DRIVER_SQL, haversine_sql, score_sql
+from fleetcast.session import scratch_path
+from fleetcast.sources import events as src
+from fleetcast.sources import online_store as store
+from fleetcast.specs import (DRIVER_AGG, DRIVER_STATUS, MATCH_FEATURES, FeatureView, SourceSpec,
+                             default_registry)
+from fleetcast.streaming import jobs as sj
+from fleetcast.streaming.jobs import dedupe_events as _dedupe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,7 +107,6 @@ def q_match_drivers(spark, sf_dir):
 
 # ------------------------------------------------------------ S4/S5/S12/P1-P5 ingest
 
-from fleetcast.sources import events as src  # noqa: E402
 
 _CLEAN = "NOT (event_id % 29 = 0 OR event_id % 31 = 0 OR event_id % 23 = 0)"
 
@@ -137,12 +153,6 @@ def q_extract_partition_cols(spark, sf_dir):
 
 # ------------------------------------------------------------ J1-J3 point in time
 
-import datetime as _dt  # noqa: E402
-
-from fleetcast.operators import asof  # noqa: E402
-from fleetcast.operators import latest as lt  # noqa: E402
-from fleetcast.specs import DRIVER_AGG, DRIVER_STATUS, MATCH_FEATURES, default_registry  # noqa: E402
-
 
 def _pit_sql(fields: dict[str, int | None]) -> str:
     cols = []
@@ -276,9 +286,6 @@ def q_online_coverage(spark, sf_dir):
 
 # ------------------------------------------------------------ Q2 training set, J7, A5, P18, A11
 
-from fleetcast.functions.hashing import sql_seeded_hash32, sql_seeded_md5  # noqa: E402
-from fleetcast.operators import quality as qa  # noqa: E402
-from fleetcast.operators import training as tr  # noqa: E402
 
 _TRAINING_CTES = f"""
 , located AS (SELECT driver_id, lat, lon, accept_rate_7d, avg_response_ms FROM ({LATEST_DRIVER_SQL}) s
@@ -343,9 +350,6 @@ def q_stratified_split(spark, sf_dir):
     return tr.stratified_split(_training(spark, sf_dir)).select("request_id", "driver_id", "label", "split")
 
 
-_MED = "quantile_cont({c}, 0.5) FILTER (WHERE {c} IS NOT NULL)"
-
-
 @register("impute_median", with_fixtures(_TRAINING_CTES + f"""
 , med AS (SELECT quantile_cont(accept_rate_7d, 0.5) AS ma, quantile_cont(avg_response_ms, 0.5) AS mr
           FROM split_ WHERE split = 'train')
@@ -404,8 +408,6 @@ def q_non_null_counts(spark, sf_dir):
 
 # ------------------------------------------------------------ P16, K2, K3 request / response shapes
 
-from fleetcast.operators import match as mt  # noqa: E402
-
 
 @register("rejected_requests", with_fixtures("""
 SELECT request_id, CAST(coalesce(top_k, 5) AS INTEGER) AS top_k,
@@ -428,12 +430,9 @@ def q_match_response(spark, sf_dir):
 
 # ------------------------------------------------------------ M3-M8, Q3 model
 
-from fleetcast.operators import model as md  # noqa: E402
-from fleetcast.plans.sqltext import score_sql as _score_sql  # noqa: E402
-
 
 @register("score", with_fixtures(_TRAINING_CTES + f"""
-, s_ AS (SELECT request_id, driver_id, {_score_sql(FIXTURE_RANKER, {})} AS score FROM ts_)
+, s_ AS (SELECT request_id, driver_id, {score_sql(FIXTURE_RANKER, {})} AS score FROM ts_)
 SELECT request_id, driver_id, round(score, 9) AS score, CAST(score > 0.5 AS INTEGER) AS predicted FROM s_"""))
 def q_score(spark, sf_dir):
     s = md.score_rows(_training(spark, sf_dir), FIXTURE_RANKER)
@@ -445,7 +444,7 @@ _P = f"greatest(least(score, 1 - {_EPS}), {_EPS})"
 
 
 @register("evaluate_ranker", with_fixtures(_TRAINING_CTES + f"""
-, s_ AS (SELECT label, {_score_sql(FIXTURE_RANKER, {})} AS score FROM ts_)
+, s_ AS (SELECT label, {score_sql(FIXTURE_RANKER, {})} AS score FROM ts_)
 , r_ AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS ar
          FROM s_)
 , c_ AS (SELECT CAST(sum(label) AS DOUBLE) AS p, CAST(count(*) - sum(label) AS DOUBLE) AS n,
@@ -472,10 +471,6 @@ def q_train_ranker(spark, sf_dir):
 
 # ------------------------------------------------------------ A12-A18, Q6 monitoring
 
-from fleetcast.operators import metrics as mx  # noqa: E402
-
-_LAT_BOUNDS = ", ".join(f"({b!r})" for b in (*mx.LATENCY_BOUNDS, "inf"))
-
 
 def _calls(spark, sf_dir) -> DataFrame:
     return fx.calls(events(spark, sf_dir))
@@ -579,7 +574,6 @@ def q_score_histogram(spark, sf_dir):
 
 # ------------------------------------------------------------ A14/A15 drift
 
-from fleetcast.operators import drift as dr  # noqa: E402
 
 # Baseline p95 per feature from the reference's stored statistics.
 BASELINE_P95 = {"distance_km": 6.917964599408996, "accept_rate_7d": 0.93, "avg_response_ms": 1426.0}
@@ -625,9 +619,6 @@ def q_drift_status(spark, sf_dir):
 
 # ------------------------------------------------------------ P6-P9, P12, P15, T7, T8
 
-from fleetcast.specs import FeatureView  # noqa: E402
-from fleetcast.streaming.jobs import dedupe_events as _dedupe  # noqa: E402
-
 
 @register("entity_rows", with_fixtures("""
 , a AS (SELECT max(event_ts) AS t FROM fx_driver_events)
@@ -692,10 +683,6 @@ def q_dedupe_events(spark, sf_dir):
 # These write to a fresh folder below the shared checkpoint dir and return what
 # a reader sees, so sinks and streaming jobs are checked against the oracle too.
 
-from fleetcast.session import scratch_path  # noqa: E402
-from fleetcast.sources import online_store as store  # noqa: E402
-from fleetcast.specs import SourceSpec  # noqa: E402
-from fleetcast.streaming import jobs as sj  # noqa: E402
 
 _OFFLINE_RANGE_SQL = with_fixtures(f"""
 , a AS (SELECT min(event_ts) AS lo FROM fx_driver_events WHERE {_CLEAN})
