@@ -106,6 +106,8 @@ def _bucket_widths(frows: DataFrame, keys, bucket_us: int, max_rows: int) -> Dat
     result has at most (rows / max_rows) keys, a bound that makes it safe to
     broadcast.  Returns None when no key is hot.
     """
+    if frows.limit(max_rows + 1).count() <= max_rows:
+        return None   # no key can exceed the bound; reads at most max_rows + 1 rows
     per = frows.groupBy(*keys, F.floor(F.unix_micros(F.col(_TS).cast("timestamp")) / F.lit(bucket_us))
                         .alias("_b0")).agg(F.count(F.lit(1)).alias("_c"))
     hot = per.where(F.col("_c") > max_rows).groupBy(*keys).agg(F.max("_c").alias("_m"))
