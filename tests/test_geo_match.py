@@ -128,3 +128,14 @@ def test_grid_top_k_shuffle_join_path(spark):
     for r in mt.match_top_k(rdf, ddf, FIXTURE_RANKER, plan=plan).orderBy("request_id", "rank").collect():
         got.setdefault(r["request_id"], []).append(r["driver_id"])
     assert got == brute_force(reqs, drivers, FIXTURE_RANKER)
+
+
+def test_grid_top_k_empty_inputs(spark):
+    dschema = "driver_id string, lat double, lon double, accept_rate_7d double, avg_response_ms double"
+    rschema = "request_id string, rider_lat double, rider_lon double, top_k int"
+    d = spark.createDataFrame([("d1", 40.7, -74.0, 0.9, 300.0), ("d2", 40.71, -74.0, 0.8, 400.0)], dschema)
+    r = spark.createDataFrame([("q1", 40.7, -74.0, 5)], rschema)
+    assert mt.match_top_k(spark.createDataFrame([], rschema), d, FIXTURE_RANKER).count() == 0
+    assert mt.match_top_k(r, spark.createDataFrame([], dschema), FIXTURE_RANKER).count() == 0
+    # fewer drivers than requested: every driver, ranked
+    assert [x["driver_id"] for x in mt.match_top_k(r, d, FIXTURE_RANKER).orderBy("rank").collect()] == ["d1", "d2"]
