@@ -23,7 +23,8 @@ HEADLINE = [
     "multi_view_join",        # J2: point-in-time join, two TTLs
     "training_set",           # Q2
     "drift_score",            # A14 over match observations
-    "materialize",            # Q4 / A2
+    "materialize",            # A2
+    "materialize_features",   # Q4: materialize → upsert online → lookup → coverage
     "decode_events",          # Q5 batch ingest: decode + route
     "online_lookup",          # J4
     "latency_p95_daily",      # A12 + A18

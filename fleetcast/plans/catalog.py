@@ -751,3 +751,30 @@ def q_stream_online_snapshot(spark, sf_dir):
     lines = src.read_events_stream(spark, path=topic, max_per_trigger=1)
     sj.stream_online(lines, root, [DRIVER_STATUS], f"{root}/_ck").awaitTermination()
     return store.read_online(spark, root, DRIVER_STATUS.name)
+
+
+@register("materialize_features", with_fixtures(f"""
+, a AS (SELECT max(event_ts) AS t FROM fx_driver_events)
+, k AS ({_DRIVER_KEYS_SQL})
+, w AS (SELECT f.* FROM fx_driver_events f, a WHERE f.event_ts BETWEEN a.t - INTERVAL 1 DAY AND a.t)
+, s AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY event_ts DESC, event_id DESC) AS rn_
+                       FROM w) x WHERE rn_ = 1)
+SELECT k.driver_id,
+  ((s.event_ts >= a.t - INTERVAL 300 SECOND AND coalesce(CAST(s.lat AS VARCHAR), CAST(s.lon AS VARCHAR),
+                                                          s.status) IS NOT NULL)
+   OR (s.event_ts >= a.t - INTERVAL 3600 SECOND AND coalesce(CAST(s.accept_rate_7d AS VARCHAR),
+                                                             CAST(s.avg_response_ms AS VARCHAR)) IS NOT NULL))
+  IS TRUE AS has_features
+FROM k CROSS JOIN a LEFT JOIN s ON k.driver_id = s.driver_id"""))
+def q_materialize_features(spark, sf_dir):
+    """Q4: A2 (last day, latest per key) → S9 upsert per view → J4 lookup with A4 expiry → A10 coverage."""
+    ev = events(spark, sf_dir)
+    feats = fx.driver_events(ev)
+    end = _max_ts(feats, "event_ts")
+    root = scratch_path(spark, "materialized")
+    views = (DRIVER_STATUS, DRIVER_AGG)
+    for v in views:
+        store.upsert_online(lt.materialize(feats, v, end - _dt.timedelta(days=1), end), root, v.name, ["driver_id"])
+    snaps = [(store.read_online(spark, root, v.name), v.field_names) for v in views]
+    looked = lt.online_lookup(_driver_keys(ev), snaps, ["driver_id"], end, [v.ttl for v in views])
+    return lt.online_coverage(looked, ["driver_id"], [f for v in views for f in v.field_names])
