@@ -76,10 +76,9 @@ def index_drivers(drivers: DataFrame, key: str = "driver_id") -> DataFrame:
 def sample_candidates(requests: DataFrame, drivers: DataFrame, k_col: str = "num_candidates",
                       seed: int = SEED, min_drivers: int = 5) -> DataFrame:
     """``k`` distinct drivers per request (k from the request row, at most n)."""
-    idx = index_drivers(drivers).persist()
+    idx = index_drivers(drivers)   # reads a checkpointed, numbered copy; cheap to re-read
     n = idx.count()
     if n < min_drivers:
-        idx.unpersist()
         raise ValueError(f"need at least {min_drivers} drivers to sample candidates, found {n}")
     k = F.least(F.col(k_col).cast("long"), F.lit(n))
     s = F.floor(F.lit(n) / k)

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetcast.functions.frames import cut_lineage
 from fleetcast.functions.hashing import sql_seeded_hash32, sql_seeded_md5
 from fleetcast.functions.scoring import FIXTURE_RANKER
 from fleetcast.operators import asof
@@ -356,7 +357,7 @@ def q_stratified_split(spark, sf_dir):
 SELECT request_id, driver_id, coalesce(accept_rate_7d, med.ma) AS accept_rate_7d,
        coalesce(avg_response_ms, med.mr) AS avg_response_ms FROM split_, med"""))
 def q_impute_median(spark, sf_dir):
-    ts = tr.stratified_split(_training(spark, sf_dir)).persist()
+    ts = cut_lineage(tr.stratified_split(_training(spark, sf_dir)))   # read twice: fit, then apply
     cols = ["accept_rate_7d", "avg_response_ms"]
     med = tr.fit_medians(ts.where(F.col("split") == "train"), cols)
     return tr.impute(ts, med).select("request_id", "driver_id", *cols)
