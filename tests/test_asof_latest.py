@@ -137,3 +137,29 @@ def test_pit_hot_key_gets_narrow_buckets(spark):
     densest = max(Counter(t.date() for _, k, t, _ in feats if k == "a").values())
     e = math.ceil(math.log2(densest / 50))
     assert [(r["driver_id"], r["_w"]) for r in widths] == [("a", 86400 * 10**6 // 2 ** e)]
+
+
+def test_pit_property_random(spark):
+    """Property: one output row per entity row, equal to the naive newest-row-within-TTL answer."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    feat_rows = st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 600)), min_size=0, max_size=25)
+    ent_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(-10, 650)),
+                        min_size=1, max_size=15)
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(feat_rows, ent_rows, st.sampled_from([None, 5, 60]), st.sampled_from([30, 120, 1440]))
+    def check(frs, ers, ttl_min, bucket_min):
+        feats = [(i, k, ts(m), float(i)) for i, (k, m) in enumerate(frs)]
+        ents = [(f"e{j}", k, ts(m)) for j, (k, m) in enumerate(ers)]
+        ttl = dt.timedelta(minutes=ttl_min) if ttl_min else None
+        got, n = run(spark, feats, ents, ttl, bucket=dt.timedelta(minutes=bucket_min))
+        assert n == len(ents)
+        for rid, key, t in ents:
+            cands = [(ft, fid, v) for fid, k, ft, v in feats if key is not None and k == key and ft <= t]
+            best = max(cands) if cands else None
+            fresh = best is not None and (ttl is None or best[0] >= t - ttl)
+            assert got[rid] == (best[2] if fresh else None), (rid, key, t)
+
+    check()
