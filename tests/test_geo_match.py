@@ -139,3 +139,32 @@ def test_grid_top_k_empty_inputs(spark):
     assert mt.match_top_k(r, spark.createDataFrame([], dschema), FIXTURE_RANKER).count() == 0
     # fewer drivers than requested: every driver, ranked
     assert [x["driver_id"] for x in mt.match_top_k(r, d, FIXTURE_RANKER).orderBy("rank").collect()] == ["d1", "d2"]
+
+
+def test_block_margin_is_a_lower_bound(spark):
+    """Every point outside a request's 3x3 block is at least the margin away (poles, antimeridian included)."""
+    n = 200_000
+    lvl = (F.lit(2) + (F.rand(1) * 18).cast("int"))
+    df = spark.range(n).select(
+        lvl.alias("p"),
+        (F.rand(2) * 180 - 90).alias("rlat"), (F.rand(3) * 360 - 180).alias("rlon"))
+    # points near the request (scaled by the cell size) and anywhere on the globe
+    cell = F.lit(360.0) / F.pow(F.lit(2.0), F.col("p").cast("double"))
+    near = F.rand(4) < 0.7
+    df = df.select("*",
+                   F.when(near, F.col("rlat") + (F.rand(5) * 8 - 4) * cell).otherwise(F.rand(6) * 180 - 90)
+                   .alias("plat0"),
+                   F.when(near, F.col("rlon") + (F.rand(7) * 8 - 4) * cell).otherwise(F.rand(8) * 360 - 180)
+                   .alias("plon0"))
+    df = df.select("*", F.greatest(F.least(F.col("plat0"), F.lit(90.0)), F.lit(-90.0)).alias("plat"),
+                   (F.pmod(F.col("plon0") + 180, F.lit(360.0)) - 180).alias("plon"))
+    rcy, rcx = mt._cells(F.col("rlat"), F.col("rlon"), F.col("p"))
+    pcy, pcx = mt._cells(F.col("plat"), F.col("plon"), F.col("p"))
+    n_lon = F.pow(F.lit(2.0), F.col("p").cast("double")).cast("long")
+    dx = F.pmod(pcx - rcx, n_lon)
+    outside = (F.abs(pcy - rcy) > 1) | ((dx > 1) & (dx < n_lon - 1))
+    margin = mt._block_margin_km(F.col("rlat"), F.col("rlon"), F.col("p"))
+    d = haversine_km("rlat", "rlon", "plat", "plon")
+    bad = df.where(outside & (d < margin)).count()
+    checked = df.where(outside).count()
+    assert checked > 50_000 and bad == 0
