@@ -168,3 +168,22 @@ def test_block_margin_is_a_lower_bound(spark):
     bad = df.where(outside & (d < margin)).count()
     checked = df.where(outside).count()
     assert checked > 50_000 and bad == 0
+
+
+def test_grid_top_k_antimeridian_and_pole(spark):
+    rnd = random.Random(21)
+    drivers = [(f"w{i}", rnd.uniform(-0.5, 0.5), 179.6 + rnd.uniform(0, 0.4), rnd.uniform(0.5, 1), 600.0)
+               for i in range(40)]
+    drivers += [(f"e{i}", rnd.uniform(-0.5, 0.5), -180 + rnd.uniform(0, 0.4), rnd.uniform(0.5, 1), 600.0)
+                for i in range(40)]
+    drivers += [(f"n{i}", 89.5 + rnd.uniform(0, 0.49), rnd.uniform(-180, 180), rnd.uniform(0.5, 1), 600.0)
+                for i in range(40)]
+    requests = [(f"a{j}", rnd.uniform(-0.3, 0.3), rnd.choice([179.9, -179.9]), rnd.randint(1, 6)) for j in range(30)]
+    requests += [(f"p{j}", 89.8, rnd.uniform(-180, 180), rnd.randint(1, 6)) for j in range(20)]
+    ddf = spark.createDataFrame(drivers, "driver_id string, lat double, lon double, accept_rate_7d double, "
+                                         "avg_response_ms double")
+    rdf = spark.createDataFrame(requests, "request_id string, rider_lat double, rider_lon double, top_k int")
+    got = {}
+    for r in mt.match_top_k(rdf, ddf, FIXTURE_RANKER).orderBy("request_id", "rank").collect():
+        got.setdefault(r["request_id"], []).append(r["driver_id"])
+    assert got == brute_force(requests, drivers, FIXTURE_RANKER)
