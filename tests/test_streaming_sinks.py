@@ -169,3 +169,18 @@ def test_dedupe_and_model_persistence(spark, tmp_dir):
                                   "p95 double, min double, max double")
     store.write_stats(stats, f"{tmp_dir}/stats")
     assert store.read_stats(spark, f"{tmp_dir}/stats").first()["p95"] == 2.0
+
+
+def test_decode_fail_fast_and_permissive(spark):
+    import pytest
+    good = '{"event_type":"driver_update","driver_id":"d1","lat":1.0,"lon":2.0,"timestamp":"2024-01-01T00:00:00Z"}'
+    lines = spark.createDataFrame([(good,), ("not json",), ("",)], "value string")
+    with pytest.raises(Exception):
+        src.decode_events(lines, on_bad="fail").collect()
+    dec = src.decode_events(lines)
+    errors = sorted((r["_error"] or "ok") for r in dec.select("_error").collect())
+    assert errors == ["empty", "malformed_json", "ok"]
+    row = src.route_driver_events(dec).first()
+    assert row["event_ts"] == dt.datetime(2024, 1, 1) and row["driver_id"] == "d1"
+    bad_ts = spark.createDataFrame([(good.replace("2024-01-01T00:00:00Z", "yesterday"),)], "value string")
+    assert src.decode_events(bad_ts).first()["_error"] == "bad_timestamp"
