@@ -184,3 +184,19 @@ def test_decode_fail_fast_and_permissive(spark):
     assert row["event_ts"] == dt.datetime(2024, 1, 1) and row["driver_id"] == "d1"
     bad_ts = spark.createDataFrame([(good.replace("2024-01-01T00:00:00Z", "yesterday"),)], "value string")
     assert src.decode_events(bad_ts).first()["_error"] == "bad_timestamp"
+
+
+def test_online_upsert_versions_are_idempotent(spark, tmp_dir):
+    schema = "driver_id string, lat double, event_ts timestamp_ntz"
+    a = spark.createDataFrame([("d1", 1.0, dt.datetime(2024, 1, 1, 10)), ("d2", 2.0, dt.datetime(2024, 1, 1, 10))], schema)
+    b = spark.createDataFrame([("d1", 9.0, dt.datetime(2024, 1, 1, 9)), ("d3", 3.0, dt.datetime(2024, 1, 1, 11))], schema)
+    root = f"{tmp_dir}/online"
+    assert store.upsert_online(a, root, "v", ["driver_id"], version=1) == 1
+    assert store.upsert_online(b, root, "v", ["driver_id"], version=2) == 2
+    # a replayed batch with a committed version changes nothing
+    store.upsert_online(spark.createDataFrame([("d1", 0.0, dt.datetime(2024, 1, 2))], schema), root, "v",
+                        ["driver_id"], version=2)
+    got = {r["driver_id"]: r["lat"] for r in store.read_online(spark, root, "v").collect()}
+    assert got == {"d1": 1.0, "d2": 2.0, "d3": 3.0}   # d1's late, older row did not win
+    assert store.committed_versions(spark, root, "v") == [1, 2]
+    assert {r["driver_id"] for r in store.read_online(spark, root, "v", version=1).collect()} == {"d1", "d2"}
