@@ -97,3 +97,21 @@ def test_drift_matches_rolling_numpy(spark):
 def test_drift_status_thresholds(spark):
     df = spark.createDataFrame([(0.05,), (0.1,), (0.19,), (0.2,)], "drift double")
     assert [r["status"] for r in dr.drift_status(df).collect()] == ["green", "yellow", "yellow", "red"]
+
+
+def test_group_index_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min_size=1, max_size=200, unique=True),
+           st.integers(1, 9))
+    def check(rows, parts):
+        df = spark.createDataFrame(rows, "g int, v int").repartition(parts)
+        got = with_group_index(df, ["v"], ["g"], "i").collect()
+        for g in {r[0] for r in rows}:
+            mine = sorted((r["i"], r["v"]) for r in got if r["g"] == g)
+            assert [i for i, _ in mine] == list(range(len(mine)))
+            assert [v for _, v in mine] == sorted(v for gg, v in rows if gg == g)
+
+    check()
