@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetcast.llm import quality, substrings
+from fleetcast.llm import neardup, quality, substrings
 from fleetcast.session import scratch_path
 
 STAGES = [
     ("quality_rules", quality.stage),
+    ("near_dedup", neardup.stage),
     ("substring_dedup", substrings.stage),
 ]
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import quality, substrings
+from . import neardup, quality, substrings
 
 QUERIES = {
+    "op2_near_duplicates": neardup.op2_near_duplicates,
     "op4_quality_rules": quality.op4_quality_rules,
     "op6_substring_dedup": substrings.op6_substring_dedup,
 }
