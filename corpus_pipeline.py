@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetcast.llm import neardup, quality, substrings
+from fleetcast.llm import lines, neardup, packing, quality, substrings
 from fleetcast.session import scratch_path
 
 STAGES = [
     ("quality_rules", quality.stage),
+    ("line_dedup", lines.stage),
     ("near_dedup", neardup.stage),
     ("substring_dedup", substrings.stage),
+    ("packing", packing.stage),
 ]
 
 # The calibrated cutoffs, near-duplicate classes and packing are not SQL; tests hold a brute-force version.

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from .textarrays import Ranges, runs, slices, spread
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
+WORDS = 1 << 19  # distinct pre-tokens to remember
 LONG = 256  # units; longer pre-tokens are merged with a heap
 PAIR = 1 << 20
 BIG = 1 << 30
@@ -40,12 +41,17 @@ LOWER_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class IntMap:
     """Many lookups at once from non-negative integers to int32 (-1: absent)."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(len(keys)).bit_length() + 2)
+    def __init__(self, keys: np.ndarray, values: np.ndarray, room: int = 0):
+        """``room``: keys that will be put in all, if more are to come."""
+        bits = max(4, max(len(keys), room).bit_length() + 2)
         self._shift = np.uint64(64 - bits)
         self._keys = np.full(1 << bits, -1, np.int64)
         self._values = np.full(1 << bits, -1, np.int32)
         self._mask = (1 << bits) - 1
+        self.put(keys, values)
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Adds keys that are not there yet and differ from each other."""
         slot = self._slot(keys)
         while len(keys):
             free = self._keys[slot] == -1
@@ -82,7 +88,8 @@ _CLASSES: dict[str, np.ndarray] = {}
 
 
 def _all_characters() -> tuple[np.ndarray, str]:
-    points = np.concatenate((np.arange(0xD800), np.arange(0xE000, 0x110000)))
+    # Behind 0x34000 there are neither letters, numbers, white space nor capitals.
+    points = np.concatenate((np.arange(0xD800), np.arange(0xE000, 0x34000)))
     return points, points.astype("<u4").tobytes().decode("utf-32-le")
 
 
@@ -111,7 +118,7 @@ def lower_table() -> np.ndarray:
         points, text = _all_characters()
         low = np.frombuffer(Lowercase().normalize_str(text.replace("İ", "ı")).encode("utf-32-le"), "<u4")
         assert len(low) == len(points)
-        out = np.zeros(0x110000, np.uint32)
+        out = np.arange(0x110000, dtype=np.uint32)
         out[points] = low
         _CLASSES["lower"] = out
     return _CLASSES["lower"]
@@ -194,6 +201,7 @@ class Encoder:
         self.byte_size = size
         self.byte_start = np.concatenate(([0], np.cumsum(size)[:-1]))
         self.byte_pool = np.frombuffer(b"".join(raw), np.uint8)
+        self._known: IntMap | None = None
 
     def compatible(self, a: np.ndarray, b: np.ndarray, limit: np.ndarray | None = None) -> np.ndarray:
         """Whether neighbours a[i], b[i] stay apart when their bytes are merged.
@@ -303,19 +311,43 @@ class Encoder:
         return [s for s in symbols if s >= 0]
 
     def encode_words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pre-tokens data[start:end], one after another, and how many each has."""
+        """Ids of the pre-tokens data[start:end], one after another, and how many each has.
+
+        Pre-tokens are known by 126 bits of their hashes; those of earlier slices
+        are remembered, up to WORDS of them.
+        """
         if not len(start):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         raised = data.astype(np.uint64) + np.uint64(1)
-        h1 = Ranges(raised, 0).of(start, end)
+        h1 = (Ranges(raised, 0).of(start, end) >> np.uint64(1)).view(np.int64)
         h2 = Ranges(raised, 1).of(start, end)
-        order = np.argsort(h1)
-        a, b = h1[order], h2[order]
-        new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-        kind = np.empty(len(order), np.int64)
-        kind[order] = np.cumsum(new) - 1
-        one = order[new]
-        s, e = start[one], end[one]
+        if self._known is None or len(self._second) > WORDS:
+            self._known = IntMap(np.zeros(0, np.int64), np.zeros(0, np.int32), 2 * WORDS)
+            self._second = np.zeros(0, np.uint64)
+            self._pool, self._first, self._count = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        kind = self._known.get(h1).astype(np.int64)
+        new = kind < 0
+        if len(self._second):
+            new |= self._second[kind] != h2  # (a word whose first hash is taken is encoded anew each time)
+        todo = np.flatnonzero(new)
+        if len(todo):
+            order = todo[np.argsort(h1[todo])]
+            a, b = h1[order], h2[order]
+            head = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+            one = order[head]
+            number = len(self._second)
+            kind[order] = number + np.cumsum(head) - 1
+            tokens, count = self._encode_distinct(data, start[one], end[one])
+            self._first = np.concatenate((self._first, len(self._pool) + np.cumsum(count) - count))
+            self._count = np.concatenate((self._count, count))
+            self._pool = np.concatenate((self._pool, tokens.astype(np.int32)))
+            self._second = np.concatenate((self._second, h2[one]))
+            fresh = (self._known.get(h1[one]) < 0) & np.concatenate(([True], h1[one][1:] != h1[one][:-1]))
+            self._known.put(h1[one][fresh], (number + np.flatnonzero(fresh)).astype(np.int32))
+        count = self._count[kind]
+        return self._pool[spread(self._first[kind], count)], count
+
+    def _encode_distinct(self, data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = e - s
         at = np.concatenate(([0], np.cumsum(size)))
         units = data[spread(s, size)].astype(np.int64)
@@ -340,9 +372,7 @@ class Encoder:
         w = np.concatenate([p[0] for p in parts])
         order = np.argsort(w, kind="stable")
         t = np.concatenate([p[1] for p in parts])[order]
-        count = np.bincount(w, minlength=len(s))
-        first = np.cumsum(count) - count
-        return t[spread(first[kind], count[kind])], count[kind]
+        return t, np.bincount(w, minlength=len(s))
 
     def _segments(self, texts: list[str]) -> tuple[list[str], list[int], list[int]]:
         """Texts cut at special tokens: the pieces, their text, and the special id behind each (-1: none)."""

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import neardup, quality, substrings
+from . import bpe, lines, neardup, packing, quality, substrings
 
 QUERIES = {
     "op2_near_duplicates": neardup.op2_near_duplicates,
+    "op7_bpe": bpe.op7_bpe,
+    "op9_line_dedup": lines.op9_line_dedup,
+    "op5_packing": packing.op5_packing,
     "op4_quality_rules": quality.op4_quality_rules,
     "op6_substring_dedup": substrings.op6_substring_dedup,
 }
 
 ORACLES = {
+    "op9_line_dedup": lines.ORACLE,
     "op6_substring_dedup": substrings.ORACLE,
 }
