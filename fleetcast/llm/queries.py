@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, lines, neardup, packing, quality, substrings
+from . import bpe, classifier, lines, neardup, packing, quality, substrings, suffixtree
 
 QUERIES = {
     "op2_near_duplicates": neardup.op2_near_duplicates,
     "op7_bpe": bpe.op7_bpe,
+    "op8_lm_scoring": suffixtree.op8_lm_scoring,
+    "op10_quality_classifier": classifier.op10_quality_classifier,
     "op9_line_dedup": lines.op9_line_dedup,
     "op5_packing": packing.op5_packing,
     "op4_quality_rules": quality.op4_quality_rules,
