@@ -15,9 +15,9 @@ told apart by their own frequencies.
 * Smoothing: counts of a state are mixed with its parent's distribution.
 * Scoring: the longest retained suffix at each position gives the distribution.
 
-The tree spells tokens, known or not; how often known tokens occur is learned
-too.  With c the count of a token, N all tokens and V distinct ones,
-P(token) = (c + V * P_tree(its bytes | bytes before)) / (N + V).
+The tree spells tokens, known or not; how often known tokens occur counts too.
+With c the count of a token among N training tokens and w the spelling weight,
+P(token) = w * P_tree(its bytes | bytes before) + (1 - w) * c / N.
 
 Token counts, which the base score needs as well, cover the whole vocabulary.
 Words above a share of ``common_share`` (at most 1/common_share of them) are
@@ -41,9 +41,10 @@ DEPTH = 4
 SYMBOLS = 64
 RARE = SYMBOLS - 1
 END = 0x0A
-LEAST_SHARE = 2.0 ** -16
-LEAST_GAIN = 24.0
-PARENT_WEIGHT = 4.0
+LEAST_SHARE = 2.0 ** -17
+LEAST_GAIN = 8.0
+PARENT_WEIGHT = 2.0
+SPELLING = 0.75
 COMMON_SHARE = 2.0 ** -21
 HELD = 1 << 21  # distinct keys a task adds up before it hands them on
 
@@ -249,14 +250,14 @@ def fit_tree(grams: DataFrame, least_share: float = LEAST_SHARE, least_gain: flo
 
 def _score(model, keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, words, counts, n, v, ends = model.value
+        tree, words, counts, n, w, ends = model.value
         known = IntMap((words.view(np.uint64) >> np.uint64(1)).view(np.int64), np.arange(len(words), dtype=np.int32))
         for batch in batches:
             for part in slices(batch):
                 t = Texts(part.column("text"))
                 lowered = t.lowered()
                 spelled, is_end = tree.tokens(*streams(t, lowered))
-                score = np.log10((ends + v * 10.0 ** spelled[is_end]) / (n + v))
+                score = np.log10((1 - w) * ends / n + w * 10.0 ** spelled[is_end])
                 spelled = spelled[~is_end]
                 h, doc = t.word_hash(values=lowered), t.word_doc()
                 at = known.get((h >> np.uint64(1)).view(np.int64))
@@ -265,7 +266,7 @@ def _score(model, keep: list[str]):
                 common = at >= 0
                 c = counts[at[common]] if len(words) else np.zeros(0)
                 base = np.bincount(doc[common], np.log10(c + 0.1), t.n)
-                score += np.bincount(doc[common], np.log10((c + v * 10.0 ** spelled[common]) / (n + v)), t.n)
+                score += np.bincount(doc[common], np.log10((1 - w) * c / n + w * 10.0 ** spelled[common]), t.n)
                 n_common = np.bincount(doc[common], minlength=t.n)
                 seldom = ~common
                 offs = pa.array(np.concatenate(([0], np.cumsum(seldom)))[t.first_word], pa.int32())
@@ -279,7 +280,8 @@ def _score(model, keep: list[str]):
 
 
 def score_texts(docs: DataFrame, train: str = "train", least_share: float = LEAST_SHARE,
-                least_gain: float = LEAST_GAIN, common_share: float = COMMON_SHARE) -> DataFrame:
+                least_gain: float = LEAST_GAIN, common_share: float = COMMON_SHARE,
+                spelling: float = SPELLING) -> DataFrame:
     """Each row of ``docs`` without its text, with n_tokens, n_known, train_tokens, base_score and score.
 
     The model learns from rows whose boolean column ``train`` is true.  Null and
@@ -300,9 +302,10 @@ def score_texts(docs: DataFrame, train: str = "train", least_share: float = LEAS
         least = max(1.0, n * common_share)
         common = vocabulary.filter(F.col("n") >= least).toArrow()
         tree = fit_tree(counts.filter("kind = 1").select("key", "n"), least_share, least_gain)
+        weight = spelling if n else 1.0
         model = spark.sparkContext.broadcast(
             (tree, np.asarray(common["key"]).astype(np.int64), np.asarray(common["n"]).astype(np.float64),
-             max(n, 1), max(v, 1), ends))
+             max(n, 1), weight, ends))
         src = docs.select(*keep, "text").withColumn("_uid", F.monotonically_increasing_id())
         shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "text")
         scored = scratch.keep(src.mapInArrow(
@@ -314,7 +317,7 @@ def score_texts(docs: DataFrame, train: str = "train", least_share: float = LEAS
         c = F.coalesce("n", F.lit(0))
         rest = rows.join(seldom, "key", "left").groupBy("_uid").agg(
             F.sum(F.log10(c + 0.1)).alias("base"), F.sum((c > 0).cast("long")).alias("known"),
-            F.sum(F.log10((c + max(v, 1) * F.pow(F.lit(10.0), "spelled")) / (max(n, 1) + max(v, 1)))).alias("score"))
+            F.sum(F.log10(c * ((1 - weight) / max(n, 1)) + weight * F.pow(F.lit(10.0), "spelled"))).alias("score"))
         out = scored.drop("words", "spelled").join(rest, "_uid", "left")
         norm = float(np.log10(n + 0.1 * (v + 1)))
         end = float(np.log10(ends + 0.1))
