@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, classifier, lines, neardup, packing, quality, substrings, suffixtree
+from . import bpe, classifier, fingerprints, lines, neardup, packing, quality, substrings, suffixtree
 
 QUERIES = {
     "op2_near_duplicates": neardup.op2_near_duplicates,
     "op7_bpe": bpe.op7_bpe,
+    "op1_fingerprints": fingerprints.op1_fingerprints,
     "op8_lm_scoring": suffixtree.op8_lm_scoring,
     "op10_quality_classifier": classifier.op10_quality_classifier,
     "op9_line_dedup": lines.op9_line_dedup,
