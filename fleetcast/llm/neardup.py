@@ -31,6 +31,7 @@ from .textarrays import Ranges, Texts, in_doc, mix, runs, signed, slices, spread
 U = np.uint64
 K, ROWS = 128, 5
 SHINGLE = 5
+PAIRS_A_ROW = 64  # of later rounds: candidate pairs for each row of a band, on average
 #: Of K coordinates, so many must agree for an exact comparison.  At similarity
 #: 0.8 fewer agree with a probability below 1e-9 (binomial with n = 128).
 LEAST_AGREED = 72
@@ -212,13 +213,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = SHINGLE
         while share < 1:
             named = met.filter("a <> b").join(label.withColumnRenamed("node", "b"), "b", "left") \
                 .select("key", "b", F.coalesce("label", "b").alias("label"))
-            mixed = named.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("lo"),
-                                             F.max("label").alias("hi")).filter("lo < hi")
-            open_ = scratch.keep(named.join(mixed.select("key", "n"), "key"))
-            most = open_.agg(F.max("n")).first()[0]
-            if not most:
+            sizes = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")) \
+                .groupBy("key").agg(F.sum("c").alias("n"), F.max("c").alias("c")).filter("n > c")
+            open_ = scratch.keep(named.join(sizes, "key"))
+            # Pairs of different classes: at most n * (n - c) in a band of n with c in its largest class.
+            rows, pairs = open_.agg(F.count(F.lit(1)), F.sum(F.col("n") - F.col("c"))).first()
+            if not rows:
                 break
-            before, share = share, min(1.0, max(share * 16, 64 / most))
+            before, share = share, min(1.0, max(share * 16, PAIRS_A_ROW * rows / pairs))
             draw = F.pmod(F.xxhash64("p"), F.lit(1 << 20)) / F.lit(float(1 << 20))
             pivots = open_.select("key", F.col("b").alias("p"), F.col("label").alias("p_label")) \
                 .filter((draw >= before) & (draw < share))
@@ -227,7 +229,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = SHINGLE
                 .select(F.least("p", "b").alias("a"), F.greatest("p", "b").alias("b")).distinct()
             more = _compare(pairs, firsts, docs, threshold, size, least, scratch)
             links = links.unionByName(more)
-            if more.limit(1).count():
+            if share < 1 or more.limit(1).count():
                 label = classes(links, scratch)
         named = label.select(F.col("node").alias("doc_id"), F.col("label").alias("class_id"))
         heads = named.select(F.col("class_id").alias("doc_id"), "class_id").distinct()

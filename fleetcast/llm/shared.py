@@ -26,8 +26,10 @@ class Scratch:
         where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
-    def keep(self, df: DataFrame) -> DataFrame:
+    def keep(self, df: DataFrame, tasks: int | None = None) -> DataFrame:
+        """``tasks``: at most so many write it, for tables known to be small for the cluster."""
         self._n += 1
+        df = df if tasks is None else df.coalesce(tasks)
         to = f"{self.path}/{self._n}"
         df.write.parquet(to)
         return self.spark.read.schema(df.schema).parquet(to)
