@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, classifier, fingerprints, lines, neardup, packing, quality, substrings, suffixtree
+from . import bpe, classifier, fingerprints, lines, neardup, packing, quality, substrings, suffixtree, warc
 
 QUERIES = {
     "op2_near_duplicates": neardup.op2_near_duplicates,
     "op7_bpe": bpe.op7_bpe,
     "op1_fingerprints": fingerprints.op1_fingerprints,
+    "op3_warc": warc.op3_warc,
     "op8_lm_scoring": suffixtree.op8_lm_scoring,
     "op10_quality_classifier": classifier.op10_quality_classifier,
     "op9_line_dedup": lines.op9_line_dedup,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_warc": warc.ORACLE,
     "op9_line_dedup": lines.ORACLE,
     "op6_substring_dedup": substrings.ORACLE,
 }
