@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .textarrays import SLICE_BYTES, Ranges, in_doc, mix, runs, spread
 
@@ -112,12 +113,12 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(1)
 
 
-def _pairs(names: list[str], k: int, tuple_size: int, sketches: int):
-    """Rows in order, the last of each range followed by the first of the next one (``_stub``)."""
+def _pairs(k: int, tuple_size: int, sketches: int):
+    """Rows in order, the last of each range followed by the first of the next one (``stub``)."""
     def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         # The last row here is only the next document of the one before it.
         texts = rows.column("text").to_pylist()
-        stub = rows.column("_stub").to_pylist()
+        stub = rows.column("stub").to_pylist()
         real = np.flatnonzero(~np.array(stub[:-1], bool))
         if not len(real):
             return
@@ -126,12 +127,12 @@ def _pairs(names: list[str], k: int, tuple_size: int, sketches: int):
         changed = fingerprints(edited, k, tuple_size, sketches)
         kept = rows.take(pa.array(real)).combine_chunks()
         yield pa.RecordBatch.from_arrays(
-            [kept.column(c).combine_chunks() for c in names]
-            + [pa.array([len(texts[i]) for i in real], pa.int64()),
+            [kept.column("row").combine_chunks(),
+             pa.array([len(texts[i]) for i in real], pa.int64()),
                pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
                pa.array(as_text(prints[real]), pa.string()), pa.array(as_text(changed), pa.string()),
                pa.array(likeness(prints[real], changed)), pa.array(likeness(prints[real], prints[real + 1]))],
-            [*names, *ADDED])
+            ["row", *ADDED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
@@ -164,30 +165,32 @@ ADDED = ("n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_
 def with_neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Rows ordered by doc_id inside each task, each followed by the next document.
 
-    Adds ``_stub``: true for rows that only stand behind a range's last row.  A
-    null doc_id comes first; rows with one doc_id are in order of a hash of
-    their text.  After the last document comes the first.
+    ``docs`` has doc_id and text; ``stub`` is added, true for rows that only
+    stand behind a range's last row.  A null doc_id comes first; rows with one
+    doc_id are in order of a hash of their text.  After the last document comes
+    the first.
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)),
-                               "_h": F.xxhash64(F.coalesce("text", F.lit("")))})
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "text",
+                       F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)).alias("id"),
+                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
     shares = [i / parts for i in range(1, parts)]
-    bounds = tagged.agg(F.percentile_approx("_id", shares or [0.5], 10000).alias("b")).first()["b"] or []
+    bounds = rows.agg(F.percentile_approx("id", shares or [0.5], 10000).alias("b")).first()["b"] or []
     bounds = np.unique(np.array(bounds, np.int64))
 
     @F.pandas_udf("int")
     def part_of(ids: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(bounds, ids.to_numpy(), "left").astype(np.int32))
 
-    tagged = tagged.withColumn("_part", part_of("_id"))
-    heads = tagged.groupBy("_part").agg(F.min(F.struct("_id", "_h")).alias("f")).orderBy("_part").collect()
-    stubs = [(h["f"]["_id"], h["f"]["_h"], heads[i - 1]["_part"]) for i, h in enumerate(heads)]
-    heads = spark.createDataFrame(stubs, "_id long, _h long, _part int")  # one row a range
-    behind = tagged.drop("_part").join(F.broadcast(heads), ["_id", "_h"])
-    both = tagged.withColumn("_stub", F.lit(False)).unionByName(behind.withColumn("_stub", F.lit(True)))
-    return both.repartition(parts, "_part").sortWithinPartitions("_part", "_stub", "_id", "_h") \
-        .drop("_part", "_id", "_h")
+    tagged = rows.withColumn("part", part_of("id"))
+    heads = tagged.groupBy("part").agg(F.min(F.struct("id", "hash")).alias("f")).orderBy("part").collect()
+    stubs = [(h["f"]["id"], h["f"]["hash"], heads[i - 1]["part"]) for i, h in enumerate(heads)]
+    heads = spark.createDataFrame(stubs, "id long, hash long, part int")  # one row a range
+    behind = rows.join(F.broadcast(heads), ["id", "hash"])
+    both = tagged.withColumn("stub", F.lit(False)).unionByName(behind.withColumn("stub", F.lit(True)))
+    return both.repartition(parts, "part").sortWithinPartitions("part", "stub", "id", "hash") \
+        .select("row", "text", "stub")
 
 
 def fingerprint_documents(docs: DataFrame, k: int = KMER, tuple_size: int = TUPLE, sketches: int = SKETCHES,
@@ -199,12 +202,11 @@ def fingerprint_documents(docs: DataFrame, k: int = KMER, tuple_size: int = TUPL
     empty.  Repeated rows are documents of their own, one after the other.
     Columns of the added names are replaced.
     """
-    names = [c for c in docs.columns if c != "text" and c not in ADDED]
-    src = with_neighbours(docs.select(*names, "text"), parts)
-    shape = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in names]
-                      + ["n_chars long", "edited_sha256 string", "fingerprint string", "edited_fingerprint string",
-                         "near_edited double", "near_next double"])
-    return src.mapInArrow(_pairs(names, k, tuple_size, sketches), shape)
+    src = with_neighbours(docs.drop(*ADDED), parts)
+    schema = T.StructType([src.schema["row"]]).add("n_chars", "long")
+    for c, kind in zip(ADDED[1:], ("string", "string", "string", "double", "double")):
+        schema = schema.add(c, kind)
+    return src.mapInArrow(_pairs(k, tuple_size, sketches), schema).select("row.*", *ADDED)
 
 
 def op1_fingerprints(spark, sf_dir: str) -> DataFrame:

@@ -179,10 +179,10 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     text, so repeated ids with different texts are judged apart.
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    tagged = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    measured = text_measures(tagged, "text", ("doc_id", "lang", "_h")).checkpoint()
+    rows = docs.select(F.struct("*").alias("row")).withColumn("hash", F.xxhash64(F.coalesce("row.text", F.lit(""))))
+    measured = text_measures(rows.select("row.doc_id", "row.lang", "row.text", "hash"), "text",
+                             ("doc_id", "lang", "hash")).checkpoint()
     cutoffs = choose_cutoffs(measured, labels.filter(F.col("quality") == 1), "lang", 0.04, 0.05)
-    bad = measured.filter(~verdict("lang", cutoffs)).select(
-        F.col("doc_id").alias("_d"), F.col("_h").alias("_g"), F.col("lang").alias("_l")).distinct()
-    return tagged.join(bad, tagged["doc_id"].eqNullSafe(bad["_d"]) & (tagged["_h"] == bad["_g"])
-                       & tagged["lang"].eqNullSafe(bad["_l"]), "left_anti").drop("_h")
+    bad = measured.filter(~verdict("lang", cutoffs)).select("doc_id", "lang", "hash").distinct()
+    return rows.join(bad, F.col("row.doc_id").eqNullSafe(bad["doc_id"]) & (rows["hash"] == bad["hash"])
+                     & F.col("row.lang").eqNullSafe(bad["lang"]), "left_anti").select("row.*")

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import Scratch
 from .textarrays import Ranges, Texts, signed, slices, sliding, spread
@@ -112,7 +113,7 @@ def _window_rows(length: int, q: int):
     return run
 
 
-def _cut(batches: Iterator[pa.RecordBatch], extra: list[str]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Removes the words under the spans; adds n_words, n_removed, kept_words."""
     for batch in batches:
         for part in slices(batch):
@@ -138,10 +139,9 @@ def _cut(batches: Iterator[pa.RecordBatch], extra: list[str]) -> Iterator[pa.Rec
             raw = out.tobytes()
             joined = [raw[a:b - 1].decode() if b > a else "" for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
-                [part.column(c) for c in extra]
-                + [pa.array(t.n_words.astype(np.int64)), pa.array(removed.astype(np.int64)),
-                   pa.array(joined, pa.string())],
-                [*extra, "n_words", "n_removed", "kept_words"])
+                [part.column("row"), pa.array(t.n_words.astype(np.int64)), pa.array(removed.astype(np.int64)),
+                 pa.array(joined, pa.string())],
+                ["row", "n_words", "n_removed", "kept_words"])
 
 
 def duplicate_spans(docs: DataFrame, length: int = 50, q: int = Q) -> DataFrame:
@@ -186,16 +186,16 @@ def remove_duplicates(docs: DataFrame, length: int = 50, q: int = Q) -> DataFram
     rows (same doc_id) are judged alike and keep each other's words.
     """
     extra = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_words")]
-    # A null id compares as the largest; ``_row`` is a hash, so it survives recomputing.
-    keyed = docs.select(*extra, F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long").alias("_id"),
-                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("_row"))
-    spans = duplicate_spans(keyed.select(F.col("_id").alias("doc_id"), F.col("_row").alias("row"), "text"),
-                            length, q)
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), "spans")
-    joined = keyed.join(spans, ["_id", "_row"], "left").select(*extra, "spans")
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in extra]
-                       + ["n_words long", "n_removed long", "kept_words string"])
-    return joined.mapInArrow(lambda it: _cut(it, extra), schema)
+    # A null id compares as the largest; ``hash`` stays the same when it is computed again.
+    keyed = docs.select(F.struct(*extra).alias("row"), "text",
+                        F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"),
+                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    spans = duplicate_spans(keyed.select(F.col("id").alias("doc_id"), F.col("hash").alias("row"), "text"), length, q)
+    joined = keyed.join(spans.withColumnsRenamed({"doc_id": "id", "row": "hash"}), ["id", "hash"], "left") \
+        .select("row", "text", "spans")
+    schema = T.StructType([joined.schema["row"]]).add("n_words", "long").add("n_removed", "long") \
+        .add("kept_words", "string")
+    return joined.mapInArrow(_cut, schema).select("row.*", "n_words", "n_removed", "kept_words")
 
 
 def op6_substring_dedup(spark, sf_dir: str) -> DataFrame:
@@ -233,8 +233,8 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Texts with nothing to remove stay as they are; rows left without a word go.
     """
-    out = remove_duplicates(docs)
+    rows = docs.select("doc_id", "text", F.struct("*").alias("all"))
+    out = remove_duplicates(rows).filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
     text = F.when(F.col("n_removed") > 0, F.col("kept_words")).otherwise(F.col("text"))
-    return out.filter((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words"))) \
-        .withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")) \
-        .select(*[c for c in docs.columns])
+    new = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return out.select(*[new[c].alias(c) if c in new else F.col(f"all.`{c}`").alias(c) for c in docs.columns])

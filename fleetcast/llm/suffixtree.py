@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .bpe import IntMap
 from .shared import Scratch
@@ -248,7 +249,13 @@ def fit_tree(grams: DataFrame, least_share: float = LEAST_SHARE, least_gain: flo
     return grow(byte_counts, rows, least_gain)
 
 
-def _score(model, keep: list[str]):
+def mixed(c: np.ndarray, spelled: np.ndarray, n: int, w: float) -> np.ndarray:
+    """log10 of w * 10**spelled + (1 - w) * c / n, also where the first is too small for a float."""
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(np.log(w) + spelled * np.log(10), np.log((1 - w) * c / n)) / np.log(10)
+
+
+def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, words, counts, n, w, ends = model.value
         known = IntMap((words.view(np.uint64) >> np.uint64(1)).view(np.int64), np.arange(len(words), dtype=np.int32))
@@ -257,7 +264,7 @@ def _score(model, keep: list[str]):
                 t = Texts(part.column("text"))
                 lowered = t.lowered()
                 spelled, is_end = tree.tokens(*streams(t, lowered))
-                score = np.log10((1 - w) * ends / n + w * 10.0 ** spelled[is_end])
+                score = mixed(np.full(t.n, float(ends)), spelled[is_end], n, w)
                 spelled = spelled[~is_end]
                 h, doc = t.word_hash(values=lowered), t.word_doc()
                 at = known.get((h >> np.uint64(1)).view(np.int64))
@@ -266,16 +273,16 @@ def _score(model, keep: list[str]):
                 common = at >= 0
                 c = counts[at[common]] if len(words) else np.zeros(0)
                 base = np.bincount(doc[common], np.log10(c + 0.1), t.n)
-                score += np.bincount(doc[common], np.log10((1 - w) * c / n + w * 10.0 ** spelled[common]), t.n)
+                score += np.bincount(doc[common], mixed(c, spelled[common], n, w), t.n)
                 n_common = np.bincount(doc[common], minlength=t.n)
                 seldom = ~common
                 offs = pa.array(np.concatenate(([0], np.cumsum(seldom)))[t.first_word], pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in keep]
-                    + [pa.array(t.n_words + 1), pa.array(n_common.astype(np.int64)), pa.array(base.astype(float)),
+                    [part.column("row"), part.column("uid"),
+                     pa.array(t.n_words + 1), pa.array(n_common.astype(np.int64)), pa.array(base.astype(float)),
                        pa.array(score), pa.ListArray.from_arrays(offs, pa.array(signed(h[seldom]))),
                        pa.ListArray.from_arrays(offs, pa.array(spelled[seldom].astype(np.float32)))],
-                    [*keep, "n_tokens", "n_common", "common_base", "common_score", "words", "spelled"])
+                    ["row", "uid", "n_tokens", "n_common", "common_base", "common_score", "words", "spelled"])
     return run
 
 
@@ -306,23 +313,26 @@ def score_texts(docs: DataFrame, train: str = "train", least_share: float = LEAS
         model = spark.sparkContext.broadcast(
             (tree, np.asarray(common["key"]).astype(np.int64), np.asarray(common["n"]).astype(np.float64),
              max(n, 1), weight, ends))
-        src = docs.select(*keep, "text").withColumn("_uid", F.monotonically_increasing_id())
-        shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "text")
-        scored = scratch.keep(src.mapInArrow(
-            _score(model, [*keep, "_uid"]), shape + ", n_tokens long, n_common long, common_base double, "
-            "common_score double, words array<long>, spelled array<float>"))
-        rows = scored.select("_uid", F.explode(F.arrays_zip("words", "spelled")).alias("x")) \
-            .select("_uid", F.col("x.words").alias("key"), F.col("x.spelled").alias("spelled"))
+        src = docs.select(F.struct(*keep).alias("row"), "text", F.monotonically_increasing_id().alias("uid"))
+        schema = T.StructType([src.schema["row"]])
+        for c, kind in (("uid", "long"), ("n_tokens", "long"), ("n_common", "long"), ("common_base", "double"),
+                        ("common_score", "double"), ("words", T.ArrayType(T.LongType())), ("spelled", T.ArrayType(T.FloatType()))):
+            schema = schema.add(c, kind)
+        scored = scratch.keep(src.mapInArrow(_score(model), schema))
+        rows = scored.select("uid", F.explode(F.arrays_zip("words", "spelled")).alias("x")) \
+            .select("uid", F.col("x.words").alias("key"), F.col("x.spelled").alias("spelled"))
         seldom = vocabulary.filter(F.col("n") < least)
         c = F.coalesce("n", F.lit(0))
-        rest = rows.join(seldom, "key", "left").groupBy("_uid").agg(
+        counted, spelled = F.log10(c * ((1 - weight) / max(n, 1))), F.col("spelled") + float(np.log10(weight))
+        rest = rows.join(seldom, "key", "left").groupBy("uid").agg(
             F.sum(F.log10(c + 0.1)).alias("base"), F.sum((c > 0).cast("long")).alias("known"),
-            F.sum(F.log10(c * ((1 - weight) / max(n, 1)) + weight * F.pow(F.lit(10.0), "spelled"))).alias("score"))
-        out = scored.drop("words", "spelled").join(rest, "_uid", "left")
+            F.sum(F.when(c > 0, counted + F.log10(1 + F.pow(F.lit(10.0), spelled - counted))).otherwise(spelled))
+            .alias("score"))
+        out = scored.drop("words", "spelled").join(rest, "uid", "left")
         norm = float(np.log10(n + 0.1 * (v + 1)))
         end = float(np.log10(ends + 0.1))
         return out.select(
-            *keep, "n_tokens", (F.col("n_common") + F.coalesce("known", F.lit(0)) + int(ends > 0)).alias("n_known"),
+            "row.*", "n_tokens", (F.col("n_common") + F.coalesce("known", F.lit(0)) + int(ends > 0)).alias("n_known"),
             F.lit(n).cast("long").alias("train_tokens"),
             (F.col("common_base") + F.coalesce("base", F.lit(0.0)) + end - F.col("n_tokens") * norm)
             .alias("base_score"),
