@@ -10,14 +10,14 @@ Plan (no range join, no per-key quadratic blow-up, skew-safe):
 
 1. Union entity rows and feature rows (features packed in one struct, so a
    null *inside* the newest row stays null instead of being back-filled).
-2. Window partitioned by ``(key, time bucket)``, ordered by
-   ``(ts, side, tiebreak)``: ``last(struct, ignorenulls)`` gives the newest
-   feature row at or before each entity row within its bucket.  A hot key is
-   spread over its buckets instead of landing in one task.
-3. Entity rows with nothing earlier in their bucket take the newest row of
-   the key's earlier buckets: per (key, bucket) the last feature row is one
-   grouped ``max_by`` (map-side partial), and the "previous bucket" lookup is a
-   window over that small per-bucket table, partitioned by key only.
+2. Ordinary keys: one window partitioned by key, ordered by
+   ``(ts, side, tiebreak)``; ``last(struct, ignorenulls)`` is the newest
+   feature row at or before each entity row.  One shuffle and one sort.
+3. Keys with more rows than one task should hold (counted by an aggregate on
+   the key alone) go another way: windows by ``(key, time bucket)``, so a hot
+   key is spread over many tasks; entity rows with nothing earlier in their
+   bucket take the last row of the key's earlier buckets, from a small
+   per-bucket table.
 4. Apply the TTL per view afterwards: the newest row ≤ t is the freshest
    candidate, so testing it alone is exact.
 """
@@ -30,16 +30,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fleetcast.functions.frames import cut_lineage
+from fleetcast.operators.latest import expire, latest_per_key
+
 _F = "_feat"
 _TS = "_pit_ts"
 _SIDE = "_pit_side"
 _B = "_pit_bucket"
 
 
-def _bucket(ts: Column, bucket_seconds: int) -> Column:
-    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(bucket_seconds * 1_000_000)).cast("long")
-
-
 def point_in_time_join(entity: DataFrame, features: DataFrame, keys, fields,
                        entity_ts: str = "event_timestamp", feature_ts: str = "event_ts",
                        ttl: dt.timedelta | None = None, tiebreak=("event_id",),
@@ -48,9 +47,8 @@ def point_in_time_join(entity: DataFrame, features: DataFrame, keys, fields,
                        max_bucket_rows: int | None = 2_000_000) -> DataFrame:
     """J1 for one view: ``fields`` of the newest feature row ``<= entity_ts`` within ``ttl``.
 
-    ``bucket`` is the default time bucket of the window; a key with more than
-    ``max_bucket_rows`` feature rows in one bucket gets proportionally narrower
-    buckets (None turns the check off).
+    A key with more than ``max_bucket_rows`` rows is split into time buckets of
+    ``bucket`` or narrower, with about so many rows each (None: never).
     """
     return _asof(entity, features, keys, {f: ttl for f in fields}, entity_ts, feature_ts,
                  tiebreak, bucket, feature_ts_alias, max_bucket_rows)
@@ -88,9 +86,28 @@ def multi_view_join(entity: DataFrame, features: DataFrame, views, refs=None,
 
 def batch_scoring_join(keys_df: DataFrame, features: DataFrame, views, as_of, refs=None,
                        tiebreak=("event_id",)) -> DataFrame:
-    """The as-of join with every entity row stamped ``as_of``."""
-    stamped = keys_df.withColumn("event_timestamp", F.lit(as_of).cast("timestamp_ntz"))
-    return multi_view_join(stamped, features, views, refs, "event_timestamp", tiebreak)
+    """The as-of join with every entity row stamped ``as_of``.
+
+    One constant time needs no as-of search: the newest row per key up to then,
+    each view's fields if they are fresh enough, joined to the keys.
+    """
+    out = keys_df.withColumn("event_timestamp", F.lit(as_of).cast("timestamp_ntz"))
+    by_source: dict = {}
+    for v in views:
+        by_source.setdefault((v.source, tuple(v.entity_keys)), []).append(v)
+    for (source, keys), vs in by_source.items():
+        src = features[vs[0].name] if isinstance(features, dict) else features
+        ts = source.timestamp_field
+        newest = latest_per_key(src.where(F.col(ts) <= F.lit(as_of)), list(keys), ts,
+                                tuple(c for c in tiebreak if c in src.columns))
+        fields = []
+        for v in vs:
+            wanted = list(refs.get(v.name, []) if refs is not None else v.field_names)
+            newest = expire(newest, as_of, v.ttl, wanted, ts)
+            fields += wanted
+        if fields:
+            out = out.join(newest.select(*keys, *dict.fromkeys(fields)), list(keys), "left")
+    return out
 
 
 def on_demand_features(df: DataFrame, transforms: dict[str, Column]) -> DataFrame:
@@ -98,28 +115,47 @@ def on_demand_features(df: DataFrame, transforms: dict[str, Column]) -> DataFram
     return df.withColumns(transforms)
 
 
-def _bucket_widths(frows: DataFrame, keys, bucket_us: int, max_rows: int) -> DataFrame | None:
-    """Keys whose densest default bucket exceeds ``max_rows`` → a narrower width.
+def _hot_keys(both: DataFrame, keys, bucket_us: int, max_rows: int) -> DataFrame | None:
+    """Keys with more than ``max_rows`` rows, and a bucket width for each.
 
-    Width = default / 2^e with 2^e >= densest / max_rows, so a hot key's rows
-    spread over many buckets (tasks).  One partially aggregated count pass; the
-    result has at most (rows / max_rows) keys, a bound that makes it safe to
-    broadcast.  Returns None when no key is hot.
+    Width = default / 2^e with 2^e >= densest bucket / max_rows, so a hot key's
+    rows spread over many buckets (tasks).  Partially aggregated counts; at most
+    (rows / max_rows) keys are hot, a bound that makes them safe to broadcast.
+    Returns None when no key is hot.
     """
-    if frows.limit(max_rows + 1).count() <= max_rows:
-        return None   # no key can exceed the bound; reads at most max_rows + 1 rows
-    per = frows.groupBy(*keys, F.floor(F.unix_micros(F.col(_TS).cast("timestamp")) / F.lit(bucket_us))
-                        .alias("_b0")).agg(F.count(F.lit(1)).alias("_c"))
-    hot = per.where(F.col("_c") > max_rows).groupBy(*keys).agg(F.max("_c").alias("_m"))
-    e = F.ceil(F.log2(F.col("_m") / F.lit(float(max_rows)))).cast("int")
+    per = both.groupBy(*keys, F.floor(F.unix_micros(F.col(_TS).cast("timestamp")) / F.lit(bucket_us))
+                       .alias("_b0")).agg(F.count(F.lit(1)).alias("_c"))
+    hot = per.groupBy(*keys).agg(F.max("_c").alias("_m"), F.sum("_c").alias("_n")).where(F.col("_n") > max_rows)
+    e = F.greatest(F.ceil(F.log2(F.col("_m") / F.lit(float(max_rows)))), F.lit(0)).cast("int")
     # Division by a power of two is exact in double precision.
-    widths = hot.select(*keys, F.greatest((F.lit(float(bucket_us)) / F.pow(F.lit(2.0), e)).cast("long"),
-                                          F.lit(1).cast("long")).alias("_w"))
-    widths = widths.persist()
-    if widths.isEmpty():
-        widths.unpersist()
-        return None
-    return widths
+    widths = cut_lineage(hot.select(*keys, F.greatest(
+        (F.lit(float(bucket_us)) / F.pow(F.lit(2.0), e)).cast("long"), F.lit(1).cast("long")).alias("_w")))
+    return None if widths.isEmpty() else widths
+
+
+def _bucketed(both: DataFrame, frows: DataFrame, hot: DataFrame, keys, order, ecols) -> DataFrame:
+    """Entity rows of the hot keys with ``_hit``, by windows over time buckets."""
+    def per_key_bucket(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(hot), keys).withColumn(
+            _B, F.floor(F.unix_micros(F.col(_TS).cast("timestamp")) / F.col("_w")).cast("long")).drop("_w")
+
+    w = (Window.partitionBy(*keys, _B).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inb = per_key_bucket(both).withColumn("_hit", F.last(F.col(_F), ignorenulls=True).over(w)) \
+        .where(F.col(_SIDE) == 1)
+    # Newest feature row of each earlier bucket, per key (small: keys x buckets).
+    last_in_bucket = per_key_bucket(frows).groupBy(*keys, _B).agg(
+        F.max_by(F.col(_F), F.struct(*order[:1], *order[2:])).alias("_lastb"))
+    need = inb.where(F.col("_hit").isNull()).select(*keys, _B).distinct()
+    carry_in = (need.withColumn(_SIDE, F.lit(0)).withColumn("_lastb", F.lit(None).cast(
+        last_in_bucket.schema["_lastb"].dataType))
+                .unionByName(last_in_bucket.withColumn(_SIDE, F.lit(1))))
+    wb = (Window.partitionBy(*keys).orderBy(F.col(_B), F.col(_SIDE))
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    prev = (carry_in.withColumn("_prev", F.last(F.col("_lastb"), ignorenulls=True).over(wb))
+            .where(F.col(_SIDE) == 0).select(*keys, _B, "_prev"))
+    return inb.join(prev, [*keys, _B], "left").select(
+        *ecols, _TS, F.coalesce(F.col("_hit"), F.col("_prev")).alias("_hit"))
 
 
 def _asof(entity: DataFrame, features: DataFrame, keys, field_ttl: dict, entity_ts: str,
@@ -154,37 +190,15 @@ def _asof(entity: DataFrame, features: DataFrame, keys, field_ttl: dict, entity_
     erows = ent.select(*[F.col(c) for c in ecols], F.col(entity_ts).cast("timestamp_ntz").alias(_TS),
                        F.lit(1).alias(_SIDE))
     both = erows.unionByName(frows, allowMissingColumns=True)
-    widths = _bucket_widths(frows, keys, bsec * 1_000_000, max_bucket_rows) if max_bucket_rows else None
-    if widths is None:
-        both = both.withColumn(_B, _bucket(F.col(_TS), bsec))
-        fb = frows.withColumn(_B, _bucket(F.col(_TS), bsec))
-    else:
-        def per_key_bucket(df: DataFrame) -> DataFrame:
-            w = F.coalesce(F.col("_w"), F.lit(bsec * 1_000_000).cast("long"))
-            return (df.join(F.broadcast(widths), keys, "left")
-                    .withColumn(_B, F.floor(F.unix_micros(F.col(_TS).cast("timestamp")) / w).cast("long"))
-                    .drop("_w"))
-        both = per_key_bucket(both)
-        fb = per_key_bucket(frows)
-
+    hot = _hot_keys(both.select(*keys, _TS), keys, bsec * 1_000_000, max_bucket_rows) if max_bucket_rows else None
     order = [F.col(_TS), F.col(_SIDE)] + [F.col(f"_tb{i}") for i in range(len(tb))]
-    w = (Window.partitionBy(*keys, _B).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inb = both.withColumn("_hit", F.last(F.col(_F), ignorenulls=True).over(w)).where(F.col(_SIDE) == 1)
-
-    # Newest feature row of each earlier bucket, per key (small: keys x buckets).
-    last_in_bucket = fb.groupBy(*keys, _B).agg(
-        F.max_by(F.col(_F), F.struct(*order[:1], *order[2:])).alias("_lastb"))
-    need = inb.where(F.col("_hit").isNull()).select(*keys, _B).distinct()
-    carry_in = (need.withColumn(_SIDE, F.lit(0)).withColumn("_lastb", F.lit(None).cast(
-        last_in_bucket.schema["_lastb"].dataType))
-                .unionByName(last_in_bucket.withColumn(_SIDE, F.lit(1))))
-    wb = (Window.partitionBy(*keys).orderBy(F.col(_B), F.col(_SIDE))
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    prev = (carry_in.withColumn("_prev", F.last(F.col("_lastb"), ignorenulls=True).over(wb))
-            .where(F.col(_SIDE) == 0).select(*keys, _B, "_prev"))
-    joined = inb.join(prev, [*keys, _B], "left")
-    hit = F.coalesce(F.col("_hit"), F.col("_prev"))
+    cold = both if hot is None else both.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = cold.withColumn("_hit", F.last(F.col(_F), ignorenulls=True).over(w)).where(F.col(_SIDE) == 1) \
+        .select(*ecols, _TS, "_hit")
+    if hot is not None:
+        joined = joined.unionByName(_bucketed(both, frows, hot, keys, order, ecols))
+    hit = F.col("_hit")
 
     outs = []
     for f, ttl in field_ttl.items():

@@ -24,17 +24,27 @@ from pyspark.sql.window import Window
 from fleetcast.functions.frames import cut_lineage
 from fleetcast.functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, haversine_km
 from fleetcast.functions.scoring import Ranker, sigmoid
+from fleetcast.operators.latest import expire
 
 DEFAULT_TOP_K = 5
 
 
 # ---------------------------------------------------------------- validation
 
+def _located(lat: str, lon: str) -> Column:
+    """Both coordinates are numbers (NaN is not)."""
+    return F.col(lat).isNotNull() & F.col(lon).isNotNull() & ~F.isnan(lat) & ~F.isnan(lon)
+
+
 def validate_requests(requests: DataFrame, default_top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """Fill ``top_k`` with the default and label invalid rows in ``error_type``."""
+    """Fill ``top_k`` with the default and label invalid rows in ``error_type``.
+
+    A NaN position is a missing one.
+    """
     k = F.coalesce(F.col("top_k").cast("int"), F.lit(default_top_k))
-    err = (F.when(F.col("rider_id").isNull(), F.lit("missing_rider_id"))
-           .when(F.col("rider_lat").isNull() | F.col("rider_lon").isNull(), F.lit("missing_location"))
+    err = (F.when(F.col("request_id").isNull(), F.lit("missing_request_id"))
+           .when(F.col("rider_id").isNull(), F.lit("missing_rider_id"))
+           .when(~_located("rider_lat", "rider_lon"), F.lit("missing_location"))
            .when(k < 1, F.lit("invalid_top_k")))
     return requests.withColumn("top_k", k).withColumn("error_type", err)
 
@@ -49,7 +59,7 @@ def rejected_requests(requests: DataFrame, default_top_k: int = DEFAULT_TOP_K) -
 
 def drop_unlocated(df: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Candidates without a position cannot be scored."""
-    return df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    return df.where(_located(lat, lon))
 
 
 def candidate_pool(spark, n: int, prefix: str = "driver_") -> DataFrame:
@@ -191,12 +201,13 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
         max_top_k = int(requests.agg(F.max("top_k")).first()[0] or DEFAULT_TOP_K)
     feats = [f for f in ranker.features if f != "distance_km"]
     drv = drivers.select("driver_id", "lat", "lon", *feats).withColumn("_g", ranker.static_logit())
-    # Drivers at one exact position are equally far from every request, so only
-    # the best max_top_k of them (by static score, then id — the ranking order)
-    # can ever be ranked.  Keeping those is exact, and a spot holding a third of
-    # all drivers shrinks before any join.  The row-number limit runs partially
-    # on the map side, so the hot position never lands whole in one task.
-    spot = Window.partitionBy("lat", "lon").orderBy(F.col("_g").desc(), F.col("driver_id").asc())
+    # Drivers at one exact position with the same static score have the same
+    # score for every request, so of them only the max_top_k with the smallest
+    # ids can ever be ranked.  (Not so with different static scores: scores may
+    # still be equal after rounding, and then the id decides.)  The row-number
+    # limit runs partially on the map side, so a hot spot never lands whole in
+    # one task.
+    spot = Window.partitionBy("lat", "lon", "_g").orderBy(F.col("driver_id").asc())
     drv = drv.withColumn("_spot", F.row_number().over(spot)).where(F.col("_spot") <= max_top_k).drop("_spot")
     drv = drv.persist()
     plan = plan or plan_grid(drv, max_top_k, w_d)
@@ -204,10 +215,14 @@ def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top
     if plan.n_drivers == 0:
         drv.unpersist()
         return _empty_result(requests, feats, carry)
-    pending = (requests.select("request_id", "rider_lat", "rider_lon", F.col("top_k").alias("_k"),
+    # No request can have more matches than there are drivers (all of them are
+    # left here unless a spot holds max_top_k of them).
+    max_top_k = min(max_top_k, plan.n_drivers)
+    most = F.least(F.col("top_k"), F.lit(plan.n_drivers))
+    pending = (requests.select("request_id", "rider_lat", "rider_lon", most.alias("_k"),
                                F.lit(None).cast("double").alias("_floor"), *carry,
                                _start_level(F.col("rider_lat"), F.col("rider_lon"), plan).alias("_p"))
-               .repartition(parts, "request_id"))
+               .repartition(parts, "request_id").dropDuplicates())  # the topic may deliver a request twice
     results = []
     bound_logit_max = float(ranker.intercept) + plan.max_static
     # The levels in use this round: at most ``p_start`` small integers.
@@ -285,9 +300,11 @@ def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, levels: list
     # Pairs below the floor cannot reach the top k (k candidates already beat it).
     scored = scored.where(F.col("_floor").isNull() | F.col("score").isNull()
                           | (F.col("score") >= F.col("_floor")))
-    w = Window.partitionBy("request_id").orderBy(F.col("score").desc_nulls_last(), F.col("driver_id").asc())
+    # Requests that share an id but not their content are ranked apart.
+    own = ["request_id", "rider_lat", "rider_lon", "_k"]
+    w = Window.partitionBy(*own).orderBy(F.col("score").desc_nulls_last(), F.col("driver_id").asc())
     ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_top_k)
-    whole = Window.partitionBy("request_id")
+    whole = Window.partitionBy(*own)
     return (ranked.withColumn("_cnt", F.count("driver_id").over(whole))
             .withColumn("_kth", F.max(F.when(F.col("rank") == F.col("_k"), F.col("score"))).over(whole)))
 
@@ -319,9 +336,29 @@ def keep_empty_requests(requests: DataFrame, nested: DataFrame) -> DataFrame:
             .select("request_id", F.coalesce(F.col("matches"), empty).alias("matches")))
 
 
-def match_drivers(requests: DataFrame, snapshot: DataFrame, ranker: Ranker,
-                  max_top_k: int | None = None, default_top_k: int = DEFAULT_TOP_K, carry=()) -> DataFrame:
-    """Q1 (flat form): validate → drop unlocated candidates → exact grid top-k."""
+def match_responses(requests: DataFrame, snapshot: DataFrame, ranker: Ranker,
+                    default_top_k: int = DEFAULT_TOP_K) -> DataFrame:
+    """K2 + K3: one row per request, ``matches`` ordered and maybe empty, ``error_type`` of rejected ones."""
+    checked = validate_requests(requests, default_top_k)
+    nested = nest_matches(match_drivers(requests, snapshot, ranker, default_top_k=default_top_k))
+    answered = keep_empty_requests(checked.where(F.col("error_type").isNull()).dropDuplicates(["request_id"]), nested) \
+        .withColumn("error_type", F.lit(None).cast("string"))
+    kind = answered.schema["matches"].dataType
+    rejected = checked.where(F.col("error_type").isNotNull()).select(
+        "request_id", F.array().cast(kind).alias("matches"), "error_type")
+    return answered.unionByName(rejected)
+
+
+def match_drivers(requests: DataFrame, snapshot: DataFrame, ranker: Ranker, max_top_k: int | None = None,
+                  default_top_k: int = DEFAULT_TOP_K, carry=(), as_of=None, ttl=None,
+                  ts: str = "event_ts") -> DataFrame:
+    """Q1 (flat form): validate → expire → drop unlocated candidates → exact grid top-k.
+
+    With ``as_of`` and ``ttl``, features of drivers last seen earlier are null,
+    as in the lookup (J4); a driver whose position has expired is no candidate.
+    """
     valid = valid_requests(requests, default_top_k)
+    if as_of is not None and ttl is not None:
+        snapshot = expire(snapshot, as_of, ttl, ["lat", "lon", *[f for f in ranker.features if f != "distance_km"]], ts)
     drivers = drop_unlocated(snapshot)
     return match_top_k(valid, drivers, ranker, max_top_k=max_top_k, carry=carry)

@@ -1,8 +1,7 @@
 """Monitoring aggregates.
 
-Histograms are bucketed per row (a CASE over the fixed bounds, codegen),
-counted per (label, bucket) with map-side partial aggregation, and made
-cumulative with a window over the tiny (label x bucket) table.
+A histogram is one aggregate per label set with a conditional count for each
+bound (map-side partial, one exchange), turned into bucket rows afterwards.
 """
 
 from __future__ import annotations
@@ -34,17 +33,15 @@ def bucket_histogram(df: DataFrame, value: str, bounds, labels=(), extra_keys=()
     Every bound appears, empty buckets included.
     """
     keys = [*labels, *extra_keys]
-    obs = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"),
-                                                    bucket_le(F.col(value), bounds).alias("le"))
-    per = obs.groupBy(*keys, "le").agg(F.count(F.lit(1)).alias("_c"), F.sum("_v").alias("_s"))
-    grid = per.select(*keys).distinct().withColumn(
-        "le", F.explode(F.array(*[F.lit(float(b)) for b in (*bounds, INF)])))
-    full = grid.join(per, [*keys, "le"], "left").fillna(0, ["_c"]).fillna(0.0, ["_s"])
-    w_cum = Window.partitionBy(*keys).orderBy("le").rowsBetween(Window.unboundedPreceding, 0) if keys \
-        else Window.orderBy("le").rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    return full.select(*keys, "le", F.sum("_c").over(w_cum).cast("long").alias("bucket_count"),
-                       F.sum("_s").over(w_all).alias("sum"), F.sum("_c").over(w_all).cast("long").alias("count"))
+    v = F.col(value)
+    per = df.where(v.isNotNull()).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("count"), F.sum(v).alias("sum"),
+        *[F.count_if(v <= F.lit(float(b))).alias(f"_b{i}") for i, b in enumerate(bounds)])
+    buckets = F.array(*[F.struct(F.lit(float(b)).alias("le"), F.col(f"_b{i}").alias("bucket_count"))
+                        for i, b in enumerate(bounds)],
+                      F.struct(F.lit(INF).alias("le"), F.col("count").alias("bucket_count")))
+    return per.where(F.col("count") > 0).select(*keys, F.inline(buckets), "sum", "count") \
+        .select(*keys, "le", "bucket_count", "sum", "count")
 
 
 def labelled_counter(df: DataFrame, label: str, value: str | None = None, name: str = "total") -> DataFrame:

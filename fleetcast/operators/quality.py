@@ -2,9 +2,10 @@
 
 Quantiles are exact and linearly interpolated (numpy's default).  Spark's
 ``percentile`` keeps a value→count map per group, which grows with distinct
-values, so here a quantile comes from a distributed sort instead: rows get
-their position per feature (``with_group_index``), and the two neighbours of
-``q·(n-1)`` are picked with a filter.  Nothing is collected per group.
+values, so here equal values are counted first (aggregated before any shuffle,
+so a value on most rows is one row), the counts are summed up in value order by
+a distributed sort, and the two neighbours of ``q·(n-1)`` are picked with a
+filter, for all quantiles in one pass.  Nothing is collected per group.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetcast.functions.frames import with_group_index
+from fleetcast.functions.frames import with_group_sum
 
 
 def to_long(df: DataFrame, cols, name: str = "feature", value: str = "value",
@@ -25,30 +26,23 @@ def to_long(df: DataFrame, cols, name: str = "feature", value: str = "value",
 def exact_quantiles(long_df: DataFrame, qs: dict[str, float], group: str = "feature",
                     value: str = "value") -> DataFrame:
     """Per group, linear-interpolated quantiles over non-null, non-NaN values."""
-    clean = long_df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value))).select(group, value)
-    # A tiebreak is not needed: equal values are interchangeable for a quantile,
-    # but the order must be total for stable positions, so add a row hash.
-    idx = with_group_index(clean.withColumn("_h", F.xxhash64(group, value)),
-                           [F.col(value), F.col("_h")], [group], "_i")
-    counts = clean.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    posed = idx.join(F.broadcast(counts), group)  # one row per group
-    picks = []
+    clean = long_df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value)))
+    counts = clean.groupBy(group, value).agg(F.count(F.lit(1)).alias("_c"))
+    upto = with_group_sum(counts, [value], group, "_c", "_upto")
+    totals = upto.groupBy(group).agg(F.max("_upto").alias("_n"))
+    posed = upto.join(F.broadcast(totals), group)  # one row per group
+    ends = []
     for name, q in qs.items():
         pos = F.lit(q) * (F.col("_n") - 1)
         lo, hi = F.floor(pos), F.ceil(pos)
-        sel = posed.where((F.col("_i") == lo) | (F.col("_i") == hi)).select(
-            group, F.lit(name).alias("_q"), (F.col("_i") == lo).alias("_lo"),
-            (F.col("_i") == hi).alias("_hi"), value, (pos - lo).alias("_frac"))
-        picks.append(sel)
-    u = picks[0]
-    for p in picks[1:]:
-        u = u.unionByName(p)
-    agg = u.groupBy(group, "_q").agg(
-        F.max(F.when(F.col("_lo"), F.col(value))).alias("_vlo"),
-        F.max(F.when(F.col("_hi"), F.col(value))).alias("_vhi"),
-        F.max("_frac").alias("_frac"))
-    val = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
-    return agg.groupBy(group).pivot("_q", list(qs)).agg(F.first(val))
+
+        def at(p):  # this value stands at the positions from _upto - _c to _upto - 1
+            return (F.col("_upto") - F.col("_c") <= p) & (p < F.col("_upto"))
+        ends += [F.max(F.when(at(lo), F.col(value))).alias(f"{name}_lo"),
+                 F.max(F.when(at(hi), F.col(value))).alias(f"{name}_hi"), F.max(pos - lo).alias(f"{name}_part")]
+    picked = posed.groupBy(group).agg(*ends)
+    return picked.select(group, *[(F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo"))
+                                   * F.col(f"{name}_part")).alias(name) for name in qs])
 
 
 def feature_baseline(df: DataFrame, cols) -> DataFrame:

@@ -1,10 +1,10 @@
 """Training-set construction.
 
 Candidate choice (J7) never ranks all drivers for a request: drivers get a
-dense index 0…n-1 (distributed sort + per-partition offsets), and request r
-takes one driver from each of its k strata of the index,
-``j*s + hash(seed, r, j) mod s`` with ``s = n div k``.  That is k distinct
-drivers, chosen by a reproducible hash, via an equi-join on the index.
+dense index 0…n-1 (distributed sort + per-partition offsets).  Request r turns
+the index by a hash of its own, cuts the whole circle into k strata
+``[j*n div k, (j+1)*n div k)`` and takes one driver of each by a second hash:
+k distinct drivers, every driver equally likely, via an equi-join on the index.
 """
 
 from __future__ import annotations
@@ -75,17 +75,27 @@ def index_drivers(drivers: DataFrame, key: str = "driver_id") -> DataFrame:
 
 def sample_candidates(requests: DataFrame, drivers: DataFrame, k_col: str = "num_candidates",
                       seed: int = SEED, min_drivers: int = 5) -> DataFrame:
-    """``k`` distinct drivers per request (k from the request row, at most n)."""
+    """``k`` distinct drivers per request (k from the request row, at most n).
+
+    Requests without a positive ``k`` have no candidates; see ``rejected_samples``.
+    """
     idx = index_drivers(drivers)   # reads a checkpointed, numbered copy; cheap to re-read
     n = idx.count()
     if n < min_drivers:
         raise ValueError(f"need at least {min_drivers} drivers to sample candidates, found {n}")
     k = F.least(F.col(k_col).cast("long"), F.lit(n))
-    s = F.floor(F.lit(n) / k)
-    picks = (requests.withColumn("_k", k)
-             .withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)))
-             .withColumn("_idx", F.col("_j") * s + F.pmod(seeded_hash32(seed, "request_id", "_j"), s)))
-    return picks.join(idx, "_idx", "inner").drop("_idx", "_k")
+    picks = (requests.where(F.col(k_col) >= 1).withColumn("_k", k)
+             .withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1))))
+    low, high = F.expr(f"(_j * {n}L) div _k"), F.expr(f"((_j + 1L) * {n}L) div _k")
+    at = seeded_hash32(seed, "request_id") + low + F.pmod(seeded_hash32(seed, "request_id", "_j"), high - low)
+    return picks.withColumn("_idx", F.pmod(at, F.lit(n).cast("long"))).join(idx, "_idx", "inner").drop("_idx", "_k")
+
+
+def rejected_samples(requests: DataFrame, k_col: str = "num_candidates") -> DataFrame:
+    """Requests that ``sample_candidates`` leaves out, with ``error_type``."""
+    reason = F.when(F.col(k_col).isNull(), F.lit("missing_num_candidates")) \
+        .when(F.col(k_col) < 1, F.lit("invalid_num_candidates"))
+    return requests.withColumn("error_type", reason).where(reason.isNotNull())
 
 
 def label_nearest(pairs: DataFrame, rider_lat: str = "rider_lat", rider_lon: str = "rider_lon") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetcast.functions.frames import cut_lineage
+from fleetcast.functions.geo import haversine_km
 from fleetcast.functions.hashing import sql_seeded_hash32, sql_seeded_md5
 from fleetcast.functions.scoring import FIXTURE_RANKER
 from fleetcast.operators import asof
@@ -76,7 +77,9 @@ def q_latest_per_driver(spark, sf_dir):
 # ------------------------------------------------------------ Q1 match
 
 MATCH_CTES = f"""
-, snap AS (SELECT * FROM ({LATEST_DRIVER_SQL}) s WHERE lat IS NOT NULL AND lon IS NOT NULL)
+, now_ AS (SELECT max(event_ts) AS t FROM fx_driver_events)
+, snap AS (SELECT s.* FROM ({LATEST_DRIVER_SQL}) s, now_
+           WHERE lat IS NOT NULL AND lon IS NOT NULL AND event_ts >= t - INTERVAL 12 HOUR)
 , req AS (SELECT request_id, request_ts, rider_lat, rider_lon, coalesce(top_k, 5) AS k FROM fx_rider_requests
           WHERE rider_id IS NOT NULL AND coalesce(top_k, 5) >= 1)
 , pairs AS (SELECT r.request_id, r.request_ts, r.k, s.driver_id, s.accept_rate_7d, s.avg_response_ms,
@@ -92,11 +95,15 @@ SELECT request_id, CAST(rank AS INTEGER) AS rank, driver_id, round(distance_km,
        round(score, 9) AS score FROM matches""")
 
 
+MATCH_TTL = _dt.timedelta(hours=12)
+
+
 def fixture_matches(spark, sf_dir) -> DataFrame:
-    """Flat top-k matches of the fixture requests, with request time carried."""
+    """Flat top-k matches of the fixture requests; drivers not seen for 12 hours have expired."""
     ev = events(spark, sf_dir)
-    snap = latest_per_key(fx.driver_events(ev))
-    return match_drivers(fx.rider_requests(ev), snap, FIXTURE_RANKER, carry=("request_ts",))
+    feats = fx.driver_events(ev)
+    return match_drivers(fx.rider_requests(ev), latest_per_key(feats), FIXTURE_RANKER, carry=("request_ts",),
+                         as_of=_max_ts(feats, "event_ts"), ttl=MATCH_TTL)
 
 
 @register("match_drivers", _MATCH_ORACLE)
@@ -133,13 +140,16 @@ def q_ingest_audit(spark, sf_dir):
 
 
 @register("ingest_flat", with_fixtures("""
-SELECT request_id, rider_id, request_ts AS event_ts, rider_lat, rider_lon, pref_vehicle
-FROM fx_rider_requests"""))
+, all_ AS (SELECT event_type, event_id, event_ts FROM fx_driver_events WHERE NOT (event_id % 29 = 0 OR event_id % 31 = 0)
+           UNION ALL SELECT 'rider_request', event_id, request_ts FROM fx_rider_requests)
+SELECT event_type, event_id, event_ts, CAST(year(event_ts) AS INTEGER) AS year, CAST(month(event_ts) AS INTEGER) AS month,
+       CAST(day(event_ts) AS INTEGER) AS day FROM all_"""))
 def q_ingest_flat(spark, sf_dir):
-    lines = fx.rider_requests_json(events(spark, sf_dir))
-    flat = src.decode_events(lines, on_bad="fail")
-    return src.route_rider_requests(flat).select(
-        "request_id", "rider_id", "event_ts", "rider_lat", "rider_lon", "pref_vehicle")
+    """All kinds of records of the topic in one dated table, written and read back; bad lines stay out."""
+    decoded = src.decode_events(fx.topic_lines(events(spark, sf_dir)))
+    path = scratch_path(spark, "flat")
+    src.write_driver_events(decoded.where(F.col("_error").isNull()).drop("_error", "_raw"), path)
+    return spark.read.parquet(path).select("event_type", "event_id", "event_ts", "year", "month", "day")
 
 
 @register("extract_partition_cols", with_fixtures(f"""
@@ -293,11 +303,13 @@ _TRAINING_CTES = f"""
               WHERE lat IS NOT NULL AND lon IS NOT NULL)
 , idx AS (SELECT *, row_number() OVER (ORDER BY driver_id) - 1 AS idx_ FROM located)
 , n AS (SELECT count(*) AS n FROM located)
-, req AS (SELECT request_id, rider_lat, rider_lon, least(num_candidates, n.n) AS k, n.n AS n FROM fx_rider_requests, n)
-, js AS (SELECT request_id, rider_lat, rider_lon, k, n, unnest(range(k)) AS j FROM req)
-, picks AS (SELECT *, j * (n // k) + {sql_seeded_hash32(42, 'request_id', 'j')} % (n // k) AS idx_ FROM js)
-, pairs AS (SELECT p.request_id, p.rider_lat, p.rider_lon, i.driver_id, i.lat, i.lon, i.accept_rate_7d,
-                   i.avg_response_ms FROM picks p JOIN idx i ON p.idx_ = i.idx_)
+, req AS (SELECT request_id, request_ts, rider_lat, rider_lon, least(num_candidates, n.n) AS k, n.n AS n
+          FROM fx_rider_requests, n WHERE num_candidates >= 1)
+, js AS (SELECT request_id, request_ts, rider_lat, rider_lon, k, n, unnest(range(k)) AS j FROM req)
+, picks AS (SELECT *, ({sql_seeded_hash32(42, 'request_id')} + (j * n) // k
+                       + {sql_seeded_hash32(42, 'request_id', 'j')} % (((j + 1) * n) // k - (j * n) // k)) % n AS idx_ FROM js)
+, pairs AS (SELECT p.request_id, p.request_ts, p.j AS slot, p.rider_lat, p.rider_lon, i.driver_id, i.lat, i.lon,
+                   i.accept_rate_7d, i.avg_response_ms FROM picks p JOIN idx i ON p.idx_ = i.idx_)
 , dist AS (SELECT *, {haversine_sql('rider_lat', 'rider_lon', 'lat', 'lon')} AS distance_km FROM pairs)
 , ts_ AS (SELECT request_id, driver_id, distance_km, accept_rate_7d, avg_response_ms,
           CASE WHEN row_number() OVER (PARTITION BY request_id ORDER BY distance_km, driver_id) = 1
@@ -330,6 +342,21 @@ def q_sample_candidates(spark, sf_dir):
         .select("request_id", "driver_id", F.col("_j").alias("slot"))
 
 
+@register("candidate_coverage", with_fixtures(f"""
+, located AS (SELECT driver_id FROM ({LATEST_DRIVER_SQL}) s WHERE lat IS NOT NULL AND lon IS NOT NULL)
+SELECT request_id, least(num_candidates, n) AS n_candidates, least(num_candidates, n) AS n_distinct, true AS all_drawn
+FROM fx_rider_requests, (SELECT count(*) AS n FROM located)"""))
+def q_candidate_coverage(spark, sf_dir):
+    """What J7 must hold whatever its formula: k distinct drivers a request, and every driver is drawn for some."""
+    ev = events(spark, sf_dir)
+    located = mt.drop_unlocated(latest_per_key(fx.driver_events(ev))).select("driver_id")
+    got = cut_lineage(tr.sample_candidates(fx.rider_requests(ev).select("request_id", "num_candidates"), located))
+    all_drawn = located.join(got.select("driver_id").distinct(), "driver_id", "left_anti").isEmpty()
+    return got.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_candidates"),
+                                         F.countDistinct("driver_id").alias("n_distinct")) \
+        .withColumn("all_drawn", F.lit(all_drawn))
+
+
 @register("label_balance", with_fixtures(_TRAINING_CTES + """
 SELECT CAST(sum(label) AS BIGINT) AS positives, avg(label) AS positive_share,
        CAST(count(*) AS BIGINT) AS examples, CAST(count(DISTINCT request_id) AS BIGINT) AS requests FROM ts_"""))
@@ -421,12 +448,23 @@ def q_rejected_requests(spark, sf_dir):
     return mt.rejected_requests(fx.rider_requests(events(spark, sf_dir))).select("request_id", "top_k", "error_type")
 
 
-@register("match_response")
+@register("match_response", with_fixtures(MATCH_CTES + """
+, m_ AS (SELECT request_id, count(*) AS n, string_agg(driver_id || ':' || CAST(CAST(round(score * 1000000) AS BIGINT) AS VARCHAR),
+           ',' ORDER BY rank) AS matches FROM matches GROUP BY request_id)
+SELECT r.request_id, CASE WHEN coalesce(r.top_k, 5) < 1 THEN 'invalid_top_k' END AS error_type,
+       CAST(coalesce(m_.n, 0) AS INTEGER) AS match_count, coalesce(m_.matches, '') AS matches
+FROM fx_rider_requests r LEFT JOIN m_ USING (request_id)"""))
 def q_match_response(spark, sf_dir):
-    """K2 + K3: one row per valid request, ``matches`` as an ordered list (empty when none)."""
+    """K2 + K3: one row per request, ``matches`` in order (as text), empty when none; rejected ones with the reason."""
     ev = events(spark, sf_dir)
-    flat = fixture_matches(spark, sf_dir)
-    return mt.keep_empty_requests(mt.valid_requests(fx.rider_requests(ev)), mt.nest_matches(flat))
+    feats = fx.driver_events(ev)
+    snap = lt.expire(latest_per_key(feats), _max_ts(feats, "event_ts"), MATCH_TTL,
+                     ["lat", "lon", "accept_rate_7d", "avg_response_ms"])
+    out = mt.match_responses(fx.rider_requests(ev), snap, FIXTURE_RANKER)
+    item = F.transform("matches", lambda x: F.concat(
+        x["driver_id"], F.lit(":"), F.round(x["score"] * 1000000).cast("long").cast("string")))
+    return out.select("request_id", "error_type", F.size("matches").alias("match_count"),
+                      F.array_join(item, ",").alias("matches"))
 
 
 # ------------------------------------------------------------ M3-M8, Q3 model
@@ -537,22 +575,37 @@ def q_latency_p95_daily(spark, sf_dir):
     return mx.histogram_quantile(h, 0.95, keys=["day"]).select("day", r9("quantile"))
 
 
+# Monitoring sees every candidate that was scored, ranked or not.
+_SCORED_CTES = _TRAINING_CTES + f"""
+, scored AS (SELECT *, {score_sql(FIXTURE_RANKER, {})} AS score FROM dist WHERE distance_km IS NOT NULL)"""
+
 _OBS_SQL = """
 , obs_all AS (
-  SELECT 'distance_km' AS feature_name, distance_km AS value, request_ts, request_id, rank FROM matches
-  UNION ALL SELECT 'accept_rate_7d', accept_rate_7d, request_ts, request_id, rank FROM matches
-  UNION ALL SELECT 'avg_response_ms', avg_response_ms, request_ts, request_id, rank FROM matches)
+  SELECT 'distance_km' AS feature_name, distance_km AS value, request_ts, request_id, slot FROM scored
+  UNION ALL SELECT 'accept_rate_7d', accept_rate_7d, request_ts, request_id, slot FROM scored
+  UNION ALL SELECT 'avg_response_ms', avg_response_ms, request_ts, request_id, slot FROM scored)
 , obs AS (SELECT *, time_bucket(INTERVAL 5 MINUTE, request_ts) AS window_start
           FROM obs_all WHERE value IS NOT NULL AND NOT isnan(value))"""
 
 
+def fixture_scored(spark, sf_dir) -> DataFrame:
+    """All scored candidates of the fixture requests (J7 → P13 → M4)."""
+    ev = events(spark, sf_dir)
+    located = mt.drop_unlocated(latest_per_key(fx.driver_events(ev)))
+    pairs = tr.sample_candidates(
+        fx.rider_requests(ev).select("request_id", "request_ts", "rider_lat", "rider_lon", "num_candidates"),
+        located.select("driver_id", "lat", "lon", "accept_rate_7d", "avg_response_ms"))
+    d = pairs.withColumn("distance_km", haversine_km("rider_lat", "rider_lon", "lat", "lon"))
+    return md.score_rows(d, FIXTURE_RANKER).withColumnRenamed("_j", "slot")
+
+
 def _observations(spark, sf_dir) -> DataFrame:
     from fleetcast.operators.drift import observations
-    m = fixture_matches(spark, sf_dir)
-    return observations(m, ["distance_km", "accept_rate_7d", "avg_response_ms"], ["request_ts", "request_id", "rank"])
+    return observations(fixture_scored(spark, sf_dir), ["distance_km", "accept_rate_7d", "avg_response_ms"],
+                        ["request_ts", "request_id", "slot"])
 
 
-@register("feature_sum_by_le", with_fixtures(MATCH_CTES + _OBS_SQL + """
+@register("feature_sum_by_le", with_fixtures(_SCORED_CTES + _OBS_SQL + """
 , wl AS (SELECT DISTINCT window_start FROM obs)
 , b_ AS (SELECT * FROM (VALUES (0.0), (1.0), (2.0), (5.0), (10.0), (20.0), (50.0), (100.0),
                                (CAST('inf' AS DOUBLE))) t(le))
@@ -566,10 +619,10 @@ def q_feature_sum_by_le(spark, sf_dir):
     return mx.sum_by_le(h, ["window_start"])
 
 
-@register("score_histogram", with_fixtures(MATCH_CTES + _hist_sql("matches", "score", mx.SCORE_BOUNDS) + """
+@register("score_histogram", with_fixtures(_SCORED_CTES + _hist_sql("scored", "score", mx.SCORE_BOUNDS) + """
 SELECT le, bucket_count, round(sum, 6) AS sum, count FROM h_"""))
 def q_score_histogram(spark, sf_dir):
-    h = mx.bucket_histogram(fixture_matches(spark, sf_dir), "score", mx.SCORE_BOUNDS)
+    h = mx.bucket_histogram(fixture_scored(spark, sf_dir), "score", mx.SCORE_BOUNDS)
     return h.select("le", "bucket_count", r6("sum"), "count")
 
 
@@ -582,8 +635,8 @@ BASELINE_P95 = {"distance_km": 6.917964599408996, "accept_rate_7d": 0.93, "avg_r
 _BASE_SQL = ", base AS (SELECT * FROM (VALUES " + ", ".join(
     f"('{k}', CAST({v!r} AS DOUBLE))" for k, v in BASELINE_P95.items()) + ") t(feature_name, baseline_p95))"
 
-_DRIFT_SQL = MATCH_CTES + _OBS_SQL + _BASE_SQL + """
-, num AS (SELECT *, row_number() OVER (PARTITION BY feature_name ORDER BY request_ts, request_id, rank) AS n
+_DRIFT_SQL = _SCORED_CTES + _OBS_SQL + _BASE_SQL + """
+, num AS (SELECT *, row_number() OVER (PARTITION BY feature_name ORDER BY request_ts, request_id, slot) AS n
           FROM obs)
 , win AS (SELECT feature_name, n,
             quantile_cont(value, 0.95) OVER (PARTITION BY feature_name ORDER BY n ROWS BETWEEN 999 PRECEDING AND CURRENT ROW) AS cur,
@@ -600,7 +653,7 @@ def _baseline_df(spark) -> DataFrame:
 
 
 def _drift(spark, sf_dir) -> DataFrame:
-    return dr.drift_score(_observations(spark, sf_dir), _baseline_df(spark), ["request_ts", "request_id", "rank"])
+    return dr.drift_score(_observations(spark, sf_dir), _baseline_df(spark), ["request_ts", "request_id", "slot"])
 
 
 @register("drift_score", with_fixtures(_DRIFT_SQL + """
@@ -618,6 +671,29 @@ def q_drift_status(spark, sf_dir):
     return dr.drift_status(_drift(spark, sf_dir)).select("feature_name", "observations", "status")
 
 
+@register("monitor", with_fixtures(_DRIFT_SQL + _hist_sql("scored", "score", mx.SCORE_BOUNDS) + """
+SELECT 'drift' AS panel, feature_name AS series, CAST(n AS DOUBLE) AS x, round(drift, 9) AS value FROM d_
+UNION ALL SELECT 'score_le', 'score', le, CAST(bucket_count AS DOUBLE) FROM h_
+UNION ALL SELECT 'errors', error_type, CAST(0 AS DOUBLE), CAST(count(*) AS DOUBLE) FROM fx_calls
+          WHERE error_type IS NOT NULL GROUP BY error_type
+UNION ALL SELECT 'requests', 'total', CAST(0 AS DOUBLE), CAST(count(*) AS DOUBLE) FROM fx_calls"""))
+def q_monitor(spark, sf_dir):
+    """Q6: the panels of a dashboard over one run, in long form."""
+    drift = _drift(spark, sf_dir).select(F.lit("drift").alias("panel"), F.col("feature_name").alias("series"),
+                                         F.col("observations").cast("double").alias("x"),
+                                         F.round("drift", 9).alias("value"))
+    scores = mx.bucket_histogram(fixture_scored(spark, sf_dir), "score", mx.SCORE_BOUNDS).select(
+        F.lit("score_le").alias("panel"), F.lit("score").alias("series"), F.col("le").alias("x"),
+        F.col("bucket_count").cast("double").alias("value"))
+    calls = _calls(spark, sf_dir)
+    errors = mx.labelled_counter(calls, "error_type").select(
+        F.lit("errors").alias("panel"), F.col("error_type").alias("series"), F.lit(0.0).alias("x"),
+        F.col("total").cast("double").alias("value"))
+    total = calls.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+        F.lit("requests").alias("panel"), F.lit("total").alias("series"), F.lit(0.0).alias("x"), "value")
+    return drift.unionByName(scores).unionByName(errors).unionByName(total)
+
+
 # ------------------------------------------------------------ P6-P9, P12, P15, T7, T8
 
 
@@ -704,6 +780,36 @@ def q_offline_round_trip(spark, sf_dir):
     return rows
 
 
+@register("offline_round_trip_ingest", _OFFLINE_RANGE_SQL)
+def q_offline_round_trip_ingest(spark, sf_dir):
+    """S6 with folders by ingest date → S7 over an event-time range: no folder is left out by mistake."""
+    drivers = src.route_driver_events(src.decode_events(fx.driver_events_json(events(spark, sf_dir))))
+    path = scratch_path(spark, "offline-ingest")
+    src.write_driver_events(drivers, path, partition_on="ingest_ts")
+    lo = drivers.agg(F.min("event_ts")).first()[0]
+    return src.read_offline_events(spark, path, ["driver_id", "event_ts", "lat", "lon", "accept_rate_7d",
+                                                 "avg_response_ms"],
+                                   lo + _dt.timedelta(days=3), lo + _dt.timedelta(days=6))
+
+
+@register("push_features", with_fixtures(f"""
+SELECT 'offline' AS side, driver_id, event_ts FROM fx_driver_events
+UNION ALL SELECT 'online', driver_id, event_ts FROM ({LATEST_DRIVER_SQL}) s"""))
+def q_push_features(spark, sf_dir):
+    """Two pushes, the second one repeated; offline rows once, newest rows online."""
+    feats = fx.driver_events(events(spark, sf_dir))
+    b = feats.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")).first()
+    mid = F.lit(b["lo"] + (b["hi"] - b["lo"]) / 2)
+    root = scratch_path(spark, "push")
+    late, early = feats.where(F.col("event_ts") > mid), feats.where(F.col("event_ts") <= mid)
+    for n, part in ((0, late), (1, early), (1, early)):
+        store.push_features(part, f"{root}/offline", f"{root}/online", [DRIVER_AGG], ["driver_id"], commit=("q", n))
+    return src.read_offline_events(spark, f"{root}/offline", ["driver_id", "event_ts"]) \
+        .select(F.lit("offline").alias("side"), "driver_id", "event_ts") \
+        .unionByName(store.read_online(spark, f"{root}/online", DRIVER_AGG.name)
+                     .select(F.lit("online").alias("side"), "driver_id", "event_ts"))
+
+
 @register("online_upsert", with_fixtures(f"""
 SELECT driver_id, accept_rate_7d, avg_response_ms, event_ts FROM ({LATEST_DRIVER_SQL}) s"""))
 def q_online_upsert(spark, sf_dir):
@@ -717,6 +823,35 @@ def q_online_upsert(spark, sf_dir):
     return store.read_online(spark, root, DRIVER_AGG.name)
 
 
+@register("online_mixed_writers", with_fixtures(f"""
+SELECT driver_id, lat, lon, status, event_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY event_ts DESC, event_id DESC) AS rn_
+  FROM fx_driver_events WHERE {_CLEAN}) s WHERE rn_ = 1"""))
+def q_online_mixed_writers(spark, sf_dir):
+    """A batch job writes first, then two streams with their own checkpoints; no writer's rows are lost."""
+    ev = events(spark, sf_dir)
+    lines = fx.driver_events_json(ev)
+    root = scratch_path(spark, "online-mixed")
+    bucket = F.pmod(F.xxhash64("value"), F.lit(3))
+    first = src.route_driver_events(src.decode_events(lines.where(bucket == 0)))
+    store.upsert_online(lt.materialize(first, DRIVER_STATUS), root, DRIVER_STATUS.name, ["driver_id"])
+    for part in (1, 2):
+        topic = _topic_files(spark, lines.where(bucket == part), 2)
+        sj.stream_online(src.read_events_stream(spark, path=topic, max_per_trigger=1), root, [DRIVER_STATUS],
+                         f"{root}/_ck{part}").awaitTermination()
+    return store.read_online(spark, root, DRIVER_STATUS.name).select("driver_id", "lat", "lon", "status", "event_ts")
+
+
+@register("stats_round_trip", with_fixtures("""
+SELECT 'latency_s' AS feature, count(latency_s) AS count, round(min(latency_s), 6) AS min, round(max(latency_s), 6) AS max,
+       round(quantile_cont(latency_s, 0.95), 6) AS p95 FROM fx_calls"""))
+def q_stats_round_trip(spark, sf_dir):
+    """A6 → S10: baseline statistics written and read back."""
+    path = scratch_path(spark, "stats")
+    store.write_stats(qa.feature_baseline(_calls(spark, sf_dir), ["latency_s"]), path)
+    return store.read_stats(spark, path).select("feature", "count", r6("min"), r6("max"), r6("p95"))
+
+
 def _topic_files(spark, lines: DataFrame, files: int) -> str:
     """Write topic lines as ``files`` text files (each becomes one micro-batch)."""
     path = scratch_path(spark, "topic")

@@ -52,8 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when none is set.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; that value
-    always wins.  Only unconfigured sessions (unit tests) get a fresh local
-    folder.
+    always wins.  Only unconfigured local sessions (unit tests) get a fresh local
+    folder; on a cluster that names none, this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="fleetcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

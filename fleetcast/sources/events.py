@@ -151,32 +151,61 @@ def write_driver_events(df: DataFrame, path: str, partition_on: str = "event_ts"
     """Append Parquet below ``year=/month=/day=``.
 
     ``partition_on="event_ts"`` partitions by event time (so time filters
-    prune directories); ``"ingest_ts"`` by the wall clock of the write.
+    prune directories); ``"ingest_ts"`` by the wall clock of the write.  The
+    table remembers its clock; rows are clustered by date first, so each task
+    writes to few folders.
     """
+    mark_clock(df.sparkSession, path, partition_on)
     if partition_on == "ingest_ts":
         df = df.withColumn("_ingest_ts", F.current_timestamp().cast("timestamp_ntz"))
         df = extract_partition_cols(df, "_ingest_ts").drop("_ingest_ts")
     else:
         df = extract_partition_cols(df, partition_on)
-    df.write.mode(mode).partitionBy("year", "month", "day").parquet(path)
+    df.repartition("year", "month", "day", F.pmod(F.xxhash64(*df.columns), F.lit(DATE_FILES))) \
+        .write.mode(mode).partitionBy("year", "month", "day").parquet(path)
+
+
+#: Tasks that share the rows of one date, so that no date lands in one task.
+DATE_FILES = 8
+
+
+def _clocks(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_clock")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def mark_clock(spark: SparkSession, path: str, clock: str) -> None:
+    """Note in the table (an empty file below ``_clock``) which time its date folders hold."""
+    fs, folder = _clocks(spark, path)
+    fs.create(spark._jvm.org.apache.hadoop.fs.Path(folder, clock), True).close()
+
+
+def folders_hold(spark: SparkSession, path: str, clock: str) -> bool:
+    """Whether all date folders of the table are known to hold ``clock``."""
+    fs, folder = _clocks(spark, path)
+    return fs.exists(folder) and [st.getPath().getName() for st in fs.listStatus(folder)] == [clock]
 
 
 def read_offline_events(spark: SparkSession, path: str, columns=None, start=None, end=None,
                         ts: str = "event_ts") -> DataFrame:
     """Scan the offline table with a fixed schema; prune columns and partitions.
 
-    A time range becomes both an ``event_ts`` predicate (pushed to Parquet) and
-    a predicate on the ``year/month/day`` directories (partition pruning).
+    A time range becomes an ``event_ts`` predicate (pushed to Parquet) and, where
+    the ``year/month/day`` directories hold that time, one on them as well
+    (partition pruning).
     """
     schema = T.StructType(OFFLINE_DRIVER_SCHEMA.fields + [
         T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
     df = spark.read.schema(schema).parquet(path)
     if start is not None or end is not None:
+        prune = folders_hold(spark, path, ts)
         day = F.make_date("year", "month", "day")
         if start is not None:
-            df = df.where((day >= F.to_date(F.lit(start))) & (F.col(ts) >= F.lit(start)))
+            df = df.where(F.col(ts) >= F.lit(start))
+            df = df.where(day >= F.to_date(F.lit(start))) if prune else df
         if end is not None:
-            df = df.where((day <= F.to_date(F.lit(end))) & (F.col(ts) <= F.lit(end)))
+            df = df.where(F.col(ts) <= F.lit(end))
+            df = df.where(day <= F.to_date(F.lit(end))) if prune else df
     return df.select(*(columns or [f.name for f in OFFLINE_DRIVER_SCHEMA.fields]))
 
 

@@ -4,7 +4,10 @@ Layout: ``{root}/{view}/v=0000000042/`` holds the full latest-value snapshot
 of one view (one row per entity).  A version counts only once Spark's
 ``_SUCCESS`` marker is present, so readers never see a half-written version
 and a writer never overwrites the version being read.  Upserts merge the
-newest event time per key (a late, older row never overwrites a newer one).
+newest event time per key (a late, older row never overwrites a newer one), so
+merging a batch twice changes nothing.  A stream also notes the last batch it
+merged, by its own name, below ``_commits``; numbers of other writers never
+stand for it.  The newest ``KEEP`` versions stay for readers that began earlier.
 File listing goes through the Hadoop FileSystem API, so any cluster
 filesystem works.
 """
@@ -15,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetcast.operators.latest import merge_newest
 
+KEEP = 3
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
@@ -56,35 +61,69 @@ def write_online(snapshot: DataFrame, root: str, view: str, version: int | None
     return version
 
 
-def upsert_online(new_latest: DataFrame, root: str, view: str, keys, version: int | None = None) -> int:
-    """Merge newest-wins into the current snapshot and commit a new version.
+def last_commit(spark: SparkSession, folder: str, writer: str) -> int:
+    """The last batch that ``writer`` noted below ``folder`` (-1: none)."""
+    fs, p, _ = _fs(spark, f"{folder.rstrip('/')}/_commits")
+    if not fs.exists(p):
+        return -1
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return max([int(n.rpartition("=")[2]) for n in names if n.startswith(f"{writer}=")], default=-1)
+
+
+def note_commit(spark: SparkSession, folder: str, writer: str, batch: int) -> None:
+    """Note a batch of ``writer``, then drop its older notes."""
+    fs, p, jvm = _fs(spark, f"{folder.rstrip('/')}/_commits")
+    fs.create(jvm.org.apache.hadoop.fs.Path(p, f"{writer}={batch}"), True).close()
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith(f"{writer}=") and int(name.rpartition("=")[2]) < batch:
+            fs.delete(st.getPath(), False)
 
-    ``version`` lets a streaming ``foreachBatch`` pass its batch id, making a
-    replayed batch rewrite the same version (idempotent).
+
+def upsert_online(new_latest: DataFrame, root: str, view: str, keys, commit: tuple[str, int] | None = None,
+                  keep: int = KEEP) -> int:
+    """Merge newest-wins into the current snapshot and commit the next version.
+
+    ``commit``: (writer, batch) of a stream, by which a replayed batch is known
+    and skipped; a batch that was merged but not noted is merged again, to the
+    same rows.  Versions older than the newest ``keep`` are deleted.
     """
     spark = new_latest.sparkSession
+    folder = f"{root.rstrip('/')}/{view}"
     vs = committed_versions(spark, root, view)
-    if version is not None and version in vs:
-        return version  # this batch was already committed
-    prior = [v for v in vs if version is None or v < version]
-    old = spark.read.parquet(version_path(root, view, prior[-1])) if prior else None
+    if commit and vs and last_commit(spark, folder, commit[0]) >= commit[1]:
+        return vs[-1]
+    old = spark.read.parquet(version_path(root, view, vs[-1])) if vs else None
     merged = new_latest if old is None else merge_newest(old, new_latest.select(*old.columns), keys)
-    return write_online(merged, root, view, version if version is not None else ((vs[-1] + 1) if vs else 1))
+    version = write_online(merged, root, view, (vs[-1] + 1) if vs else 1)
+    if commit:
+        note_commit(spark, folder, *commit)
+    fs, _, jvm = _fs(spark, folder)
+    for v in (vs[:-(keep - 1)] if keep > 1 else vs):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(root, view, v)), True)
+    return version
 
 
 def push_features(rows: DataFrame, offline_path: str, online_root: str, views, keys,
-                  partition_on: str = "event_ts", version: int | None = None) -> None:
-    """Append fresh rows offline and upsert their newest values online."""
+                  partition_on: str = "event_ts", commit: tuple[str, int] | None = None) -> None:
+    """Append fresh rows offline and upsert their newest values online.
+
+    With ``commit`` (writer, number) a push that was noted is not appended again.
+    """
     from fleetcast.operators.latest import latest_per_key
     from fleetcast.sources.events import write_driver_events
 
     rows = rows.persist()
     try:
-        write_driver_events(rows, offline_path, partition_on=partition_on)
+        spark = rows.sparkSession
+        if commit is None or last_commit(spark, offline_path, commit[0]) < commit[1]:
+            write_driver_events(rows, offline_path, partition_on=partition_on)
+            if commit:
+                note_commit(spark, offline_path, *commit)
         latest = latest_per_key(rows, keys, "event_ts", ("event_id",) if "event_id" in rows.columns else ())
         for v in views:
             snap = latest.select(*keys, *v.typed_fields(), "event_ts")
-            upsert_online(snap, online_root, v.name, keys, version)
+            upsert_online(snap, online_root, v.name, keys, commit)
     finally:
         rows.unpersist()
 

@@ -9,6 +9,8 @@ writers that key their output by batch id and skip a batch already committed.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,6 +32,11 @@ def _fs(spark: SparkSession):
     return jvm, spark._jsc.hadoopConfiguration()
 
 
+def _writer(checkpoint: str) -> str:
+    """Name of a stream in commit notes: a new checkpoint folder is a new stream."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def _marker_exists(spark: SparkSession, path: str) -> bool:
     jvm, conf = _fs(spark)
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -55,6 +62,8 @@ def stream_ingest(spark: SparkSession, lines: DataFrame, offline_path: str, ride
     drivers = src.extract_partition_cols(src.route_driver_events(decoded))
     riders = src.extract_partition_cols(src.route_rider_requests(decoded))
     bad = src.rejects(decoded)
+    src.mark_clock(spark, offline_path, "event_ts")
+    src.mark_clock(spark, riders_path, "event_ts")
     out = []
     for name, df, path, parts in (("drivers", drivers, offline_path, ["year", "month", "day"]),
                                   ("riders", riders, riders_path, ["year", "month", "day"]),
@@ -88,8 +97,8 @@ def stream_online(lines: DataFrame, online_root: str, views, checkpoint: str, ke
                   available_now: bool = True, interval: str | None = None) -> StreamingQuery:
     """Keep each view's snapshot fresh; newest event time wins, late rows never regress.
 
-    Batch ``b`` commits snapshot version ``b + 1``; a replayed batch finds its
-    version committed and does nothing.
+    A replayed batch finds the note of this stream and does nothing, whoever
+    else writes to the store meanwhile.
     """
     drivers = src.route_driver_events(src.decode_events(lines))
 
@@ -98,7 +107,7 @@ def stream_online(lines: DataFrame, online_root: str, views, checkpoint: str, ke
         try:
             for v in views:
                 snap = latest.select(*keys, *v.typed_fields(), "event_ts")
-                store.upsert_online(snap, online_root, v.name, list(keys), version=batch_id + 1)
+                store.upsert_online(snap, online_root, v.name, list(keys), (_writer(checkpoint), batch_id))
         finally:
             latest.unpersist()
     w = drivers.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -112,7 +121,7 @@ def stream_push(lines: DataFrame, offline_path: str, online_root: str, views, ch
 
     Two queries over the same stream: the offline append uses Spark's file
     sink, whose commit log never repeats a batch; the online side is the
-    version-keyed upsert of ``stream_online``.  A failure between the two
+    noted upsert of ``stream_online``.  A failure between the two
     writes therefore cannot duplicate offline rows on replay.
     """
     drivers = src.extract_partition_cols(src.route_driver_events(src.decode_events(lines)))
@@ -126,29 +135,36 @@ def stream_push(lines: DataFrame, offline_path: str, online_root: str, views, ch
 # ---------------------------------------------------------------- T4 match
 
 def stream_match(requests: DataFrame, online_root: str, ranker, out_path: str, checkpoint: str,
-                 available_now: bool = True, interval: str | None = None) -> StreamingQuery:
+                 available_now: bool = True, interval: str | None = None, as_of=None,
+                 ttls: dict | None = None) -> StreamingQuery:
     """T4: score requests as they arrive against the newest committed snapshots.
 
     ``requests``: a stream of decoded rider requests (request_id, rider_id,
     rider_lat, rider_lon, top_k).  Each micro-batch re-reads the snapshot, so
-    it always sees the latest features (stream-static join, J8).
+    it always sees the latest features (stream-static join, J8).  Every request
+    is answered: ``matches`` is an ordered list, empty without candidates (also
+    before the first snapshot), and ``error_type`` tells why one was rejected.
+    ``as_of`` (a function of the batch, or None) with ``ttls`` per view expires
+    old features as the lookup does.
     """
-    from fleetcast.operators.match import match_drivers
+    from fleetcast.operators.latest import expire
+    from fleetcast.operators.match import match_responses
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        status = store.read_online(spark, online_root, "driver_status")
-        agg = store.read_online(spark, online_root, "driver_agg")
-        if status is None:
-            return
-        snap = status.select("driver_id", "lat", "lon")
-        if agg is not None:
-            snap = snap.join(agg.select("driver_id", "accept_rate_7d", "avg_response_ms"), "driver_id", "left")
-        else:
-            snap = snap.withColumn("accept_rate_7d", F.lit(None).cast("double")) \
-                .withColumn("avg_response_ms", F.lit(None).cast("double"))
-        flat = match_drivers(batch, snap, ranker)
-        flat.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
+        now = as_of(batch) if as_of else None
+        snap = None
+        for view, fields, kinds in (("driver_status", ["lat", "lon"], "double"),
+                                    ("driver_agg", ["accept_rate_7d", "avg_response_ms"], "double")):
+            got = store.read_online(spark, online_root, view)
+            if got is None:
+                got = spark.createDataFrame([], "driver_id string, event_ts timestamp_ntz, "
+                                            + ", ".join(f"{f} {kinds}" for f in fields))
+            elif now is not None and ttls and ttls.get(view) is not None:
+                got = expire(got, now, ttls[view], fields)
+            got = got.select("driver_id", *fields)
+            snap = got if snap is None else snap.join(got, "driver_id", "left")
+        match_responses(batch, snap, ranker).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
             .parquet(f"{out_path}/batch_id={batch_id}")
     w = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
@@ -164,23 +180,25 @@ def stream_drift(observations: DataFrame, baseline: DataFrame, state_root: str,
     State per feature: total observations so far and the last ``window - 1``
     values.  Each batch numbers its rows after the stored total, computes the
     checkpoints it completes from (tail ∪ batch), and commits the new state
-    as version ``batch_id + 1``.
+    as version ``batch_id + 1``.  The state is this stream's own: a new
+    checkpoint folder starts from nothing.
     """
     from fleetcast.operators.drift import drift_checkpoints
 
     order_cols = list(order_cols)
+    view = f"drift-{_writer(checkpoint)}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         version = batch_id + 1
-        done = store.committed_versions(spark, state_root, "drift")
+        done = store.committed_versions(spark, state_root, view)
         if version in done:
             return
         prev = [v for v in done if v < version]
         clean = batch.where(F.col("value").isNotNull() & ~F.isnan("value")).join(
             F.broadcast(baseline.select("feature_name")), "feature_name", "left_semi")
         if prev:
-            tail = spark.read.parquet(store.version_path(state_root, "drift", prev[-1]))
+            tail = spark.read.parquet(store.version_path(state_root, view, prev[-1]))
         else:
             tail = spark.createDataFrame([], "feature_name string, _n long, value double, total long")
         totals = tail.groupBy("feature_name").agg(F.max("total").alias("_lo"))
@@ -195,7 +213,7 @@ def stream_drift(observations: DataFrame, baseline: DataFrame, state_root: str,
         keep = both.join(F.broadcast(bounds.select("feature_name", F.col("_hi").alias("total"))), "feature_name") \
             .where(F.col("_n") > F.col("total") - F.lit(window - 1))
         keep.select("feature_name", "_n", "value", "total").write.mode("overwrite").parquet(
-            store.version_path(state_root, "drift", version))
+            store.version_path(state_root, view, version))
         both.unpersist()
     w = observations.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
@@ -228,8 +246,8 @@ def stream_metrics(calls: DataFrame, bounds, value: str, ts: str, out_path: str,
 
 
 def dedupe_events(drivers: DataFrame, watermark: str | None = "1 hour",
-                  keys=("driver_id", "event_ts")) -> DataFrame:
-    """Drop repeated deliveries (same key and event time).
+                  keys=("driver_id", "event_ts", "event_id")) -> DataFrame:
+    """Drop repeated deliveries (same key, event time and event id).
 
     Streams keep state only within the watermark; batches drop all repeats.
     """
