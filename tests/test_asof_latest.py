@@ -130,7 +130,7 @@ def test_pit_hot_key_gets_narrow_buckets(spark):
     for rid, key, t in ents:
         cands = [(ft, fid, v) for fid, k, ft, v in feats if k == key and ft <= t]
         assert got[rid] == (max(cands)[2] if cands else None)
-    widths = asof._bucket_widths(
+    widths = asof._hot_keys(
         f.select("driver_id", F.col("event_ts").alias(asof._TS)), ["driver_id"], 86400 * 10**6, 50).collect()
     import math
     from collections import Counter

@@ -187,3 +187,20 @@ def test_grid_top_k_antimeridian_and_pole(spark):
     for r in mt.match_top_k(rdf, ddf, FIXTURE_RANKER).orderBy("request_id", "rank").collect():
         got.setdefault(r["request_id"], []).append(r["driver_id"])
     assert got == brute_force(requests, drivers, FIXTURE_RANKER)
+
+
+def test_match_with_saturated_scores_and_odd_requests(spark):
+    """Equal scores after saturation go by id; a request delivered twice is one; NaN positions are missing."""
+    drivers = spark.createDataFrame(
+        [(f"d{i}", 0.0, 0.0, 0.5 + i / 20, 300.0) for i in range(6)] + [("nan", float("nan"), 0.0, 0.9, 1.0)],
+        "driver_id string, lat double, lon double, accept_rate_7d double, avg_response_ms double")
+    reqs = spark.createDataFrame(
+        [("far", "u", 0.0, 140.0, 2), ("near", "u", 0.0, 0.1, 3), ("near", "u", 0.0, 0.1, 3), ("all", "u", 0.0, 0.1, 500),
+         ("nan", "u", float("nan"), 0.0, 1)],
+        "request_id string, rider_id string, rider_lat double, rider_lon double, top_k int")
+    got = {}
+    for r in mt.match_drivers(reqs, drivers, FIXTURE_RANKER).orderBy("request_id", "rank").collect():
+        got.setdefault(r["request_id"], []).append(r["driver_id"])
+    assert got == {"far": ["d0", "d1"], "near": ["d5", "d4", "d3"], "all": ["d5", "d4", "d3", "d2", "d1", "d0"]}
+    errors = {r["request_id"]: r["error_type"] for r in mt.rejected_requests(reqs).collect()}
+    assert errors == {"nan": "missing_location"}

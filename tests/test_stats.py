@@ -115,3 +115,32 @@ def test_group_index_property(spark):
             assert [v for _, v in mine] == sorted(v for gg, v in rows if gg == g)
 
     check()
+
+
+def test_every_driver_can_be_a_candidate(spark):
+    """Also the last n mod k drivers; a request without a positive number gets a reason instead."""
+    drivers = spark.range(149).select(F.concat(F.lit("d"), "id").alias("driver_id"))
+    reqs = spark.range(3000).select(F.concat(F.lit("r"), "id").alias("request_id"), F.lit(10).alias("num_candidates"))
+    got = tr.sample_candidates(reqs, drivers).select("request_id", "driver_id").toPandas()
+    assert len(got) == 30000 and len(got.drop_duplicates()) == 30000
+    drawn = got.groupby("driver_id").size()
+    assert len(drawn) == 149 and drawn.min() > 100 and drawn.max() < 320
+    few = tr.sample_candidates(reqs.limit(200).withColumn("num_candidates", F.lit(5)), drivers.limit(9)).toPandas()
+    assert few.groupby("request_id").driver_id.apply(lambda x: tuple(sorted(x))).nunique() > 20
+    odd = spark.createDataFrame([("a", None), ("b", 0), ("c", 400)], "request_id string, num_candidates int")
+    assert {r[0]: r[1] for r in tr.sample_candidates(odd, drivers).groupBy("request_id").count().collect()} == {"c": 149}
+    assert {r["request_id"]: r["error_type"] for r in tr.rejected_samples(odd).collect()} == {
+        "a": "missing_num_candidates", "b": "invalid_num_candidates"}
+
+
+def test_quantiles_with_one_value_on_most_rows(spark):
+    import numpy as np
+    from fleetcast.operators.quality import exact_quantiles
+    rng = np.random.default_rng(3)
+    v = np.where(rng.random(20000) < 0.9, 5.0, rng.uniform(0, 10, 20000).round(3))
+    df = spark.createDataFrame([("a", float(x)) for x in v] + [("b", 1.0), ("b", 2.0), ("b", None), ("b", float("nan"))],
+                               "feature string, value double").repartition(6)
+    got = {r["feature"]: r for r in exact_quantiles(df, {"p50": 0.5, "p95": 0.95, "p01": 0.01}).collect()}
+    for name, q in (("p50", 0.5), ("p95", 0.95), ("p01", 0.01)):
+        assert abs(got["a"][name] - np.quantile(v, q)) < 1e-12
+        assert abs(got["b"][name] - np.quantile([1.0, 2.0], q)) < 1e-12

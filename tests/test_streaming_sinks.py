@@ -85,7 +85,8 @@ def test_stream_online_equals_batch_snapshot(spark, tmp_dir):
     drivers = src.route_driver_events(src.decode_events(fx.driver_events_json(ev)))
     want = lt.materialize(drivers, DRIVER_STATUS)
     assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
-    assert len(store.committed_versions(spark, f"{tmp_dir}/online", "driver_status")) == 4
+    # four batches, four versions; the replay added none, and only the newest stay
+    assert store.committed_versions(spark, f"{tmp_dir}/online", "driver_status") == [2, 3, 4]
 
 
 def test_stream_push_and_match(spark, tmp_dir):
@@ -107,8 +108,42 @@ def test_stream_push_and_match(spark, tmp_dir):
         .awaitTermination()
     out = spark.read.parquet(f"{tmp_dir}/matches")
     n_req = fx.rider_requests(ev).count()
-    assert out.count() == 3 * n_req
-    assert out.groupBy("request_id").count().where("count > 3").count() == 0
+    assert out.count() == n_req == out.where("error_type is null and size(matches) = 3").count()
+
+
+def test_stream_match_answers_every_request(spark, tmp_dir):
+    """Before the first snapshot the list is empty; rejected requests get a reason; old positions expire."""
+    rows = [("r1", "u", 40.7, -74.0, 2), ("r2", "u", 40.7, -74.0, 0), ("r3", "u", float("nan"), -74.0, 1), (None, "u", 1.0, 1.0, 1)]
+    schema = "request_id string, rider_id string, rider_lat double, rider_lon double, top_k int"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_dir}/req")
+    reqs = spark.readStream.schema(schema).parquet(f"{tmp_dir}/req")
+    jobs.stream_match(reqs, f"{tmp_dir}/online", FIXTURE_RANKER, f"{tmp_dir}/m1", f"{tmp_dir}/ck1").awaitTermination()
+    got = {r["request_id"]: (r["error_type"], len(r["matches"])) for r in spark.read.parquet(f"{tmp_dir}/m1").collect()}
+    assert got == {"r1": (None, 0), "r2": ("invalid_top_k", 0), "r3": ("missing_location", 0),
+                   None: ("missing_request_id", 0)}
+    now = dt.datetime(2024, 1, 1, 12)
+    snap = spark.createDataFrame([("d1", 40.7, -74.0, "idle", now), ("d2", 40.7, -74.0, "idle", now - dt.timedelta(hours=2))],
+                                 "driver_id string, lat double, lon double, status string, event_ts timestamp_ntz")
+    store.write_online(snap, f"{tmp_dir}/online", "driver_status")
+    jobs.stream_match(reqs, f"{tmp_dir}/online", FIXTURE_RANKER, f"{tmp_dir}/m2", f"{tmp_dir}/ck2", as_of=lambda b: now,
+                      ttls={"driver_status": dt.timedelta(hours=1)}).awaitTermination()
+    got = {r["request_id"]: [m["driver_id"] for m in r["matches"]] for r in spark.read.parquet(f"{tmp_dir}/m2").collect()}
+    assert got["r1"] == ["d1"] and got["r2"] == []
+
+
+def test_range_over_folders_by_ingest_date(spark, tmp_dir):
+    schema = "driver_id string, event_ts timestamp_ntz, lat double"
+    rows = spark.createDataFrame([(f"d{i}", dt.datetime(2024, 1, 1 + i), 1.0) for i in range(5)], schema)
+    for clock in ("ingest_ts", "event_ts"):
+        src.write_driver_events(rows, f"{tmp_dir}/{clock}", partition_on=clock)
+        got = src.read_offline_events(spark, f"{tmp_dir}/{clock}", ["driver_id"], dt.datetime(2024, 1, 2),
+                                      dt.datetime(2024, 1, 4))
+        assert sorted(r[0] for r in got.collect()) == ["d1", "d2", "d3"]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("make_date" in plan) == (clock == "event_ts")
+    src.write_driver_events(rows, f"{tmp_dir}/event_ts", partition_on="ingest_ts")  # a mixed table is not pruned
+    assert src.read_offline_events(spark, f"{tmp_dir}/event_ts", ["driver_id"], dt.datetime(2024, 1, 2),
+                                   dt.datetime(2024, 1, 4)).count() == 6
 
 
 def test_stream_drift_equals_batch(spark, tmp_dir):
@@ -191,12 +226,23 @@ def test_online_upsert_versions_are_idempotent(spark, tmp_dir):
     a = spark.createDataFrame([("d1", 1.0, dt.datetime(2024, 1, 1, 10)), ("d2", 2.0, dt.datetime(2024, 1, 1, 10))], schema)
     b = spark.createDataFrame([("d1", 9.0, dt.datetime(2024, 1, 1, 9)), ("d3", 3.0, dt.datetime(2024, 1, 1, 11))], schema)
     root = f"{tmp_dir}/online"
-    assert store.upsert_online(a, root, "v", ["driver_id"], version=1) == 1
-    assert store.upsert_online(b, root, "v", ["driver_id"], version=2) == 2
-    # a replayed batch with a committed version changes nothing
-    store.upsert_online(spark.createDataFrame([("d1", 0.0, dt.datetime(2024, 1, 2))], schema), root, "v",
-                        ["driver_id"], version=2)
+    keys = ["driver_id"]
+    assert store.upsert_online(a, root, "v", keys) == 1                       # a batch job takes number 1
+    assert store.upsert_online(b, root, "v", keys, ("s", 0)) == 2             # a stream's batch 0 is not lost
+    changed = spark.createDataFrame([("d1", 0.0, dt.datetime(2024, 1, 2))], schema)
+    assert store.upsert_online(changed, root, "v", keys, ("s", 0)) == 2       # its replay changes nothing
     got = {r["driver_id"]: r["lat"] for r in store.read_online(spark, root, "v").collect()}
     assert got == {"d1": 1.0, "d2": 2.0, "d3": 3.0}   # d1's late, older row did not win
     assert store.committed_versions(spark, root, "v") == [1, 2]
     assert {r["driver_id"] for r in store.read_online(spark, root, "v", version=1).collect()} == {"d1", "d2"}
+    assert store.upsert_online(changed, root, "v", keys, ("other", 0)) == 3   # another stream has its own numbers
+    assert store.upsert_online(a, root, "v", keys, ("s", 1)) == 4
+    assert store.committed_versions(spark, root, "v") == [2, 3, 4]
+    assert store.last_commit(spark, f"{root}/v", "s") == 1 and store.last_commit(spark, f"{root}/v", "new") == -1
+    push = spark.createDataFrame([("e1", "d1", dt.datetime(2024, 1, 3), 5.0, 1.0, "idle", 0.5, 9.0)],
+                                 "event_id string, driver_id string, event_ts timestamp_ntz, lat double, lon double, "
+                                 "status string, accept_rate_7d double, avg_response_ms double")
+    for _ in range(2):
+        store.push_features(push, f"{tmp_dir}/off", root, [DRIVER_STATUS, DRIVER_AGG], keys, commit=("p", 7))
+    assert spark.read.parquet(f"{tmp_dir}/off").count() == 1
+    assert store.read_online(spark, root, "driver_agg").first()["accept_rate_7d"] == 0.5
