@@ -38,17 +38,21 @@ def time_bounds(col: str, start=None, end=None) -> Column:
     return cond
 
 
-def materialize(events: DataFrame, view, start=None, end=None, tiebreak=("event_id",)) -> DataFrame:
+def materialize(events: DataFrame, view, start=None, end=None, tiebreak=("event_id",),
+                keep_tiebreak: bool = False) -> DataFrame:
     """Latest row per entity of one view inside ``[start, end]`` (A2).
 
-    Output: keys, the view's fields (cast to the declared types) and ``event_ts``.
+    Output: keys, the view's fields (cast to the declared types) and ``event_ts``;
+    with ``keep_tiebreak`` also the tiebreak columns, which a snapshot needs so
+    that later merges decide between events of one instant as one batch would.
     """
     ts = view.source.timestamp_field
     cols = [*view.entity_keys, ts, *[c for c in tiebreak if c in events.columns], *view.field_names]
     src = events.where(time_bounds(ts, start, end)).select(*dict.fromkeys(cols))
-    snap = latest_per_key(src, view.entity_keys, ts,
-                          tuple(c for c in tiebreak if c in events.columns))
-    return snap.select(*view.entity_keys, *view.typed_fields(), F.col(ts).alias("event_ts"))
+    ties = tuple(c for c in tiebreak if c in events.columns)
+    snap = latest_per_key(src, view.entity_keys, ts, ties)
+    return snap.select(*view.entity_keys, *view.typed_fields(), F.col(ts).alias("event_ts"),
+                       *(ties if keep_tiebreak else ()))
 
 
 def materialize_incremental(events: DataFrame, previous: DataFrame | None, view,
@@ -56,16 +60,21 @@ def materialize_incremental(events: DataFrame, previous: DataFrame | None, view,
     """Rows in ``(high_water, end]`` merged newest-wins into ``previous`` (A3)."""
     ts = view.source.timestamp_field
     fresh = events.where(F.col(ts) > F.lit(high_water)) if high_water is not None else events
-    new = materialize(fresh, view, None, end, tiebreak)
+    new = materialize(fresh, view, None, end, tiebreak, keep_tiebreak=True)
     if previous is None:
         return new
     return merge_newest(previous, new, view.entity_keys)
 
 
-def merge_newest(old: DataFrame, new: DataFrame, keys, ts: str = "event_ts") -> DataFrame:
-    """Upsert where the newer event time wins; an older late row never overwrites."""
-    both = old.unionByName(new.select(*old.columns))
-    return latest_per_key(both, keys, ts, tiebreak=())
+def merge_newest(old: DataFrame, new: DataFrame, keys, ts: str = "event_ts", tiebreak=("event_id",)) -> DataFrame:
+    """Upsert where the newer event time wins; an older late row never overwrites.
+
+    Rows of one instant go by the ``tiebreak`` columns that both sides have kept.
+    """
+    ties = tuple(c for c in tiebreak if c in old.columns and c in new.columns)
+    both = old.select(*[c for c in old.columns if c in new.columns]).unionByName(
+        new.select(*[c for c in old.columns if c in new.columns]))
+    return latest_per_key(both, keys, ts, tiebreak=ties)
 
 
 def expire(snapshot: DataFrame, as_of, ttl: dt.timedelta | None, fields, ts: str = "event_ts") -> DataFrame:

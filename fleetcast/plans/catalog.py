@@ -261,8 +261,10 @@ def q_materialize_incremental(spark, sf_dir):
     feats = fx.driver_events(events(spark, sf_dir))
     b = feats.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")).first()
     mid = b["lo"] + (b["hi"] - b["lo"]) / 2
-    first = lt.materialize(feats, DRIVER_AGG, None, mid)
-    return lt.materialize_incremental(feats, first, DRIVER_AGG, mid, b["hi"])
+    root = scratch_path(spark, "incremental")
+    for end in (mid, b["hi"], b["hi"]):  # each run goes on from the stored mark; the last finds nothing new
+        store.materialize_next(feats, root, DRIVER_AGG, end)
+    return store.read_online(spark, root, DRIVER_AGG.name).drop("event_id")
 
 
 @register("expire", with_fixtures(f"""
@@ -741,9 +743,9 @@ def q_late_rows(spark, sf_dir):
     feats = fx.driver_events(events(spark, sf_dir))
     b = feats.agg(F.min("event_ts").alias("lo"), F.max("event_ts").alias("hi")).first()
     mid = b["lo"] + (b["hi"] - b["lo"]) / 2
-    newer = lt.materialize(feats.where(F.col("event_ts") > F.lit(mid)), DRIVER_AGG)
-    older = lt.materialize(feats.where(F.col("event_ts") <= F.lit(mid)), DRIVER_AGG)
-    return lt.merge_newest(newer, older, ["driver_id"])
+    newer = lt.materialize(feats.where(F.col("event_ts") > F.lit(mid)), DRIVER_AGG, keep_tiebreak=True)
+    older = lt.materialize(feats.where(F.col("event_ts") <= F.lit(mid)), DRIVER_AGG, keep_tiebreak=True)
+    return lt.merge_newest(newer, older, ["driver_id"]).drop("event_id")
 
 
 @register("dedupe_events", with_fixtures(f"""
@@ -819,8 +821,8 @@ def q_online_upsert(spark, sf_dir):
     mid = b["lo"] + (b["hi"] - b["lo"]) / 2
     root = scratch_path(spark, "online")
     for part in (feats.where(F.col("event_ts") > F.lit(mid)), feats.where(F.col("event_ts") <= F.lit(mid))):
-        store.upsert_online(lt.materialize(part, DRIVER_AGG), root, DRIVER_AGG.name, ["driver_id"])
-    return store.read_online(spark, root, DRIVER_AGG.name)
+        store.upsert_online(lt.materialize(part, DRIVER_AGG, keep_tiebreak=True), root, DRIVER_AGG.name, ["driver_id"])
+    return store.read_online(spark, root, DRIVER_AGG.name).drop("event_id")
 
 
 @register("online_mixed_writers", with_fixtures(f"""
@@ -834,7 +836,7 @@ def q_online_mixed_writers(spark, sf_dir):
     root = scratch_path(spark, "online-mixed")
     bucket = F.pmod(F.xxhash64("value"), F.lit(3))
     first = src.route_driver_events(src.decode_events(lines.where(bucket == 0)))
-    store.upsert_online(lt.materialize(first, DRIVER_STATUS), root, DRIVER_STATUS.name, ["driver_id"])
+    store.upsert_online(lt.materialize(first, DRIVER_STATUS, keep_tiebreak=True), root, DRIVER_STATUS.name, ["driver_id"])
     for part in (1, 2):
         topic = _topic_files(spark, lines.where(bucket == part), 2)
         sj.stream_online(src.read_events_stream(spark, path=topic, max_per_trigger=1), root, [DRIVER_STATUS],
@@ -886,7 +888,7 @@ def q_stream_online_snapshot(spark, sf_dir):
     root = scratch_path(spark, "online-stream")
     lines = src.read_events_stream(spark, path=topic, max_per_trigger=1)
     sj.stream_online(lines, root, [DRIVER_STATUS], f"{root}/_ck").awaitTermination()
-    return store.read_online(spark, root, DRIVER_STATUS.name)
+    return store.read_online(spark, root, DRIVER_STATUS.name).drop("event_id")
 
 
 @register("materialize_features", with_fixtures(f"""

@@ -14,9 +14,12 @@ filesystem works.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetcast.operators.latest import merge_newest
+from fleetcast.operators.latest import materialize, merge_newest
 
 KEEP = 3
 
@@ -94,7 +97,7 @@ def upsert_online(new_latest: DataFrame, root: str, view: str, keys, commit: tup
     if commit and vs and last_commit(spark, folder, commit[0]) >= commit[1]:
         return vs[-1]
     old = spark.read.parquet(version_path(root, view, vs[-1])) if vs else None
-    merged = new_latest if old is None else merge_newest(old, new_latest.select(*old.columns), keys)
+    merged = new_latest if old is None else merge_newest(old, new_latest, keys)
     version = write_online(merged, root, view, (vs[-1] + 1) if vs else 1)
     if commit:
         note_commit(spark, folder, *commit)
@@ -122,12 +125,28 @@ def push_features(rows: DataFrame, offline_path: str, online_root: str, views, k
                 note_commit(spark, offline_path, *commit)
         latest = latest_per_key(rows, keys, "event_ts", ("event_id",) if "event_id" in rows.columns else ())
         for v in views:
-            snap = latest.select(*keys, *v.typed_fields(), "event_ts")
+            snap = latest.select(*keys, *v.typed_fields(), "event_ts", *[c for c in ("event_id",) if c in rows.columns])
             upsert_online(snap, online_root, v.name, keys, commit)
     finally:
         rows.unpersist()
 
 
+def materialize_next(events: DataFrame, root: str, view, end, tiebreak=("event_id",)) -> int:
+    """A3 from the stored high-water mark: rows after the last run's ``end`` up to this one, merged into the store.
+
+    The mark is stored after the merge, so a run that fails is repeated in whole.
+    """
+    spark = events.sparkSession
+    folder, ts = f"{root.rstrip('/')}/{view.name}", view.source.timestamp_field
+    mark = last_commit(spark, folder, "mark")
+    if mark >= 0:
+        events = events.where(F.col(ts) > F.timestamp_micros(F.lit(mark)).cast("timestamp_ntz"))
+    snap = materialize(events, view, None, end, tiebreak, keep_tiebreak=True)
+    version = upsert_online(snap, root, view.name, list(view.entity_keys))
+    note_commit(spark, folder, "mark", (end - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1))
+    return version
+
+
 def write_stats(stats: DataFrame, path: str) -> None:
     """Baseline statistics (one row per feature) as JSON; tiny by construction."""
     stats.coalesce(1).write.mode("overwrite").json(path)

@@ -106,7 +106,7 @@ def stream_online(lines: DataFrame, online_root: str, views, checkpoint: str, ke
         latest = latest_per_key(batch, list(keys), "event_ts", ("event_id",)).persist()
         try:
             for v in views:
-                snap = latest.select(*keys, *v.typed_fields(), "event_ts")
+                snap = latest.select(*keys, *v.typed_fields(), "event_ts", "event_id")
                 store.upsert_online(snap, online_root, v.name, list(keys), (_writer(checkpoint), batch_id))
         finally:
             latest.unpersist()
