@@ -27,8 +27,8 @@ class Ranker:
 
     def feature(self, name: str, col: Column | None = None) -> Column:
         c = F.col(name) if col is None else col
-        if name in self.impute:
-            c = F.coalesce(c, F.lit(float(self.impute[name])))
+        if name in self.impute:  # NaN is missing, as null is
+            c = F.coalesce(F.when(~F.isnan(c), c), F.lit(float(self.impute[name])))
         return c
 
     def logit(self, cols: dict[str, Column] | None = None) -> Column:

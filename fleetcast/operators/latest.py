@@ -104,6 +104,8 @@ def online_lookup(keys: DataFrame, snapshots: list[tuple[DataFrame, list[str]]],
 
 
 def online_coverage(df: DataFrame, keys, fields) -> DataFrame:
-    """Per key: does any feature value exist (A10)."""
-    has = F.coalesce(*[F.col(f).cast("string") for f in fields]).isNotNull()
+    """Per key: does any feature value exist (A10); NaN is none."""
+    kinds = dict(df.dtypes)
+    has = F.coalesce(*[(F.when(~F.isnan(f), F.col(f)) if kinds[f] in ("double", "float") else F.col(f)).cast("string")
+                       for f in fields]).isNotNull()
     return df.select(*keys, has.alias("has_features"))

@@ -59,6 +59,7 @@ def score_rows(df: DataFrame, ranker: Ranker, out: str = "score") -> DataFrame:
 def evaluate_ranker(scored: DataFrame, label: str = "label", score_col: str = "score",
                     eps: float = 2.220446049250313e-16) -> dict:
     """M6: AUC (exact, ties count half), accuracy at 0.5, mean clipped log loss."""
+    scored = scored.select(label, score_col).persist()  # read by the aggregate and by the AUC
     y = F.col(label).cast("double")
     p = F.least(F.greatest(F.col(score_col), F.lit(eps)), F.lit(1 - eps))
     row = scored.agg(
@@ -68,6 +69,7 @@ def evaluate_ranker(scored: DataFrame, label: str = "label", score_col: str = "s
     auc = BinaryClassificationEvaluator(rawPredictionCol=score_col, labelCol=label,
                                         metricName="areaUnderROC", numBins=0).evaluate(
         scored.select(F.col(score_col).cast("double").alias(score_col), y.alias(label)))
+    scored.unpersist()
     return {"auc": float(auc), "accuracy": float(row["accuracy"]), "log_loss": float(row["log_loss"]),
             "n": int(row["n"])}
 
@@ -87,6 +89,43 @@ def load_ranker(spark: SparkSession, path: str) -> Ranker:
                   impute=json.loads(r["impute"]), features=tuple(r["features"]))
 
 
+def save_ranker_version(spark: SparkSession, ranker: Ranker, model: PipelineModel | None, root: str) -> str:
+    """M7: save below ``root`` under the next version number; earlier versions stay as they are."""
+    found = _versions(spark, root)
+    path = f"{root.rstrip('/')}/v={(found[-1] + 1 if found else 1):06d}"
+    save_ranker(spark, ranker, model, path)
+    return path
+
+
+def load_newest_ranker(spark: SparkSession, root: str) -> Ranker:
+    """The ranker of the newest version that was written completely."""
+    found = _versions(spark, root)
+    if not found:
+        raise FileNotFoundError(f"no saved ranker below {root}")
+    return load_ranker(spark, f"{root.rstrip('/')}/v={found[-1]:06d}")
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    jvm = spark._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top):
+        return []
+    return sorted(int(st.getPath().getName()[2:]) for st in fs.listStatus(top)
+                  if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "coefficients/_SUCCESS")))
+
+
+def loss_gradient(rows: DataFrame, ranker: Ranker, label: str = "label", c: float = 1.0) -> dict[str, float]:
+    """Gradient of the regularised mean loss at the ranker's weights, each part relative to its feature's size."""
+    x = {f: ranker.feature(f) for f in ranker.features}
+    off = score(ranker) - F.col(label).cast("double")
+    got = rows.agg(F.count(F.lit(1)).alias("n"), F.avg(off).alias("intercept"),
+                   *[F.avg(off * v).alias(f) for f, v in x.items()],
+                   *[F.avg(F.abs(v)).alias(f"{f}_size") for f, v in x.items()]).first()
+    out = {f: (got[f] + ranker.weights[f] / (c * got["n"])) / got[f"{f}_size"] for f in x}
+    return {"intercept": got["intercept"], **out}
+
+
 def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(f"{path}/pipeline")
 
@@ -126,8 +165,7 @@ def train_ranker(training: DataFrame, features=FEATURES, seed: int = 42, stats_p
     if model_path:
         save_ranker(spark, ranker, model, model_path)
     if runs_path:
-        params = {"model_type": "LogisticRegression", "features": ",".join(features),
-                  "train_size": train.count(), "val_size": val.count(),
-                  "num_requests": training.select("request_id").distinct().count()}
+        params = {"seed": seed, "c": 1.0, "columns": list(features),
+                  "rows": {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}}
         record_run(spark, runs_path, params, metrics, model_path)
     return ranker, metrics, stats

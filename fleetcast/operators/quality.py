@@ -64,9 +64,11 @@ def missing_counts(df: DataFrame, cols, name: str = "feature_name") -> DataFrame
 
 
 def non_null_counts(df: DataFrame, cols=None) -> DataFrame:
-    """Non-null count per column, long form."""
+    """Non-null count per column, long form; NaN counts as null."""
     cols = list(cols or df.columns)
-    row = df.agg(*[F.count(F.col(c)).alias(c) for c in cols])
+    kinds = dict(df.dtypes)
+    row = df.agg(*[F.count(F.when(~F.isnan(c), F.col(c)) if kinds[c] in ("double", "float") else F.col(c)).alias(c)
+                   for c in cols])
     return row.unpivot([], cols, "column_name", "non_null")
 
 
