@@ -464,7 +464,11 @@ def q_match_response(spark, sf_dir):
     feats = fx.driver_events(ev)
     snap = lt.expire(latest_per_key(feats), _max_ts(feats, "event_ts"), MATCH_TTL,
                      ["lat", "lon", "accept_rate_7d", "avg_response_ms"])
-    out = mt.match_responses(fx.rider_requests(ev), snap, FIXTURE_RANKER)
+    return _response_text(mt.match_responses(fx.rider_requests(ev), snap, FIXTURE_RANKER))
+
+
+def _response_text(out: DataFrame) -> DataFrame:
+    """Answers with their matches as text, which two engines can compare."""
     item = F.transform("matches", lambda x: F.concat(
         x["driver_id"], F.lit(":"), F.round(x["score"] * 1000000).cast("long").cast("string")))
     return out.select("request_id", "error_type", F.size("matches").alias("match_count"),
@@ -930,6 +934,81 @@ def q_stream_online_snapshot(spark, sf_dir):
     return store.read_online(spark, root, DRIVER_STATUS.name).drop("event_id")
 
 
+@register("ingest", with_fixtures(f"""
+, d AS (SELECT count(*) AS n FROM fx_driver_events), r AS (SELECT count(*) AS n FROM fx_rider_requests)
+, ok AS (SELECT count(*) AS n FROM fx_driver_events WHERE {_CLEAN})
+SELECT 'consumed' AS metric, d.n + r.n AS value FROM d, r
+UNION ALL SELECT 'driver_rows', n FROM ok UNION ALL SELECT 'rider_rows', n FROM r
+UNION ALL SELECT 'dropped', d.n - ok.n FROM d, ok
+UNION ALL SELECT 'written_drivers', n FROM ok UNION ALL SELECT 'written_riders', n FROM r
+UNION ALL SELECT 'batches', 4"""))
+def q_ingest(spark, sf_dir):
+    """Q5: the topic in micro-batches, routed to its tables, with one audit row per batch; totals of both."""
+    topic = _topic_files(spark, fx.topic_lines(events(spark, sf_dir)), 4)
+    out = scratch_path(spark, "ingest-audited")
+    lines = src.read_events_stream(spark, path=topic, max_per_trigger=1)
+    for q in sj.stream_ingest(spark, lines, f"{out}/drivers", f"{out}/riders", f"{out}/rejects", f"{out}/ck"):
+        q.awaitTermination()
+    sj.stream_audit(lines, f"{out}/audit", f"{out}/ck-audit").awaitTermination()
+    audit = spark.read.parquet(f"{out}/audit/batch_id=*").agg(
+        F.sum("consumed").alias("consumed"), F.sum("driver_rows").alias("driver_rows"),
+        F.sum("rider_rows").alias("rider_rows"),
+        F.sum(F.col("consumed") - F.col("driver_rows") - F.col("rider_rows")).alias("dropped"),
+        F.count(F.lit(1)).alias("batches"))
+    written = spark.read.parquet(f"{out}/drivers").agg(F.count(F.lit(1)).alias("written_drivers")) \
+        .unpivot([], ["written_drivers"], "metric", "value") \
+        .unionByName(spark.read.parquet(f"{out}/riders").agg(F.count(F.lit(1)).alias("written_riders"))
+                     .unpivot([], ["written_riders"], "metric", "value"))
+    return audit.unpivot([], audit.columns, "metric", "value").unionByName(written)
+
+
+@register("stream_match_response", ORACLES["match_response"])
+def q_stream_match_response(spark, sf_dir):
+    """T4 + J8: requests streamed in micro-batches get the answers that a batch gives, rejected ones included."""
+    ev = events(spark, sf_dir)
+    feats = fx.driver_events(ev)
+    now, root = _max_ts(feats, "event_ts"), scratch_path(spark, "match-stream")
+    for v in (DRIVER_STATUS, DRIVER_AGG):
+        store.upsert_online(lt.materialize(feats, v, keep_tiebreak=True), root, v.name, ["driver_id"])
+    topic = _topic_files(spark, fx.rider_requests_json(ev), 3)
+    k = F.when(F.col("event_id") % 11 == 0, F.lit(None)).when(F.col("event_id") % 37 == 0, F.lit(0)) \
+        .otherwise((1 + F.col("event_id") % 7).cast("int"))
+    requests = src.route_rider_requests(src.decode_events(
+        src.read_events_stream(spark, path=topic, max_per_trigger=1))).withColumn("top_k", k)
+    sj.stream_match(requests, root, FIXTURE_RANKER, f"{root}/answers", f"{root}/_ck", as_of=lambda _: now,
+                    ttls={v.name: MATCH_TTL for v in (DRIVER_STATUS, DRIVER_AGG)}).awaitTermination()
+    return _response_text(spark.read.parquet(f"{root}/answers/batch_id=*"))
+
+
+@register("stream_drift", ORACLES["drift_score"])
+def q_stream_drift(spark, sf_dir):
+    """T5: observations arriving in two micro-batches, the earlier half first, score as one batch does."""
+    obs = cut_lineage(_observations(spark, sf_dir))
+    b = obs.agg(F.min("request_ts").alias("lo"), F.max("request_ts").alias("hi")).first()
+    mid = F.lit(b["lo"] + (b["hi"] - b["lo"]) / 2)
+    root = scratch_path(spark, "drift-stream")
+    for n, part in enumerate((obs.where(F.col("request_ts") <= mid), obs.where(F.col("request_ts") > mid))):
+        # One stream per half on one checkpoint: the second goes on from the state of the first.
+        part.write.parquet(f"{root}/obs/half={n}")
+        stream = spark.readStream.schema(obs.schema).option("recursiveFileLookup", "true").parquet(f"{root}/obs")
+        sj.stream_drift(stream, _baseline_df(spark), f"{root}/state", f"{root}/out", f"{root}/_ck",
+                        ["request_ts", "request_id", "slot"]).awaitTermination()
+    return spark.read.parquet(f"{root}/out/batch_id=*").select(
+        "feature_name", "observations", "window_size", r6("current_p95"), "baseline_p95", r9("drift"))
+
+
+@register("dedupe_stream", ORACLES["dedupe_events"])
+def q_dedupe_stream(spark, sf_dir):
+    """T8 on a stream: a topic with every line delivered twice; state is kept within the watermark."""
+    lines = fx.driver_events_json(events(spark, sf_dir))
+    root = scratch_path(spark, "dedupe-stream")
+    lines.unionByName(lines).repartition(4).write.text(f"{root}/topic")
+    drivers = src.route_driver_events(src.decode_events(src.read_events_stream(spark, path=f"{root}/topic")))
+    _dedupe(drivers).writeStream.format("parquet").option("path", f"{root}/out") \
+        .option("checkpointLocation", f"{root}/_ck").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 @register("materialize_features", with_fixtures(f"""
 , a AS (SELECT max(event_ts) AS t FROM fx_driver_events)
 , k AS ({_DRIVER_KEYS_SQL})
