@@ -242,8 +242,13 @@ def q_online_lookup(spark, sf_dir):
     ev = events(spark, sf_dir)
     feats = fx.driver_events(ev)
     as_of = _max_ts(feats, "event_ts")
-    snaps = [(lt.materialize(feats, v, None, as_of), v.field_names) for v in (DRIVER_STATUS, DRIVER_AGG)]
-    return lt.online_lookup(_driver_keys(ev), snaps, ["driver_id"], as_of, [DRIVER_STATUS.ttl, DRIVER_AGG.ttl])
+    # Both views have one source: one newest row per driver, then each view's expiry.
+    snap = latest_per_key(feats.where(F.col("event_ts") <= F.lit(as_of)))
+    fields = []
+    for v in (DRIVER_STATUS, DRIVER_AGG):
+        snap = lt.expire(snap, as_of, v.ttl, v.field_names)
+        fields += v.field_names
+    return lt.online_lookup(_driver_keys(ev), [(snap, fields)], ["driver_id"])
 
 
 @register("materialize", with_fixtures("""
@@ -410,7 +415,7 @@ _R = ", ".join(f"round({c}, 6) AS {c}" for c in ("mean", "std", "p50", "p95", "m
 , tr_ AS (SELECT * FROM split_ WHERE split = 'train')
 SELECT feature, count, {_R} FROM ({_baseline_sql('tr_')}) b"""))
 def q_feature_baseline(spark, sf_dir):
-    ts = tr.stratified_split(_training(spark, sf_dir))
+    ts = cut_lineage(tr.stratified_split(_training(spark, sf_dir)))   # read twice: moments, quantiles
     b = qa.feature_baseline(ts.where(F.col("split") == "train"),
                             ["distance_km", "accept_rate_7d", "avg_response_ms"])
     return b.select("feature", "count", *[r6(c) for c in ("mean", "std", "p50", "p95", "min", "max")])
