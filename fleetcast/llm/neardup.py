@@ -8,10 +8,12 @@ probability equal to their weighted Jaccard similarity.  All ranks below a
 limit are thrown at once, about K ln K darts a text whatever its length, and
 the limit is doubled for texts with a coordinate that no dart has hit.
 
-Bands of signature coordinates give candidates: every text of a band meets the
-band's first text, and later rounds compare what is still in different classes,
-pivot by pivot, so that no pair of a band stays uncompared unless both already
-share a class.  Candidates with like signatures are compared exactly by text.
+Bands of signature coordinates give candidates.  First every text of a band
+meets the band's first text.  Then the pairs of a band that are still in
+different classes are looked at, each in the first band it shares, apart from
+pairs that cannot be similar: shingles that no other open text has bound what
+two texts can have in common.  Candidates with like signatures are compared
+exactly by text.
 """
 
 from __future__ import annotations
@@ -31,10 +33,12 @@ from .textarrays import Ranges, Texts, in_doc, mix, runs, signed, slices, spread
 U = np.uint64
 K, ROWS = 128, 5
 SHINGLE = 5
-PAIRS_A_ROW = 64  # of later rounds: candidate pairs for each row of a band, on average
 #: Of K coordinates, so many must agree for an exact comparison.  At similarity
-#: 0.8 fewer agree with a probability below 1e-9 (binomial with n = 128).
-LEAST_AGREED = 72
+#: 0.8 fewer agree with a probability of 2e-5 (binomial with n = 128), and no
+#: band is shared with one of 5e-5; both fall quickly above.
+LEAST_AGREED = 84
+#: The same for the longer signatures of texts that are compared with many others.
+K_LONG, LEAST_AGREED_LONG = 512, 371
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(18)])
 
 
@@ -80,7 +84,7 @@ def dart_signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n:
         while len(d):  # weights [0,1), [1,2), [2,4), ... in cells of area 1
             cells = np.ceil(limit[d] * width).astype(np.int64)
             j = spread(np.zeros(len(d), np.int64), cells)
-            seed = mix(np.repeat(mix(e + U((level + 1) * 0x9E3779B97F4A7C15 % (1 << 64))), cells)
+            seed = mix(np.repeat(mix(mix(e) + U(level)), cells)
                        + j.astype(U) * U(0xD6E8FEB86659FD93))
             owner = np.repeat(np.arange(len(d)), cells)
             count = np.searchsorted(_POISSON, _uniform(seed))
@@ -120,12 +124,11 @@ def _signed_texts(k: int, rows: int):
                     np.arange(t.n * bands) * rows, np.arange(1, t.n * bands + 1) * rows)
                 band = mix(band + np.tile(np.arange(bands), t.n).astype(U))
                 whole = [Ranges(t.bytes.astype(U) + U(1), i).of(t.start, t.end) for i in (0, 1)]
-                small = (sig & U(0xFF)).astype(np.uint8).tobytes()
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array(signed(whole[0])), pa.array(signed(whole[1])),
                     pa.ListArray.from_arrays(pa.array(np.arange(t.n + 1) * bands, pa.int32()),
                                              pa.array(signed(band))),
-                    pa.array([small[i * k:(i + 1) * k] for i in range(t.n)], pa.binary())],
+                    _bytes(sig)],
                     ["doc_id", "h1", "h2", "bands", "sig"])
     return run
 
@@ -144,17 +147,48 @@ def similarity(a: pa.Array, b: pa.Array, size: int = SHINGLE) -> np.ndarray:
     return both / (np.bincount(da, wa, len(a)) + np.bincount(db, wb, len(a)) - both)
 
 
-def _alike(least: int):
+def _elements(size: int):
+    """Each text's shingles, equal ones numbered."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8)
-                        .reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
-                batch = batch.filter(pa.array((x == y).sum(1) >= least))
-            yield batch.select(["a", "b"])
+            for part in slices(batch):
+                doc, h, w = weighted_shingles(Texts(part.column("text")), size)
+                n = w.astype(np.int64)
+                h, doc = np.repeat(h, n), np.repeat(doc, n)
+                key = mix(h + spread(np.zeros(len(n), np.int64), n).astype(U) * U(0xD6E8FEB86659FD93))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").take(pa.array(doc)), pa.array(signed(key))], ["doc_id", "element"])
+    return run
+
+
+def _long_signatures(k: int, size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                t = Texts(part.column("text"))
+                sig = dart_signatures(*weighted_shingles(t, size), t.n, k)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _bytes(sig)], ["doc_id", "sig"])
     return run
 
 
+def _bytes(sig: np.ndarray) -> pa.Array:
+    """One byte a coordinate, eight in a long."""
+    n, k = sig.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * (k // 8), pa.int32()),
+                                    pa.array((sig & U(0xFF)).astype(np.uint8).ravel().view(np.int64)))
+
+
+def agreement(a: str, b: str):
+    """How many of the bytes in two arrays of longs are equal."""
+    def different_bytes(x, y):
+        z = x.bitwiseXOR(y)
+        for shift in (4, 2, 1):  # a byte's lowest bit gathers its other bits, and no other byte's
+            z = z.bitwiseOR(F.shiftrightunsigned(z, shift))
+        return F.bit_count(z.bitwiseAND(F.lit(0x0101010101010101)))
+
+    return 8 * F.size(a) - F.aggregate(F.zip_with(a, b, different_bytes), F.lit(0), lambda n, x: n + x)
+
+
 def _links(threshold: float, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,22 +199,56 @@ def _links(threshold: float, size: int):
     return run
 
 
-def _compare(pairs: DataFrame, sigs: DataFrame, docs: DataFrame, threshold: float, size: int, least: int,
-             scratch: Scratch) -> DataFrame:
+def _compare(pairs: DataFrame, texts: DataFrame, threshold: float, size: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) of document ids whose texts are similar enough."""
-    side = sigs.select("doc_id", "sig")
-    close = scratch.keep(
-        pairs.join(side.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b")
-        .join(side.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a")
-        .select("a", "b", "sig_a", "sig_b").mapInArrow(_alike(least), "a long, b long").distinct())
-    ids = close.select(F.col("a").alias("doc_id")).unionByName(close.select(F.col("b").alias("doc_id"))).distinct()
-    texts = scratch.keep(docs.join(ids, "doc_id", "left_semi").select("doc_id", "text"))
-    met = close.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b") \
+    met = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b") \
         .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     return scratch.keep(met.select("a", "b", "text_a", "text_b")
                         .mapInArrow(_links(threshold, size), "a long, b long"))
 
 
+def _first_pairs(met: DataFrame, firsts: DataFrame, least: int) -> DataFrame:
+    """Each text of a band with the band's first text, if their signatures are alike."""
+    side = firsts.select("doc_id", "sig")
+    return met.filter("a <> b").select("a", "b").distinct() \
+        .join(side.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b")), "b") \
+        .join(side.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a")), "a") \
+        .filter(agreement("sig_a", "sig_b") >= least).select("a", "b")
+
+
+def _open_pairs(met: DataFrame, label: DataFrame, firsts: DataFrame, texts: DataFrame, threshold: float, size: int,
+                scratch: Scratch) -> DataFrame | None:
+    """Pairs behind the first text of a band that are in different classes and may be similar (None: no such band)."""
+    named = met.filter("a <> b").join(label.withColumnRenamed("node", "b"), "b", "left") \
+        .select("key", "b", F.coalesce("label", "b").alias("label"))
+    largest = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key") \
+        .agg(F.sum("c").alias("n"), F.max(F.struct("c", "label")).alias("top")).filter("n > top.c")
+    rows = scratch.keep(named.join(largest.select("key", F.col("top.label").alias("top")), "key"))
+    if not rows.limit(1).count():
+        return None
+    ids = rows.select(F.col("b").alias("doc_id")).distinct()
+    open_texts = scratch.keep(texts.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "text"))
+    elements = scratch.keep(open_texts.mapInArrow(_elements(size), "doc_id long, element long"))
+    alone = elements.groupBy("element").agg(F.count(F.lit(1)).alias("c"), F.min("doc_id").alias("doc_id")) \
+        .filter("c = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone"))
+    # A text with n shingles has at most n - alone in common with another.
+    stats = elements.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).join(alone, "doc_id", "left") \
+        .withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0))).filter(F.col("most") >= threshold * F.col("n"))
+    longer = open_texts.mapInArrow(_long_signatures(K_LONG, size), "doc_id long, sig array<long>")
+    side = scratch.keep(firsts.select("doc_id", "bands").join(stats.select("doc_id", "n", "most"), "doc_id")
+                        .join(longer, "doc_id").withColumnRenamed("doc_id", "b"))
+    rows = rows.join(side, "b")
+    one = rows.filter("label <> top").select("key", *(F.col(c).alias(f"{c}_p") for c in rows.columns if c != "key"))
+    common = F.least("most", "most_p")
+    place = F.array_position("bands", F.col("key")).cast("int")
+    earlier = F.arrays_overlap(F.slice("bands", F.lit(1), place - 1), F.slice("bands_p", F.lit(1), place - 1))
+    met_pairs = one.join(rows, "key").filter(
+        (F.col("label") != F.col("label_p")) & ((F.col("label") == F.col("top")) | (F.col("b_p") < F.col("b")))
+        & (common >= threshold * (F.col("n") + F.col("n_p") - common))
+        & ~earlier & (agreement("sig", "sig_p") >= LEAST_AGREED_LONG))
+    return met_pairs.select(F.least("b", "b_p").alias("a"), F.greatest("b", "b_p").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = SHINGLE, k: int = K,
                     rows: int = ROWS, least: int = LEAST_AGREED) -> DataFrame:
     """(doc_id, class_id) once for each distinct doc_id that shares a class; class_id is its smallest doc_id.
@@ -194,7 +262,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = SHINGLE
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).filter("doc_id is not null")
     with Scratch(docs.sparkSession, "neardup") as scratch:
         sigs = scratch.keep(docs.mapInArrow(
-            _signed_texts(k, rows), "doc_id long, h1 long, h2 long, bands array<long>, sig binary"))
+            _signed_texts(k, rows), "doc_id long, h1 long, h2 long, bands array<long>, sig array<long>"))
         same = sigs.groupBy("h1", "h2").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"))
         copies = scratch.keep(sigs.join(same.filter("n > 1"), ["h1", "h2"]).filter(F.col("doc_id") != F.col("a"))
                               .select("a", F.col("doc_id").alias("b"), "h1", "h2"))
@@ -204,33 +272,17 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = SHINGLE
         band = firsts.select(F.col("doc_id").alias("b"), F.explode("bands").alias("key"))
         heads = band.groupBy("key").agg(F.min("b").alias("a"), F.max("b").alias("z")).filter("a < z")
         met = scratch.keep(band.join(heads.select("key", "a"), "key").select("key", "a", "b"))
-        links = _compare(met.filter("a <> b").select("a", "b").distinct(), firsts, docs, threshold, size, least,
-                         scratch)
-        links = links.unionByName(copies.select("a", "b"))
+        # Only texts that share a band move.
+        ids = met.select(F.col("b").alias("doc_id")).distinct()
+        texts = scratch.keep(docs.join(ids.hint("merge"), "doc_id", "left_semi").select("doc_id", "text"))
+        links = copies.select("a", "b").unionByName(
+            _compare(_first_pairs(met, firsts, least), texts, threshold, size, scratch))
         label = classes(links, scratch)
-        # Pairs behind the first text of a band, while their classes differ.
-        share = 0.0
-        while share < 1:
-            named = met.filter("a <> b").join(label.withColumnRenamed("node", "b"), "b", "left") \
-                .select("key", "b", F.coalesce("label", "b").alias("label"))
-            sizes = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")) \
-                .groupBy("key").agg(F.sum("c").alias("n"), F.max("c").alias("c")).filter("n > c")
-            open_ = scratch.keep(named.join(sizes, "key"))
-            # Pairs of different classes: at most n * (n - c) in a band of n with c in its largest class.
-            rows, pairs = open_.agg(F.count(F.lit(1)), F.sum(F.col("n") - F.col("c"))).first()
-            if not rows:
-                break
-            before, share = share, min(1.0, max(share * 16, PAIRS_A_ROW * rows / pairs))
-            draw = F.pmod(F.xxhash64("p"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-            pivots = open_.select("key", F.col("b").alias("p"), F.col("label").alias("p_label")) \
-                .filter((draw >= before) & (draw < share))
-            pairs = pivots.join(open_.select("key", "b", "label"), "key") \
-                .filter((F.col("label") != F.col("p_label")) & (F.col("b") != F.col("p"))) \
-                .select(F.least("p", "b").alias("a"), F.greatest("p", "b").alias("b")).distinct()
-            more = _compare(pairs, firsts, docs, threshold, size, least, scratch)
-            links = links.unionByName(more)
-            if share < 1 or more.limit(1).count():
-                label = classes(links, scratch)
+        pairs = _open_pairs(met, label, firsts, texts, threshold, size, scratch)
+        if pairs is not None:
+            more = _compare(pairs, texts, threshold, size, scratch)
+            if more.limit(1).count():
+                label = classes(links.unionByName(more), scratch)
         named = label.select(F.col("node").alias("doc_id"), F.col("label").alias("class_id"))
         heads = named.select(F.col("class_id").alias("doc_id"), "class_id").distinct()
         return named.unionByName(heads).checkpoint()
@@ -246,16 +298,18 @@ def op2_near_duplicates(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each near-duplicate class, unchanged.
 
-    Of rows that repeat the first document's id, the one with the least text hash
+    Of rows that repeat the first document's id, one with the least text hash
     stays; rows with a null doc_id all stay.
     """
-    found = near_duplicates(docs)
-    later = found.filter("doc_id <> class_id").select("doc_id")
-    kept = docs.join(later, "doc_id", "left_anti")
-    ids = docs.filter("doc_id is not null").groupBy("doc_id") \
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64(F.coalesce("text", F.lit("")))).alias("_least")) \
-        .filter("n > 1").select(F.col("doc_id").alias("_id"), "_least")
-    out = kept.join(ids, kept["doc_id"] == ids["_id"], "left") \
-        .filter(F.col("_id").isNull() | (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_least")))
-    repeated = out.filter(F.col("_id").isNotNull()).dropDuplicates(["doc_id"]).select(*docs.columns)
-    return out.filter(F.col("_id").isNull()).select(*docs.columns).unionByName(repeated)
+    later = near_duplicates(docs).filter("doc_id <> class_id").select("doc_id")
+    repeated = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null") \
+        .select("doc_id").checkpoint()
+    if not repeated.limit(1).count():
+        return docs.join(later.hint("merge"), "doc_id", "left_anti")
+    alone = docs.join(later.unionByName(repeated).hint("merge"), "doc_id", "left_anti")
+    rows = docs.join(repeated, "doc_id", "left_semi").join(later, "doc_id", "left_anti") \
+        .select(F.struct(*docs.columns).alias("row"))
+    rows = rows.select("row", F.col("row.doc_id").alias("id"),
+                       F.xxhash64(F.coalesce("row.text", F.lit(""))).alias("hash"))
+    least = rows.groupBy("id").agg(F.min("hash").alias("hash"))
+    return alone.unionByName(rows.join(least, ["id", "hash"]).dropDuplicates(["id"]).select("row.*"))
