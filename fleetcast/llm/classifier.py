@@ -23,7 +23,7 @@ from .textarrays import Ranges, Texts, in_doc, mix, runs, slices, spread
 
 BUCKETS, DIM = 1 << 17, 8
 EPOCHS, BATCH, RATE = 4, 16, 0.03
-SAMPLE = 5000
+SAMPLE = 4000
 SEED = 20240101
 
 
@@ -90,14 +90,14 @@ def train(texts: list[str], labels: np.ndarray, buckets: int = BUCKETS, dim: int
     weight = np.where(labels == 1, n / (2 * ones), n / (2 * (n - ones))).astype(np.float32)
     # Distinct rows of each document with their share of its mean.
     docs = []
-    for start in range(0, n, 200):
-        part = texts[start:start + 200]
+    for start in range(0, n, 20):
+        part = texts[start:start + 20]
         doc, row = features(Texts(pa.array(part, pa.string())), buckets)
         key, count = np.unique(doc * buckets + row, return_counts=True)
         edge = np.searchsorted(key, np.arange(len(part) + 1) * buckets)
         for i in range(len(part)):
             c = count[edge[i]:edge[i + 1]].astype(np.float32)
-            docs.append((key[edge[i]:edge[i + 1]] % buckets, c / max(1.0, c.sum())))
+            docs.append(((key[edge[i]:edge[i + 1]] % buckets).astype(np.int32), c / max(1.0, c.sum())))
     seen = np.full(buckets, 1e-12, np.float32)  # squared gradients so far, of each row
     seen_out, seen_bias = np.full((2, dim), 1e-8, np.float32), np.full(2, 1e-8, np.float32)
     steps, step = epochs * -(-n // batch), 0
@@ -129,7 +129,9 @@ def train(texts: list[str], labels: np.ndarray, buckets: int = BUCKETS, dim: int
 
 def shift_to(model: Model, texts: list[str], labels: np.ndarray, cut: float = 0.3) -> Model:
     """Moves the bias so that ``cut`` parts the training classes with the least weighted error."""
-    z = np.log(np.clip(model.scores(pa.array(texts, pa.string())), 1e-12, 1 - 1e-12))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    z = np.concatenate([model.scores(part.column("text")) for part in slices(batch, "text", 1 << 18)])
+    z = np.log(np.clip(z, 1e-12, 1 - 1e-12))
     z = z - np.log1p(-np.clip(np.exp(z), 1e-12, 1 - 1e-12))
     order = np.argsort(z)
     good = labels[order] == 1
