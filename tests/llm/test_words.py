@@ -241,3 +241,10 @@ def test_lines(spark, odd_docs, odd_rows, no_docs):
         assert got.columns[-4:] == ["parts", "drop", "n_lines", "n_removed"]
         assert Counter((r.doc_id, r.text, r.n_lines, r.n_removed) for r in got.collect()) == plain_lines(rows, sites)
     assert lines.remove_wide_lines(no_docs).count() == 0
+
+
+def test_line_stage_cleans_pages_that_are_mostly_boilerplate(spark):
+    rows = [(i, f"own {i}\nAll rights reserved, see the site for terms.\nSubscribe to our newsletter today.", "en",
+             f"site{i % 10}", 0) for i in range(30)]
+    got = {r.doc_id: r.text for r in lines.stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "").collect()}
+    assert got == {i: text if i == 0 else f"own {i}" for i, text, *_ in rows}
