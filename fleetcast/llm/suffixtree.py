@@ -2,18 +2,19 @@
 
 The tree's symbols are the UTF-8 bytes of a text's words, a space behind each
 word and an end behind the last, so the probability of a text is that of its
-token sequence.  Bytes beyond the 63 most frequent ones share a symbol and are
-told apart by their own frequencies.
-
-* Counting: every byte with the four before it, over all training texts, added
-  up per task and then by Spark; shorter contexts are sums of longer ones.
-* Growing: a context is considered if it makes up at least ``least_share`` of
-  all positions (so at most 1/least_share contexts a length, whatever the size
-  of the corpus), and retained if its next-symbol distribution diverges from
-  its parent's: n * KL(context || parent) above ``least_gain`` nats.  Parents of
-  retained contexts are retained.
+token sequence.
+
+* Counting: every byte with the DEPTH before it, added up per task and then by
+  Spark; shorter contexts are sums of longer ones.
+* Growing: a context is retained if its next-byte distribution diverges from its
+  parent's: n * KL(context || parent) above ``least_gain`` nats.  Nothing else
+  drops a context, so the tree grows with the text.  Parents of retained
+  contexts are retained.  All contexts stay in Spark tables, one a length.
 * Smoothing: counts of a state are mixed with its parent's distribution.
 * Scoring: the longest retained suffix at each position gives the distribution.
+  It is looked up once for each distinct gram (a byte and the DEPTH before it)
+  of all texts.  The most frequent grams (``sent`` of them at most) are known to
+  every task; all others are joined by their key.
 
 The tree spells tokens, known or not; how often known tokens occur counts too.
 With c the count of a token among N training tokens and w the spelling weight,
@@ -30,7 +31,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,15 +40,14 @@ from .bpe import IntMap
 from .shared import Scratch
 from .textarrays import Texts, runs, signed, slices
 
-DEPTH = 4
-SYMBOLS = 64
-RARE = SYMBOLS - 1
+DEPTH = 6  # a gram is a key of DEPTH + 1 bytes, at most 7
+SYMBOLS = 256
 END = 0x0A
-LEAST_SHARE = 2.0 ** -17
 LEAST_GAIN = 8.0
 PARENT_WEIGHT = 2.0
 SPELLING = 0.75
 COMMON_SHARE = 2.0 ** -21
+SENT = 1 << 20     # grams known to every task
 HELD = 1 << 21  # distinct keys a task adds up before it hands them on
 
 
@@ -111,8 +112,11 @@ def _grams(raw: np.ndarray, start: np.ndarray) -> np.ndarray:
     return key[_scored(len(x), start)]
 
 
+WORDS, LEARNED, MET = range(3)  # what is counted: words and grams of training texts, grams of other texts
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums = (Sums(), Sums())
+    sums = (Sums(), Sums(), Sums())
 
     def out(kind: int) -> pa.RecordBatch:
         keys, counts = sums[kind].take()
@@ -120,49 +124,41 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                            pa.array(counts)], ["kind", "key", "n"])
 
     for batch in batches:
-        for part in slices(batch):
-            t = Texts(part.column("text"))
-            lowered = t.lowered()
-            sums[0].add(signed(t.word_hash(values=lowered)))
-            sums[1].add(_grams(*streams(t, lowered)))
-            for kind in (0, 1):
-                if len(sums[kind].keys) > HELD:
-                    yield out(kind)
-    yield out(0)
-    yield out(1)
+        train = batch.column("train")
+        for learn in (True, False):
+            for part in slices(batch.filter(train if learn else pa.compute.invert(train))):
+                t = Texts(part.column("text"))
+                lowered = t.lowered()
+                if learn:
+                    sums[WORDS].add(signed(t.word_hash(values=lowered)))
+                sums[LEARNED if learn else MET].add(_grams(*streams(t, lowered)))
+                for kind in (WORDS, LEARNED, MET):
+                    if len(sums[kind].keys) > HELD:
+                        yield out(kind)
+    for kind in (WORDS, LEARNED, MET):
+        yield out(kind)
 
 
 class Tree:
-    """Retained contexts as arrays; a plain value that is sent to the tasks."""
+    """Retained contexts as arrays, for a tree that fits in memory."""
 
     def __init__(self, symbol: np.ndarray, contexts: list[np.ndarray], logs: np.ndarray, rare: np.ndarray):
         self.symbol, self.contexts, self.logs, self.rare = symbol, contexts, logs, rare
-        self._state: np.ndarray | None = None
-
-    def __getstate__(self):
-        return {**self.__dict__, "_state": None}
-
-    def state(self) -> np.ndarray:
-        """The state of every possible context of DEPTH symbols, most recent symbol first."""
-        if self._state is None:
-            cur, base = np.zeros(1, np.int32), 0
-            for depth, keys in enumerate(self.contexts):
-                if depth:
-                    cur = np.repeat(cur, SYMBOLS)
-                cur[keys] = base + np.arange(len(keys))
-                base += len(keys)
-            self._state = cur
-        return self._state
 
     def tokens(self, raw: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of spelling each token of ``streams``, and which tokens are ends."""
-        s = self.symbol[raw].astype(np.int32)
+        s = self.symbol[raw]
         n = len(s) - DEPTH
-        key = np.zeros(n, np.int32)
+        key, state, base = np.zeros(n, np.int64), np.zeros(n, np.int64), 1
         for i in range(DEPTH):  # symbol before, the one before that, ...
             key = key * SYMBOLS + s[DEPTH - 1 - i:DEPTH - 1 - i + n]
+            known = self.contexts[i + 1]
+            if len(known):
+                at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                state = np.where(known[at] == key, base + at, state)
+            base += len(known)
         last = raw[DEPTH:]
-        each = self.logs[self.state()[key], s[DEPTH:]].astype(np.float64) + self.rare[last]
+        each = self.logs[state, s[DEPTH:]].astype(np.float64) + self.rare[last]
         pad = ~_scored(len(raw), start)
         each[pad] = 0
         at = np.flatnonzero(((last == 0x20) | (last == END)) & ~pad)
@@ -170,18 +166,12 @@ class Tree:
 
 
 def grow(byte_counts: dict[int, int], rows: list[np.ndarray], least_gain: float = LEAST_GAIN) -> Tree:
-    """The tree from next-symbol counts.
+    """The tree of ``gram_scores`` in memory, from next-symbol counts.
 
     ``rows[d]``: (context of d symbols, next symbol, count) with contexts as
     numbers in base SYMBOLS, most recent symbol first.
     """
-    symbol = symbol_table(byte_counts)
-    counts = np.zeros(256)
-    for b, n in byte_counts.items():
-        counts[b] = n
-    rare = np.zeros(256)
-    other = symbol == RARE
-    rare[other] = np.log10((counts[other] + 0.5) / (counts[other].sum() + 0.5 * other.sum()))
+    symbol, rare = symbol_table(byte_counts), np.zeros(256)
     levels = []
     for d in range(DEPTH + 1):
         keys, at = np.unique(rows[d][:, 0], return_inverse=True)
@@ -215,38 +205,67 @@ def grow(byte_counts: dict[int, int], rows: list[np.ndarray], least_gain: float
 
 
 def symbol_table(byte_counts: dict[int, int]) -> np.ndarray:
-    """The symbol of each byte: the most frequent ones (ties: smaller byte first) have their own."""
-    order = sorted(byte_counts, key=lambda b: (-byte_counts[b], b))[:RARE]
-    out = np.full(256, RARE, np.int64)
-    out[order] = np.arange(len(order))
-    return out
-
-
-def fit_tree(grams: DataFrame, least_share: float = LEAST_SHARE, least_gain: float = LEAST_GAIN) -> Tree:
-    """The tree from (key, n) rows; the driver gets at most 1/least_share contexts of each length."""
-    grams = grams.withColumn("b0", F.col("key").bitwiseAND(255))
-    byte_counts = {r["b0"]: r["n"] for r in grams.groupBy("b0").agg(F.sum("n").alias("n")).collect()}
-    symbol = symbol_table(byte_counts)
-    total = sum(byte_counts.values())
-    table = F.array(*[F.lit(int(x)) for x in symbol])
-
-    def sym(back: int):
-        return F.element_at(table, (F.shiftright("key", 8 * back).bitwiseAND(255) + 1).cast("int"))
-
-    context = F.lit(0)
-    for i in range(1, DEPTH + 1):
-        context = context * SYMBOLS + sym(i)
-    full = grams.select(context.alias("c"), sym(0).alias("next"), "n").groupBy("c", "next").agg(F.sum("n").alias("n")) \
-        .checkpoint()
-    rows = []
-    for d in range(DEPTH + 1):
-        part = full.groupBy(F.floor(F.col("c") / SYMBOLS ** (DEPTH - d)).cast("long").alias("c"), "next") \
-            .agg(F.sum("n").alias("n"))
-        often = part.groupBy("c").agg(F.sum("n").alias("m")).filter(F.col("m") >= least_share * total).select("c")
-        got = part.join(often, "c").select("c", "next", "n").toArrow()
-        rows.append(np.stack([np.asarray(got[c]).astype(np.int64) for c in ("c", "next", "n")], 1)
-                    if got.num_rows else np.zeros((0, 3), np.int64))
-    return grow(byte_counts, rows, least_gain)
+    """The symbol of each byte: the byte itself, however seldom it is."""
+    return np.arange(256)
+
+
+def gram_scores(scratch: Scratch, grams: DataFrame, least_gain: float = LEAST_GAIN) -> DataFrame:
+    """Rows (key, n, m) of ``grams`` with logp, the log10 probability of a gram's byte after the others.
+
+    n: how often the gram was met in training texts, m: in all texts.  Only n
+    teaches.  The tree is grown and read level by level; a key's lower bytes are
+    the gram with a shorter context, and all but its lowest byte the context.
+    """
+    def lower(column: str, size: int):
+        return F.col(column).bitwiseAND((1 << 8 * size) - 1)
+
+    counted = {DEPTH: grams}
+    for d in range(DEPTH - 1, 0, -1):
+        counted[d] = scratch.keep(counted[d + 1].groupBy(lower("key", d + 1).alias("key")).agg(F.sum("n").alias("n")))
+    root = {r["b"]: r["n"] for r in counted[1].groupBy(lower("key", 1).alias("b")).agg(F.sum("n").alias("n")).collect()}
+    total = sum(root.values()) + 0.5 * SYMBOLS
+    first = [(root.get(b, 0) + 0.5) / total for b in range(SYMBOLS)]
+
+    def at_root(values: list[float]):
+        return F.element_at(F.array(*[F.lit(float(x)) for x in values]), (lower("key", 1) + 1).cast("int"))
+
+    context = Window.partitionBy("context")
+    levels, kept = {}, {}
+    for d in range(1, DEPTH + 1):
+        rows = counted[d].withColumn("up", lower("key", d)).withColumn("context", F.shiftright("key", 8))
+        rows = rows.withColumn("above", at_root(first)) if d == 1 else \
+            rows.join(levels[d - 1].select(F.col("key").alias("up"), F.col("p").alias("above")), "up")
+        rows = rows.withColumn("total", F.sum("n").over(context))
+        gain = F.sum(F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.col("total") / F.col("above")))) \
+            .over(context)
+        p = (F.col("n") + PARENT_WEIGHT * F.col("above")) / (F.col("total") + PARENT_WEIGHT)
+        kept[d] = [c for c in counted[d].columns if c != "n"]
+        levels[d] = scratch.keep(rows.select(*kept[d], p.alias("p"),
+                                             (F.coalesce(gain, F.lit(0.0)) > least_gain).alias("diverges")))
+    states = {}
+    for d in range(DEPTH, 0, -1):  # a retained context's suffixes are states too
+        own = levels[d].filter("diverges").select(F.shiftright("key", 8).alias("context"))
+        own = own if d == DEPTH else own.union(states[d + 1].select(lower("context", d).alias("context")))
+        states[d] = scratch.keep(own.distinct())
+    out = None
+    for d in range(1, DEPTH + 1):
+        rows = levels[d].drop("diverges").withColumn("up", lower("key", d)) \
+            .join(states[d].select("context", F.lit(True).alias("state")), F.shiftright("key", 8) == F.col("context"), "left")
+        rows = rows.withColumn("short", at_root([float(np.log10(x)) for x in first])) if d == 1 else \
+            rows.join(out.select(F.col("key").alias("up"), F.col("logp").alias("short")), "up")
+        out = rows.select(*kept[d], F.when(F.col("state"), F.log10("p")).otherwise(F.col("short")).alias("logp"))
+    return scratch.keep(out.withColumn("size", F.floor(8 * F.log2("m")).cast("int")))
+
+
+def frequent(scores: DataFrame, sent: int) -> int:
+    """The least ``size`` such that at most ``sent`` grams have it or a larger one."""
+    least = 1 << 30
+    for r in sorted(scores.groupBy("size").count().collect(), key=lambda r: -r["size"]):
+        sent -= r["count"]
+        if sent < 0:
+            break
+        least = r["size"]
+    return least
 
 
 def mixed(c: np.ndarray, spelled: np.ndarray, n: int, w: float) -> np.ndarray:
@@ -255,80 +274,117 @@ def mixed(c: np.ndarray, spelled: np.ndarray, n: int, w: float) -> np.ndarray:
         return np.logaddexp(np.log(w) + spelled * np.log(10), np.log((1 - w) * c / n)) / np.log(10)
 
 
+def _lists(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), values)
+
+
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, words, counts, n, w, ends = model.value
+        grams, logs, words, counts, n, w, ends = model.value
+        spell = IntMap(grams, np.arange(len(grams), dtype=np.int32))
         known = IntMap((words.view(np.uint64) >> np.uint64(1)).view(np.int64), np.arange(len(words), dtype=np.int32))
+        logs, counts = np.append(logs, 0.0), np.append(counts, -1.0)
         for batch in batches:
             for part in slices(batch):
                 t = Texts(part.column("text"))
                 lowered = t.lowered()
-                spelled, is_end = tree.tokens(*streams(t, lowered))
-                score = mixed(np.full(t.n, float(ends)), spelled[is_end], n, w)
-                spelled = spelled[~is_end]
-                h, doc = t.word_hash(values=lowered), t.word_doc()
-                at = known.get((h >> np.uint64(1)).view(np.int64))
+                gram = _grams(*streams(t, lowered))
+                at = spell.get(gram)
+                last = gram & 255
+                token_end = np.flatnonzero((last == 0x20) | (last == END))
+                is_end = last[token_end] == END
+                spelled = np.diff(np.cumsum(logs[at])[token_end], prepend=0.0)
+                to_join = np.diff(np.cumsum(at < 0)[token_end], prepend=0)
+                h, doc = t.word_hash(values=lowered), np.cumsum(is_end) - is_end
+                at_word = known.get((h >> np.uint64(1)).view(np.int64))
                 if len(words):
-                    at[(at >= 0) & (words[at].view(np.uint64) != h)] = -1
-                common = at >= 0
-                c = counts[at[common]] if len(words) else np.zeros(0)
-                base = np.bincount(doc[common], np.log10(c + 0.1), t.n)
-                score += np.bincount(doc[common], mixed(c, spelled[common], n, w), t.n)
+                    at_word[(at_word >= 0) & (words[at_word].view(np.uint64) != h)] = -1
+                key, c = np.zeros(len(doc), np.int64), np.full(len(doc), float(ends))
+                key[~is_end], c[~is_end] = signed(h), counts[at_word]  # -1: joined later
+                common = (c >= 0) & ~is_end
+                base = np.bincount(doc[common], np.log10(c[common] + 0.1), t.n)
                 n_common = np.bincount(doc[common], minlength=t.n)
-                seldom = ~common
-                offs = pa.array(np.concatenate(([0], np.cumsum(seldom)))[t.first_word], pa.int32())
+                done = (c >= 0) & (to_join == 0)
+                score = np.bincount(doc[done], mixed(c[done], spelled[done], n, w), t.n)
+                seldom, opened = (c < 0) & (to_join == 0), to_join > 0
+                n_seldom, n_open = np.bincount(doc[seldom], minlength=t.n), np.bincount(doc[opened], minlength=t.n)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("row"), part.column("uid"),
                      pa.array(t.n_words + 1), pa.array(n_common.astype(np.int64)), pa.array(base.astype(float)),
-                       pa.array(score), pa.ListArray.from_arrays(offs, pa.array(signed(h[seldom]))),
-                       pa.ListArray.from_arrays(offs, pa.array(spelled[seldom].astype(np.float32)))],
-                    ["row", "uid", "n_tokens", "n_common", "common_base", "common_score", "words", "spelled"])
+                     pa.array(score.astype(float)), _lists(n_seldom, pa.array(key[seldom])),
+                     _lists(n_seldom, pa.array(spelled[seldom].astype(np.float32))),
+                     _lists(n_open, pa.array(key[opened])), _lists(n_open, pa.array(spelled[opened].astype(np.float32))),
+                     _lists(n_open, pa.array(c[opened])),
+                     _lists(n_open, _lists(to_join[opened], pa.array(gram[at < 0])))],
+                    ["row", "uid", "n_tokens", "n_common", "common_base", "common_score", "words", "spelled",
+                     "open_words", "open_spelled", "open_counts", "open_grams"])
     return run
 
 
-def score_texts(docs: DataFrame, train: str = "train", least_share: float = LEAST_SHARE,
-                least_gain: float = LEAST_GAIN, common_share: float = COMMON_SHARE,
-                spelling: float = SPELLING) -> DataFrame:
+def score_texts(docs: DataFrame, train: str = "train", least_gain: float = LEAST_GAIN,
+                common_share: float = COMMON_SHARE, spelling: float = SPELLING, sent: int = SENT) -> DataFrame:
     """Each row of ``docs`` without its text, with n_tokens, n_known, train_tokens, base_score and score.
 
     The model learns from rows whose boolean column ``train`` is true.  Null and
     empty texts are the end alone.  Each row stands for itself, repeated ones
-    too.  With nothing to learn from, all symbols are alike and no token is known.
+    too.  With nothing to learn from, all bytes are alike and no token is known.
     """
     added = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     keep = [c for c in docs.columns if c != "text" and c not in added]
     spark = docs.sparkSession
     with Scratch(spark, "suffixtree") as scratch:
-        counts = scratch.keep(docs.filter(F.col(train)).select("text")
+        counts = scratch.keep(docs.select("text", F.coalesce(F.col(train), F.lit(False)).alias("train"))
                               .mapInArrow(_count, "kind int, key long, n long")
                               .groupBy("kind", "key").agg(F.sum("n").alias("n")))
         ends = docs.filter(F.col(train)).count()
-        vocabulary = counts.filter("kind = 0").select("key", "n")
+        vocabulary = counts.filter(F.col("kind") == WORDS).select("key", "n")
         total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
         n, v = total["n"] + ends, total["v"] + (ends > 0)
         least = max(1.0, n * common_share)
         common = vocabulary.filter(F.col("n") >= least).toArrow()
-        tree = fit_tree(counts.filter("kind = 1").select("key", "n"), least_share, least_gain)
+        grams = counts.filter(F.col("kind") != WORDS).groupBy("key").agg(
+            F.sum(F.when(F.col("kind") == LEARNED, F.col("n")).otherwise(0)).alias("n"), F.sum("n").alias("m"))
+        scores = gram_scores(scratch, scratch.keep(grams), least_gain)
+        size = frequent(scores, sent)
+        often = scores.filter(F.col("size") >= size).select("key", "logp").toArrow()
         weight = spelling if n else 1.0
         model = spark.sparkContext.broadcast(
-            (tree, np.asarray(common["key"]).astype(np.int64), np.asarray(common["n"]).astype(np.float64),
+            (np.asarray(often["key"]).astype(np.int64), np.asarray(often["logp"]).astype(np.float64),
+             np.asarray(common["key"]).astype(np.int64), np.asarray(common["n"]).astype(np.float64),
              max(n, 1), weight, ends))
         src = docs.select(F.struct(*keep).alias("row"), "text", F.monotonically_increasing_id().alias("uid"))
         schema = T.StructType([src.schema["row"]])
+        longs, floats = T.ArrayType(T.LongType()), T.ArrayType(T.FloatType())
         for c, kind in (("uid", "long"), ("n_tokens", "long"), ("n_common", "long"), ("common_base", "double"),
-                        ("common_score", "double"), ("words", T.ArrayType(T.LongType())), ("spelled", T.ArrayType(T.FloatType()))):
+                        ("common_score", "double"), ("words", longs), ("spelled", floats), ("open_words", longs),
+                        ("open_spelled", floats), ("open_counts", T.ArrayType(T.DoubleType())),
+                        ("open_grams", T.ArrayType(longs))):
             schema = schema.add(c, kind)
         scored = scratch.keep(src.mapInArrow(_score(model), schema))
         rows = scored.select("uid", F.explode(F.arrays_zip("words", "spelled")).alias("x")) \
-            .select("uid", F.col("x.words").alias("key"), F.col("x.spelled").alias("spelled"))
+            .select("uid", F.col("x.words").alias("key"), F.col("x.spelled").cast("double").alias("spelled"))
+        # Tokens with a gram that the tasks did not know, spelled to the end here.
+        opened = scored.select("uid", F.posexplode(F.arrays_zip("open_words", "open_spelled", "open_counts", "open_grams"))
+                               .alias("token", "x")) \
+            .select("uid", "token", F.col("x.open_words").alias("word"), F.col("x.open_spelled").alias("so_far"),
+                    F.col("x.open_counts").alias("count"), F.explode("x.open_grams").alias("key")) \
+            .join(scores.filter(F.col("size") < size).select("key", "logp"), "key", "left").groupBy("uid", "token") \
+            .agg(F.first("word").alias("key"), (F.first("so_far") + F.sum("logp")).alias("spelled"),
+                 F.first("count").alias("count"))
+        opened = scratch.keep(opened.drop("token"))
         seldom = vocabulary.filter(F.col("n") < least)
-        c = F.coalesce("n", F.lit(0))
+        met = rows.unionByName(opened.filter("count < 0").drop("count")).join(seldom, "key", "left") \
+            .select("uid", "spelled", F.coalesce("n", F.lit(0)).cast("double").alias("c"), F.lit(True).alias("own"))
+        met = met.unionByName(opened.filter("count >= 0")
+                              .select("uid", "spelled", F.col("count").alias("c"), F.lit(False).alias("own")))
+        c, own = F.col("c"), F.col("own")  # own: not yet in common_base and n_common
         counted, spelled = F.log10(c * ((1 - weight) / max(n, 1))), F.col("spelled") + float(np.log10(weight))
-        rest = rows.join(seldom, "key", "left").groupBy("uid").agg(
-            F.sum(F.log10(c + 0.1)).alias("base"), F.sum((c > 0).cast("long")).alias("known"),
+        rest = met.groupBy("uid").agg(
+            F.sum(F.when(own, F.log10(c + 0.1)).otherwise(0.0)).alias("base"),
+            F.sum((own & (c > 0)).cast("long")).alias("known"),
             F.sum(F.when(c > 0, counted + F.log10(1 + F.pow(F.lit(10.0), spelled - counted))).otherwise(spelled))
             .alias("score"))
-        out = scored.drop("words", "spelled").join(rest, "uid", "left")
+        out = scored.select("row", "uid", "n_tokens", "n_common", "common_base", "common_score").join(rest, "uid", "left")
         norm = float(np.log10(n + 0.1 * (v + 1)))
         end = float(np.log10(ends + 0.1))
         return out.select(

@@ -203,6 +203,36 @@ def test_tree_against_plain_counts():
         assert abs(want - got) < 1e-3
 
 
+def test_seldom_contexts_are_learned(spark):
+    """Scores are those of a tree from all counts, with contexts that are a tiny share of the text."""
+    rng = random.Random(5)
+    common = ["alpha", "beta", "gamma", "delta", "eps", "zeta"]
+    texts = [" ".join(rng.choice(common) for _ in range(900)) for _ in range(60)]
+    texts += ["".join(chr(x) for x in range(0x430 + i, 0x450)) for i in range(4)] + ["qqjww qjqww"] * 2  # seldom bytes
+    held = ["jww qqjwwjww", "alpha jww", "", "".join(chr(x) for x in range(0x433, 0x449))]
+    rows = [(i, t, i < len(texts)) for i, t in enumerate(texts + held)]
+    tokens = [[*words(low(t)), None] for _, t, _ in rows]
+    c = Counter(w for x, (_, _, train) in zip(tokens, rows) if train for w in x)
+    d, n = suffixtree.DEPTH, sum(c.values())
+    plain = [b"\n" * d + "".join(w + " " for w in x[:-1]).encode() + b"\n" for x in tokens]
+    sums = [Counter() for _ in range(d + 1)]
+    for p in plain[:len(texts)]:
+        for i in range(d, len(p)):
+            for depth in range(d + 1):
+                sums[depth][int.from_bytes(p[i - depth:i][::-1], "big"), p[i]] += 1
+    assert 2 < sum(sums[0].values()) * 2.0 ** -17  # a context met twice is under such a share
+    tree = suffixtree.grow({b: k for (_, b), k in sums[0].items()},
+                           [np.array([(a, b, k) for (a, b), k in x.items()]) for x in sums])
+    t = Texts(pa.array([t for _, t, _ in rows]))
+    spelled, is_end = tree.tokens(*suffixtree.streams(t, t.lowered()))
+    each = suffixtree.mixed(np.array([c[w] for x in tokens for w in x], float), spelled, n, suffixtree.SPELLING)
+    want = np.bincount(np.cumsum(is_end) - is_end, each)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3)
+    for sent, share in ((suffixtree.SENT, suffixtree.COMMON_SHARE), (50, 0.01), (0, 2.0), (0, 0.01)):
+        got = {r.doc_id: r.score for r in suffixtree.score_texts(docs, sent=sent, common_share=share).collect()}
+        assert np.allclose([got[i] for i, _, _ in rows], want, rtol=1e-5, atol=1e-3), (sent, share)
+
+
 def test_scores_of_held_out_text_are_near_the_entropy(spark):
     """Words of 2 to 5 random syllables: no model can do better than their entropy, and this one comes close."""
     rng = random.Random(6)
