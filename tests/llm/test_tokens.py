@@ -203,6 +203,11 @@ def test_tree_against_plain_counts():
         assert abs(want - got) < 1e-3
 
 
+def test_every_byte_is_its_own_symbol():
+    symbol = suffixtree.symbol_table({b: 1000 - b for b in range(0x20, 0xC0)})
+    assert len({int(symbol[b]) for b in range(0x20, 0xC0)}) == 0xC0 - 0x20
+
+
 def test_seldom_contexts_are_learned(spark):
     """Scores are those of a tree from all counts, with contexts that are a tiny share of the text."""
     rng = random.Random(5)
