@@ -21,7 +21,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="fleetcast-test-")
-
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"

@@ -14,7 +14,7 @@ from fleetcast.sources import online_store as store
 from fleetcast.specs import DRIVER_AGG, DRIVER_STATUS
 from fleetcast.streaming import jobs
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _write_lines(df, path, parts=3):
