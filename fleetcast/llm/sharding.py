@@ -26,6 +26,7 @@ from .shared import Scratch
 SHARDS = 40
 FIXED_BYTES = 16      # counted for every document besides its text
 POINTS = 1 << 16      # buckets that one pass returns to the driver
+SPANS = 64            # parts of the order that a pass reads
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +152,9 @@ def minimax_cuts(places: Places, n: int) -> tuple[int, list[int]]:
             break
         first, last = _chain(places.low, below, n), _chain(places.bound, above, n)
         places.open_gaps.clear()
-        for a, b in zip(first[:-1], last[:-1]):
+        for k, (a, b) in enumerate(zip(first[:-1], last[:-1]), 1):
             places.note(a + below, b + above)
+            places.note(k * total // n, k * total // n)  # asked for once the capacity is known
         if not places.split():
             break
     while True:
@@ -168,6 +170,36 @@ def minimax_cuts(places: Places, n: int) -> tuple[int, list[int]]:
             return above, cuts[1:]
 
 
+def _buckets(ends: DataFrame, edges: list[np.ndarray]) -> np.ndarray:
+    """Number, smallest and greatest ``upto`` in each bucket that has any; ``edges`` has the buckets of one gap an array."""
+    marks = np.concatenate(edges)
+    inside = np.ones(len(marks), bool)
+    inside[np.cumsum([len(e) for e in edges]) - 1] = False
+    spans = [(int(e[0]), int(e[-1])) for e in edges]
+    while len(spans) > SPANS:
+        spans = [(a, b) for (a, _), (_, b) in zip(spans[::2], spans[1::2] + [spans[-1]] * (len(spans) % 2))]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v = np.sort(batch.column(0).to_numpy())
+            b = np.searchsorted(marks, v, "left") - 1   # a bucket holds its upper end, not its lower
+            ok = (b >= 0) & (b < len(marks) - 1)
+            ok[ok] = inside[b[ok]]
+            v, b = v[ok], b[ok]
+            at = np.flatnonzero(np.append(True, b[1:] != b[:-1])) if len(b) else np.zeros(0, np.int64)
+            n = np.diff(np.append(at, len(b)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(b[at].astype(np.int64)), pa.array(n.astype(np.int64)), pa.array(v[at]),
+                 pa.array(v[at + n - 1])], ["bucket", "n", "lo", "hi"])
+
+    near = F.lit(False)
+    for a, b in spans:
+        near = near | ((F.col("upto") > a) & (F.col("upto") <= b))
+    found = ends.select("upto").filter(near).mapInArrow(count, "bucket long, n long, lo long, hi long") \
+        .groupBy("bucket").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return np.array([(r["n"], r["lo"], r["hi"]) for r in found.collect()], np.int64).reshape(-1, 3)
+
+
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot (place in its shard, from 0) of every row of ``docs``.
 
@@ -199,38 +231,15 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         placed = rows.join(F.broadcast(table), "part").select(
             "doc_id", "size", "text_crc32", (F.col("start") + F.col("pos")).alias("pos"),
             (F.col("offset") + F.col("upto")).alias("upto"), F.coalesce("edge", "ends").alias("edge"))
-
-        def split(edges: list[np.ndarray]) -> np.ndarray:
-            marks = np.concatenate(edges)
-            inside = np.ones(len(marks), bool)
-            inside[np.cumsum([len(e) for e in edges]) - 1] = False
-
-            def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for batch in batches:
-                    v = np.sort(batch.column(0).to_numpy())
-                    b = np.searchsorted(marks, v, "left") - 1   # a bucket holds its upper end, not its lower
-                    ok = (b >= 0) & (b < len(marks) - 1)
-                    ok[ok] = inside[b[ok]]
-                    v, b = v[ok], b[ok]
-                    at = np.flatnonzero(np.append(True, b[1:] != b[:-1])) if len(b) else np.zeros(0, np.int64)
-                    n = np.diff(np.append(at, len(b)))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(b[at].astype(np.int64)), pa.array(n.astype(np.int64)), pa.array(v[at]),
-                         pa.array(v[at + n - 1])], ["bucket", "n", "lo", "hi"])
-
-            found = placed.filter("edge").select("upto").mapInArrow(buckets, "bucket long, n long, lo long, hi long") \
-                .groupBy("bucket").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-            return np.array([(r["n"], r["lo"], r["hi"]) for r in found.orderBy("lo").collect()], np.int64).reshape(-1, 3)
-
-        _, cuts = minimax_cuts(Places(offsets[-1], split), shards)
-        number = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c < F.col("upto"))) \
-            if cuts else F.lit(0)
-        numbered = placed.withColumn("shard", number)
-        # One row a shard.
-        firsts = numbered.groupBy("shard").agg(F.min("pos").alias("first"))
-        return numbered.join(F.broadcast(firsts), "shard").select(
-            "doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),
-            (F.col("pos") - F.col("first")).alias("slot")).checkpoint()
+        # Where a cut may be, and how many rows lie before it: one row a group, in order, so passes skip row groups.
+        ends_of = scratch.keep(placed.filter("edge").select("upto", (F.col("pos") + 1).alias("rows")))
+        _, cuts = minimax_cuts(Places(offsets[-1], lambda edges: _buckets(ends_of, edges)), shards)
+        before = {0: 0, **{r["upto"]: r["rows"] for r in ends_of.filter(F.col("upto").isin(cuts)).collect()}}
+        literals = F.array(*[F.lit(c).cast("long") for c in cuts])
+        number = F.size(F.filter(literals, lambda c: c < F.col("upto"))) if cuts else F.lit(0)
+        firsts = F.array(*[F.lit(before[c]).cast("long") for c in [0, *cuts]])
+        return placed.withColumn("shard", number.cast("int")).select(
+            "doc_id", "size", "text_crc32", "shard", (F.col("pos") - F.get(firsts, "shard")).alias("slot")).checkpoint()
 
 
 def op11_sharding(spark, sf_dir: str) -> DataFrame:
