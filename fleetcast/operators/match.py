@@ -1,30 +1,24 @@
 """Request validation, candidate search, scoring and top-k.
 
 Ranking every request against every driver is a cross product, which does not
-scale.  ``match_top_k`` returns the *same* top-k exactly without forming all
-pairs: drivers are indexed on a power-of-two latitude/longitude grid, every
-request first meets only the drivers of its 3x3 block of cells (an equi-join
-on the cell key), and a request is final once no driver outside the block can
-beat its k-th best score.  That bound holds because the score is monotone in
-``intercept + w_dist * distance + g(driver)``: a driver outside the block is
-at least the block margin away and has ``g <= max g``.  Unresolved requests
-move to the next, twice as coarse level; the coarsest level holds the whole
-globe, so the search always ends with the exact answer.
+scale.  ``match_top_k`` returns the *same* top-k exactly: a branch and bound over
+a summary of the drivers (``spatial``) leaves each request with the few cells
+that can hold one of its best, and only their drivers are scored.  The bounds
+hold because the score is monotone in
+``intercept + w_dist * distance + g(driver)``.
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetcast.functions.frames import cut_lineage
-from fleetcast.functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, haversine_km
+from fleetcast.functions.frames import with_group_index
+from fleetcast.functions.geo import haversine_km
 from fleetcast.functions.scoring import Ranker, sigmoid
 from fleetcast.operators.latest import expire
+from fleetcast.operators.spatial import BROADCAST_ROWS, DriverIndex, all_tied, build_index, pairs
 
 DEFAULT_TOP_K = 5
 
@@ -67,230 +61,49 @@ def candidate_pool(spark, n: int, prefix: str = "driver_") -> DataFrame:
     return spark.range(n).select(F.concat(F.lit(prefix), F.col("id").cast("string")).alias("driver_id"))
 
 
-# --------------------------------------------------------------- grid search
-
-@dataclass(frozen=True)
-class GridPlan:
-    p_start: int                 # finest grid exponent p: cell = 360 / 2**p degrees
-    n_drivers: int
-    max_static: float            # max over drivers of the distance-free logit part
-    broadcast_rows: int          # bound on broadcast rows (drivers x levels in use)
-    bbox: tuple = (0.0, 0.0, 0.0, 0.0)   # drivers' lat min/max, lon min/max
-    reach_km: float = 0.0        # radius holding k drivers + score slack
-
-
-def _pow2(p: Column) -> Column:
-    return F.pow(F.lit(2.0), p.cast("double"))
-
-
-def _cells(lat: Column, lon: Column, p: Column) -> tuple[Column, Column]:
-    """Cell row/column at (per-row) level ``p``; longitude wraps at the antimeridian."""
-    c = F.lit(360.0) / _pow2(p)
-    n_lat = F.greatest(_pow2(p - 1), F.lit(1.0)).cast("long")
-    n_lon = _pow2(p).cast("long")
-    cy = F.least(F.floor((lat + F.lit(90.0)) / c).cast("long"), n_lat - 1)
-    cx = F.pmod(F.floor((lon + F.lit(180.0)) / c).cast("long"), n_lon)
-    return cy, cx
-
+# --------------------------------------------------------------- top-k search
 
-def plan_grid(drivers: DataFrame, max_top_k: int, w_distance: float, per_block: int = 4,
-              max_cell_rows: int | None = None, broadcast_rows: int = 1_000_000,
-              finest_p: int = 26) -> GridPlan:
-    """Size the grid from the driver snapshot (two small aggregates).
-
-    A request resolves once its block margin exceeds the distance to its k-th
-    driver plus the score slack ``(max g - g) / |w_distance|``.  The finest
-    level is sized from the drivers' density and mean ``g``; a second
-    aggregate (densest cell at twelve candidate levels at once) moves it finer
-    when many drivers share one spot.
-    """
-    st = drivers.agg(F.count(F.lit(1)).alias("n"), F.max("_g").alias("g"), F.avg("_g").alias("gm"),
-                     F.min("lat").alias("a0"), F.max("lat").alias("a1"),
-                     F.min("lon").alias("o0"), F.max("lon").alias("o1")).first()
-    n = int(st["n"])
-    if n == 0:
-        return GridPlan(1, 0, 0.0, broadcast_rows)
-    lat_span = max(st["a1"] - st["a0"], 1e-3)
-    lon_span = max(st["o1"] - st["o0"], 1e-3)
-    coslat = max(math.cos(math.radians(max(abs(st["a0"]), abs(st["a1"])))), 1e-3)
-    area_km2 = lat_span * lon_span * KM_PER_DEGREE ** 2 * coslat
-    r_k = math.sqrt(max_top_k * area_km2 / (math.pi * n))            # radius holding k drivers
-    slack = (float(st["g"]) - float(st["gm"])) / abs(w_distance)
-    margin_deg = (r_k + slack) / (KM_PER_DEGREE * coslat)
-    p_slack = int(min(finest_p, max(1, math.floor(math.log2(360.0 / max(margin_deg, 1e-9))))))
-    cap = max_cell_rows or 16 * per_block * max_top_k
-    cands = list(range(p_slack, min(finest_p, p_slack + 11) + 1))
-    lv = F.explode(F.array(*[F.lit(p) for p in cands])).alias("_p")
-    exploded = drivers.select("lat", "lon", lv)
-    cy, cx = _cells(F.col("lat"), F.col("lon"), F.col("_p"))
-    occ = (exploded.groupBy("_p", cy.alias("_cy"), cx.alias("_cx")).count()
-           .groupBy("_p").agg(F.max("count").alias("m")).collect())
-    dense = {r["_p"]: r["m"] for r in occ}
-    p_start = next((p for p in cands if dense.get(p, 0) <= cap), cands[-1])
-    return GridPlan(p_start, n, float(st["g"]), broadcast_rows,
-                    (st["a0"], st["a1"], st["o0"], st["o1"]), r_k + slack)
-
-
-def _start_level(lat: Column, lon: Column, plan: GridPlan) -> Column:
-    """Per-request first level: coarse enough to reach the drivers' area.
-
-    Only a starting point (speed): every level still applies the exact
-    stopping test.  Requests inside the drivers' box start at the finest level.
-    """
-    a0, a1, o0, o1 = plan.bbox
-    dlat = F.greatest(F.lit(a0) - lat, lat - F.lit(a1), F.lit(0.0))
-    dlon = F.greatest(F.lit(o0) - lon, lon - F.lit(o1), F.lit(0.0))
-    coslat = F.greatest(F.cos(F.radians(lat)), F.lit(1e-3))
-    d_km = F.sqrt(F.pow(dlat * KM_PER_DEGREE, 2) + F.pow(dlon * KM_PER_DEGREE * coslat, 2))
-    need_deg = (d_km + F.lit(plan.reach_km)) / (F.lit(KM_PER_DEGREE) * coslat)
-    # One level finer than the estimate: that block usually reaches some
-    # drivers, whose k-th score becomes the floor that prunes the next level.
-    p = F.floor(F.log2(F.lit(360.0) / need_deg)) + 1
-    p = F.when(d_km == 0, F.lit(plan.p_start)).otherwise(F.least(p, F.lit(plan.p_start)))
-    return F.greatest(p, F.lit(1)).cast("int")
-
-
-def _block_margin_km(lat: Column, lon: Column, p: Column) -> Column:
-    """Lower bound (km) on the distance from a request to any point outside its 3x3 block."""
-    c = F.lit(360.0) / _pow2(p)
-    n_lat = F.greatest(_pow2(p - 1), F.lit(1.0))
-    n_lon = _pow2(p)
-    inf = F.lit(float("inf"))
-    ys = lat + F.lit(90.0)
-    xs = lon + F.lit(180.0)
-    cy = F.least(F.floor(ys / c), n_lat - 1)
-    cx = F.floor(xs / c)
-    south_edge = (cy - 1) * c
-    north_edge = (cy + 2) * c
-    m_south = F.when(south_edge <= 0, inf).otherwise(ys - south_edge)
-    m_north = F.when(north_edge >= 180.0, inf).otherwise(north_edge - ys)
-    m_lat = F.least(m_south, m_north)
-    m_lon = F.when(n_lon <= 3, inf).otherwise(F.least(xs - (cx - 1) * c, (cx + 2) * c - xs))
-    d_lat = F.lit(EARTH_RADIUS_KM) * F.radians(m_lat)
-    phi_a = F.radians(F.greatest(south_edge, F.lit(0.0)) - F.lit(90.0))
-    phi_b = F.radians(F.least(north_edge, F.lit(180.0)) - F.lit(90.0))
-    cmin = F.greatest(F.least(F.cos(phi_a), F.cos(phi_b)), F.lit(0.0))
-    s = F.sqrt(F.greatest(F.cos(F.radians(lat)), F.lit(0.0)) * cmin) * F.sin(
-        F.radians(F.least(m_lon, F.lit(180.0))) / 2)
-    d_lon = F.when(m_lon == inf, inf).otherwise(
-        F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(s, F.lit(1.0))))
-    bound = F.least(d_lat, d_lon)
-    # Keep a margin for rounding in the distance formula.
-    return F.when(bound == inf, inf).otherwise(F.greatest(bound * F.lit(1 - 1e-9) - F.lit(1e-9), F.lit(0.0)))
-
-
-def match_top_k(requests: DataFrame, drivers: DataFrame, ranker: Ranker, max_top_k: int | None = None,
-                request_partitions: int | None = None, plan: GridPlan | None = None,
-                carry=()) -> DataFrame:
-    """K1 over the exact grid search: the ``top_k`` best drivers per request.
+def match_top_k(requests: DataFrame, drivers: DataFrame | None, ranker: Ranker, request_partitions: int | None = None,
+                carry=(), index: DriverIndex | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """K1: the ``top_k`` best drivers per request, exactly, without forming all pairs.
 
     ``requests``: request_id, rider_lat, rider_lon, top_k (already validated).
-    ``drivers``: driver_id, lat, lon (not null) and the ranker's other features.
+    ``drivers``: driver_id, lat, lon (not null) and the ranker's other features;
+    or their ``index``, built before for the same ranker.
     Output: request_id, rank, driver_id, distance_km, score, the driver
     features and the request columns named in ``carry``; at most ``top_k``
     rows per request, ranked by score desc then driver_id.
     """
     carry = list(carry)
-    w_d = float(ranker.weights["distance_km"])
-    if w_d >= 0:
-        raise ValueError("grid search needs a ranker whose score falls with distance (w_distance < 0)")
-    spark = requests.sparkSession
-    if max_top_k is None:
-        # The largest requested k; ranking against a constant lets Spark apply a
-        # per-partition group limit before any shuffle.  No request is capped.
-        max_top_k = int(requests.agg(F.max("top_k")).first()[0] or DEFAULT_TOP_K)
+    if float(ranker.weights["distance_km"]) >= 0:
+        raise ValueError("the search needs a ranker whose score falls with distance (w_distance < 0)")
     feats = [f for f in ranker.features if f != "distance_km"]
-    drv = drivers.select("driver_id", "lat", "lon", *feats).withColumn("_g", ranker.static_logit())
-    # Drivers at one exact position with the same static score have the same
-    # score for every request, so of them only the max_top_k with the smallest
-    # ids can ever be ranked.  (Not so with different static scores: scores may
-    # still be equal after rounding, and then the id decides.)  The row-number
-    # limit runs partially on the map side, so a hot spot never lands whole in
-    # one task.
-    spot = Window.partitionBy("lat", "lon", "_g").orderBy(F.col("driver_id").asc())
-    drv = drv.withColumn("_spot", F.row_number().over(spot)).where(F.col("_spot") <= max_top_k).drop("_spot")
-    drv = drv.persist()
-    plan = plan or plan_grid(drv, max_top_k, w_d)
-    parts = request_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if plan.n_drivers == 0:
-        drv.unpersist()
+    index = index or build_index(drivers, ranker)
+    if not index.n_drivers:
         return _empty_result(requests, feats, carry)
-    # No request can have more matches than there are drivers (all of them are
-    # left here unless a spot holds max_top_k of them).
-    max_top_k = min(max_top_k, plan.n_drivers)
-    most = F.least(F.col("top_k"), F.lit(plan.n_drivers))
-    pending = (requests.select("request_id", "rider_lat", "rider_lon", most.alias("_k"),
-                               F.lit(None).cast("double").alias("_floor"), *carry,
-                               _start_level(F.col("rider_lat"), F.col("rider_lon"), plan).alias("_p"))
-               .repartition(parts, "request_id").dropDuplicates())  # the topic may deliver a request twice
-    results = []
-    bound_logit_max = float(ranker.intercept) + plan.max_static
-    # The levels in use this round: at most ``p_start`` small integers.
-    levels = sorted(r[0] for r in pending.select("_p").distinct().collect())
-    while True:
-        # Broadcast the driver side only when its counted size (drivers x levels
-        # in use) is under the bound; otherwise shuffle-join on the cell key.
-        small = plan.n_drivers * len(levels) <= plan.broadcast_rows
-        ranked = _rank_level(pending, drv, ranker, levels, max_top_k, small, feats, carry)
-        margin = _block_margin_km(F.col("rider_lat"), F.col("rider_lon"), F.col("_p"))
-        bound = sigmoid(F.lit(bound_logit_max) + F.lit(w_d) * margin + F.lit(1e-9))
-        done = (F.col("_p") <= 1) | ((F.col("_cnt") >= F.col("_k")) & (bound < F.col("_kth")))
-        ranked = cut_lineage(ranked.withColumn("_done", done))
-        results.append(ranked.where(F.col("_done") & F.col("driver_id").isNotNull()
-                                    & (F.col("rank") <= F.col("_k"))))
-        # One row per unresolved request; its k-th score so far is a floor for
-        # the next, coarser block, which contains this block.  One level at a
-        # time: a coarser block pairs a request with up to 4x more drivers.
-        # Re-partitioning these few rows by request_id lets the next round's
-        # pairs reach the top-k window without an exchange of pairs.
-        pending = ranked.where(~F.col("_done") & (F.col("rank") == 1)).select(
-            "request_id", "rider_lat", "rider_lon", "_k", F.col("_kth").alias("_floor"), *carry,
-            (F.col("_p") - 1).alias("_p")).repartition(parts, "request_id")
-        # One small job answers both "anything left?" and "which levels next?".
-        levels = sorted(r[0] for r in ranked.where(~F.col("_done") & (F.col("rank") == 1))
-                        .select((F.col("_p") - 1).alias("_p")).distinct().collect())
-        if not levels:
-            break
-    drv.unpersist()
-    out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
-    return out.select("request_id", "rank", "driver_id", "distance_km", "score", *feats, *carry)
-
-
-def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, levels: list[int], max_top_k: int,
-                broadcast: bool, feats: list[str], carry: list[str]) -> DataFrame:
-    """Score the pairs of one round (each request at its own level) and rank them.
-
-    Requests are exploded to the 9 cell keys of their block and equi-joined to
-    the drivers on (level, cell) — the drivers indexed once per level in use.
-    It is a left join: a request with an empty block keeps one null row so it
-    stays pending.  The drivers are broadcast only when their counted rows
-    times the levels in use are below the bound; otherwise this is a shuffle join on the
-    cell key, with AQE splitting hot cells.
-    """
-    p = F.col("_p")
-    n_lon = _pow2(p).cast("long")
-    n_lat = F.greatest(_pow2(p - 1), F.lit(1.0)).cast("long")
-    cy, cx = _cells(F.col("rider_lat"), F.col("rider_lon"), p)
-    offs = [(dy, dx) for dy in (-1, 0, 1) for dx in (-1, 0, 1)]
-    block = F.array_distinct(F.array(*[
-        F.struct((F.col("_cy") + dy).alias("cy"), F.pmod(F.col("_cx") + dx, n_lon).alias("cx"))
-        for dy, dx in offs]))
-    keep = ["request_id", "rider_lat", "rider_lon", "_k", "_floor", "_p", *carry]
-    reqs = (pending.withColumn("_cy", cy).withColumn("_cx", cx)
-            .select(*keep, n_lat.alias("_nlat"), F.explode(block).alias("_b"))
-            .select(*keep, "_nlat", F.col("_b.cy").alias("cy"), F.col("_b.cx").alias("cx"))
-            .where((F.col("cy") >= 0) & (F.col("cy") < F.col("_nlat"))).drop("_nlat"))
-    side = drv.select("driver_id", "lat", "lon", *feats,
-                      F.explode(F.array(*[F.lit(lv) for lv in levels])).alias("_p"))
-    dcy, dcx = _cells(F.col("lat"), F.col("lon"), F.col("_p"))
-    side = side.select("driver_id", "lat", "lon", *feats, "_p", dcy.alias("cy"), dcx.alias("cx"))
-    if broadcast:
-        side = F.broadcast(side)
-    pairs = reqs.join(side, ["_p", "cy", "cx"], "left")
+    parts = request_partitions or int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Requests that share an id but not their content are ranked apart.
+    own = ["request_id", "rider_lat", "rider_lon", "_k", *carry]
+    most = F.least(F.col("top_k"), F.lit(index.n_drivers)).alias("_k")
+    asked = requests.select("request_id", "rider_lat", "rider_lon", most, *carry) \
+        .repartition(parts, "request_id").dropDuplicates()  # the topic may deliver a request twice
+    out = ["request_id", "rank", "driver_id", "distance_km", "score", *feats, *carry]
+    tied = all_tied(index, ranker)
+    found = pairs(asked.where(~tied), own, index, ranker, broadcast_rows)
+    ranked = _ranked(found, own, feats, ranker).select(*out)
+    if requests.where(tied).isEmpty():
+        return ranked
+    # So far away that all drivers score alike: the first ids are the answer.
+    places = with_group_index(index.drivers.drop("cell"), ["driver_id"], name="_place")
+    first = asked.where(tied).withColumn("_floor", F.lit(None).cast("double")) \
+        .withColumn("_place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k").cast("long") - 1)))
+    return ranked.unionByName(_ranked(first.join(places, "_place"), own, feats, ranker).select(*out))
+
+
+def _ranked(pairs: DataFrame, own: list[str], feats: list[str], ranker: Ranker) -> DataFrame:
+    """Scored pairs, the ``_k`` best of each request."""
     dist = haversine_km(F.col("rider_lat"), F.col("rider_lon"), F.col("lat"), F.col("lon"))
-    base = [*keep, "driver_id", *feats]
+    base = [*own, "_floor", "driver_id", *feats]
     # Distance and score are produced by Generates (``inline``): the floor
     # filter below cannot be pushed under them, so each pair's trigonometry
     # runs once instead of once per expression that reads the score.
@@ -298,15 +111,9 @@ def _rank_level(pending: DataFrame, drv: DataFrame, ranker: Ranker, levels: list
     scored = scored.select(*base, "distance_km", F.inline(F.array(F.struct(
         sigmoid(ranker.logit({"distance_km": F.col("distance_km")})).alias("score")))))
     # Pairs below the floor cannot reach the top k (k candidates already beat it).
-    scored = scored.where(F.col("_floor").isNull() | F.col("score").isNull()
-                          | (F.col("score") >= F.col("_floor")))
-    # Requests that share an id but not their content are ranked apart.
-    own = ["request_id", "rider_lat", "rider_lon", "_k"]
+    scored = scored.where(F.col("_floor").isNull() | F.col("score").isNull() | (F.col("score") >= F.col("_floor")))
     w = Window.partitionBy(*own).orderBy(F.col("score").desc_nulls_last(), F.col("driver_id").asc())
-    ranked = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_top_k)
-    whole = Window.partitionBy(*own)
-    return (ranked.withColumn("_cnt", F.count("driver_id").over(whole))
-            .withColumn("_kth", F.max(F.when(F.col("rank") == F.col("_k"), F.col("score"))).over(whole)))
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= F.col("_k"))
 
 
 def _empty_result(req: DataFrame, feats, carry=()) -> DataFrame:
@@ -349,10 +156,9 @@ def match_responses(requests: DataFrame, snapshot: DataFrame, ranker: Ranker,
     return answered.unionByName(rejected)
 
 
-def match_drivers(requests: DataFrame, snapshot: DataFrame, ranker: Ranker, max_top_k: int | None = None,
-                  default_top_k: int = DEFAULT_TOP_K, carry=(), as_of=None, ttl=None,
-                  ts: str = "event_ts") -> DataFrame:
-    """Q1 (flat form): validate → expire → drop unlocated candidates → exact grid top-k.
+def match_drivers(requests: DataFrame, snapshot: DataFrame, ranker: Ranker, default_top_k: int = DEFAULT_TOP_K,
+                  carry=(), as_of=None, ttl=None, ts: str = "event_ts") -> DataFrame:
+    """Q1 (flat form): validate → expire → drop unlocated candidates → exact top-k.
 
     With ``as_of`` and ``ttl``, features of drivers last seen earlier are null,
     as in the lookup (J4); a driver whose position has expired is no candidate.
@@ -361,4 +167,4 @@ def match_drivers(requests: DataFrame, snapshot: DataFrame, ranker: Ranker, max_
     if as_of is not None and ttl is not None:
         snapshot = expire(snapshot, as_of, ttl, ["lat", "lon", *[f for f in ranker.features if f != "distance_km"]], ts)
     drivers = drop_unlocated(snapshot)
-    return match_top_k(valid, drivers, ranker, max_top_k=max_top_k, carry=carry)
+    return match_top_k(valid, drivers, ranker, carry=carry)

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetcast.functions.geo import haversine_km
-from fleetcast.functions.scoring import FIXTURE_RANKER, Ranker
+from fleetcast.functions.scoring import FIXTURE_RANKER, Ranker, sigmoid
 from fleetcast.operators import match as mt
+from fleetcast.operators import spatial
 
 
 def py_haversine(a1, o1, a2, o2):
@@ -123,9 +124,8 @@ def test_grid_top_k_shuffle_join_path(spark):
     ddf = spark.createDataFrame(drivers, "driver_id string, lat double, lon double, accept_rate_7d double, "
                                          "avg_response_ms double")
     rdf = spark.createDataFrame(reqs, "request_id string, rider_lat double, rider_lon double, top_k int")
-    plan = mt.plan_grid(ddf.withColumn("_g", FIXTURE_RANKER.static_logit()), 8, -0.8, broadcast_rows=0)
     got = {}
-    for r in mt.match_top_k(rdf, ddf, FIXTURE_RANKER, plan=plan).orderBy("request_id", "rank").collect():
+    for r in mt.match_top_k(rdf, ddf, FIXTURE_RANKER, broadcast_rows=0).orderBy("request_id", "rank").collect():
         got.setdefault(r["request_id"], []).append(r["driver_id"])
     assert got == brute_force(reqs, drivers, FIXTURE_RANKER)
 
@@ -141,33 +141,28 @@ def test_grid_top_k_empty_inputs(spark):
     assert [x["driver_id"] for x in mt.match_top_k(r, d, FIXTURE_RANKER).orderBy("rank").collect()] == ["d1", "d2"]
 
 
-def test_block_margin_is_a_lower_bound(spark):
-    """Every point outside a request's 3x3 block is at least the margin away (poles, antimeridian included)."""
-    n = 200_000
-    lvl = (F.lit(2) + (F.rand(1) * 18).cast("int"))
-    df = spark.range(n).select(
-        lvl.alias("p"),
-        (F.rand(2) * 180 - 90).alias("rlat"), (F.rand(3) * 360 - 180).alias("rlon"))
-    # points near the request (scaled by the cell size) and anywhere on the globe
-    cell = F.lit(360.0) / F.pow(F.lit(2.0), F.col("p").cast("double"))
-    near = F.rand(4) < 0.7
-    df = df.select("*",
-                   F.when(near, F.col("rlat") + (F.rand(5) * 8 - 4) * cell).otherwise(F.rand(6) * 180 - 90)
-                   .alias("plat0"),
-                   F.when(near, F.col("rlon") + (F.rand(7) * 8 - 4) * cell).otherwise(F.rand(8) * 360 - 180)
-                   .alias("plon0"))
-    df = df.select("*", F.greatest(F.least(F.col("plat0"), F.lit(90.0)), F.lit(-90.0)).alias("plat"),
-                   (F.pmod(F.col("plon0") + 180, F.lit(360.0)) - 180).alias("plon"))
-    rcy, rcx = mt._cells(F.col("rlat"), F.col("rlon"), F.col("p"))
-    pcy, pcx = mt._cells(F.col("plat"), F.col("plon"), F.col("p"))
-    n_lon = F.pow(F.lit(2.0), F.col("p").cast("double")).cast("long")
-    dx = F.pmod(pcx - rcx, n_lon)
-    outside = (F.abs(pcy - rcy) > 1) | ((dx > 1) & (dx < n_lon - 1))
-    margin = mt._block_margin_km(F.col("rlat"), F.col("rlon"), F.col("p"))
-    d = haversine_km("rlat", "rlon", "plat", "plon")
-    bad = df.where(outside & (d < margin)).count()
-    checked = df.where(outside).count()
-    assert checked > 50_000 and bad == 0
+def test_score_bounds_hold_for_points_of_a_box(spark):
+    """The exact score of every point of a box lies between the bounds (poles, antimeridian, tiny boxes included)."""
+    df = spark.range(200_000).select(
+        (F.rand(2) * 180 - 90).alias("rider_lat"), (F.rand(3) * 360 - 180).alias("rider_lon"),
+        F.pow(F.lit(10.0), F.rand(4) * 6 - 4).alias("size"), (F.rand(5) < 0.5).alias("near"), F.rand(6).alias("u"),
+        F.rand(7).alias("v"), F.rand(8).alias("x"), F.rand(9).alias("y"))
+    a0 = F.when(F.col("near"), F.col("rider_lat") + (F.col("x") - 0.5) * 3 * F.col("size")).otherwise(F.col("x") * 180 - 90)
+    o0 = F.when(F.col("near"), F.col("rider_lon") + (F.col("y") - 0.5) * 3 * F.col("size")).otherwise(F.col("y") * 360 - 180)
+    df = df.withColumn("a0", F.least(F.greatest(a0, F.lit(-90.0)), F.lit(90.0))) \
+        .withColumn("a1", F.least(F.col("a0") + F.col("size"), F.lit(90.0))) \
+        .withColumn("o0", F.least(F.greatest(o0, F.lit(-180.0)), F.lit(180.0))) \
+        .withColumn("o1", F.least(F.col("o0") + F.col("size") * 2, F.lit(180.0))) \
+        .withColumn("lat", F.col("a0") + F.col("u") * (F.col("a1") - F.col("a0"))) \
+        .withColumn("lon", F.col("o0") + F.col("v") * (F.col("o1") - F.col("o0"))) \
+        .withColumn("g0", F.lit(0.1)).withColumn("g1", F.lit(0.4)).withColumn("g", F.lit(0.1) + F.col("u") * 0.3)
+    slow = Ranker(0.5, {"distance_km": -0.001, "accept_rate_7d": 0.0, "avg_response_ms": 0.0})  # nothing saturates
+    df = df.withColumns(spatial.cosines(F.col))
+    worst, best = spatial.score_bounds(F.col("rider_lat"), F.col("rider_lon"), slow, F.col)
+    exact = sigmoid(F.lit(0.5) - F.lit(0.001) * haversine_km("rider_lat", "rider_lon", "lat", "lon") + F.col("g"))
+    assert df.where((exact < worst) | (exact > best)).count() == 0
+    # They are of use, too: for small boxes nearby they lie close together.
+    assert df.where("near and size < 0.01").where(best - worst > 0.08).count() == 0
 
 
 def test_grid_top_k_antimeridian_and_pole(spark):
@@ -204,3 +199,72 @@ def test_match_with_saturated_scores_and_odd_requests(spark):
     assert got == {"far": ["d0", "d1"], "near": ["d5", "d4", "d3"], "all": ["d5", "d4", "d3", "d2", "d1", "d0"]}
     errors = {r["request_id"]: r["error_type"] for r in mt.rejected_requests(reqs).collect()}
     assert errors == {"nan": "missing_location"}
+
+
+OWN = ["request_id", "rider_lat", "rider_lon", "_k"]
+
+
+def pairs_formed(requests, index):
+    k = F.least("top_k", F.lit(index.n_drivers)).alias("_k")
+    asked = requests.select("request_id", "rider_lat", "rider_lon", k)
+    return spatial.pairs(asked, OWN, index, FIXTURE_RANKER).groupBy("request_id").count().withColumnRenamed("count", "n")
+
+
+def test_pairs_stay_few_also_beside_one_huge_top_k(spark):
+    """Below a tenth of all pairs on the test tables; one request that asks for all widens nobody else's search."""
+    from paths import SF_MID
+
+    from fleetcast.operators.latest import latest_per_key
+    from fleetcast.plans import fixtures as fx
+    ev = fx.load_table(spark, SF_MID, "events")
+    index = spatial.build_index(mt.drop_unlocated(latest_per_key(fx.driver_events(ev))), FIXTURE_RANKER)
+    requests = mt.valid_requests(fx.rider_requests(ev))
+    n = requests.count()
+    plain = {r["request_id"]: r["n"] for r in pairs_formed(requests, index).collect()}
+    assert len(plain) == n and sum(plain.values()) < 0.1 * n * index.n_drivers
+    one = min(plain)
+    huge = requests.withColumn("top_k", F.when(F.col("request_id") == one, 1_000_000).otherwise(F.col("top_k")))
+    beside = {r["request_id"]: r["n"] for r in pairs_formed(huge, index).collect()}
+    assert beside.pop(one) == index.n_drivers
+    plain.pop(one)
+    assert beside == plain
+
+
+def test_hot_spots_are_searched_by_rank(spark):
+    """A third of the drivers on one spot with one static score, a third on another with many."""
+    rnd = random.Random(9)
+    drivers = [(f"a{i:04d}", 40.7, -74.0, 0.8, 500.0) for i in range(1500)]
+    drivers += [(f"b{i:04d}", 40.71, -74.01, 0.5 + rnd.random() / 2, 500.0) for i in range(1500)]
+    drivers += [(f"c{i:04d}", 40.7 + rnd.uniform(-0.05, 0.05), -74.0 + rnd.uniform(-0.05, 0.05), 0.7, 500.0)
+                for i in range(1500)]
+    drivers += [(f"n{i}", 40.7, -74.0, None, None) for i in range(5)]
+    requests = [(f"q{j}", 40.7 + rnd.uniform(-0.02, 0.02), -74.0 + rnd.uniform(-0.02, 0.02), rnd.randint(1, 7))
+                for j in range(40)] + [("many", 40.7, -74.0, 2000)]
+    ddf = spark.createDataFrame(drivers, "driver_id string, lat double, lon double, accept_rate_7d double, "
+                                         "avg_response_ms double")
+    rdf = spark.createDataFrame(requests, "request_id string, rider_lat double, rider_lon double, top_k int")
+    index = spatial.build_index(ddf, FIXTURE_RANKER)
+    got = {}
+    for r in mt.match_top_k(rdf, None, FIXTURE_RANKER, index=index).orderBy("request_id", "rank").collect():
+        got.setdefault(r["request_id"], []).append(r["driver_id"])
+    assert got == brute_force(requests, drivers, FIXTURE_RANKER)
+    met = {r["request_id"]: r["n"] for r in pairs_formed(rdf.where("top_k < 100"), index).collect()}
+    assert max(met.values()) < 150
+
+
+def test_stored_index_answers_as_the_fresh_one(spark, tmp_dir):
+    rnd = random.Random(4)
+    drivers = [(f"d{i}", 40.7 + rnd.uniform(-0.05, 0.05), -74 + rnd.uniform(-0.05, 0.05), rnd.uniform(0.5, 1), 700.0)
+               for i in range(500)]
+    ddf = spark.createDataFrame(drivers, "driver_id string, lat double, lon double, accept_rate_7d double, "
+                                         "avg_response_ms double")
+    rdf = spark.createDataFrame([(f"q{j}", 40.66, -74.04 + j / 1000, 3) for j in range(20)],
+                                "request_id string, rider_lat double, rider_lon double, top_k int")
+    index = spatial.build_index(ddf, FIXTURE_RANKER)
+    index.save(f"{tmp_dir}/index")
+    stored = spatial.DriverIndex.load(spark, f"{tmp_dir}/index")
+    want = mt.match_top_k(rdf, None, FIXTURE_RANKER, index=index).collect()
+    assert sorted(mt.match_top_k(rdf, None, FIXTURE_RANKER, index=stored).collect()) == sorted(want)
+    cells = index.drivers.withColumn("part", spatial.part_of(F.col("cell"))).groupBy("part").agg(
+        F.min("lat").alias("a"), F.max("lat").alias("b"), F.min("lon").alias("c"), F.max("lon").alias("d")).collect()
+    assert len(cells) == 16 and all(r["b"] - r["a"] < 0.026 and r["d"] - r["c"] < 0.026 for r in cells)
