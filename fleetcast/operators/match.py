@@ -18,7 +18,7 @@ from fleetcast.functions.frames import with_group_index
 from fleetcast.functions.geo import haversine_km
 from fleetcast.functions.scoring import Ranker, sigmoid
 from fleetcast.operators.latest import expire
-from fleetcast.operators.spatial import BROADCAST_ROWS, DriverIndex, all_tied, build_index, pairs
+from fleetcast.operators.spatial import BROADCAST_ROWS, DriverIndex, Expiry, all_tied, build_index, drivers_at, pairs
 
 DEFAULT_TOP_K = 5
 
@@ -64,12 +64,14 @@ def candidate_pool(spark, n: int, prefix: str = "driver_") -> DataFrame:
 # --------------------------------------------------------------- top-k search
 
 def match_top_k(requests: DataFrame, drivers: DataFrame | None, ranker: Ranker, request_partitions: int | None = None,
-                carry=(), index: DriverIndex | None = None, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                carry=(), index: DriverIndex | None = None, expiry: Expiry = Expiry(),
+                broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """K1: the ``top_k`` best drivers per request, exactly, without forming all pairs.
 
     ``requests``: request_id, rider_lat, rider_lon, top_k (already validated).
     ``drivers``: driver_id, lat, lon (not null) and the ranker's other features;
-    or their ``index``, built before for the same ranker.
+    or their ``index``, built before for the same ranker, of which ``expiry``
+    leaves out what is too old.
     Output: request_id, rank, driver_id, distance_km, score, the driver
     features and the request columns named in ``carry``; at most ``top_k``
     rows per request, ranked by score desc then driver_id.
@@ -89,12 +91,12 @@ def match_top_k(requests: DataFrame, drivers: DataFrame | None, ranker: Ranker,
         .repartition(parts, "request_id").dropDuplicates()  # the topic may deliver a request twice
     out = ["request_id", "rank", "driver_id", "distance_km", "score", *feats, *carry]
     tied = all_tied(index, ranker)
-    found = pairs(asked.where(~tied), own, index, ranker, broadcast_rows)
+    found = pairs(asked.where(~tied), own, index, ranker, broadcast_rows, expiry)
     ranked = _ranked(found, own, feats, ranker).select(*out)
     if requests.where(tied).isEmpty():
         return ranked
     # So far away that all drivers score alike: the first ids are the answer.
-    places = with_group_index(index.drivers.drop("cell"), ["driver_id"], name="_place")
+    places = with_group_index(drivers_at(index, ranker, expiry).drop("cell", "part"), ["driver_id"], name="_place")
     first = asked.where(tied).withColumn("_floor", F.lit(None).cast("double")) \
         .withColumn("_place", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k").cast("long") - 1)))
     return ranked.unionByName(_ranked(first.join(places, "_place"), own, feats, ranker).select(*out))
@@ -143,11 +145,19 @@ def keep_empty_requests(requests: DataFrame, nested: DataFrame) -> DataFrame:
             .select("request_id", F.coalesce(F.col("matches"), empty).alias("matches")))
 
 
-def match_responses(requests: DataFrame, snapshot: DataFrame, ranker: Ranker,
-                    default_top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """K2 + K3: one row per request, ``matches`` ordered and maybe empty, ``error_type`` of rejected ones."""
+def match_responses(requests: DataFrame, snapshot: DataFrame | None, ranker: Ranker,
+                    default_top_k: int = DEFAULT_TOP_K, index: DriverIndex | None = None,
+                    expiry: Expiry = Expiry()) -> DataFrame:
+    """K2 + K3: one row per request, ``matches`` ordered and maybe empty, ``error_type`` of rejected ones.
+
+    Candidates come from a snapshot, or from an ``index`` built before.
+    """
     checked = validate_requests(requests, default_top_k)
-    nested = nest_matches(match_drivers(requests, snapshot, ranker, default_top_k=default_top_k))
+    if index is None:
+        flat = match_drivers(requests, snapshot, ranker, default_top_k=default_top_k)
+    else:
+        flat = match_top_k(valid_requests(requests, default_top_k), None, ranker, index=index, expiry=expiry)
+    nested = nest_matches(flat)
     answered = keep_empty_requests(checked.where(F.col("error_type").isNull()).dropDuplicates(["request_id"]), nested) \
         .withColumn("error_type", F.lit(None).cast("string"))
     kind = answered.schema["matches"].dataType

@@ -17,12 +17,14 @@ ranks up to its k only.
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from fleetcast.functions.frames import cut_lineage
@@ -37,10 +39,19 @@ BROADCAST_ROWS = 1_000_000     # a level or the drivers are broadcast only when
 SALTS = 16                     # copies of a larger table, so that a crowd of requests in one cell is dealt out
 RANK_BASE = 8                  # ranks on a spot: up to 8, to 64, to 512, ...
 ROUNDING = 1e-7                # more than the distance formula's, relative (antipodes) and in km
-SUMMARY = ["n", "a0", "a1", "o0", "o1", "g0", "g1", "r0"]
+SUMMARY = ["n", "a0", "a1", "o0", "o1", "g0", "g1", "r0", "t0", "t1", "f0"]
+TIMES = ["position_ts", "features_ts"]
 ROOT = 0
 
 
+@dataclass(frozen=True)
+class Expiry:
+    """Positions and features older than these times (None: any age) count as missing."""
+
+    position: dt.datetime | None = None
+    features: dt.datetime | None = None
+
+
 @dataclass(frozen=True)
 class DriverIndex:
     """``steps``: (level, parent, cell, leaf, summary); ``drivers``: (cell, driver columns).
@@ -59,14 +70,18 @@ class DriverIndex:
         self.steps.write.mode("overwrite").parquet(f"{path}/steps")
         self.drivers.withColumn("part", part_of(F.col("cell"))).repartition("part").sortWithinPartitions("cell") \
             .write.mode("overwrite").partitionBy("part").parquet(f"{path}/drivers")
-        meta = json.dumps({"levels": self.levels, "n_drivers": self.n_drivers, "whole": self.whole})
+        meta = json.dumps({"levels": self.levels, "n_drivers": self.n_drivers, "whole": self.whole,
+                           "steps": self.steps.schema.jsonValue(), "drivers": self.drivers.schema.jsonValue()}, default=str)
         self.steps.sparkSession.createDataFrame([(meta,)], "meta string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{path}/meta")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> DriverIndex:
         meta = json.loads(spark.read.parquet(f"{path}/meta").first()[0])
-        return DriverIndex(spark.read.parquet(f"{path}/steps"), spark.read.parquet(f"{path}/drivers").drop("part"),
+        steps, drivers = (T.StructType.fromJson(meta[t]) for t in ("steps", "drivers"))
+        drivers.add("part", T.IntegerType())
+        return DriverIndex(spark.read.schema(steps).parquet(f"{path}/steps"),
+                           spark.read.schema(drivers).parquet(f"{path}/drivers"),
                            {int(k): tuple(v) for k, v in meta["levels"].items()}, meta["n_drivers"], meta["whole"])
 
 
@@ -92,19 +107,27 @@ def part_of(cell: Column) -> Column:
 def _summaries(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(
         F.count("_g").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("lat").alias("a0"), F.max("lat").alias("a1"),
-        F.min("lon").alias("o0"), F.max("lon").alias("o1"), F.min("_g").alias("g0"), F.max("_g").alias("g1"),
-        F.min("_r").alias("r0"))
+        F.min("lon").alias("o0"), F.max("lon").alias("o1"),
+        F.min(F.least("_g", "_ge")).alias("g0"), F.max(F.greatest("_g", "_ge")).alias("g1"), F.min("_r").alias("r0"),
+        F.min("position_ts").alias("t0"), F.max("position_ts").alias("t1"), F.min("features_ts").alias("f0"))
 
 
 def build_index(drivers: DataFrame, ranker: Ranker, leaf_rows: int = LEAF_ROWS) -> DriverIndex:
     """Index of ``drivers``: driver_id, lat, lon (not null) and the ranker's other features.
 
+    With position_ts and features_ts the index serves searches at any time: a
+    cell's bounds hold whether its drivers' features have expired or not, and its
+    drivers are counted on only while none of them has.
+
     A pass for the box, one aggregation for the cells of all levels, and one join
     that tells each driver its cell.
     """
     feats = [f for f in ranker.features if f != "distance_km"]
-    drv = drivers.select("driver_id", "lat", "lon", *feats).withColumns(
-        {"_g": ranker.static_logit(), "_r": F.lit(1).cast("long")}).persist()
+    times = [F.col(t) if t in drivers.columns else F.lit(None).cast("timestamp_ntz").alias(t) for t in TIMES]
+    timed = TIMES[1] in drivers.columns and all(f in ranker.impute for f in feats)
+    expired = F.lit(sum(ranker.weights[f] * ranker.impute[f] for f in feats) if timed else None).cast("double")
+    drv = drivers.select("driver_id", "lat", "lon", *feats, *times).withColumns(
+        {"_g": ranker.static_logit(), "_ge": expired, "_r": F.lit(1).cast("long")}).persist()
     whole = _summaries(drv).first().asDict()
     n = whole["rows"]
     depth = min(MOST_LEVELS, math.ceil(math.log(n / leaf_rows + 1, 16)) + EXTRA_LEVELS)
@@ -124,7 +147,7 @@ def build_index(drivers: DataFrame, ranker: Ranker, leaf_rows: int = LEAF_ROWS)
 
     level = F.col("level")
     up = F.when(level == 1, F.lit(ROOT).cast("long")).otherwise(key(level - 1))
-    cells = _summaries(exploded.select("level", key(level).alias("cell"), up.alias("parent"), "lat", "lon", "_g", "_r"),
+    cells = _summaries(exploded.select("level", key(level).alias("cell"), up.alias("parent"), "lat", "lon", "_g", "_ge", "_r", *TIMES),
                        "level", "cell", "parent")
     # What lies below a cell that is small enough is not needed.  A parent has 16 children at most.
     with_all = F.sum("rows").over(Window.partitionBy("level", "parent"))
@@ -134,9 +157,9 @@ def build_index(drivers: DataFrame, ranker: Ranker, leaf_rows: int = LEAF_ROWS)
         F.count(F.lit(1)).alias("cells"), F.count_if("leaf").alias("leaves"), F.max("rows").alias("most")).collect()}
     ends = cells.filter(F.col("leaf") | (level == depth)).select("cell", "rows")
     few = sum(r["cells"] for r in counted.values()) <= BROADCAST_ROWS
-    homed = exploded.select("driver_id", "lat", "lon", *feats, "_g", "_r", key(level).alias("cell")) \
+    homed = exploded.select("driver_id", "lat", "lon", *feats, *TIMES, "_g", "_ge", "_r", key(level).alias("cell")) \
         .join(F.broadcast(ends) if few else ends, "cell")
-    keep = ["cell", "driver_id", "lat", "lon", *feats]
+    keep = ["cell", "driver_id", "lat", "lon", *feats, *TIMES]
     steps = cells.select("level", "parent", "cell", "leaf", *SUMMARY)
     levels = {k: (r["cells"], r["leaves"]) for k, r in counted.items()}
     if depth in counted and counted[depth]["most"] > leaf_rows:
@@ -204,6 +227,27 @@ def score_bounds(lat: Column, lon: Column, ranker: Ranker, s) -> tuple[Column, C
     return sigmoid(worst), sigmoid(best)
 
 
+def _at_time(step: DataFrame, ranker: Ranker, expiry: Expiry) -> DataFrame:
+    """Cells that hold a driver not expired; a cell's drivers are counted on only if none of them has."""
+    if expiry.position is not None:
+        after = F.lit(expiry.position)
+        step = step.filter(F.col("t1") >= after).withColumn("n", F.when(F.col("t0") >= after, F.col("n")).otherwise(0))
+    if expiry.features is not None and not all(f in ranker.impute for f in ranker.features if f != "distance_km"):
+        step = step.withColumn("n", F.when(F.col("f0") >= F.lit(expiry.features), F.col("n")).otherwise(0))
+    return step
+
+
+def drivers_at(index: DriverIndex, ranker: Ranker, expiry: Expiry) -> DataFrame:
+    """The index's drivers as they are at a time: none with an expired position, expired features null."""
+    out = index.drivers
+    if expiry.position is not None:
+        out = out.filter(F.col("position_ts") >= F.lit(expiry.position))
+    if expiry.features is not None:
+        fresh = F.col("features_ts") >= F.lit(expiry.features)
+        out = out.withColumns({f: F.when(fresh, F.col(f)) for f in ranker.features if f != "distance_km"})
+    return out.drop(*TIMES)
+
+
 def _fitting(table: DataFrame, rows: int, key: str, limit: int) -> tuple[DataFrame, bool]:
     """``table`` for a join on ``key``: broadcast when counted small, else in salted copies."""
     if rows <= limit:
@@ -212,7 +256,7 @@ def _fitting(table: DataFrame, rows: int, key: str, limit: int) -> tuple[DataFra
 
 
 def candidates(requests: DataFrame, own: list[str], index: DriverIndex, ranker: Ranker,
-               broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+               broadcast_rows: int = BROADCAST_ROWS, expiry: Expiry = Expiry()) -> DataFrame:
     """``own`` columns, ``_floor`` and ``cell``: the cells whose drivers may be among a request's ``_k`` best.
 
     ``requests`` holds rider_lat, rider_lon and _k among its ``own`` columns,
@@ -235,7 +279,7 @@ def candidates(requests: DataFrame, own: list[str], index: DriverIndex, ranker:
         if settled:
             step = step.unionByName(index.steps.filter((F.col("level") < level) & F.col("leaf")).select(
                 "cell", F.col("cell").alias("_to"), *SUMMARY))
-        step = step.withColumns(cosines(F.col))
+        step = _at_time(step, ranker, expiry).withColumns(cosines(F.col))
         cells, leaves = index.levels[level]
         step, small = _fitting(step, cells + settled, "cell", broadcast_rows)
         settled += leaves
@@ -254,10 +298,16 @@ def candidates(requests: DataFrame, own: list[str], index: DriverIndex, ranker:
 
 
 def pairs(requests: DataFrame, own: list[str], index: DriverIndex, ranker: Ranker,
-          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+          broadcast_rows: int = BROADCAST_ROWS, expiry: Expiry = Expiry()) -> DataFrame:
     """Requests with the drivers that may be among their ``_k`` best."""
-    front = candidates(requests, own, index, ranker, broadcast_rows)
-    drivers, small = _fitting(index.drivers, index.n_drivers, "cell", broadcast_rows)
+    front = candidates(requests, own, index, ranker, broadcast_rows, expiry)
+    drivers = drivers_at(index, ranker, expiry)
+    if index.n_drivers > broadcast_rows and "part" in drivers.columns:
+        # A stored index: only the folders of the parts that were reached are read.
+        front = cut_lineage(front)
+        reached = [r[0] for r in front.select(part_of(F.col("cell"))).distinct().collect()]   # 16 at most
+        drivers = drivers.filter(F.col("part").isin(reached))
+    drivers, small = _fitting(drivers.drop("part"), index.n_drivers, "cell", broadcast_rows)
     if small:
         return front.join(drivers, "cell").drop("cell")
     salt = F.pmod(F.xxhash64(*own), F.lit(SALTS)).cast("int")
@@ -266,9 +316,9 @@ def pairs(requests: DataFrame, own: list[str], index: DriverIndex, ranker: Ranke
 
 def all_tied(index: DriverIndex, ranker: Ranker) -> Column:
     """All drivers have one and the same score for the request, as for one very far away: only ids decide."""
-    if index.whole["n"] < index.n_drivers:
-        return F.lit(False)   # some have no score at all
-    box = {c: F.lit(index.whole[c]).cast("double") for c in SUMMARY}
+    if index.whole["n"] < index.n_drivers or not all(f in ranker.impute for f in ranker.features if f != "distance_km"):
+        return F.lit(False)   # some have, or may come to have, no score at all
+    box = {c: F.lit(index.whole[c]).cast("double") for c in ("a0", "a1", "o0", "o1", "g0", "g1")}
     box.update(cosines(box.get))
     worst, best = score_bounds(F.col("rider_lat"), F.col("rider_lon"), ranker, box.get)
     return worst == best

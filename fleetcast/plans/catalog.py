@@ -860,6 +860,25 @@ def q_push_features(spark, sf_dir):
                      .select(F.lit("online").alias("side"), "driver_id", "event_ts"))
 
 
+@register("stream_push", with_fixtures(f"""
+SELECT 'offline' AS side, driver_id, event_ts FROM fx_driver_events WHERE {_CLEAN}
+UNION ALL SELECT 'online', driver_id, event_ts FROM (
+  SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY event_ts DESC, event_id DESC) AS rn_
+  FROM fx_driver_events WHERE {_CLEAN}) s WHERE rn_ = 1"""))
+def q_stream_push(spark, sf_dir):
+    """The topic in micro-batches, pushed offline and online; run twice, every row is there once."""
+    topic = _topic_files(spark, fx.driver_events_json(events(spark, sf_dir)), 3)
+    root = scratch_path(spark, "push-stream")
+    for _ in range(2):
+        lines = src.read_events_stream(spark, path=topic, max_per_trigger=1)
+        for q in sj.stream_push(lines, f"{root}/offline", f"{root}/online", [DRIVER_AGG], f"{root}/ck"):
+            q.awaitTermination()
+    return src.read_offline_events(spark, f"{root}/offline", ["driver_id", "event_ts"]) \
+        .select(F.lit("offline").alias("side"), "driver_id", "event_ts") \
+        .unionByName(store.read_online(spark, f"{root}/online", DRIVER_AGG.name)
+                     .select(F.lit("online").alias("side"), "driver_id", "event_ts"))
+
+
 @register("online_upsert", with_fixtures(f"""
 SELECT driver_id, accept_rate_7d, avg_response_ms, event_ts FROM ({LATEST_DRIVER_SQL}) s"""))
 def q_online_upsert(spark, sf_dir):
@@ -952,10 +971,10 @@ def q_ingest(spark, sf_dir):
     topic = _topic_files(spark, fx.topic_lines(events(spark, sf_dir)), 4)
     out = scratch_path(spark, "ingest-audited")
     lines = src.read_events_stream(spark, path=topic, max_per_trigger=1)
-    for q in sj.stream_ingest(spark, lines, f"{out}/drivers", f"{out}/riders", f"{out}/rejects", f"{out}/ck"):
+    for q in sj.stream_ingest(spark, lines, f"{out}/drivers", f"{out}/riders", f"{out}/rejects", f"{out}/ck",
+                              audit_path=f"{out}/audit"):
         q.awaitTermination()
-    sj.stream_audit(lines, f"{out}/audit", f"{out}/ck-audit").awaitTermination()
-    audit = spark.read.parquet(f"{out}/audit/batch_id=*").agg(
+    audit = spark.read.parquet(f"{out}/audit").agg(
         F.sum("consumed").alias("consumed"), F.sum("driver_rows").alias("driver_rows"),
         F.sum("rider_rows").alias("rider_rows"),
         F.sum(F.col("consumed") - F.col("driver_rows") - F.col("rider_rows")).alias("dropped"),

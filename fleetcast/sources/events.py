@@ -147,15 +147,15 @@ def extract_partition_cols(df: DataFrame, ts: str = "event_ts") -> DataFrame:
 # ------------------------------------------------------------------ sinks
 
 def write_driver_events(df: DataFrame, path: str, partition_on: str = "event_ts",
-                        mode: str = "append") -> None:
+                        mode: str = "append", table: str | None = None) -> None:
     """Append Parquet below ``year=/month=/day=``.
 
     ``partition_on="event_ts"`` partitions by event time (so time filters
     prune directories); ``"ingest_ts"`` by the wall clock of the write.  The
-    table remembers its clock; rows are clustered by date first, so each task
-    writes to few folders.
+    table (``path``, or the ``table`` that its files will be moved to) remembers
+    its clock; rows are clustered by date first, so each task writes to few folders.
     """
-    mark_clock(df.sparkSession, path, partition_on)
+    mark_clock(df.sparkSession, table or path, partition_on)
     if partition_on == "ingest_ts":
         df = df.withColumn("_ingest_ts", F.current_timestamp().cast("timestamp_ntz"))
         df = extract_partition_cols(df, "_ingest_ts").drop("_ingest_ts")

@@ -10,6 +10,9 @@ writers that key their output by batch id and skip a batch already committed.
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,7 @@ from fleetcast.functions.frames import with_group_index
 from fleetcast.operators.latest import latest_per_key
 from fleetcast.sources import events as src
 from fleetcast.sources import online_store as store
+from fleetcast.sources.manifest import ManifestLog
 
 
 def _trigger(writer, available_now: bool, interval: str | None):
@@ -53,27 +57,28 @@ def _touch(spark: SparkSession, path: str) -> None:
 
 def stream_ingest(spark: SparkSession, lines: DataFrame, offline_path: str, riders_path: str,
                   rejects_path: str, checkpoint: str, available_now: bool = True,
-                  interval: str | None = None) -> list[StreamingQuery]:
-    """Topic → decode → route → date-partitioned Parquet (file sink, exactly once).
+                  interval: str | None = None, audit_path: str | None = None) -> list[StreamingQuery]:
+    """T1 (+ S12): topic → decode → route → date-partitioned Parquet, with one audit row per micro-batch.
 
-    Three sink queries share the decode plan; each keeps its own checkpoint.
+    One query: a micro-batch is read and decoded once, kept while it is written
+    to its tables, and every table notes the batch, so a replay adds nothing.
     """
-    decoded = src.decode_events(lines)
-    drivers = src.extract_partition_cols(src.route_driver_events(decoded))
-    riders = src.extract_partition_cols(src.route_rider_requests(decoded))
-    bad = src.rejects(decoded)
-    src.mark_clock(spark, offline_path, "event_ts")
-    src.mark_clock(spark, riders_path, "event_ts")
-    out = []
-    for name, df, path, parts in (("drivers", drivers, offline_path, ["year", "month", "day"]),
-                                  ("riders", riders, riders_path, ["year", "month", "day"]),
-                                  ("rejects", bad, rejects_path, [])):
-        w = df.writeStream.format("parquet").option("path", path) \
-            .option("checkpointLocation", f"{checkpoint}/{name}").outputMode("append")
-        if parts:
-            w = w.partitionBy(*parts)
-        out.append(_trigger(w, available_now, interval).start())
-    return out
+    writer = _writer(checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        decoded = src.decode_events(batch).persist()
+        note = (writer, batch_id)
+        try:
+            store.append_once(src.route_driver_events(decoded), offline_path, commit=note)
+            store.append_once(src.route_rider_requests(decoded), riders_path, commit=note)
+            store.append_once(src.rejects(decoded), rejects_path, None, note)
+            if audit_path:
+                row = src.ingest_audit(decoded).withColumn("batch_id", F.lit(batch_id))
+                store.append_once(row, audit_path, None, note)
+        finally:
+            decoded.unpersist()
+    w = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return [_trigger(w, available_now, interval).start()]
 
 
 def stream_audit(lines: DataFrame, path: str, checkpoint: str, available_now: bool = True,
@@ -119,17 +124,15 @@ def stream_push(lines: DataFrame, offline_path: str, online_root: str, views, ch
                 interval: str | None = None) -> list[StreamingQuery]:
     """Fresh rows go offline (append) and online (upsert), each exactly once.
 
-    Two queries over the same stream: the offline append uses Spark's file
-    sink, whose commit log never repeats a batch; the online side is the
-    noted upsert of ``stream_online``.  A failure between the two
-    writes therefore cannot duplicate offline rows on replay.
+    One query, so a micro-batch is decoded once; either side notes the batch, and
+    a replay after a failure between the two goes on where it stopped.
     """
-    drivers = src.extract_partition_cols(src.route_driver_events(src.decode_events(lines)))
-    offline = drivers.writeStream.format("parquet").option("path", offline_path) \
-        .option("checkpointLocation", f"{checkpoint}/offline").outputMode("append") \
-        .partitionBy("year", "month", "day")
-    return [_trigger(offline, available_now, interval).start(),
-            stream_online(lines, online_root, views, f"{checkpoint}/online", keys, available_now, interval)]
+    drivers = src.route_driver_events(src.decode_events(lines))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.push_features(batch, offline_path, online_root, views, list(keys), commit=(_writer(checkpoint), batch_id))
+    w = drivers.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return [_trigger(w, available_now, interval).start()]
 
 
 # ---------------------------------------------------------------- T4 match
@@ -140,36 +143,70 @@ def stream_match(requests: DataFrame, online_root: str, ranker, out_path: str, c
     """T4: score requests as they arrive against the newest committed snapshots.
 
     ``requests``: a stream of decoded rider requests (request_id, rider_id,
-    rider_lat, rider_lon, top_k).  Each micro-batch re-reads the snapshot, so
-    it always sees the latest features (stream-static join, J8).  Every request
-    is answered: ``matches`` is an ordered list, empty without candidates (also
-    before the first snapshot), and ``error_type`` tells why one was rejected.
-    ``as_of`` (a function of the batch, or None) with ``ttls`` per view expires
-    old features as the lookup does.
+    rider_lat, rider_lon, top_k).  Each micro-batch looks for newer snapshots, so
+    it always sees the latest features (stream-static join, J8); their search
+    index is built once per version and read by all batches until the next.  Every
+    request is answered: ``matches`` is an ordered list, empty without candidates
+    (also before the first snapshot), and ``error_type`` tells why one was
+    rejected.  ``as_of`` (a function of the batch, or None) with ``ttls`` per view
+    expires old features as the lookup does, without a new index.
     """
-    from fleetcast.operators.latest import expire
     from fleetcast.operators.match import match_responses
+    from fleetcast.operators.spatial import Expiry
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         now = as_of(batch) if as_of else None
-        snap = None
-        for view, fields, kinds in (("driver_status", ["lat", "lon"], "double"),
-                                    ("driver_agg", ["accept_rate_7d", "avg_response_ms"], "double")):
-            got = store.read_online(spark, online_root, view)
-            if got is None:
-                got = spark.createDataFrame([], "driver_id string, event_ts timestamp_ntz, "
-                                            + ", ".join(f"{f} {kinds}" for f in fields))
-            elif now is not None and ttls and ttls.get(view) is not None:
-                got = expire(got, now, ttls[view], fields)
-            got = got.select("driver_id", *fields)
-            snap = got if snap is None else snap.join(got, "driver_id", "left")
-        match_responses(batch, snap, ranker).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
-            .parquet(f"{out_path}/batch_id={batch_id}")
+
+        def oldest(view: str):
+            ttl = (ttls or {}).get(view)
+            return None if now is None or ttl is None else now - ttl
+        index = stored_index(batch.sparkSession, online_root, ranker)
+        expiry = Expiry(oldest("driver_status"), oldest("driver_agg"))
+        match_responses(batch, None, ranker, index=index, expiry=expiry).withColumn("batch_id", F.lit(batch_id)) \
+            .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
     w = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
 
 
+def stored_index(spark: SparkSession, online_root: str, ranker, keep: int = 2):
+    """The search index of the newest snapshots, from the store; built there by the first that needs it.
+
+    Both views' rows keep their times, so the index serves whatever expiry is
+    asked for.  The newest ``keep`` indexes stay.
+    """
+    from fleetcast.operators.match import drop_unlocated
+    from fleetcast.operators.spatial import DriverIndex, build_index
+
+    views = (("driver_status", ["lat", "lon"], "position_ts"),
+             ("driver_agg", ["accept_rate_7d", "avg_response_ms"], "features_ts"))
+    versions = [max(store.committed_versions(spark, online_root, v), default=0) for v, _, _ in views]
+    made_for = json.dumps([versions, ranker.to_row()], sort_keys=True)
+    log = ManifestLog(spark, f"{online_root.rstrip('/')}/_index")
+
+    def found(head) -> str | None:
+        return head.info.get("made", {}).get(made_for)
+
+    def build(head):
+        if found(head):
+            return None
+        snap = None
+        for (view, fields, ts), version in zip(views, versions):
+            got = store.read_online(spark, online_root, view, version) if version else spark.createDataFrame(
+                [], "driver_id string, event_ts timestamp_ntz, " + ", ".join(f"{f} double" for f in fields))
+            got = got.select("driver_id", *fields, F.col("event_ts").alias(ts))
+            snap = got if snap is None else snap.join(got, "driver_id", "left")
+        name = f"index={uuid.uuid4().hex[:12]}"
+        build_index(drop_unlocated(snap), ranker).save(f"{log.table}/{name}")
+        made = dict(list(head.info.get("made", {}).items())[-(keep - 1):] if keep > 1 else [], **{made_for: name})
+        return replace(head, live={n: n for n in made.values()}, info={"made": made})
+
+    head = log.latest()
+    if not found(head):
+        head = log.commit(build)
+        log.keep_newest(keep)
+    return DriverIndex.load(spark, f"{log.table}/{found(head)}")
+
+
 # ---------------------------------------------------------------- T5 drift
 
 def stream_drift(observations: DataFrame, baseline: DataFrame, state_root: str, out_path: str,
@@ -180,41 +217,44 @@ def stream_drift(observations: DataFrame, baseline: DataFrame, state_root: str,
     State per feature: total observations so far and the last ``window - 1``
     values.  Each batch numbers its rows after the stored total, computes the
     checkpoints it completes from (tail ∪ batch), and commits the new state
-    as version ``batch_id + 1``.  The state is this stream's own: a new
-    checkpoint folder starts from nothing.
+    with its number.  One state is live and the one before it is kept for a
+    replay, however many batches there were.  The rows of a feature are never
+    one task's: there may be few features and a large batch.  The state is this
+    stream's own: a new checkpoint folder starts from nothing.
     """
     from fleetcast.operators.drift import drift_checkpoints
 
     order_cols = list(order_cols)
-    view = f"drift-{_writer(checkpoint)}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        version = batch_id + 1
-        done = store.committed_versions(spark, state_root, view)
-        if version in done:
+        log = ManifestLog(spark, f"{state_root.rstrip('/')}/drift-{_writer(checkpoint)}")
+        head = log.latest()
+        if head.marks.get("batch", -1) >= batch_id:
             return
-        prev = [v for v in done if v < version]
         clean = batch.where(F.col("value").isNotNull() & ~F.isnan("value")).join(
             F.broadcast(baseline.select("feature_name")), "feature_name", "left_semi")
-        if prev:
-            tail = spark.read.parquet(store.version_path(state_root, view, prev[-1]))
-        else:
-            tail = spark.createDataFrame([], "feature_name string, _n long, value double, total long")
+        schema = "feature_name string, _n long, value double, total long"
+        tail = spark.read.schema(schema).parquet(f"{log.table}/{head.live['tail']}") if head.live \
+            else spark.createDataFrame([], schema)
         totals = tail.groupBy("feature_name").agg(F.max("total").alias("_lo"))
         numbered = with_group_index(clean, order_cols, ["feature_name"], "_i") \
             .join(F.broadcast(totals), "feature_name", "left") \
             .select("feature_name", "value", (F.coalesce("_lo", F.lit(0)) + F.col("_i") + 1).alias("_n"))
         both = tail.select("feature_name", "_n", "value").unionByName(numbered).persist()
-        bounds = both.groupBy("feature_name").agg(F.max("_n").alias("_hi")) \
-            .join(totals, "feature_name", "left").fillna(0, ["_lo"])
-        drift_checkpoints(both, bounds, baseline, window, step).withColumn("batch_id", F.lit(batch_id)) \
-            .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
-        keep = both.join(F.broadcast(bounds.select("feature_name", F.col("_hi").alias("total"))), "feature_name") \
-            .where(F.col("_n") > F.col("total") - F.lit(window - 1))
-        keep.select("feature_name", "_n", "value", "total").write.mode("overwrite").parquet(
-            store.version_path(state_root, view, version))
-        both.unpersist()
+        try:
+            bounds = both.groupBy("feature_name").agg(F.max("_n").alias("_hi")) \
+                .join(totals, "feature_name", "left").fillna(0, ["_lo"])
+            drift_checkpoints(both, bounds, baseline, window, step).withColumn("batch_id", F.lit(batch_id)) \
+                .write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+            keep = both.join(F.broadcast(bounds.select("feature_name", F.col("_hi").alias("total"))), "feature_name") \
+                .where(F.col("_n") > F.col("total") - F.lit(window - 1))
+            to = f"tail={uuid.uuid4().hex[:12]}"
+            keep.select("feature_name", "_n", "value", "total").coalesce(1).write.parquet(f"{log.table}/{to}")
+        finally:
+            both.unpersist()
+        log.commit(lambda h: replace(h, live={"tail": to}, marks={"batch": batch_id}))
+        log.keep_newest(2)
     w = observations.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(w, available_now, interval).start()
 
