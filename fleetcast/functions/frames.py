@@ -48,18 +48,3 @@ def with_group_index(df: DataFrame, order_cols: list, group_cols: list[str] | No
                          ["_pid", *group_cols], "inner")
     return joined.withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long")) \
         .drop("_pid", "_mid", "_first", "_off")
-
-
-def with_group_sum(df: DataFrame, order_cols: list[str], group: str, value: str, name: str) -> DataFrame:
-    """Running sum of ``value`` in ``order_cols`` order, per group, without a window over a whole group.
-
-    A range-partitioned sort, running sums inside each partition, and offsets
-    from one small row per partition and group.
-    """
-    tagged = cut_lineage(df.orderBy(group, *order_cols).withColumn("_pid", F.spark_partition_id()))
-    sums = tagged.groupBy(group, "_pid").agg(F.sum(value).alias("_s"))
-    before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(group, "_pid", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
-    inside = Window.partitionBy(group, "_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    return tagged.withColumn("_in", F.sum(value).over(inside)).join(F.broadcast(offsets), [group, "_pid"]) \
-        .withColumn(name, F.col("_off") + F.col("_in")).drop("_pid", "_in", "_off")

@@ -24,12 +24,16 @@ RANGE = "_range"
 
 @dataclass(frozen=True)
 class Running:
-    """An associative aggregate, as a running value: of rows, of a range's rows, and of a carry with a local value."""
+    """An associative aggregate, as a running value: of rows, of a range's rows, and of a carry with a local value.
+
+    ``upto`` is the last row of the frame, from the current one.
+    """
 
     value: Column
     fold: Callable[[Column], Column]
     join: Callable[[Column, Column], Column]
     ordered: bool = False
+    upto: int = 0
 
 
 def running_sum(value) -> Running:
@@ -53,6 +57,11 @@ def last_known(value) -> Running:
                    ordered=True)
 
 
+def previous(*values) -> Running:
+    """``values`` of the row before, as a struct; null for a group's first row."""
+    return Running(F.struct(*values), F.last, lambda before, here: F.coalesce(here, before), ordered=True, upto=-1)
+
+
 def in_ranges(df: DataFrame, keys: list[str], order: list, keep: Callable[[DataFrame], DataFrame] = cut_lineage
               ) -> DataFrame:
     """Rows of ``df`` with their range in ``_range``; ``keep`` writes them, so that a retried task cannot deal anew.
@@ -70,14 +79,15 @@ def scan(ranged: DataFrame, keys: list[str], order: list, **scans: Running) -> D
     Several calls on the same rows share one exchange of the rows.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order]
-    inside = Window.partitionBy(RANGE, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = Window.partitionBy(RANGE, *keys).orderBy(*order)
+    inside = rows.rowsBetween(Window.unboundedPreceding, 0)
     edges = ranged.groupBy(RANGE).agg(F.min(F.struct(*keys)).alias("_first"), F.max(F.struct(*keys)).alias("_last"))
     # What the last key of a range hands on; a key that fills several ranges is the last of all but its final one.
     held = ranged.join(F.broadcast(edges), RANGE).filter(F.struct(*keys) == F.col("_last"))
     if any(s.ordered for s in scans.values()):
         # The last row of an ordered fold is found by the same window, so that no order is assumed of a group's rows.
         held = held.withColumns({f"_v_{n}": s.fold(s.value).over(inside) for n, s in scans.items()}) \
-            .withColumn("_at", F.row_number().over(Window.partitionBy(RANGE, *keys).orderBy(*order)))
+            .withColumn("_at", F.row_number().over(rows))
         totals = held.groupBy(RANGE).agg(F.max_by(F.struct(*[f"_v_{n}" for n in scans]), "_at").alias("_t")) \
             .select(RANGE, *[F.col(f"_t._v_{n}").alias(f"_v_{n}") for n in scans])
     else:
@@ -90,7 +100,8 @@ def scan(ranged: DataFrame, keys: list[str], order: list, **scans: Running) -> D
                             (F.lag("_last").over(before) == F.col("_first")).alias("_same"),
                             *[F.lag(f"_v_{n}").over(before).alias(f"_c_{n}") for n in scans]) \
         .filter("_same").drop("_same")
-    local = ranged.withColumns({n: s.fold(s.value).over(inside) for n, s in scans.items()}) \
+    local = ranged.withColumns({n: s.fold(s.value).over(rows.rowsBetween(Window.unboundedPreceding, s.upto))
+                                for n, s in scans.items()}) \
         .withColumn("_key", F.struct(*keys))
     out = local.join(F.broadcast(carried), [RANGE, "_key"], "left")
     return out.withColumns({n: s.join(F.col(f"_c_{n}"), F.col(n)) for n, s in scans.items()}) \

@@ -14,10 +14,10 @@ Plan (no range join, no per-key quadratic blow-up, skew-safe):
    ``(ts, side, tiebreak)``; ``last(struct, ignorenulls)`` is the newest
    feature row at or before each entity row.  One shuffle and one sort.
 3. Keys with more rows than one task should hold (counted by an aggregate on
-   the key alone) go another way: windows by ``(key, time bucket)``, so a hot
-   key is spread over many tasks; entity rows with nothing earlier in their
-   bucket take the last row of the key's earlier buckets, from a small
-   per-bucket table.
+   the key alone) go by ranges of ``(key, ts, side, tiebreak, hash)``
+   (``segments``): the same ``last`` inside each range, and one row a range for
+   what earlier ranges of the key hand on.  So a hot key is spread over many
+   tasks even when all its rows are of one instant.
 4. Apply the TTL per view afterwards: the newest row ≤ t is the freshest
    candidate, so testing it alone is exact.
 """
@@ -31,32 +31,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fleetcast.functions.frames import cut_lineage
+from fleetcast.functions.segments import in_ranges, last_known, scan
 from fleetcast.operators.latest import expire, latest_per_key
 
 _F = "_feat"
 _TS = "_pit_ts"
 _SIDE = "_pit_side"
-_B = "_pit_bucket"
 
 
 def point_in_time_join(entity: DataFrame, features: DataFrame, keys, fields,
                        entity_ts: str = "event_timestamp", feature_ts: str = "event_ts",
                        ttl: dt.timedelta | None = None, tiebreak=("event_id",),
-                       bucket: dt.timedelta = dt.timedelta(days=1),
                        feature_ts_alias: str | None = None,
                        max_bucket_rows: int | None = 2_000_000) -> DataFrame:
     """J1 for one view: ``fields`` of the newest feature row ``<= entity_ts`` within ``ttl``.
 
-    A key with more than ``max_bucket_rows`` rows is split into time buckets of
-    ``bucket`` or narrower, with about so many rows each (None: never).
+    A key with more than ``max_bucket_rows`` rows is dealt to ranges of its rows
+    (None: never).
     """
     return _asof(entity, features, keys, {f: ttl for f in fields}, entity_ts, feature_ts,
-                 tiebreak, bucket, feature_ts_alias, max_bucket_rows)
+                 tiebreak, feature_ts_alias, max_bucket_rows)
 
 
 def multi_view_join(entity: DataFrame, features: DataFrame, views, refs=None,
                     entity_ts: str = "event_timestamp", tiebreak=("event_id",),
-                    bucket: dt.timedelta = dt.timedelta(days=1),
                     max_bucket_rows: int | None = 2_000_000) -> DataFrame:
     """Several views over one source in a single pass; each view keeps its own TTL.
 
@@ -79,8 +77,7 @@ def multi_view_join(entity: DataFrame, features: DataFrame, views, refs=None,
         if not field_ttl:
             continue
         src = features[vs[0].name] if isinstance(features, dict) else features
-        out = _asof(out, src, list(keys), field_ttl, entity_ts, source.timestamp_field, tiebreak, bucket, None,
-                    max_bucket_rows)
+        out = _asof(out, src, list(keys), field_ttl, entity_ts, source.timestamp_field, tiebreak, None, max_bucket_rows)
     return out
 
 
@@ -115,56 +112,28 @@ def on_demand_features(df: DataFrame, transforms: dict[str, Column]) -> DataFram
     return df.withColumns(transforms)
 
 
-def _hot_keys(both: DataFrame, keys, bucket_us: int, max_rows: int) -> DataFrame | None:
-    """Keys with more than ``max_rows`` rows, and a bucket width for each.
+def _hot_keys(both: DataFrame, keys, max_rows: int) -> DataFrame | None:
+    """Keys with more than ``max_rows`` rows; None when there is none.
 
-    Width = default / 2^e with 2^e >= densest bucket / max_rows, so a hot key's
-    rows spread over many buckets (tasks).  Partially aggregated counts; at most
-    (rows / max_rows) keys are hot, a bound that makes them safe to broadcast.
-    Returns None when no key is hot.
+    Partially aggregated counts; at most (rows / max_rows) keys are hot, a bound
+    that makes them safe to broadcast.
     """
-    per = both.groupBy(*keys, F.floor(F.unix_micros(F.col(_TS).cast("timestamp")) / F.lit(bucket_us))
-                       .alias("_b0")).agg(F.count(F.lit(1)).alias("_c"))
-    hot = per.groupBy(*keys).agg(F.max("_c").alias("_m"), F.sum("_c").alias("_n")).where(F.col("_n") > max_rows)
-    e = F.greatest(F.ceil(F.log2(F.col("_m") / F.lit(float(max_rows)))), F.lit(0)).cast("int")
-    # Division by a power of two is exact in double precision.
-    widths = cut_lineage(hot.select(*keys, F.greatest(
-        (F.lit(float(bucket_us)) / F.pow(F.lit(2.0), e)).cast("long"), F.lit(1).cast("long")).alias("_w")))
-    return None if widths.isEmpty() else widths
-
-
-def _bucketed(both: DataFrame, frows: DataFrame, hot: DataFrame, keys, order, ecols) -> DataFrame:
-    """Entity rows of the hot keys with ``_hit``, by windows over time buckets."""
-    def per_key_bucket(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(hot), keys).withColumn(
-            _B, F.floor(F.unix_micros(F.col(_TS).cast("timestamp")) / F.col("_w")).cast("long")).drop("_w")
-
-    w = (Window.partitionBy(*keys, _B).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inb = per_key_bucket(both).withColumn("_hit", F.last(F.col(_F), ignorenulls=True).over(w)) \
-        .where(F.col(_SIDE) == 1)
-    # Newest feature row of each earlier bucket, per key (small: keys x buckets).
-    last_in_bucket = per_key_bucket(frows).groupBy(*keys, _B).agg(
-        F.max_by(F.col(_F), F.struct(*order[:1], *order[2:])).alias("_lastb"))
-    need = inb.where(F.col("_hit").isNull()).select(*keys, _B).distinct()
-    carry_in = (need.withColumn(_SIDE, F.lit(0)).withColumn("_lastb", F.lit(None).cast(
-        last_in_bucket.schema["_lastb"].dataType))
-                .unionByName(last_in_bucket.withColumn(_SIDE, F.lit(1))))
-    wb = (Window.partitionBy(*keys).orderBy(F.col(_B), F.col(_SIDE))
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    prev = (carry_in.withColumn("_prev", F.last(F.col("_lastb"), ignorenulls=True).over(wb))
-            .where(F.col(_SIDE) == 0).select(*keys, _B, "_prev"))
-    return inb.join(prev, [*keys, _B], "left").select(
-        *ecols, _TS, F.coalesce(F.col("_hit"), F.col("_prev")).alias("_hit"))
+    hot = cut_lineage(both.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).select(*keys))
+    return None if hot.isEmpty() else hot
+
+
+def _by_ranges(rows: DataFrame, keys, order: list[str], ecols) -> DataFrame:
+    """Entity rows with ``_hit``; a key's rows lie on many ranges, also when all are of one instant."""
+    order = [*order, "_any"]
+    ranged = in_ranges(rows.withColumn("_any", F.xxhash64(*rows.columns)), keys, order)
+    return scan(ranged, keys, order, _hit=last_known(F.col(_F))).where(F.col(_SIDE) == 1).select(*ecols, _TS, "_hit")
 
 
 def _asof(entity: DataFrame, features: DataFrame, keys, field_ttl: dict, entity_ts: str,
-          feature_ts: str, tiebreak, bucket: dt.timedelta, ts_alias: str | None,
-          max_bucket_rows: int | None = 2_000_000) -> DataFrame:
+          feature_ts: str, tiebreak, ts_alias: str | None, max_bucket_rows: int | None = 2_000_000) -> DataFrame:
     keys = list(keys)
     fields = list(field_ttl)
     tb = [c for c in tiebreak if c in features.columns]
-    bsec = int(bucket.total_seconds())
     ecols = entity.columns
     clash = [f for f in fields if f in ecols]
     if clash:
@@ -190,14 +159,14 @@ def _asof(entity: DataFrame, features: DataFrame, keys, field_ttl: dict, entity_
     erows = ent.select(*[F.col(c) for c in ecols], F.col(entity_ts).cast("timestamp_ntz").alias(_TS),
                        F.lit(1).alias(_SIDE))
     both = erows.unionByName(frows, allowMissingColumns=True)
-    hot = _hot_keys(both.select(*keys, _TS), keys, bsec * 1_000_000, max_bucket_rows) if max_bucket_rows else None
-    order = [F.col(_TS), F.col(_SIDE)] + [F.col(f"_tb{i}") for i in range(len(tb))]
-    cold = both if hot is None else both.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    hot = _hot_keys(both.select(*keys), keys, max_bucket_rows) if max_bucket_rows else None
+    order = [_TS, _SIDE, *[f"_tb{i}" for i in range(len(tb))]]
+    cold = both if hot is None else both.join(F.broadcast(hot), keys, "left_anti")
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = cold.withColumn("_hit", F.last(F.col(_F), ignorenulls=True).over(w)).where(F.col(_SIDE) == 1) \
         .select(*ecols, _TS, "_hit")
     if hot is not None:
-        joined = joined.unionByName(_bucketed(both, frows, hot, keys, order, ecols))
+        joined = joined.unionByName(_by_ranges(both.join(F.broadcast(hot), keys, "left_semi"), keys, order, ecols))
     hit = F.col("_hit")
 
     outs = []

@@ -18,6 +18,7 @@ from fleetcast.functions.frames import with_group_index
 from fleetcast.functions.geo import haversine_km
 from fleetcast.functions.scoring import Ranker, sigmoid
 from fleetcast.operators.latest import expire
+from fleetcast.operators.quality import missing_counts
 from fleetcast.operators.spatial import BROADCAST_ROWS, DriverIndex, Expiry, all_tied, build_index, drivers_at, pairs
 
 DEFAULT_TOP_K = 5
@@ -166,6 +167,19 @@ def match_responses(requests: DataFrame, snapshot: DataFrame | None, ranker: Ran
     return answered.unionByName(rejected)
 
 
+def missing_in_candidates(valid: DataFrame, snapshot: DataFrame, fields, by=()) -> DataFrame:
+    """A7 inside Q1: null fields among the candidates that requests fetch, before unlocated ones are dropped.
+
+    Every request fetches the whole snapshot, so a field is missing as often as
+    it is null there, times the requests (per ``by`` group): no pairs are formed.
+    """
+    nulls = missing_counts(snapshot, list(fields))   # one row a field
+    asked = valid.dropDuplicates().groupBy(*by).agg(F.count(F.lit(1)).alias("_asked"))
+    return asked.withColumn("_n", F.explode(F.array(*[F.lit(f) for f in fields]))) \
+        .join(F.broadcast(nulls), F.col("_n") == F.col("feature_name")) \
+        .select(*by, "feature_name", (F.col("missing") * F.col("_asked")).alias("missing"))
+
+
 def match_drivers(requests: DataFrame, snapshot: DataFrame, ranker: Ranker, default_top_k: int = DEFAULT_TOP_K,
                   carry=(), as_of=None, ttl=None, ts: str = "event_ts") -> DataFrame:
     """Q1 (flat form): validate → expire → drop unlocated candidates → exact top-k.

@@ -50,6 +50,14 @@ def fit_ranker(train: DataFrame, features=FEATURES, label: str = "label", max_it
     return ranker, model
 
 
+def feature_vector(df: DataFrame, ranker: Ranker, out: str = "features") -> DataFrame:
+    """The ranker's features, imputed, as one vector column in its order; a value still missing is NaN."""
+    from pyspark.ml.functions import array_to_vector
+
+    parts = [F.coalesce(ranker.feature(f).cast("double"), F.lit(float("nan"))) for f in ranker.features]
+    return df.withColumn(out, array_to_vector(F.array(*parts)))
+
+
 def score_rows(df: DataFrame, ranker: Ranker, out: str = "score") -> DataFrame:
     """M4 + M5: class-1 probability and the 0.5-threshold label."""
     s = score(ranker)

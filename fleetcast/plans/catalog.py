@@ -8,11 +8,12 @@ sides before comparison, since JVM and C math may differ in the last bit.
 from __future__ import annotations
 
 import datetime as _dt
-import math
+import json
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetcast.functions.frames import cut_lineage
@@ -307,13 +308,14 @@ def q_online_coverage(spark, sf_dir):
 # ------------------------------------------------------------ Q2 training set, J7, A5, P18, A11
 
 
-_TRAINING_CTES = f"""
+def _candidate_ctes(drivers: str = "TRUE", requests: str = "TRUE") -> str:
+    return f"""
 , located AS (SELECT driver_id, lat, lon, accept_rate_7d, avg_response_ms FROM ({LATEST_DRIVER_SQL}) s
-              WHERE lat IS NOT NULL AND lon IS NOT NULL)
+              WHERE lat IS NOT NULL AND lon IS NOT NULL AND {drivers})
 , idx AS (SELECT *, row_number() OVER (ORDER BY driver_id) - 1 AS idx_ FROM located)
 , n AS (SELECT count(*) AS n FROM located)
 , req AS (SELECT request_id, request_ts, rider_lat, rider_lon, least(num_candidates, n.n) AS k, n.n AS n
-          FROM fx_rider_requests, n WHERE num_candidates >= 1)
+          FROM fx_rider_requests, n WHERE num_candidates >= 1 AND {requests})
 , js AS (SELECT request_id, request_ts, rider_lat, rider_lon, k, n, unnest(range(k)) AS j FROM req)
 , picks AS (SELECT *, ({sql_seeded_hash32(42, 'request_id')} + (j * n) // k
                        + {sql_seeded_hash32(42, 'request_id', 'j')} % (((j + 1) * n) // k - (j * n) // k)) % n AS idx_ FROM js)
@@ -328,6 +330,9 @@ _TRAINING_CTES = f"""
                < ceil(0.2 * count(*) OVER (PARTITION BY label)) THEN 'val' ELSE 'train' END AS split FROM ts_ t)"""
 
 
+_TRAINING_CTES = _candidate_ctes()
+
+
 def _training(spark, sf_dir) -> DataFrame:
     ev = events(spark, sf_dir)
     return tr.training_set(fx.driver_events(ev), fx.rider_requests(ev), [DRIVER_STATUS, DRIVER_AGG])
@@ -512,28 +517,60 @@ def q_evaluate_ranker(spark, sf_dir):
                                  "auc double, accuracy double, log_loss double, n bigint")
 
 
+_TRAINED = ("distance_km", "accept_rate_7d", "avg_response_ms")
+
+_TRAIN_STATS_SQL = "".join(
+    f"UNION ALL SELECT '{f}_{n}', round({e.format(f=f)}, 6) FROM split_ WHERE split = 'train'\n"
+    for f in _TRAINED for n, e in (("mean", "avg({f})"), ("std", "stddev_samp({f})"), ("p50", "quantile_cont({f}, 0.5)"),
+                                   ("p95", "quantile_cont({f}, 0.95)"), ("max", "max({f})")))
+
+
 @register("train_ranker", with_fixtures(_TRAINING_CTES + """
-SELECT split || '_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM split_ GROUP BY split
-UNION ALL SELECT split || '_positives', CAST(sum(label) AS DOUBLE) FROM split_ GROUP BY split
+SELECT 'recorded_' || split || '_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM split_ GROUP BY split
+""" + _TRAIN_STATS_SQL + """UNION ALL SELECT 'imputed_accept_rate_7d', round(quantile_cont(accept_rate_7d, 0.5), 6) FROM split_ WHERE split = 'train'
+UNION ALL SELECT 'scored_rows', count(*) FROM ts_
+UNION ALL SELECT 'mean_score_is_positive_share', 1.0
 UNION ALL SELECT 'gradient_vanishes', 1.0
-UNION ALL SELECT 'better_than_a_constant', 1.0"""))
+UNION ALL SELECT 'recorded_metrics_hold', 1.0"""))
 def q_train_ranker(spark, sf_dir):
-    """Q3: fit on the fixture training set.  At the fit the gradient of the regularised loss vanishes, and
-    held-out rows score better than by the share of positives."""
-    split = cut_lineage(tr.stratified_split(_training(spark, sf_dir)))
+    """Q3: the whole chain (split, fit, both evaluations, baseline, saved model, run record), read back from what it wrote.
+
+    The saved model's gradient of the regularised loss vanishes on the training
+    rows, its mean score there is the positive share, and the recorded metrics
+    are those that it reaches.
+    """
+    training, root = cut_lineage(_training(spark, sf_dir)), scratch_path(spark, "trained")
+    md.train_ranker(training, stats_path=f"{root}/stats", model_path=f"{root}/model", runs_path=f"{root}/runs")
+    ranker = md.load_ranker(spark, f"{root}/model")
+    split = cut_lineage(tr.stratified_split(training))
     train, val = split.where(F.col("split") == "train"), split.where(F.col("split") == "val")
-    ranker, _ = md.fit_ranker(train)
+    run = spark.read.parquet(f"{root}/runs").first()
+    params, metrics = json.loads(run["params"]), json.loads(run["metrics"])
+    again = {name: md.evaluate_ranker(md.score_rows(part, ranker)) for name, part in (("train", train), ("val", val))}
+    kept = all(abs(metrics[f"{n}_{m}"] - again[n][m]) < 1e-9 for n in again for m in ("auc", "accuracy", "log_loss"))
     flat = all(abs(g) < 1e-5 for g in md.loss_gradient(train, ranker).values())
-    m = md.evaluate_ranker(md.score_rows(val, ranker))
-    sizes = split.groupBy("split").agg(F.count(F.lit(1)).cast("double").alias("rows"),
-                                       F.sum("label").cast("double").alias("positives"))
-    share = {r["split"]: r["positives"] / r["rows"] for r in sizes.collect()}["val"]
-    constant = -(share * math.log(share) + (1 - share) * math.log(1 - share))
-    checks = spark.createDataFrame([("gradient_vanishes", float(flat)),
-                                    ("better_than_a_constant", float(m["log_loss"] < constant and m["auc"] > 0.5))],
-                                   "metric string, value double")
-    return sizes.unpivot(["split"], ["rows", "positives"], "what", "value") \
-        .select(F.concat("split", F.lit("_"), "what").alias("metric"), "value").unionByName(checks)
+    level = md.score_rows(train, ranker).agg(F.avg("score") - F.avg("label")).first()[0]
+    pipeline = md.load_pipeline(f"{root}/model").transform(tr.impute(training, ranker.impute))
+    rows = [(f"recorded_{k}_rows", float(v)) for k, v in params["rows"].items()]
+    rows += [("imputed_accept_rate_7d", round(ranker.impute["accept_rate_7d"], 6)),
+             ("scored_rows", float(pipeline.where("prediction is not null").count())),
+             ("mean_score_is_positive_share", float(abs(level) < 1e-6)), ("gradient_vanishes", float(flat)),
+             ("recorded_metrics_hold", float(kept and again["val"]["auc"] > 0.5))]
+    stats = store.read_stats(spark, f"{root}/stats")
+    long = stats.unpivot(["feature"], ["mean", "std", "p50", "p95", "max"], "what", "value") \
+        .select(F.concat("feature", F.lit("_"), "what").alias("metric"), F.round("value", 6).alias("value"))
+    return long.unionByName(spark.createDataFrame(rows, "metric string, value double"))
+
+
+@register("feature_vector", with_fixtures(_TRAINING_CTES + f"""
+SELECT request_id, driver_id, round(distance_km, 6) AS x0,
+  round(coalesce(accept_rate_7d, {FIXTURE_RANKER.impute['accept_rate_7d']}), 6) AS x1,
+  round(coalesce(avg_response_ms, {FIXTURE_RANKER.impute['avg_response_ms']}), 6) AS x2 FROM ts_"""))
+def q_feature_vector(spark, sf_dir):
+    """Imputed features in the order that the ranker expects, as one vector a row."""
+    v = md.feature_vector(_training(spark, sf_dir), FIXTURE_RANKER)
+    at = vector_to_array("features")
+    return v.select("request_id", "driver_id", *[F.round(at[i], 6).alias(f"x{i}") for i in range(3)])
 
 
 @register("saved_ranker_score", with_fixtures(_TRAINING_CTES + f"""
@@ -625,8 +662,11 @@ def q_latency_p95_daily(spark, sf_dir):
     return mx.histogram_quantile(h, 0.95, keys=["day"]).select("day", r9("quantile"))
 
 
-# Monitoring sees every candidate that was scored, ranked or not.
-_SCORED_CTES = _TRAINING_CTES + f"""
+# Monitoring sees every candidate that the match scores, ranked or not: those of valid requests, among drivers that
+# have not expired.
+_SCORED_CTES = _candidate_ctes(
+    "event_ts >= (SELECT max(event_ts) FROM fx_driver_events) - INTERVAL 12 HOUR",
+    "rider_id IS NOT NULL AND coalesce(top_k, 5) >= 1") + f"""
 , scored AS (SELECT *, {score_sql(FIXTURE_RANKER, {})} AS score FROM dist WHERE distance_km IS NOT NULL)"""
 
 _OBS_SQL = """
@@ -638,20 +678,27 @@ _OBS_SQL = """
           FROM obs_all WHERE value IS NOT NULL AND NOT isnan(value))"""
 
 
+def _match_snapshot(spark, sf_dir) -> DataFrame:
+    """Newest row per driver, as the match sees it: expired values are null."""
+    feats = fx.driver_events(events(spark, sf_dir))
+    return lt.expire(latest_per_key(feats), _max_ts(feats, "event_ts"), MATCH_TTL,
+                     ["lat", "lon", "accept_rate_7d", "avg_response_ms"])
+
+
 def fixture_scored(spark, sf_dir) -> DataFrame:
-    """All scored candidates of the fixture requests (J7 → P13 → M4)."""
+    """All scored candidates of the valid fixture requests (P16 → J7 → P13 → M4)."""
     ev = events(spark, sf_dir)
-    located = mt.drop_unlocated(latest_per_key(fx.driver_events(ev)))
+    located = mt.drop_unlocated(_match_snapshot(spark, sf_dir))
     pairs = tr.sample_candidates(
-        fx.rider_requests(ev).select("request_id", "request_ts", "rider_lat", "rider_lon", "num_candidates"),
+        mt.valid_requests(fx.rider_requests(ev)).select("request_id", "request_ts", "rider_lat", "rider_lon", "num_candidates"),
         located.select("driver_id", "lat", "lon", "accept_rate_7d", "avg_response_ms"))
     d = pairs.withColumn("distance_km", haversine_km("rider_lat", "rider_lon", "lat", "lon"))
     return md.score_rows(d, FIXTURE_RANKER).withColumnRenamed("_j", "slot")
 
 
-def _observations(spark, sf_dir) -> DataFrame:
+def _observations(spark, sf_dir, scored: DataFrame | None = None) -> DataFrame:
     from fleetcast.operators.drift import observations
-    return observations(fixture_scored(spark, sf_dir), ["distance_km", "accept_rate_7d", "avg_response_ms"],
+    return observations(scored if scored is not None else fixture_scored(spark, sf_dir), ["distance_km", "accept_rate_7d", "avg_response_ms"],
                         ["request_ts", "request_id", "slot"])
 
 
@@ -721,27 +768,177 @@ def q_drift_status(spark, sf_dir):
     return dr.drift_status(_drift(spark, sf_dir)).select("feature_name", "observations", "status")
 
 
-@register("monitor", with_fixtures(_DRIFT_SQL + _hist_sql("scored", "score", mx.SCORE_BOUNDS) + """
-SELECT 'drift' AS panel, feature_name AS series, CAST(n AS DOUBLE) AS x, round(drift, 9) AS value FROM d_
-UNION ALL SELECT 'score_le', 'score', le, CAST(bucket_count AS DOUBLE) FROM h_
-UNION ALL SELECT 'errors', error_type, CAST(0 AS DOUBLE), CAST(count(*) AS DOUBLE) FROM fx_calls
-          WHERE error_type IS NOT NULL GROUP BY error_type
-UNION ALL SELECT 'requests', 'total', CAST(0 AS DOUBLE), CAST(count(*) AS DOUBLE) FROM fx_calls"""))
+_MISSING_SQL = f"""
+, looked AS (SELECT driver_id, CASE WHEN fresh THEN lat END AS lat, CASE WHEN fresh THEN lon END AS lon,
+               CASE WHEN fresh THEN accept_rate_7d END AS accept_rate_7d,
+               CASE WHEN fresh THEN avg_response_ms END AS avg_response_ms
+             FROM (SELECT s.*, event_ts >= (SELECT max(event_ts) FROM fx_driver_events) - INTERVAL 12 HOUR AS fresh
+                   FROM ({LATEST_DRIVER_SQL}) s) x)
+, valid AS (SELECT * FROM fx_rider_requests WHERE rider_id IS NOT NULL AND coalesce(top_k, 5) >= 1)
+, missing_ AS (SELECT date_trunc('minute', request_ts) AS at_, f.feature_name,
+                 count(CASE f.feature_name WHEN 'lat' THEN lat WHEN 'lon' THEN lon
+                       WHEN 'accept_rate_7d' THEN accept_rate_7d ELSE avg_response_ms END) AS there, count(*) AS n
+               FROM valid CROSS JOIN looked
+                 CROSS JOIN (VALUES ('lat'), ('lon'), ('accept_rate_7d'), ('avg_response_ms')) f(feature_name)
+               GROUP BY ALL)"""
+
+
+@register("match_missing", with_fixtures(_MISSING_SQL + """
+SELECT feature_name, CAST(sum(n - there) AS BIGINT) AS missing FROM missing_ GROUP BY feature_name"""))
+def q_match_missing(spark, sf_dir):
+    """A7 inside Q1: null features among the candidates that the valid requests fetch, before unlocated ones are dropped."""
+    valid = mt.valid_requests(fx.rider_requests(events(spark, sf_dir)))
+    return mt.missing_in_candidates(valid, _match_snapshot(spark, sf_dir), _MATCH_FIELDS)
+
+
+_MATCH_FIELDS = ["lat", "lon", "accept_rate_7d", "avg_response_ms"]
+
+
+@register("match_errors", with_fixtures("""
+SELECT CASE WHEN rider_id IS NULL THEN 'missing_rider_id' ELSE 'invalid_top_k' END AS error_type,
+  CAST(count(*) AS BIGINT) AS total
+FROM fx_rider_requests WHERE rider_id IS NULL OR coalesce(top_k, 5) < 1 GROUP BY 1"""))
+def q_match_errors(spark, sf_dir):
+    """A13 inside Q1: what the match rejects, by reason."""
+    return mx.labelled_counter(mt.rejected_requests(fx.rider_requests(events(spark, sf_dir))), "error_type")
+
+
+_EPOCH = "CAST(epoch({c}) AS DOUBLE)"
+
+_QUANTILE_SQL = """
+, days AS (SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS day, latency_s FROM fx_calls WHERE latency_s IS NOT NULL)
+, lb AS (SELECT * FROM (VALUES """ + ", ".join(f"(CAST({b!r} AS DOUBLE))" for b in mx.LATENCY_BOUNDS) + """, (CAST('inf' AS DOUBLE))) t(le))
+, lh AS (SELECT d.day, lb.le, count(*) FILTER (d.latency_s <= lb.le) AS n, count(*) AS total FROM days d CROSS JOIN lb GROUP BY ALL)
+, lq AS (SELECT *, lag(le) OVER w AS prev_le, coalesce(lag(n) OVER w, 0) AS prev_n,
+           max(CASE WHEN le <> CAST('inf' AS DOUBLE) THEN le END) OVER (PARTITION BY day) AS top
+         FROM lh WINDOW w AS (PARTITION BY day ORDER BY le))
+, lv AS (SELECT day, q, min_by(CASE WHEN le = CAST('inf' AS DOUBLE) THEN top ELSE coalesce(prev_le, least(0.0, le))
+           + (le - coalesce(prev_le, least(0.0, le)))
+           * CASE WHEN n > prev_n THEN (q * total - prev_n) / (n - prev_n) ELSE 1.0 END END, le) AS v
+         FROM lq CROSS JOIN (VALUES (CAST(0.5 AS DOUBLE)), (CAST(0.95 AS DOUBLE))) t(q) WHERE n >= q * total GROUP BY day, q)"""
+
+_SCORE_RATE_SQL = """
+, sb AS (SELECT * FROM (VALUES """ + ", ".join(f"(CAST({b!r} AS DOUBLE))" for b in mx.SCORE_BOUNDS) + """, (CAST('inf' AS DOUBLE))) t(le))
+, sr AS (SELECT date_trunc('minute', request_ts) AS at_, sb.le, count(*) FILTER (score <= sb.le) / 60.0 AS v
+         FROM scored CROSS JOIN sb GROUP BY ALL)
+, fb AS (SELECT * FROM (VALUES """ + ", ".join(f"(CAST({b!r} AS DOUBLE))" for b in mx.FEATURE_BOUNDS) + """, (CAST('inf' AS DOUBLE))) t(le))
+, fr AS (SELECT window_start AS at_, fb.le, count(*) FILTER (value <= fb.le) / 300.0 AS v
+         FROM obs CROSS JOIN fb GROUP BY ALL)"""
+
+
+@register("monitor", with_fixtures(
+    _DRIFT_SQL + _hist_sql("scored", "score", mx.SCORE_BOUNDS).replace("b_ AS", "hb_ AS").replace("b_.le", "hb_.le")
+    .replace("CROSS JOIN b_", "CROSS JOIN hb_") + _MISSING_SQL + _QUANTILE_SQL + _SCORE_RATE_SQL + f"""
+, p AS (
+  SELECT 'drift' AS panel, feature_name AS series, NULL::DOUBLE AS le, CAST(n AS DOUBLE) AS x, round(drift, 9) AS value FROM d_
+  UNION ALL SELECT 'drift_colour', feature_name, NULL, n, CASE WHEN drift < 0.1 THEN 0 WHEN drift < 0.2 THEN 1 ELSE 2 END FROM d_
+  UNION ALL SELECT 'score_le', 'score', le, NULL, bucket_count FROM h_
+  UNION ALL SELECT 'score_rate', 'score', le, {_EPOCH.format(c='at_')}, round(v, 9) FROM sr
+  UNION ALL SELECT 'feature_rate', 'all', le, {_EPOCH.format(c='at_')}, round(v, 9) FROM fr
+  UNION ALL SELECT 'latency', CASE q WHEN 0.5 THEN 'p50' ELSE 'p95' END, NULL, {_EPOCH.format(c='day')}, round(v, 9) FROM lv
+  UNION ALL SELECT 'errors', error_type, NULL, NULL, count(*) FROM fx_calls WHERE error_type IS NOT NULL GROUP BY error_type
+  UNION ALL SELECT 'error_rate', error_type, NULL, {_EPOCH.format(c="date_trunc('minute', ts)")}, round(count(*) / 60.0, 9)
+            FROM fx_calls WHERE error_type IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT 'missing_rate', feature_name, NULL, {_EPOCH.format(c='at_')}, round((n - there) / 60.0, 9) FROM missing_
+            WHERE n > there
+  UNION ALL SELECT 'requests', 'total', NULL, NULL, count(*) FROM fx_calls)
+SELECT panel, series, le, CAST(x AS DOUBLE) AS x, CAST(value AS DOUBLE) AS value FROM p"""))
 def q_monitor(spark, sf_dir):
-    """Q6: the panels of a dashboard over one run, in long form."""
-    drift = _drift(spark, sf_dir).select(F.lit("drift").alias("panel"), F.col("feature_name").alias("series"),
-                                         F.col("observations").cast("double").alias("x"),
-                                         F.round("drift", 9).alias("value"))
-    scores = mx.bucket_histogram(fixture_scored(spark, sf_dir), "score", mx.SCORE_BOUNDS).select(
-        F.lit("score_le").alias("panel"), F.lit("score").alias("series"), F.col("le").alias("x"),
-        F.col("bucket_count").cast("double").alias("value"))
+    """Q6: the panels of a dashboard over one run, in long form, from one scoring of the candidates."""
+    scored = cut_lineage(fixture_scored(spark, sf_dir))
+    obs = _observations(spark, sf_dir, scored)
     calls = _calls(spark, sf_dir)
-    errors = mx.labelled_counter(calls, "error_type").select(
-        F.lit("errors").alias("panel"), F.col("error_type").alias("series"), F.lit(0.0).alias("x"),
-        F.col("total").cast("double").alias("value"))
-    total = calls.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit("requests").alias("panel"), F.lit("total").alias("series"), F.lit(0.0).alias("x"), "value")
-    return drift.unionByName(scores).unionByName(errors).unionByName(total)
+    none = F.lit(None).cast("double")
+
+    def panel(name: str, df: DataFrame, series, value, x=none, le=none) -> DataFrame:
+        return df.select(F.lit(name).alias("panel"), (F.lit(series) if isinstance(series, str) else series).alias("series"),
+                         le.alias("le"), x.cast("double").alias("x"), value.cast("double").alias("value"))
+
+    def epoch(c) -> Column:
+        return F.unix_micros(F.col(c).cast("timestamp")) / 1e6
+
+    drift = cut_lineage(dr.drift_status(dr.drift_score(obs, _baseline_df(spark), ["request_ts", "request_id", "slot"])))
+    colour = F.when(F.col("status") == "green", 0).when(F.col("status") == "yellow", 1).otherwise(2)
+    scores = mx.bucket_histogram(scored, "score", mx.SCORE_BOUNDS)
+    score_rates = mx.bucket_rates(scored, "score", mx.SCORE_BOUNDS, "request_ts", "1 minute")
+    feature_rates = mx.sum_by_le(mx.bucket_rates(obs, "value", mx.FEATURE_BOUNDS, "request_ts", "5 minutes",
+                                                 labels=("feature_name",)), value="rate")
+    daily = mx.bucket_histogram(calls.withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz")), "latency_s",
+                                mx.LATENCY_BOUNDS, extra_keys=("day",))
+    failed = calls.where(F.col("error_type").isNotNull())
+    minute = F.date_trunc("minute", "request_ts").cast("timestamp_ntz").alias("at")
+    missing = mt.missing_in_candidates(
+        mt.valid_requests(fx.rider_requests(events(spark, sf_dir))).withColumn("at", minute),
+        _match_snapshot(spark, sf_dir), _MATCH_FIELDS, by=("at",)).where("missing > 0")
+    panels = [
+        panel("drift", drift, F.col("feature_name"), F.round("drift", 9), F.col("observations")),
+        panel("drift_colour", drift, F.col("feature_name"), colour, F.col("observations")),
+        panel("score_le", scores, "score", F.col("bucket_count"), le=F.col("le")),
+        panel("score_rate", score_rates, "score", F.round("rate", 9), epoch("window_start"), F.col("le")),
+        panel("feature_rate", feature_rates, "all", F.round("rate", 9), epoch("window_start"), F.col("le")),
+        *[panel("latency", mx.histogram_quantile(daily, q, keys=["day"]), name, F.round("quantile", 9), epoch("day"))
+          for name, q in (("p50", 0.5), ("p95", 0.95))],
+        panel("errors", mx.labelled_counter(failed, "error_type"), F.col("error_type"), F.col("total")),
+        panel("error_rate", mx.rate_per_window(failed, "ts", "1 minute", ["error_type"]), F.col("error_type"),
+              F.round("rate", 9), epoch("window_start")),
+        panel("missing_rate", missing, F.col("feature_name"), F.round(F.col("missing") / 60.0, 9), epoch("at")),
+        panel("requests", calls.agg(F.count(F.lit(1)).alias("n")), "total", F.col("n")),
+    ]
+    out = panels[0]
+    for p in panels[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ------------------------------------------------------------ A16, T6 sliding rates and counters
+
+
+_COUNTER_SQL = """
+WITH c_ AS (SELECT event_type AS series, ts, event_id, CAST(event_id % 2500 AS DOUBLE) AS v FROM events)
+, st AS (SELECT *, v - coalesce(CASE WHEN v >= prev THEN prev ELSE 0 END, v) AS step_
+         FROM (SELECT *, lag(v) OVER (PARTITION BY series ORDER BY ts, event_id) AS prev FROM c_) x)
+, w_ AS (SELECT series, ts, event_id, step_, time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * k) AS window_start
+         FROM st CROSS JOIN (SELECT unnest(range(2)) AS k) t)
+, a_ AS (SELECT window_start, series, count(*) AS samples, sum(step_) - arg_min(step_, (ts, event_id)) AS increase,
+           CAST(epoch_us(max(ts)) - epoch_us(min(ts)) AS DOUBLE) / 1e6 AS s
+         FROM w_ GROUP BY ALL)"""
+
+
+@register("counter_rates", _COUNTER_SQL + """
+SELECT window_start, series, CAST(samples AS BIGINT) AS samples, round(increase, 6) AS increase,
+  round(CASE WHEN s > 0 THEN increase / s END, 9) AS rate FROM a_""")
+def q_counter_rates(spark, sf_dir):
+    """A counter that begins anew every 2,500 events, sampled by several series; rates over 10 minutes, each 5."""
+    samples = events(spark, sf_dir).select(F.col("event_type").alias("series"), "ts", "event_id",
+                                           (F.col("event_id") % 2500).alias("v"))
+    got = mx.counter_rates(samples, "v", "ts", "10 minutes", "5 minutes", ["series"], ["event_id"])
+    return got.select("window_start", "series", "samples", r6("increase"), r9("rate"))
+
+
+@register("stream_metrics", with_fixtures("""
+, o AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * k) AS window_start, latency_s
+        FROM fx_calls CROSS JOIN (SELECT unnest(range(2)) AS k) t WHERE latency_s IS NOT NULL)
+, b_ AS (SELECT * FROM (VALUES """ + ", ".join(f"(CAST({b!r} AS DOUBLE))" for b in mx.LATENCY_BOUNDS) + """, (CAST('inf' AS DOUBLE))) t(le))
+SELECT window_start, le, CAST(count(*) FILTER (latency_s <= le) AS BIGINT) AS bucket_count,
+  round(count(*) FILTER (latency_s <= le) / 600.0, 9) AS rate
+FROM o CROSS JOIN b_ GROUP BY window_start, le"""))
+def q_stream_metrics(spark, sf_dir):
+    """Calls streamed in four files; cumulative buckets and rates over 10 minutes, each 5, equal the batch form.
+
+    The files may come in any order within the watermark's 40 days; a last row, 50 days later, moves the watermark past
+    all windows but its own.
+    """
+    root = scratch_path(spark, "metrics-stream")
+    calls = _calls(spark, sf_dir).select("ts", "latency_s")
+    calls.repartition(4).write.parquet(f"{root}/calls")
+    last = calls.agg((F.max("ts") + F.expr("INTERVAL 50 DAY")).alias("ts"), F.lit(0.0).alias("latency_s"))
+    for more in (None, last):
+        if more is not None:
+            more.write.mode("append").parquet(f"{root}/calls")
+        stream = spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/calls")
+        sj.stream_rates(stream, mx.LATENCY_BOUNDS, "latency_s", "ts", f"{root}/out", f"{root}/_ck",
+                        "10 minutes", "5 minutes", "40 days").awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("window_start", "le", "bucket_count", r9("rate"))
 
 
 # ------------------------------------------------------------ P6-P9, P12, P15, T7, T8

@@ -285,6 +285,23 @@ def stream_metrics(calls: DataFrame, bounds, value: str, ts: str, out_path: str,
     return _trigger(w, available_now, interval).start()
 
 
+def stream_rates(observations: DataFrame, bounds, value: str, ts: str, out_path: str, checkpoint: str,
+                 width: str = "5 minutes", slide: str = "1 minute", watermark: str = "10 minutes", labels=(),
+                 available_now: bool = True, interval: str | None = None) -> StreamingQuery:
+    """T6 (A12, A16, A17): cumulative ``le`` series and per-second rates over sliding windows.
+
+    A window is written once, when the watermark has passed its end; until then
+    late rows count.
+    """
+    from fleetcast.operators.metrics import bucket_rates
+
+    # Watermarks need TIMESTAMP; in a UTC session the cast keeps the wall clock.
+    obs = observations.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
+    w = bucket_rates(obs, value, bounds, ts, width, slide, labels).writeStream.format("parquet") \
+        .option("path", out_path).option("checkpointLocation", checkpoint).outputMode("append")
+    return _trigger(w, available_now, interval).start()
+
+
 def dedupe_events(drivers: DataFrame, watermark: str | None = "1 hour",
                   keys=("driver_id", "event_ts", "event_id")) -> DataFrame:
     """Drop repeated deliveries (same key, event time and event id).

@@ -18,10 +18,10 @@ FEAT_SCHEMA = "event_id long, driver_id string, event_ts timestamp_ntz, lat doub
 ENT_SCHEMA = "row_id string, driver_id string, event_timestamp timestamp_ntz"
 
 
-def run(spark, feats, ents, ttl, bucket=dt.timedelta(days=1)):
+def run(spark, feats, ents, ttl, max_bucket_rows=2_000_000):
     f = spark.createDataFrame(feats, FEAT_SCHEMA)
     e = spark.createDataFrame(ents, ENT_SCHEMA)
-    out = asof.point_in_time_join(e, f, ["driver_id"], ["lat"], ttl=ttl, bucket=bucket)
+    out = asof.point_in_time_join(e, f, ["driver_id"], ["lat"], ttl=ttl, max_bucket_rows=max_bucket_rows)
     return {r["row_id"]: r["lat"] for r in out.collect()}, out.count()
 
 
@@ -50,11 +50,11 @@ def test_pit_basic_ttl_ties_nulls(spark):
                    "e8": None, "e1b": 3.0}
 
 
-def test_pit_carries_rows_from_earlier_buckets(spark):
-    # Buckets of one hour: the entity rows at 3h and 5h only find rows of earlier buckets.
+def test_pit_carries_rows_from_earlier_ranges(spark):
+    # The key is hot, and its few rows lie on several ranges.
     feats = [(1, "a", ts(5), 1.0), (2, "a", ts(70), 2.0), (3, "a", ts(200), 3.0)]
     ents = [("x", "a", ts(185)), ("y", "a", ts(300)), ("z", "a", ts(65)), ("w", "a", ts(201))]
-    got, _ = run(spark, feats, ents, None, bucket=dt.timedelta(hours=1))
+    got, _ = run(spark, feats, ents, None, max_bucket_rows=2)
     assert got == {"x": 2.0, "y": 3.0, "z": 1.0, "w": 3.0}
 
 
@@ -63,7 +63,7 @@ def test_pit_matches_naive_on_random_rows(spark):
     rnd = random.Random(3)
     feats = [(i, rnd.choice("ab"), ts(rnd.randint(0, 3000)), float(i)) for i in range(300)]
     ents = [(f"e{j}", rnd.choice("abc"), ts(rnd.randint(-10, 3100))) for j in range(200)]
-    got, _ = run(spark, feats, ents, dt.timedelta(minutes=90), bucket=dt.timedelta(hours=2))
+    got, _ = run(spark, feats, ents, dt.timedelta(minutes=90), max_bucket_rows=20)
     for rid, key, t in ents:
         cands = [(ft, fid, v) for fid, k, ft, v in feats if k == key and ft <= t]
         best = max(cands) if cands else None
@@ -113,9 +113,9 @@ def test_multi_view_join_two_sources_and_refs(spark):
         Registry().add(loc, rate).resolve(["rate:lat"])
 
 
-def test_pit_hot_key_gets_narrow_buckets(spark):
-    # Key "a" has ~300 rows per day; with max_bucket_rows=50 its days are split
-    # into 2^e sub-buckets.  Results must equal the unsplit plan and the naive answer.
+def test_pit_hot_key_goes_by_ranges(spark):
+    # Key "a" has 600 rows, more than max_bucket_rows=50.
+    # Results must equal the unsplit plan and the naive answer.
     import random
     rnd = random.Random(11)
     feats = [(i, "a", ts(rnd.randint(0, 1400)), float(i)) for i in range(600)]
@@ -130,13 +130,19 @@ def test_pit_hot_key_gets_narrow_buckets(spark):
     for rid, key, t in ents:
         cands = [(ft, fid, v) for fid, k, ft, v in feats if k == key and ft <= t]
         assert got[rid] == (max(cands)[2] if cands else None)
-    widths = asof._hot_keys(
-        f.select("driver_id", F.col("event_ts").alias(asof._TS)), ["driver_id"], 86400 * 10**6, 50).collect()
-    import math
-    from collections import Counter
-    densest = max(Counter(t.date() for _, k, t, _ in feats if k == "a").values())
-    e = math.ceil(math.log2(densest / 50))
-    assert [(r["driver_id"], r["_w"]) for r in widths] == [("a", 86400 * 10**6 // 2 ** e)]
+    assert [r[0] for r in asof._hot_keys(f.select("driver_id"), ["driver_id"], 50).collect()] == ["a"]
+
+
+def test_pit_one_instant_is_spread_over_tasks(spark):
+    """All feature rows of the key, and then all its entity rows, are of one instant."""
+    from fleetcast.functions.segments import RANGE, in_ranges
+    feats = [(i, "a", ts(10), float(i)) for i in range(1500)]
+    ents = [(f"e{j}", "a", ts(10 + j % 2)) for j in range(1500)]
+    got, n = run(spark, feats, ents, None, max_bucket_rows=100)
+    assert n == 1500 and set(got.values()) == {1499.0}
+    rows = spark.createDataFrame(feats, FEAT_SCHEMA).repartition(6)
+    sizes = [r["count"] for r in in_ranges(rows, ["driver_id"], ["event_ts", "event_id"]).groupBy(RANGE).count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 1500 * 0.6
 
 
 def test_pit_property_random(spark):
@@ -149,12 +155,12 @@ def test_pit_property_random(spark):
                         min_size=1, max_size=15)
 
     @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-    @given(feat_rows, ent_rows, st.sampled_from([None, 5, 60]), st.sampled_from([30, 120, 1440]))
-    def check(frs, ers, ttl_min, bucket_min):
+    @given(feat_rows, ent_rows, st.sampled_from([None, 5, 60]), st.sampled_from([3, 12, None]))
+    def check(frs, ers, ttl_min, max_rows):
         feats = [(i, k, ts(m), float(i)) for i, (k, m) in enumerate(frs)]
         ents = [(f"e{j}", k, ts(m)) for j, (k, m) in enumerate(ers)]
         ttl = dt.timedelta(minutes=ttl_min) if ttl_min else None
-        got, n = run(spark, feats, ents, ttl, bucket=dt.timedelta(minutes=bucket_min))
+        got, n = run(spark, feats, ents, ttl, max_bucket_rows=max_rows)
         assert n == len(ents)
         for rid, key, t in ents:
             cands = [(ft, fid, v) for fid, k, ft, v in feats if key is not None and k == key and ft <= t]
