@@ -265,8 +265,9 @@ def candidates(requests: DataFrame, own: list[str], index: DriverIndex, ranker:
     lat, lon = F.col("rider_lat"), F.col("rider_lon")
     # A hash in front: rows of different requests are told apart by it when they are sorted, not by long equal prefixes.
     tag = "_tag"
-    front = requests.select(F.xxhash64(*own).alias(tag), *own, F.lit(ROOT).cast("long").alias("cell"),
-                            F.lit(None).cast("double").alias("_floor"))
+    # The root's number, 0, is written so that it is not folded: the join with its 16 cells at most keeps its key.
+    front = requests.select(F.xxhash64(*own).alias(tag), *own, F.lit(None).cast("double").alias("_floor")) \
+        .withColumn("cell", F.col(tag) % 1 + ROOT)
     out, own = own, [tag, *own]
     salt = F.pmod(F.col(tag), F.lit(SALTS)).cast("int")
     group = Window.partitionBy(*own)

@@ -65,24 +65,20 @@ def read_online(spark: SparkSession, root: str, view: str, version: int | None =
     return _read(spark, log.table, head, parts)
 
 
-def _write_buckets(rows: DataFrame, log: ManifestLog) -> str:
-    """Rows with their ``_bucket`` to a new folder, one task a bucket."""
+def _write_buckets(rows: DataFrame, log: ManifestLog) -> dict[str, str]:
+    """Rows with their ``_bucket`` to a new folder, one task a bucket; bucket -> its folder there."""
     to = f"data/{uuid.uuid4().hex[:16]}"
     rows.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{log.table}/{to}")
-    return to
+    names = [st.getPath().getName() for st in log.fs.listStatus(log.path(f"{log.table}/{to}"))]
+    return {n.partition("=")[2]: f"{to}/{n}" for n in names if n.startswith("_bucket=")}
 
 
 def write_online(snapshot: DataFrame, root: str, view: str, keys=("driver_id",), buckets: int = BUCKETS) -> int:
     """Replace the whole snapshot, as the next version; returns the version number."""
     log = ManifestLog(snapshot.sparkSession, _folder(root, view))
-    placed = snapshot.withColumn("_bucket", _bucket(keys, buckets)).persist()
-    try:
-        used = [r[0] for r in placed.select("_bucket").distinct().collect()]
-        to = _write_buckets(placed, log)
-    finally:
-        placed.unpersist()
+    live = _write_buckets(snapshot.withColumn("_bucket", _bucket(keys, buckets)), log)
     info = {"keys": list(keys), "buckets": buckets, "schema": snapshot.schema.jsonValue()}
-    return log.commit(lambda head: Manifest(0, {str(b): f"{to}/_bucket={b}" for b in used}, head.marks, info)).version
+    return log.commit(lambda head: Manifest(0, live, head.marks, info)).version
 
 
 def last_commit(spark: SparkSession, folder: str, writer: str) -> int:
@@ -100,33 +96,34 @@ def upsert_online(new_latest: DataFrame, root: str, view: str, keys, commit: tup
     """
     spark = new_latest.sparkSession
     log = ManifestLog(spark, _folder(root, view))
-    keys, merged_with, written, schema = list(keys), {}, {}, None
+    keys, merged_with, written, schema = list(keys), {}, {}, new_latest.schema
     first = log.latest()
     count = first.info.get("buckets", buckets)
     if commit and first.marks.get(commit[0], -1) >= commit[1]:
         return first.version
     placed = new_latest.withColumn("_bucket", _bucket(keys, count)).persist()
     try:
-        touched = [r[0] for r in placed.select("_bucket").distinct().collect()]   # at most ``count``
-
         def change(head: Manifest) -> Manifest | None:
             nonlocal schema
             if commit and head.marks.get(commit[0], -1) >= commit[1]:
                 return None
             if head.info and head.info["buckets"] != count:
                 raise ValueError(f"{log.table}: the number of buckets was changed while rows were merged")
-            stale = [b for b in touched if b not in written or head.live.get(str(b)) != merged_with[b]]
-            part = placed.where(F.col("_bucket").isin(stale)).drop("_bucket")
-            if head.info:
-                part = merge_newest(_read(spark, log.table, head, {str(b) for b in stale}), part, keys)
-            schema = part.schema
-            if stale:
-                to = _write_buckets(part.withColumn("_bucket", _bucket(keys, count)), log)
-                written.update({b: f"{to}/_bucket={b}" for b in stale})
-                merged_with.update({b: head.live.get(str(b)) for b in stale})
+            if not head.info:
+                written.update(_write_buckets(placed, log))
+                merged_with.update(dict.fromkeys(written))
+            else:
+                touched = list(written) or [str(r[0]) for r in placed.select("_bucket").distinct().collect()]
+                stale = [b for b in touched if b not in written or head.live.get(b) != merged_with[b]]
+                part = placed.where(F.col("_bucket").isin([int(b) for b in stale])).drop("_bucket")
+                part = merge_newest(_read(spark, log.table, head, set(stale)), part, keys)
+                schema = part.schema
+                if stale:
+                    written.update(_write_buckets(part.withColumn("_bucket", _bucket(keys, count)), log))
+                    merged_with.update({b: head.live.get(b) for b in stale})
             marks = {**head.marks, **({commit[0]: commit[1]} if commit else {})}
             info = {"keys": keys, "buckets": count, "schema": schema.jsonValue()}
-            return Manifest(0, {**head.live, **{str(b): p for b, p in written.items()}}, marks, info)
+            return Manifest(0, {**head.live, **written}, marks, info)
 
         version = log.commit(change).version
     finally:
