@@ -6,7 +6,7 @@ choices take the tightest gap.  Pieces are dealt to shards of bounded size, one
 task each, largest pieces first.  Sequences that a shard leaves open are opened
 again: their pieces, a small part of all, are dealt to fewer shards and packed
 anew, round by round until one shard is left, so the loss does not grow with
-the number of shards.
+the number of shards.  A round that no longer saves sequences is the last one.
 """
 
 from __future__ import annotations
@@ -118,6 +118,7 @@ def pack(items: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECE
             {"sequence_id": F.col("own") + (1 << 62), "offset": F.lit(0).cast("long")})
         left = left.filter(F.col("length") < length)
         level = last = 0
+        used = None   # open sequences that the round before left
         while True:
             n = left.count()
             if not n:
@@ -127,7 +128,11 @@ def pack(items: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECE
             dealt = left.withColumn("shard", F.pmod(F.xxhash64("own", F.lit(level)), F.lit(shards)))
             packed = scratch.keep(dealt.groupBy("shard").applyInPandas(
                 _pack_shard(level, length), f"{shape}, sequence_id long, offset long, gap long"))
-            if last > ROUNDS_AT_END or level >= 60:
+            made = packed.agg(F.count_distinct("sequence_id").alias("all"), F.count_distinct(
+                F.when(F.col("gap") == 0, F.col("sequence_id"))).alias("full")).first()
+            idle = used is not None and made["all"] >= used
+            used = made["all"] - made["full"]
+            if last > ROUNDS_AT_END or idle:
                 done = done.unionByName(packed.drop("gap"))
                 break
             done = done.unionByName(packed.filter("gap = 0").drop("gap"))
