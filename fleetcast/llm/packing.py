@@ -6,7 +6,8 @@ choices take the tightest gap.  Pieces are dealt to shards of bounded size, one
 task each, largest pieces first.  Sequences that a shard leaves open are opened
 again: their pieces, a small part of all, are dealt to fewer shards and packed
 anew, round by round until one shard is left, so the loss does not grow with
-the number of shards.  A round that no longer saves sequences is the last one.
+the number of shards.  A round that saves no sequence is followed by one with
+twice as large shards, up to ``GROWN`` times; then it is the last.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from .textarrays import spread
 LENGTH = 2048
 SHARD_PIECES = 40_000
 ROUNDS_AT_END = 2
+GROWN = 4
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -118,12 +120,12 @@ def pack(items: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECE
             {"sequence_id": F.col("own") + (1 << 62), "offset": F.lit(0).cast("long")})
         left = left.filter(F.col("length") < length)
         level = last = 0
-        used = None   # open sequences that the round before left
+        used, grown = None, 1   # open sequences that the round before left
         while True:
             n = left.count()
             if not n:
                 break
-            shards = -(-n // shard_pieces)
+            shards = -(-n // (shard_pieces * grown))
             last += shards == 1
             dealt = left.withColumn("shard", F.pmod(F.xxhash64("own", F.lit(level)), F.lit(shards)))
             packed = scratch.keep(dealt.groupBy("shard").applyInPandas(
@@ -132,7 +134,8 @@ def pack(items: DataFrame, length: int = LENGTH, shard_pieces: int = SHARD_PIECE
                 F.when(F.col("gap") == 0, F.col("sequence_id"))).alias("full")).first()
             idle = used is not None and made["all"] >= used
             used = made["all"] - made["full"]
-            if last > ROUNDS_AT_END or idle:
+            grown *= 2 if idle else 1
+            if last > ROUNDS_AT_END or grown > GROWN:
                 done = done.unionByName(packed.drop("gap"))
                 break
             done = done.unionByName(packed.filter("gap = 0").drop("gap"))

@@ -313,3 +313,13 @@ def test_order_min_hash_by_brute_force(odd_rows):
     p = fingerprints.fingerprints([base, swapped, base[:-40] + "x" * 40, sentence(random.Random(2), 300)])
     near, moved, other = ((p[0] == p[i]).mean() for i in (2, 1, 3))
     assert near > 0.8 > moved > other  # order counts: the same k-mers in other order are less alike
+
+
+def test_packing_stops_when_rounds_save_nothing(spark, monkeypatch):
+    """Pieces that never share a sequence are not packed again and again."""
+    rounds = []
+    real = packing._pack_shard
+    monkeypatch.setattr(packing, "_pack_shard", lambda *a: rounds.append(a) or real(*a))
+    items = spark.range(3000).selectExpr("id AS doc_id", "1500L AS length")
+    got = packing.pack(items, 2048, 1000)
+    assert got.select("sequence_id").distinct().count() == 3000 and len(rounds) <= 5
