@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -17,19 +18,48 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.path, self._n = spark, scratch_path(spark, name), 0
+        self.spark, self.path, self._n, self._at = spark, scratch_path(spark, name), 0, {}
 
     def __enter__(self) -> "Scratch":
         return self
 
     def __exit__(self, *_) -> None:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        self._delete(self.path)
+
+    def _delete(self, path: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
+    def free(self, *tables: DataFrame) -> None:
+        """Delete kept tables whose readers have all been written."""
+        for t in tables:
+            self._delete(self._at.pop(id(t))[0])
+
     def keep(self, df: DataFrame, tasks: int | None = None) -> DataFrame:
         """``tasks``: at most so many write it, for tables known to be small for the cluster."""
         self._n += 1
         df = df if tasks is None else df.coalesce(tasks)
         to = f"{self.path}/{self._n}"
         df.write.parquet(to)
-        return self.spark.read.schema(df.schema).parquet(to)
+        kept = self.spark.read.schema(df.schema).parquet(to)
+        self._at[id(kept)] = (to, kept)   # held, so that the number is no other table's
+        return kept
+
+
+HOT_KEYS = 4096   # at most so many keys are on a share of 1/HOT_KEYS of all rows or more
+
+
+def is_hot(count: str, total: int) -> Column:
+    """Whether a key with ``count`` of all ``total`` rows has such a share."""
+    return F.col(count) * HOT_KEYS >= total
+
+
+def join_hot(rows: DataFrame, side: DataFrame, keys: list[str], hot: str = "hot") -> DataFrame:
+    """``rows`` joined to ``side`` (one row a key), whose hot keys, ``HOT_KEYS`` at most by counting, are broadcast.
+
+    Rows of hot keys stay where they are; no key among the others has a larger
+    share of the rows, so those are joined.
+    """
+    few = F.broadcast(side.filter(hot))
+    return rows.join(few.drop(hot), keys).unionByName(
+        rows.join(F.broadcast(side.filter(hot).select(*keys)), keys, "left_anti").join(side.filter(~F.col(hot)).drop(hot), keys))

@@ -6,16 +6,21 @@ document with a smaller id.
 Every document is parsed against the index of all reference blocks.  A block is
 the text around an *anchor*: a q-word phrase whose hash is smallest among the
 phrases of some window, so that equal windows have the same anchors wherever
-they stand.  The index is keyed by anchor and holds, for each distinct context
-(the words up to a window's reach on both sides), the smallest document id.
-
-1. Greedy factors: where a whole context also stands in an earlier document,
-   it is a factor, and neighbouring contexts chain to the longest one.
+they stand.  Anchors of one document only are dropped before anything else.  For
+each distinct context of an anchor (the words up to a window's reach on both
+sides) the index has the first document and place that holds it.
+
+1. Greedy factors: a context that also stands in an earlier document is copied
+   from there, and the copy is extended as long as the contexts that follow
+   continue it in the same document at the same distance.  A factor is where it
+   starts, its length, the reference document and the place there.
 2. Factor boundaries: where a context is the first of its kind but its anchor
-   also has other contexts, each window over the anchor is looked up by itself,
-   against the windows of the first documents with the other contexts.
+   also has other contexts, a copy may end inside it.  Each window over the anchor
+   is looked up by itself, against the windows of the first documents with the
+   other contexts; these are factors of ``length`` words.
 
-Both steps compare 128-bit hashes.  No step forms pairs of documents: a phrase
+Both steps compare 128 bits: an anchor's hash and its context's, from different
+word hashes, or two hashes of a window.  No step forms pairs of documents: a phrase
 in thousands of documents costs one row for each, and minimum ids are
 aggregated before the rows meet.
 """
@@ -29,8 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from .shared import Scratch
+from .shared import Scratch, is_hot, join_hot
 from .textarrays import Ranges, Texts, signed, slices, sliding, spread
 
 Q = 16  # words of an anchor
@@ -60,7 +66,8 @@ def anchors(t: Texts, words: np.ndarray, length: int, q: int) -> tuple[np.ndarra
     return pick, h[pick]
 
 
-ANCHOR_SCHEMA = "doc_id long, row long, pos int, from int, upto int, anchor long, ctx1 long, ctx2 long"
+ANCHOR_SCHEMA = "doc_id long, row long, pos int, before short, after short, anchor long, context long"
+FACTOR = ["doc_id", "row", "from", "upto", "ref_doc", "ref_from"]
 
 
 def _anchor_rows(length: int, q: int):
@@ -73,16 +80,15 @@ def _anchor_rows(length: int, q: int):
                 first, last = _bounds(t)
                 lo, hi = np.maximum(first[pick], pick - (length - q)), np.minimum(last[pick], pick + length)
                 shape = ((pick - lo) * 1000 + (hi - pick)).astype(np.uint64)
-                c1 = Ranges(w1).of(lo, hi) ^ shape
-                c2 = Ranges(w2, 1).of(lo, hi) ^ shape
+                context = Ranges(w2, 1).of(lo, hi) ^ shape
                 doc = t.word_doc()[pick]
                 base = first[pick]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id").take(pa.array(doc)), part.column("row").take(pa.array(doc)),
                     pa.array((pick - base).astype(np.int32)),
-                    pa.array((lo - base).astype(np.int32)), pa.array((hi - base).astype(np.int32)),
-                    pa.array(signed(h)), pa.array(signed(c1)), pa.array(signed(c2))],
-                    ["doc_id", "row", "pos", "from", "upto", "anchor", "ctx1", "ctx2"])
+                    pa.array((pick - lo).astype(np.int16)), pa.array((hi - pick).astype(np.int16)),
+                    pa.array(signed(h)), pa.array(signed(context))],
+                    ["doc_id", "row", "pos", "before", "after", "anchor", "context"])
     return run
 
 
@@ -144,36 +150,63 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["row", "n_words", "n_removed", "kept_words"])
 
 
-def duplicate_spans(docs: DataFrame, length: int = 50, q: int = Q) -> DataFrame:
-    """Spans of words to remove: (doc_id, row, spans array<struct<from,upto>>), half open.
+def _extended(copies: DataFrame) -> DataFrame:
+    """Copied contexts of one document that continue each other in one reference document, as one factor."""
+    along = Window.partitionBy("doc_id", "row", "ref_doc", "distance").orderBy("from", "upto")
+    reached = F.max("upto").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = copies.withColumn("new", (reached.isNull() | (reached < F.col("from"))).cast("int")) \
+        .withColumn("factor", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("doc_id", "row", "ref_doc", "distance", "factor").agg(
+        F.min("from").alias("from"), F.max("upto").alias("upto")) \
+        .select("doc_id", "row", "from", "upto", "ref_doc", (F.col("from") - F.col("distance")).alias("ref_from"))
+
+
+def factors(docs: DataFrame, scratch: Scratch, length: int = 50, q: int = Q) -> DataFrame:
+    """Factors of ``length`` words or more that earlier documents hold: words from ``from`` to before ``upto`` of a row
+    equal those from ``ref_from`` on of the document ``ref_doc``.
 
     ``docs`` has doc_id long, row long and text string.  ``row`` tells apart
     rows with the same doc_id; such rows do not count as earlier documents, and
-    spans of rows equal in both are the same.
+    factors of rows equal in both are the same.  Every window that an earlier
+    document holds lies in a factor, or in factors that overlap by all its words.
     """
+    found = scratch.keep(docs.mapInArrow(_anchor_rows(length, q), ANCHOR_SCHEMA))
+    n = found.count()
+    common = scratch.keep(found.groupBy("anchor").agg(
+        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n"))
+        .filter("lo < hi").select("anchor", is_hot("n", n).alias("hot")))
+    met = scratch.keep(join_hot(found, common, ["anchor"]))
+    scratch.free(found, common)
+    n = met.count()
+    contexts = scratch.keep(met.groupBy("anchor", "context").agg(
+        F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")))
+    several = contexts.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("open"))
+    known = scratch.keep(contexts.join(several, "anchor").select(
+        "anchor", "context", "first", "open", is_hot("n", n).alias("hot")))
+    placed = scratch.keep(join_hot(met, known, ["anchor", "context"]).select(
+        "doc_id", "row", "pos", (F.col("pos") - F.col("before")).alias("from"), (F.col("pos") + F.col("after")).alias("upto"),
+        F.col("first.doc_id").alias("ref_doc"), (F.col("pos") - F.col("first.pos")).alias("distance"), "open"))
+    scratch.free(met, contexts, known)
+    copied = _extended(placed.filter((F.col("ref_doc") < F.col("doc_id")) & (F.col("upto") - F.col("from") >= length)))
+    marks = placed.filter((F.col("ref_doc") == F.col("doc_id")) & F.col("open")) \
+        .groupBy("doc_id", "row").agg(F.collect_list("pos").alias("marks"))
+    windows = scratch.keep(docs.join(marks, ["doc_id", "row"]).select("doc_id", "row", "text", "marks")
+                           .mapInArrow(_window_rows(length, q),
+                                       "doc_id long, row long, pos int, win1 long, win2 long"))
+    n = windows.count()
+    earliest = scratch.keep(windows.groupBy("win1", "win2").agg(
+        F.min(F.struct("doc_id", "pos")).alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+        .filter(F.col("last") > F.col("first.doc_id")).select("win1", "win2", "first", is_hot("n", n).alias("hot")))
+    edges = join_hot(windows, earliest, ["win1", "win2"]).filter(F.col("first.doc_id") < F.col("doc_id")).select(
+        "doc_id", "row", F.col("pos").alias("from"), (F.col("pos") + length).alias("upto"),
+        F.col("first.doc_id").alias("ref_doc"), F.col("first.pos").alias("ref_from"))
+    return copied.unionByName(edges).select(*FACTOR)
+
+
+def duplicate_spans(docs: DataFrame, length: int = 50, q: int = Q) -> DataFrame:
+    """Spans of words to remove: (doc_id, row, spans array<struct<from,upto>>), half open, from ``factors``."""
     with Scratch(docs.sparkSession, "factors") as scratch:
-        found = scratch.keep(docs.mapInArrow(_anchor_rows(length, q), ANCHOR_SCHEMA))
-        contexts = found.groupBy("anchor", "ctx1", "ctx2").agg(
-            F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        per_anchor = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("f"),
-                                                    F.max("last").alias("l"))
-        # Contexts of phrases that more than one document has; the others need no look.
-        shared = scratch.keep(contexts.join(per_anchor.filter(F.col("l") > F.col("f")), "anchor")
-                              .select("anchor", "ctx1", "ctx2", "first", (F.col("n") > 1).alias("open")))
-        met = found.join(shared, ["anchor", "ctx1", "ctx2"])
-        factors = met.filter((F.col("first") < F.col("doc_id")) & (F.col("upto") - F.col("from") >= length)) \
-            .select("doc_id", "row", "from", "upto")
-        marks = met.filter((F.col("first") == F.col("doc_id")) & F.col("open")) \
-            .groupBy("doc_id", "row").agg(F.collect_list("pos").alias("marks"))
-        windows = scratch.keep(docs.join(marks, ["doc_id", "row"]).select("doc_id", "row", "text", "marks")
-                               .mapInArrow(_window_rows(length, q),
-                                           "doc_id long, row long, pos int, win1 long, win2 long"))
-        earliest = windows.groupBy("win1", "win2") \
-            .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")) \
-            .filter(F.col("last") > F.col("first")).select("win1", "win2", "first")
-        edges = windows.join(earliest, ["win1", "win2"]).filter(F.col("first") < F.col("doc_id")) \
-            .select("doc_id", "row", F.col("pos").alias("from"), (F.col("pos") + length).alias("upto"))
-        return factors.unionByName(edges).groupBy("doc_id", "row") \
+        return factors(docs, scratch, length, q).groupBy("doc_id", "row") \
             .agg(F.collect_set(F.struct("from", "upto")).alias("spans")).checkpoint()
 
 

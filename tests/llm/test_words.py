@@ -246,3 +246,30 @@ def test_line_stage_cleans_pages_that_are_mostly_boilerplate(spark):
              f"site{i % 10}", 0) for i in range(30)]
     got = {r.doc_id: r.text for r in lines.stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(3), "").collect()}
     assert got == {i: text if i == 0 else f"own {i}" for i, text, *_ in rows}
+
+
+def test_factors_name_their_reference(spark, plain_docs, plain_rows):
+    """Every factor's words stand in the earlier document at the place named; a long copy is one factor."""
+    rng = random.Random(12)
+    passage = sentence(rng, 400)
+    rows = list(plain_rows) + [(5000 + i, sentence(rng, 30 + i) + " " + passage + " " + sentence(rng, 20), "en", "s", 0)
+                               for i in range(4)] + [(6000, " ".join(passage.split()[100:330]), "en", "s", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4).select("doc_id", F.lit(0).cast("long").alias("row"), "text")
+    with Scratch(spark, "test") as scratch:
+        got = substrings.factors(docs, scratch).collect()
+    text = {d: words(t) for d, t, *_ in rows}
+    for f in got:
+        assert f.ref_doc < f.doc_id and f.upto - f["from"] >= 50
+        assert text[f.doc_id][f["from"]:f.upto] == text[f.ref_doc][f.ref_from:f.ref_from + f.upto - f["from"]]
+    longest = {d: max(f.upto - f["from"] for f in got if f.doc_id == d) for d in (5001, 5002, 5003, 6000)}
+    assert min(longest[d] for d in (5001, 5002, 5003)) > 300 and longest[6000] > 150
+    # All windows that an earlier document has are under factors.
+    first = {}
+    for d in sorted(text):
+        for i in range(len(text[d]) - 49):
+            first.setdefault(tuple(text[d][i:i + 50]), d)
+    under = {d: {i for f in got if f.doc_id == d for i in range(f["from"], f.upto)} for d in text}
+    for d, w in text.items():
+        for i in range(len(w) - 49):
+            if first[tuple(w[i:i + 50])] < d:
+                assert under[d] >= set(range(i, i + 50))
