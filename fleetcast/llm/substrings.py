@@ -180,13 +180,14 @@ def factors(docs: DataFrame, scratch: Scratch, length: int = 50, q: int = Q) ->
     n = met.count()
     contexts = scratch.keep(met.groupBy("anchor", "context").agg(
         F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n")))
-    several = contexts.groupBy("anchor").agg((F.count(F.lit(1)) > 1).alias("open"))
-    known = scratch.keep(contexts.join(several, "anchor").select(
+    several = scratch.keep(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).select(
+        "anchor", (F.col("c") > 1).alias("open"), is_hot("c", contexts.count()).alias("hot")))
+    known = scratch.keep(join_hot(contexts, several, ["anchor"]).select(
         "anchor", "context", "first", "open", is_hot("n", n).alias("hot")))
     placed = scratch.keep(join_hot(met, known, ["anchor", "context"]).select(
         "doc_id", "row", "pos", (F.col("pos") - F.col("before")).alias("from"), (F.col("pos") + F.col("after")).alias("upto"),
         F.col("first.doc_id").alias("ref_doc"), (F.col("pos") - F.col("first.pos")).alias("distance"), "open"))
-    scratch.free(met, contexts, known)
+    scratch.free(met, contexts, several, known)
     copied = _extended(placed.filter((F.col("ref_doc") < F.col("doc_id")) & (F.col("upto") - F.col("from") >= length)))
     marks = placed.filter((F.col("ref_doc") == F.col("doc_id")) & F.col("open")) \
         .groupBy("doc_id", "row").agg(F.collect_list("pos").alias("marks"))
