@@ -1,13 +1,15 @@
 """Quality classifier with supervised subword embeddings (operator 10).
 
-Every word and every character n-gram of 3 to 5 bytes inside a word (with its
-ends marked) is hashed to a row of a table of learned vectors, and every word
-5-gram to one of four rows by how often the text has had it before; a document
-is the mean of its rows, and a softmax over two classes reads it.  Table and
-softmax are trained together by numpy stochastic gradient descent on a bounded
-sample of labelled documents (``sample`` rows, those with the least hash of
-their id; whole texts).  Scoring is one pass over all texts in parallel: only
-the softmax margin of each table row is needed, one float a row.
+Every word, every run of two to five words and every n-gram of 3 to 5 characters
+(code points) inside a word, with its ends marked, is hashed to a row of a table
+of learned vectors.  One more row for each word 5-gram tells how often the text
+has had it before (up to 3 times), as a mean of vectors cannot show by itself that
+a text repeats.  A document is the mean of its rows, and a softmax over two classes
+reads it.  Table and softmax are trained together by numpy stochastic gradient
+descent on a bounded sample of labelled documents (``sample`` rows and ``size``
+bytes, those with the least hash of their id; whole texts).  Scoring is one pass
+over all texts in parallel: only the softmax margin of each table row is needed,
+one float a row.
 """
 
 from __future__ import annotations
@@ -23,36 +25,42 @@ from .textarrays import Ranges, Texts, in_doc, mix, runs, slices, spread
 
 BUCKETS, DIM = 1 << 17, 8
 EPOCHS, BATCH, RATE = 4, 16, 0.03
-SAMPLE = 4000
+SAMPLE, SAMPLE_BYTES = 5000, 1 << 26
+WORD_RUNS = (2, 3, 4, 5)
 SEED = 20240101
 
 
 def features(t: Texts, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, table row) of every n-gram."""
-    b = t.lowered().astype(np.uint64) + np.uint64(1)
-    h = Ranges(b)
-    n = len(b)
-    gap = np.concatenate(([0], np.cumsum(~t.in_word)))
-    docs, rows = [t.word_doc()], [(h.of(t.word_start, t.word_end) % np.uint64(buckets)).astype(np.int64)]
+    lowered = t.lowered()
+    h = Ranges(lowered.astype(np.uint64) + np.uint64(1))
+    n = len(lowered)
+    word = h.of(t.word_start, t.word_end)
+    docs, keys = [t.word_doc()], [word]
     # Marked ends: an n-gram may take the separator on either side of its word, not more.
+    gap = np.concatenate(([0], np.cumsum(~t.in_word)))
+    points = np.append(np.flatnonzero((lowered & 0xC0) != 0x80), n)   # where each character starts
     for size in (3, 4, 5):
-        at = np.arange(max(0, n - size + 1))
-        blanks = gap[at + size] - gap[at]
-        edge = (~t.in_word[at]).astype(np.int64) + ~t.in_word[at + size - 1]
-        at = at[(blanks == edge) & (blanks < 2)]
-        key = h.of(at, at + size)
-        rows.append((mix(key + np.uint64(size)) % np.uint64(buckets)).astype(np.int64))
-        docs.append(np.searchsorted(t.start, at, "right") - 1)
-    # Word 5-grams by how often the text has had them before (0 to 3): one row for each count.
-    at, key = t.shingles(t.word_hash(), 5)
-    doc = t.word_doc()[at]
-    key = in_doc(doc, key)
-    order = np.argsort(key, kind="stable")
-    edge = runs(key[order])
+        m = max(0, len(points) - size)
+        at, last, end = points[:m], points[size - 1:size - 1 + m], points[size:size + m]
+        blanks = gap[end] - gap[at]
+        edge = (~t.in_word[at]).astype(np.int64) + ~t.in_word[last]
+        doc = np.searchsorted(t.start, at, "right") - 1
+        ok = (blanks == edge) & (blanks < 2) & (end <= t.end[doc] + 1)   # none reaches into the next text
+        keys.append(mix(h.of(at[ok], end[ok]) + np.uint64(size)))
+        docs.append(doc[ok])
+    for size in WORD_RUNS:
+        at, run = t.shingles(word, size)
+        keys.append(mix(run + np.uint64(100 + size)))
+        docs.append(t.word_doc()[at])
+    # The last of them are runs of five: how often the text has had each before.
+    doc = docs[-1]
+    order = np.argsort(in_doc(doc, run), kind="stable")
+    edge = runs(in_doc(doc, run)[order])
     before = spread(np.zeros(len(edge) - 1, np.int64), np.diff(edge))
     docs.append(doc[order])
-    rows.append(np.minimum(before, 3))
-    return np.concatenate(docs), np.concatenate(rows)
+    keys.append(mix(np.minimum(before, 3).astype(np.uint64) + np.uint64(0x51ED)))
+    return np.concatenate(docs), (np.concatenate(keys) % np.uint64(buckets)).astype(np.int64)
 
 
 class Model:
@@ -145,16 +153,25 @@ def shift_to(model: Model, texts: list[str], labels: np.ndarray, cut: float = 0.
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = 0.3) -> Model:
-    """A model from ``sample`` labelled documents at most, chosen by a hash of their ids.
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = 0.3, size: int = SAMPLE_BYTES) -> Model:
+    """A model from ``sample`` labelled documents of ``size`` bytes at most, chosen by a hash of their ids.
 
-    ``labels``: doc_id and quality (0 or 1; other values and nulls are left out).
-    Only the sampled texts reach the driver.
+    ``labels``: doc_id and quality (0 or 1; other values and nulls are left out;
+    of several labels of one id the greatest counts).  Rows of one doc_id with
+    other texts are documents of their own with the same label.  Only the sampled
+    texts reach the driver.
     """
     ids = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("quality")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", "quality", F.coalesce("text", F.lit("")).alias("text"))
-    got = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["text"]))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
+    bytes_of = rows.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("n"), F.count(F.lit(1)).alias("rows"))
+    chosen, total, count = [], 0, 0
+    for r in bytes_of.orderBy(F.xxhash64("doc_id"), "doc_id").collect():   # ``sample`` ids at most
+        if total + r["n"] <= size and count + r["rows"] <= sample:
+            total, count = total + r["n"], count + r["rows"]
+            chosen.append(r["doc_id"])
+    taken = F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in chosen], "doc_id long"))
+    got = sorted(rows.join(taken, "doc_id", "left_semi").collect(), key=lambda r: (r["doc_id"], r["text"]))
     texts = [r["text"] for r in got]
     y = np.array([r["quality"] for r in got], np.int64)
     model = train(texts, y)
@@ -162,16 +179,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = 0
 
 
 def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and score (0 to 1) of every row's whole text; null and empty texts have the bias alone."""
-    src = docs.select(*keep, F.col("text").alias("_text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_text"]
-                       + ["score double"])
+    """``keep`` columns and score (0 to 1) of every row's whole text.
+
+    Null and empty texts have the bias alone; repeated rows and ids are scored
+    each.  A kept column named score is replaced; columns not kept are not read.
+    """
+    keep = [c for c in dict.fromkeys(keep) if c != "score"]
+    src = docs.select(*keep, *([] if "text" in keep else ["text"]))
+    schema = ", ".join([f"`{c}` {src.schema[c].dataType.simpleString()}" for c in keep] + ["score double"])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
-                got = shared.value.scores(part.column("_text"))
+            for part in slices(batch, "text"):
+                got = shared.value.scores(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + [pa.array(got)], [*keep, "score"])
 
     return src.mapInArrow(run, schema)

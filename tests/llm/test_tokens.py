@@ -2,6 +2,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -323,3 +324,54 @@ def test_packing_stops_when_rounds_save_nothing(spark, monkeypatch):
     items = spark.range(3000).selectExpr("id AS doc_id", "1500L AS length")
     got = packing.pack(items, 2048, 1000)
     assert got.select("sequence_id").distinct().count() == 3000 and len(rounds) <= 5
+
+
+END = " "   # stands after each text
+
+
+def plain_grams(text):
+    """Hashable n-grams of one text: words, word runs, character n-grams with marked ends, repeats of word 5-grams."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    w = re.findall(r"[^\x20\x09-\x0D]+", low)
+    out = Counter(("w", x) for x in w)
+    for k in (2, 3, 4, 5):
+        out.update((f"run{k}", *w[i:i + k]) for i in range(len(w) - k + 1))
+    blank = lambda c: c in " \t\n\x0b\x0c\r"
+    padded = low + END
+    for k in (3, 4, 5):
+        for i in range(len(padded) - k + 1):
+            g = padded[i:i + k]
+            edges = blank(g[0]) + blank(g[-1])
+            if sum(map(blank, g)) == edges < 2:
+                out["char" + g.replace("\0", " ") if False else ("char", g)] += 1
+    seen = Counter()
+    for i in range(len(w) - 4):
+        g = tuple(w[i:i + 5])
+        out["seen", min(seen[g], 3)] += 1
+        seen[g] += 1
+    return out
+
+
+def test_classifier_features_by_brute_force():
+    """As many rows as n-grams, equal n-grams in one row, and (nearly always) others in others."""
+    texts = ["Ünï wörds here ünï wörds", "", "a b c d e a b c d e a b c d e f", "日本語 テキスト 日本語", "x", "AbC abc\tABC\n\nabc  q"]
+    buckets = 1 << 40
+    doc, row = classifier.features(Texts(pa.array(texts, pa.string())), buckets)
+    where = {}
+    for i, text in enumerate(texts):
+        want = plain_grams(text)
+        got = Counter(row[doc == i].tolist())
+        assert sum(got.values()) == sum(want.values()) and sorted(got.values()) == sorted(want.values())
+        where[i] = set(got)
+    assert len(set().union(*where.values())) == len(set().union(*(plain_grams(t) for t in texts)))
+
+
+def test_classifier_sample_bounds_and_clashes(spark):
+    docs = spark.createDataFrame([(i, ("good " if i % 2 else "bad ") * 50 + str(i), 0.5, "x") for i in range(40)]
+                                 + [(3, "good good other text", 0.5, "y"), (None, None, 0.5, "z")],
+                                 "doc_id long, text string, score double, _text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(3, 0), (5, None), (7, 9)], "doc_id long, quality int")
+    for kw in ({}, {"sample": 10}, {"size": 2000}, {"size": 0}):
+        model = classifier.fit(docs, labels, **kw)
+        got = classifier.score(docs, model, ("doc_id", "score", "_text", "text")).collect()
+        assert len(got) == 42 and all(0 <= r.score <= 1 for r in got) and {r._text for r in got} == {"x", "y", "z"}
