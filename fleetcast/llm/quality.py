@@ -1,13 +1,18 @@
 """Quality rules with risk-controlled cutoffs (operator 4).
 
 Text measures come from one pass over the words.  A rule rejects a document
-when a measure passes a cutoff.  Cutoffs are chosen from a fixed grid by
-labelled holdout documents: per stratum and measure, the strictest cutoff whose
-false rejection rate among good documents is below ``alpha`` by the exact
-(Clopper-Pearson) binomial bound.  Each of the strata x measures x grid points
-is tested at ``delta`` over their number (Bonferroni), so all chosen cutoffs
-hold at once with probability 1 - delta.  A stratum with too few good labels
-to prove any cutoff gets none: its documents are judged by the base rule alone.
+when a measure passes a cutoff.  Cutoffs are chosen from a fixed grid by labelled
+documents, stratum by stratum.  One half of the labels (by a hash of the id)
+orders the rules: from no cutoff on, each step tightens the measure that rejects
+most bad documents for the good ones it costs.  The other half, the holdout,
+tests the rules in this order: a rule holds if the exact (Clopper-Pearson) upper
+bound on its false rejection rate among good documents is below ``alpha``, and
+the first that does not ends the sequence.  As the order does not depend on the
+holdout, a fixed sequence needs no correction for its length (Holm's and
+Bonferroni's do); the strata share ``delta`` (Bonferroni).  So with probability
+1 - delta the chosen rules of all strata hold at once.  A stratum with too few
+good labels to prove any rule gets none: its documents are judged by the base
+rule alone.
 """
 
 from __future__ import annotations
@@ -117,28 +122,70 @@ def proves(x: int, n: int, alpha: float, level: float) -> bool:
     return binomial_at_most(x, n, alpha) <= level
 
 
-def choose_cutoffs(measured: DataFrame, good: DataFrame, stratum: str, alpha: float, delta: float,
+def rule_order(good: dict, bad: dict, sizes: list[int]) -> list[tuple[int, ...]]:
+    """Rules from lax to strict: per measure the place of its cutoff in the grid (its length: none).
+
+    ``good`` and ``bad`` count documents by level: how many grid points of each
+    measure they pass.  Equal choices take the earlier measure, then the laxer cutoff.
+    """
+    levels = [np.array(sorted(d), np.int64).reshape(-1, len(sizes)) for d in (good, bad)]
+    counts = [np.array([d[k] for k in sorted(d)], np.int64) for d in (good, bad)]
+    left = [np.ones(len(c), bool) for c in counts]
+    rule, path = list(sizes), []
+    while True:
+        best, step = None, None
+        for m in range(len(sizes)):
+            for to in range(rule[m] - 1, -1, -1):
+                lost, won = (int(c[k & (v[:, m] > to)].sum()) for c, k, v in zip(counts, left, levels))
+                worth = won / (lost + 0.5)
+                if won and (best is None or worth > best):
+                    best, step = worth, (m, to)
+        if step is None:
+            return path
+        rule[step[0]] = step[1]
+        left = [k & (v[:, step[0]] <= step[1]) for k, v in zip(left, levels)]
+        path.append(tuple(rule))
+
+
+def proven(path: list[tuple[int, ...]], good: dict, alpha: float, level: float) -> tuple[int, ...] | None:
+    """The last rule before the first of ``path`` that ``good`` holdout documents do not prove."""
+    last, n = None, sum(good.values())
+    for rule in path:
+        if not proves(sum(c for v, c in good.items() if any(x > k for x, k in zip(v, rule))), n, alpha, level):
+            break
+        last = rule
+    return last
+
+
+def choose_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, alpha: float, delta: float,
                    grid: dict[str, tuple[float, ...]] | None = None) -> list[tuple]:
     """Rows (stratum, measure, cutoff) that hold.
 
-    ``good``: doc_ids of holdout documents known to be good (repeated ids count
-    once).  One aggregate row per stratum reaches the driver: counts of good
-    documents above each grid point.
+    ``labels``: doc_id and quality (1 good, 0 bad; of several labels of one id
+    the greatest counts).  What reaches the driver is counts of labelled
+    documents by stratum, half and levels, at most the product of the grid's
+    sizes for each.
     """
-    grid = grid or GRID
-    held = measured.join(good.select("doc_id").distinct(), "doc_id", "left_semi").filter(~base_failed())
+    grid = {m: tuple(sorted(points)) for m, points in (grid or GRID).items()}
+    truth = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").alias("_quality"))
     cols = measures()
-    above = [F.sum((cols[m] > c).cast("long")).alias(f"{m}_{i}") for m in grid for i, c in enumerate(grid[m])]
-    rows = held.groupBy(F.col(stratum).alias("stratum")).agg(F.count(F.lit(1)).alias("n"), *above).collect()
-    rows.sort(key=lambda r: (r["stratum"] is not None, str(r["stratum"])))
-    tests = max(1, len(rows) * sum(map(len, grid.values())))
-    share = alpha / len(grid)  # each measure may reject this part of the good documents
+    levels = [sum((F.when(cols[m] > c, 1).otherwise(0) for c in points), F.lit(0)).alias(m) for m, points in grid.items()]
+    # Copies of a document count once.
+    held = measured.filter(~base_failed()).join(truth, "doc_id").select(
+        "doc_id", F.col(stratum).alias("_stratum"), "_quality", *levels).distinct()
+    half = (F.crc32(F.concat(F.lit("half "), F.col("doc_id").cast("string")).cast("binary")) % 2).alias("_half")
+    counted = held.groupBy("_stratum", half, "_quality", *grid).agg(F.count(F.lit(1)).alias("_n")).collect()
+    strata: dict = {}
+    for r in counted:
+        of = strata.setdefault(r["_stratum"], {(h, q): {} for h in (0, 1) for q in (0, 1)})
+        of[r["_half"], r["_quality"]][tuple(r[m] for m in grid)] = r["_n"]
     out = []
-    for r in rows:
-        for m, points in grid.items():
-            ok = [c for i, c in enumerate(points) if proves(r[f"{m}_{i}"], r["n"], share, delta / tests)]
-            if ok:
-                out.append((r["stratum"], m, min(ok)))
+    for name in sorted(strata, key=lambda s: (s is not None, str(s))):
+        of = strata[name]
+        path = rule_order(of[0, 1], of[0, 0], [len(p) for p in grid.values()])
+        rule = proven(path, of[1, 1], alpha, delta / len(strata))
+        if rule:
+            out += [(name, m, points[k]) for (m, points), k in zip(grid.items(), rule) if k < len(points)]
     return out
 
 
@@ -154,14 +201,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", alp
                   delta: float = 0.05, grid: dict[str, tuple[float, ...]] | None = None) -> DataFrame:
     """doc_id, the counts, base_failed and kept for every row of ``docs``.
 
-    ``labels`` has doc_id and quality (1: good).  Null or empty texts have no
+    ``labels`` has doc_id and quality (1 good, 0 bad).  Null or empty texts have no
     words and fail the base rule.  Repeated rows are judged alike, each with its
     own result; a null stratum is a stratum of its own; null doc_ids are judged
     but have no labels.  With no labels, only the base rule decides.
     """
     measured = text_measures(docs, "text", ("doc_id", stratum)).checkpoint()
-    good = labels.filter(F.col("quality") == 1)
-    cutoffs = choose_cutoffs(measured, good, stratum, alpha, delta, grid)
+    cutoffs = choose_cutoffs(measured, labels, stratum, alpha, delta, grid)
     return measured.withColumns({"base_failed": base_failed(), "kept": verdict(stratum, cutoffs)})
 
 
@@ -182,7 +228,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select(F.struct("*").alias("row")).withColumn("hash", F.xxhash64(F.coalesce("row.text", F.lit(""))))
     measured = text_measures(rows.select("row.doc_id", "row.lang", "row.text", "hash"), "text",
                              ("doc_id", "lang", "hash")).checkpoint()
-    cutoffs = choose_cutoffs(measured, labels.filter(F.col("quality") == 1), "lang", 0.04, 0.05)
+    cutoffs = choose_cutoffs(measured, labels, "lang", 0.04, 0.05)
     bad = measured.filter(~verdict("lang", cutoffs)).select("doc_id", "lang", "hash").distinct()
     return rows.join(bad, F.col("row.doc_id").eqNullSafe(bad["doc_id"]) & (rows["hash"] == bad["hash"])
                      & F.col("row.lang").eqNullSafe(bad["lang"]), "left_anti").select("row.*")

@@ -273,3 +273,73 @@ def test_factors_name_their_reference(spark, plain_docs, plain_rows):
         for i in range(len(w) - 49):
             if first[tuple(w[i:i + 50])] < d:
                 assert under[d] >= set(range(i, i + 50))
+
+
+def plain_rules(docs, truth, grid, alpha, level):
+    """The rule of one stratum, by trying all steps on lists of measures; docs: id -> measures."""
+    import zlib
+    from math import comb
+    half = lambda d: zlib.crc32(f"half {d}".encode()) % 2
+    rejects = lambda d, rule: any(x > c for x, c in zip(docs[d], rule))
+    rule, path = [float("inf")] * len(grid), []
+    while True:
+        steps = []
+        for m, points in enumerate(grid):
+            for c in sorted(points, reverse=True):
+                if c < rule[m]:
+                    new = rule[:m] + [c] + rule[m + 1:]
+                    more = [d for d in truth if not half(d) and rejects(d, new) and not rejects(d, rule)]
+                    won = sum(not truth[d] for d in more)
+                    if won:
+                        steps.append((won / (len(more) - won + 0.5), -m, c, new))
+        if not steps:
+            break
+        rule = max(steps, key=lambda s: s[:3])[3]
+        path.append(rule)
+    last, held = None, [d for d in truth if half(d) and truth[d]]
+    for rule in path:
+        x, n = sum(rejects(d, rule) for d in held), len(held)
+        p = sum(comb(n, i) * alpha**i * (1 - alpha)**(n - i) for i in range(x + 1))
+        if not (n and x < alpha * n and p <= level):
+            break
+        last = rule
+    return last
+
+
+def test_cutoffs_by_brute_force(spark):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(1600):
+        bad = rng.random() < 0.3
+        w = sentence(rng, 30).split()
+        for j in range(30):
+            if rng.random() < (rng.random() * 0.5 if bad else 0.004):
+                w[j] += "$"
+        text = " ".join(w) + ("\nsame line here\nsame line here" * (rng.randrange(3) if bad else rng.random() < 0.01))
+        rows.append((i, text, ("a", "b", None)[i % 3] if i % 50 else "few", "s", 0))
+        labels.append((i, int(not bad)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    truth = spark.createDataFrame(labels + [(5, 0), (None, 1), (7, None)], "doc_id long, quality int")
+    measured = quality.text_measures(docs, "text", ("doc_id", "lang"))
+    got = quality.choose_cutoffs(measured, truth, "lang", 0.04, 0.05)
+    cols = quality.measures()
+    values = {r.doc_id: (r.lang, [r[m] for m in quality.GRID]) for r in measured.filter(~quality.base_failed()).select(
+        "doc_id", "lang", *[c.alias(m) for m, c in cols.items()]).collect()}
+    want = []
+    strata = {v[0] for v in values.values()}
+    for s in strata:
+        mine = {d: v[1] for d, v in values.items() if v[0] == s}
+        rule = plain_rules(mine, {d: q for d, q in labels if d in mine}, list(quality.GRID.values()), 0.04, 0.05 / len(strata))
+        want += [(s, m, c) for m, c in zip(quality.GRID, rule or []) if c < float("inf")]
+    assert sorted(got, key=str) == sorted(want, key=str) and len({s for s, *_ in got}) >= 2
+    assert all(s != "few" for s, *_ in got)   # too few good labels to prove anything
+
+
+def test_rules_that_cost_good_documents_are_rarely_proved():
+    """At the tested rate itself a rule is proved no more often than its level."""
+    rng = np.random.default_rng(2)
+    proved = 0
+    for _ in range(3000):
+        x = int(rng.binomial(400, 0.04))
+        proved += quality.proven([(0,)], {(1,): x, (0,): 400 - x}, 0.04, 0.05) is not None
+    assert proved / 3000 <= 0.06
