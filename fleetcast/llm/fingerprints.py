@@ -7,8 +7,8 @@ in a place with a probability that falls with the edit distance of their texts:
 unlike a set signature, moving a passage changes the order and so the tuples.
 
 Neighbours by doc_id are found without a global sort in one task: documents go
-to ranges of doc_id (bounds from an approximate quantile, one row), and the
-first document of each range is also sent to the range before it.
+to ranges of (doc_id, hash of the text) of about the same bytes, and the first
+document of each range is also sent to the range before it.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import Scratch
 from .textarrays import SLICE_BYTES, Ranges, in_doc, mix, runs, spread
 
 U = np.uint64
@@ -175,24 +176,53 @@ def with_neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
     rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "text",
                        F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)).alias("id"),
                        F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
-    shares = [i / parts for i in range(1, parts)]
-    bounds = rows.agg(F.percentile_approx("id", shares or [0.5], 10000).alias("b")).first()["b"] or []
-    bounds = np.unique(np.array(bounds, np.int64))
-
-    @F.pandas_udf("int")
-    def part_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), "left").astype(np.int32))
-
-    tagged = rows.withColumn("part", part_of("id"))
-    heads = tagged.groupBy("part").agg(F.min(F.struct("id", "hash")).alias("f")).orderBy("part").collect()
+    with Scratch(spark, "neighbours") as scratch:
+        narrow = scratch.keep(rows.select("id", "hash", (F.coalesce(F.octet_length("text"), F.lit(0)) + 64)
+                                          .cast("long").alias("bytes")))
+        ids, hashes = _cuts(narrow, parts)
+
+        @F.pandas_udf("int")
+        def part_of(id_: pd.Series, hash_: pd.Series) -> pd.Series:
+            i, h = id_.to_numpy(), hash_.to_numpy()
+            part, upto = (np.searchsorted(ids, i, side) for side in ("left", "right"))
+            for one in np.unique(i[upto > part]):     # ids that are cut themselves, as the null id may be
+                a, b = (np.searchsorted(ids, one, side) for side in ("left", "right"))
+                part[i == one] = a + np.searchsorted(hashes[a:b], h[i == one], "right")
+            return pd.Series(part.astype(np.int32))
+
+        heads = narrow.groupBy(part_of("id", "hash").alias("part")).agg(F.min(F.struct("id", "hash")).alias("f")) \
+            .orderBy("part").collect()   # one row a range
     stubs = [(h["f"]["id"], h["f"]["hash"], heads[i - 1]["part"]) for i, h in enumerate(heads)]
-    heads = spark.createDataFrame(stubs, "id long, hash long, part int")  # one row a range
-    behind = rows.join(F.broadcast(heads), ["id", "hash"])
+    heads = spark.createDataFrame(stubs, "id long, hash long, part int")
+    tagged = rows.withColumn("part", part_of("id", "hash"))
+    behind = rows.join(F.broadcast(heads), ["id", "hash"]).dropDuplicates(["id", "hash"])
     both = tagged.withColumn("stub", F.lit(False)).unionByName(behind.withColumn("stub", F.lit(True)))
     return both.repartition(parts, "part").sortWithinPartitions("part", "stub", "id", "hash") \
         .select("row", "text", "stub")
 
 
+SAMPLED = 20   # rows that the cuts of one range are chosen from
+
+
+def _cuts(narrow: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and hashes of the first rows of all ranges but the first; ranges have about the same bytes.
+
+    Chosen on the driver from rows drawn by a hash in proportion to their
+    bytes, ``2 * SAMPLED * parts`` or a few more.
+    """
+    total = narrow.agg(F.sum("bytes").alias("b")).first()["b"] or 0
+    step = max(1, total // (SAMPLED * parts))
+    draw = F.pmod(F.xxhash64("id", "hash", F.lit(7)), F.lit(step))
+    drawn = sorted((r["id"], r["hash"], max(r["bytes"], step)) for r in
+                   narrow.filter(draw < F.col("bytes")).collect())
+    if not drawn:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    upto = np.cumsum([d[2] for d in drawn])
+    at = np.unique(np.searchsorted(upto, upto[-1] * np.arange(1, parts) // parts, "right"))
+    cuts = sorted({drawn[i][:2] for i in at.tolist() if i < len(drawn)})
+    return np.array([c[0] for c in cuts], np.int64), np.array([c[1] for c in cuts], np.int64)
+
+
 def fingerprint_documents(docs: DataFrame, k: int = KMER, tuple_size: int = TUPLE, sketches: int = SKETCHES,
                           parts: int | None = None) -> DataFrame:
     """Each row of ``docs`` without its text, with the fingerprints of the text and of its edited text.

@@ -375,3 +375,21 @@ def test_classifier_sample_bounds_and_clashes(spark):
         model = classifier.fit(docs, labels, **kw)
         got = classifier.score(docs, model, ("doc_id", "score", "_text", "text")).collect()
         assert len(got) == 42 and all(0 <= r.score <= 1 for r in got) and {r._text for r in got} == {"x", "y", "z"}
+
+
+def test_neighbours_with_all_ids_null_and_few_long_texts(spark):
+    """Rows without ids are dealt by their texts, and long texts weigh by their bytes."""
+    rows = [(None, f"text {i} " * (400 if i % 40 == 0 else 5)) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    near = fingerprints.with_neighbours(docs, 8).withColumn("task", F.spark_partition_id())
+    sizes = [r["n"] for r in near.filter("not stub").groupBy("task").agg(F.sum(F.octet_length("text")).alias("n")).collect()]
+    # Eight ranges, dealt to tasks by hash: a task may get more than one.
+    ranges = fingerprints._cuts(docs.select(F.lit(-1 << 63).alias("id"), F.xxhash64("text").alias("hash"),
+                                            F.octet_length("text").cast("long").alias("bytes")), 8)
+    assert len(ranges[0]) == 7 and len(sizes) > 3 and max(sizes) < 0.6 * sum(sizes)
+    got = fingerprints.fingerprint_documents(docs, parts=8).collect()
+    assert len(got) == 1200
+    order = sorted((r.hash, r.text) for r in docs.select(F.xxhash64("text").alias("hash"), "text").collect())
+    follows = {t: order[(i + 1) % len(order)][1] for i, (_, t) in enumerate(order)}
+    edited = Counter(hashlib.sha256((t[:len(t) - len(t) // 4] + follows[t][:len(t) // 4]).encode()).hexdigest() for _, t in rows)
+    assert Counter(r.edited_sha256 for r in got) == edited
