@@ -195,12 +195,23 @@ def with_neighbours(docs: DataFrame, parts: int | None = None) -> DataFrame:
     stubs = [(h["f"]["id"], h["f"]["hash"], heads[i - 1]["part"]) for i, h in enumerate(heads)]
     heads = spark.createDataFrame(stubs, "id long, hash long, part int")
     tagged = rows.withColumn("part", part_of("id", "hash"))
+    own_task = F.element_at(F.array(*[F.lit(k) for k in _keys_of_tasks(spark, parts)]), F.col("part") + 1)
     behind = rows.join(F.broadcast(heads), ["id", "hash"]).dropDuplicates(["id", "hash"])
     both = tagged.withColumn("stub", F.lit(False)).unionByName(behind.withColumn("stub", F.lit(True)))
-    return both.repartition(parts, "part").sortWithinPartitions("part", "stub", "id", "hash") \
+    return both.repartition(parts, own_task).sortWithinPartitions("part", "stub", "id", "hash") \
         .select("row", "text", "stub")
 
 
+def _keys_of_tasks(spark, parts: int) -> list[int]:
+    """For each range a number that Spark's hash partitioning gives a task of its own."""
+    tried = 32 * parts + 256
+    found = spark.range(tried).select(F.col("id").cast("int").alias("k"),
+                                      F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("task")) \
+        .groupBy("task").agg(F.min("k").alias("k")).collect()   # one row a task
+    keys = [r["k"] for r in found]
+    return keys + list(range(tried, tried + parts - len(keys)))   # a task without a number is a rare loss
+
+
 SAMPLED = 20   # rows that the cuts of one range are chosen from
 
 
