@@ -47,6 +47,7 @@ class Scratch:
 
 
 HOT_KEYS = 4096   # at most so many keys are on a share of 1/HOT_KEYS of all rows or more
+SALTS = 64        # tasks that share the rows of such a key
 
 
 def is_hot(count: str, total: int) -> Column:
@@ -55,11 +56,16 @@ def is_hot(count: str, total: int) -> Column:
 
 
 def join_hot(rows: DataFrame, side: DataFrame, keys: list[str], hot: str = "hot") -> DataFrame:
-    """``rows`` joined to ``side`` (one row a key), whose hot keys, ``HOT_KEYS`` at most by counting, are broadcast.
+    """``rows`` joined to ``side`` (one row a key); rows of its hot keys are dealt over ``SALTS`` tasks a key.
 
-    Rows of hot keys stay where they are; no key among the others has a larger
-    share of the rows, so those are joined.
+    The hot keys, ``HOT_KEYS`` at most by counting, reach the driver; only their
+    rows of ``side`` are copied.  No other key has a larger share of the rows.
     """
-    few = F.broadcast(side.filter(hot))
-    return rows.join(few.drop(hot), keys).unionByName(
-        rows.join(F.broadcast(side.filter(hot).select(*keys)), keys, "left_anti").join(side.filter(~F.col(hot)).drop(hot), keys))
+    few = [r[0] for r in side.filter(hot).select(keys[0]).distinct().collect()]
+    side = side.drop(hot)
+    if not few:
+        return rows.join(side, keys)
+    dealt = F.col(keys[0]).isin(few)
+    salt = F.when(dealt, F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))).otherwise(0).cast("int")
+    copies = F.when(dealt, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    return rows.withColumn("_salt", salt).join(side.withColumn("_salt", F.explode(copies)), [*keys, "_salt"]).drop("_salt")
