@@ -1,10 +1,12 @@
 """Top-k search by branch and bound over a summary of the drivers.
 
 The drivers' box is cut into 4 x 4 cells, crowded cells again, and so on
-(``build_index``).  A cell's summary is one row: how many drivers it holds, their
-tight box, and the least and the greatest static score (the part of the logit
-that does not depend on the request).  So for a request a cell has a worst and a
-best score.  The search (``candidates``) goes down the levels: sorted by worst
+(``build_index``).  Static scores (the part of the logit that does not depend on
+the request) are the third side of a cell, cut by the same step as the places
+where both change a score alike; so a cell's scores come closer with each level,
+and the drivers looked at for a request do not grow with all drivers.  A cell's
+summary is one row: how many drivers it holds, their tight box, and the least and
+the greatest static score.  So for a request a cell has a worst and a best score.  The search (``candidates``) goes down the levels: sorted by worst
 score, the cells that together hold k drivers give a floor, and cells whose best
 score is below it are dropped with all that is in them.  Only drivers of the
 cells left at the end are paired with the request.
@@ -34,13 +36,19 @@ from fleetcast.functions.segments import in_ranges, running_count, scan
 
 LEAF_ROWS = 8                  # a cell with so many drivers is not cut again
 EXTRA_LEVELS = 4               # beyond those that evenly spread drivers need: crowds of 65,536 times the mean density
-MOST_LEVELS = 12               # 4 ** 12 cells a side
+MOST_LEVELS = 9                # 4 ** 9 cells a side
+SCORE_LEVELS = 6               # static scores are cut at the first levels only: 4 ** 6 steps
+KM_PER_DEGREE = 111.2
 BROADCAST_ROWS = 1_000_000     # a level or the drivers are broadcast only when they count no more
 SALTS = 16                     # copies of a larger table, so that a crowd of requests in one cell is dealt out
 RANK_BASE = 8                  # ranks on a spot: up to 8, to 64, to 512, ...
 ROUNDING = 1e-7                # more than the distance formula's, relative (antipodes) and in km
-SUMMARY = ["n", "a0", "a1", "o0", "o1", "g0", "g1", "r0", "t0", "t1", "f0"]
+SUMMARY = ["n", "a0", "a1", "o0", "o1", "g0", "g1", "r0", "t0", "t1", "f0", "later", "ages"]
 TIMES = ["position_ts", "features_ts"]
+# Shares of the drivers with an older position, at whose times the drivers of a cell are counted.
+AGES = [i / 8 for i in range(1, 8)] + [1 - 2 ** -i for i in range(4, 17)]
+NEVER = "0001-01-01 00:00:00"
+LAYOUT = 2                     # of the stored tables
 ROOT = 0
 
 
@@ -56,7 +64,9 @@ class Expiry:
 class DriverIndex:
     """``steps``: (level, parent, cell, leaf, summary); ``drivers``: (cell, driver columns).
 
-    ``levels`` counts (cells, leaves) a level; ``whole`` is the summary of all drivers.
+    ``levels`` counts (cells, leaves) a level; ``whole`` is the summary of all
+    drivers.  ``times`` (ISO) ascend; ``ages`` of a summary counts the drivers with
+    a position of that time or later.
     """
 
     steps: DataFrame
@@ -64,13 +74,14 @@ class DriverIndex:
     levels: dict[int, tuple[int, int]]
     n_drivers: int
     whole: dict
+    times: list[str]
 
     def save(self, path: str) -> None:
         """Both tables, the drivers in folders by the part of the box they are in, so that a search reads its parts only."""
         self.steps.write.mode("overwrite").parquet(f"{path}/steps")
         self.drivers.withColumn("part", part_of(F.col("cell"))).repartition("part").sortWithinPartitions("cell") \
             .write.mode("overwrite").partitionBy("part").parquet(f"{path}/drivers")
-        meta = json.dumps({"levels": self.levels, "n_drivers": self.n_drivers, "whole": self.whole,
+        meta = json.dumps({"levels": self.levels, "n_drivers": self.n_drivers, "whole": self.whole, "times": self.times,
                            "steps": self.steps.schema.jsonValue(), "drivers": self.drivers.schema.jsonValue()}, default=str)
         self.steps.sparkSession.createDataFrame([(meta,)], "meta string").coalesce(1) \
             .write.mode("overwrite").parquet(f"{path}/meta")
@@ -82,53 +93,71 @@ class DriverIndex:
         drivers.add("part", T.IntegerType())
         return DriverIndex(spark.read.schema(steps).parquet(f"{path}/steps"),
                            spark.read.schema(drivers).parquet(f"{path}/drivers"),
-                           {int(k): tuple(v) for k, v in meta["levels"].items()}, meta["n_drivers"], meta["whole"])
+                           {int(k): tuple(v) for k, v in meta["levels"].items()}, meta["n_drivers"], meta["whole"], meta["times"])
 
 
-# A cell's number: level (4 bits), row and column at its level (24 bits each), part of a crowded spot (10 bits).
+# A cell's number: level (4 bits), row and column at its level (18 bits each), step of the static score (12 bits), part
+# of a crowded spot (10 bits).
 
 def _right(c: Column, bits: Column) -> Column:
     return F.call_function("shiftright", c, bits.cast("int"))
 
 
-def _cell(level: Column, y: Column, x: Column) -> Column:
-    at = F.shiftleft(level.cast("long"), 48).bitwiseOR(F.shiftleft(y.cast("long"), 24)).bitwiseOR(x.cast("long"))
+def _cell(level: Column, y: Column, x: Column, z: Column) -> Column:
+    at = F.shiftleft(level.cast("long"), 48).bitwiseOR(F.shiftleft(y.cast("long"), 30)) \
+        .bitwiseOR(F.shiftleft(x.cast("long"), 12)).bitwiseOR(z.cast("long"))
     return F.shiftleft(at, 10)
 
 
 def part_of(cell: Column) -> Column:
     """Which of the 16 first cells this one is in."""
     down = (F.shiftright(cell, 58) - 1) * 2
-    side = F.lit((1 << 24) - 1)
-    y, x = (_right(F.shiftright(cell, bits).bitwiseAND(side), down) for bits in (34, 10))
+    side = F.lit((1 << 18) - 1)
+    y, x = (_right(F.shiftright(cell, bits).bitwiseAND(side), down) for bits in (40, 22))
     return (y * 4 + x).cast("int")
 
 
-def _summaries(rows: DataFrame, *keys: str) -> DataFrame:
+def _times(times: list[str]) -> list[Column]:
+    return [F.to_timestamp_ntz(F.lit(t)) for t in times]
+
+
+def _summaries(rows: DataFrame, *keys: str, times: list[str] = ()) -> DataFrame:
+    seen = F.coalesce("features_ts", F.to_timestamp_ntz(F.lit(NEVER)))
+    ages = [F.count_if((F.col("position_ts") >= t) & F.col("_g").isNotNull()) for t in _times(times)]
     return rows.groupBy(*keys).agg(
         F.count("_g").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("lat").alias("a0"), F.max("lat").alias("a1"),
         F.min("lon").alias("o0"), F.max("lon").alias("o1"),
-        F.min(F.least("_g", "_ge")).alias("g0"), F.max(F.greatest("_g", "_ge")).alias("g1"), F.min("_r").alias("r0"),
-        F.min("position_ts").alias("t0"), F.max("position_ts").alias("t1"), F.min("features_ts").alias("f0"))
+        F.min("_g").alias("g0"), F.max("_g").alias("g1"), F.min("_r").alias("r0"),
+        F.min("position_ts").alias("t0"), F.max("position_ts").alias("t1"), F.min(seen).alias("f0"),
+        F.bool_and(seen >= F.col("position_ts")).alias("later"),
+        F.array(*ages).cast("array<bigint>").alias("ages"))
+
+
+def _expired(ranker: Ranker) -> float | None:
+    """Static score of a driver whose features have expired; None: it has none."""
+    feats = [f for f in ranker.features if f != "distance_km"]
+    if not all(f in ranker.impute for f in feats):
+        return None
+    return float(sum(ranker.weights[f] * ranker.impute[f] for f in feats))
 
 
 def build_index(drivers: DataFrame, ranker: Ranker, leaf_rows: int = LEAF_ROWS) -> DriverIndex:
     """Index of ``drivers``: driver_id, lat, lon (not null) and the ranker's other features.
 
     With position_ts and features_ts the index serves searches at any time: a
-    cell's bounds hold whether its drivers' features have expired or not, and its
-    drivers are counted on only while none of them has.
+    cell's bounds are widened while features of its drivers may have expired, and
+    its drivers are counted as of the next later of the times that are kept.
 
     A pass for the box, one aggregation for the cells of all levels, and one join
     that tells each driver its cell.
     """
     feats = [f for f in ranker.features if f != "distance_km"]
     times = [F.col(t) if t in drivers.columns else F.lit(None).cast("timestamp_ntz").alias(t) for t in TIMES]
-    timed = TIMES[1] in drivers.columns and all(f in ranker.impute for f in feats)
-    expired = F.lit(sum(ranker.weights[f] * ranker.impute[f] for f in feats) if timed else None).cast("double")
     drv = drivers.select("driver_id", "lat", "lon", *feats, *times).withColumns(
-        {"_g": ranker.static_logit(), "_ge": expired, "_r": F.lit(1).cast("long")}).persist()
+        {"_g": ranker.static_logit(), "_r": F.lit(1).cast("long")}).persist()
     whole = _summaries(drv).first().asDict()
+    kept = [] if whole["t1"] is None else sorted(set(drv.select(F.explode(F.transform(
+        F.percentile_approx("position_ts", AGES, 1_000_000), lambda t: t.cast("string")))).toPandas().iloc[:, 0]))
     n = whole["rows"]
     depth = min(MOST_LEVELS, math.ceil(math.log(n / leaf_rows + 1, 16)) + EXTRA_LEVELS)
     side = float(4 ** depth)
@@ -138,18 +167,25 @@ def build_index(drivers: DataFrame, ranker: Ranker, leaf_rows: int = LEAF_ROWS)
         width = max((hi or 0.0) - lo, 1e-9)
         return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(width) * side), F.lit(side - 1)).cast("long")
 
-    placed = drv.withColumns({"_y": at("lat", whole["a0"], whole["a1"]), "_x": at("lon", whole["o0"], whole["o1"])})
+    # A step of the static score is as wide as what the wider side of a cell changes a score by.
+    degrees = max((whole["a1"] or 0.0) - (whole["a0"] or 0.0), (whole["o1"] or 0.0) - (whole["o0"] or 0.0))
+    low, high = whole["g0"] or 0.0, whole["g1"] or 0.0
+    width = max(degrees * KM_PER_DEGREE * abs(float(ranker.weights["distance_km"])), high - low, 1e-9)
+    step = F.floor((F.col("_g") - F.lit(low)) / F.lit(width) * side)
+    z = F.coalesce(F.greatest(F.least(step, F.lit(side - 1)), F.lit(0.0)), F.lit(0.0)).cast("long")
+    placed = drv.withColumns({"_y": at("lat", whole["a0"], whole["a1"]), "_x": at("lon", whole["o0"], whole["o1"]), "_z": z})
     exploded = placed.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(depth))))
 
     def key(level: Column) -> Column:
         down = (F.lit(depth) - level) * 2
-        return _cell(level, _right(F.col("_y"), down), _right(F.col("_x"), down))
+        flat = F.greatest(down, F.lit(2 * (depth - SCORE_LEVELS)))
+        return _cell(level, _right(F.col("_y"), down), _right(F.col("_x"), down), _right(F.col("_z"), flat))
 
     level = F.col("level")
     up = F.when(level == 1, F.lit(ROOT).cast("long")).otherwise(key(level - 1))
-    cells = _summaries(exploded.select("level", key(level).alias("cell"), up.alias("parent"), "lat", "lon", "_g", "_ge", "_r", *TIMES),
-                       "level", "cell", "parent")
-    # What lies below a cell that is small enough is not needed.  A parent has 16 children at most.
+    cells = _summaries(exploded.select("level", key(level).alias("cell"), up.alias("parent"), "lat", "lon", "_g", "_r", *TIMES),
+                       "level", "cell", "parent", times=kept)
+    # What lies below a cell that is small enough is not needed.  A parent has 64 children at most.
     with_all = F.sum("rows").over(Window.partitionBy("level", "parent"))
     cells = cells.withColumn("_all", with_all).filter((level == 1) | (F.col("_all") > leaf_rows)).drop("_all") \
         .withColumn("leaf", F.col("rows") <= leaf_rows).persist()
@@ -157,19 +193,19 @@ def build_index(drivers: DataFrame, ranker: Ranker, leaf_rows: int = LEAF_ROWS)
         F.count(F.lit(1)).alias("cells"), F.count_if("leaf").alias("leaves"), F.max("rows").alias("most")).collect()}
     ends = cells.filter(F.col("leaf") | (level == depth)).select("cell", "rows")
     few = sum(r["cells"] for r in counted.values()) <= BROADCAST_ROWS
-    homed = exploded.select("driver_id", "lat", "lon", *feats, *TIMES, "_g", "_ge", "_r", key(level).alias("cell")) \
+    homed = exploded.select("driver_id", "lat", "lon", *feats, *TIMES, "_g", "_r", key(level).alias("cell")) \
         .join(F.broadcast(ends) if few else ends, "cell")
     keep = ["cell", "driver_id", "lat", "lon", *feats, *TIMES]
     steps = cells.select("level", "parent", "cell", "leaf", *SUMMARY)
     levels = {k: (r["cells"], r["leaves"]) for k, r in counted.items()}
     if depth in counted and counted[depth]["most"] > leaf_rows:
         crowd = _by_rank(homed.filter(F.col("rows") > leaf_rows))
-        below = _summaries(crowd.withColumn("level", F.lit(depth + 1)), "level", "cell", "parent") \
+        below = _summaries(crowd.withColumn("level", F.lit(depth + 1)), "level", "cell", "parent", times=kept) \
             .select("level", "parent", "cell", F.lit(True).alias("leaf"), *SUMMARY)
         steps = steps.unionByName(below)
         levels[depth + 1] = (below.count(),) * 2
         homed = homed.filter(F.col("rows") <= leaf_rows).select(*keep).unionByName(crowd.select(*keep))
-    index = DriverIndex(cut_lineage(steps), cut_lineage(homed.select(*keep)), levels, n, whole)
+    index = DriverIndex(cut_lineage(steps), cut_lineage(homed.select(*keep)), levels, n, whole, kept)
     for held in (cells, drv):
         held.unpersist()
     return index
@@ -227,14 +263,25 @@ def score_bounds(lat: Column, lon: Column, ranker: Ranker, s) -> tuple[Column, C
     return sigmoid(worst), sigmoid(best)
 
 
-def _at_time(step: DataFrame, ranker: Ranker, expiry: Expiry) -> DataFrame:
-    """Cells that hold a driver not expired; a cell's drivers are counted on only if none of them has."""
+def _at_time(step: DataFrame, index: DriverIndex, ranker: Ranker, expiry: Expiry) -> DataFrame:
+    """Cells that hold a driver not expired, their ``n`` at least so many of them, bounds that hold for all of them."""
     if expiry.position is not None:
         after = F.lit(expiry.position)
-        step = step.filter(F.col("t1") >= after).withColumn("n", F.when(F.col("t0") >= after, F.col("n")).otherwise(0))
-    if expiry.features is not None and not all(f in ranker.impute for f in ranker.features if f != "distance_km"):
-        step = step.withColumn("n", F.when(F.col("f0") >= F.lit(expiry.features), F.col("n")).otherwise(0))
-    return step
+        # Those as new as the first kept time that is not before.
+        earlier = sum((F.when(t < after, 1).otherwise(0) for t in _times(index.times)), F.lit(0))
+        counted = F.coalesce(F.get("ages", earlier), F.lit(0))
+        step = step.filter(F.col("t1") >= after).withColumn("n", F.when(F.col("t0") >= after, F.col("n")).otherwise(counted))
+    if expiry.features is not None:
+        fresh = F.col("f0") >= F.lit(expiry.features)
+        if expiry.position is not None and expiry.features <= expiry.position:
+            fresh = fresh | F.col("later")   # who has a position in time then has features in time
+        expired = _expired(ranker)
+        if expired is None:
+            step = step.withColumn("n", F.when(fresh, F.col("n")).otherwise(0))
+        else:
+            step = step.withColumns({"g0": F.when(fresh, F.col("g0")).otherwise(F.least("g0", F.lit(expired))),
+                                     "g1": F.when(fresh, F.col("g1")).otherwise(F.greatest("g1", F.lit(expired)))})
+    return step.drop("t0", "t1", "f0", "later", "ages")
 
 
 def drivers_at(index: DriverIndex, ranker: Ranker, expiry: Expiry) -> DataFrame:
@@ -265,7 +312,7 @@ def candidates(requests: DataFrame, own: list[str], index: DriverIndex, ranker:
     lat, lon = F.col("rider_lat"), F.col("rider_lon")
     # A hash in front: rows of different requests are told apart by it when they are sorted, not by long equal prefixes.
     tag = "_tag"
-    # The root's number, 0, is written so that it is not folded: the join with its 16 cells at most keeps its key.
+    # The root's number, 0, is written so that it is not folded: the join with its 64 cells at most keeps its key.
     front = requests.select(F.xxhash64(*own).alias(tag), *own, F.lit(None).cast("double").alias("_floor")) \
         .withColumn("cell", F.col(tag) % 1 + ROOT)
     out, own = own, [tag, *own]
@@ -280,7 +327,7 @@ def candidates(requests: DataFrame, own: list[str], index: DriverIndex, ranker:
         if settled:
             step = step.unionByName(index.steps.filter((F.col("level") < level) & F.col("leaf")).select(
                 "cell", F.col("cell").alias("_to"), *SUMMARY))
-        step = _at_time(step, ranker, expiry).withColumns(cosines(F.col))
+        step = _at_time(step, index, ranker, expiry).withColumns(cosines(F.col))
         cells, leaves = index.levels[level]
         step, small = _fitting(step, cells + settled, "cell", broadcast_rows)
         settled += leaves
@@ -319,7 +366,11 @@ def all_tied(index: DriverIndex, ranker: Ranker) -> Column:
     """All drivers have one and the same score for the request, as for one very far away: only ids decide."""
     if index.whole["n"] < index.n_drivers or not all(f in ranker.impute for f in ranker.features if f != "distance_km"):
         return F.lit(False)   # some have, or may come to have, no score at all
-    box = {c: F.lit(index.whole[c]).cast("double") for c in ("a0", "a1", "o0", "o1", "g0", "g1")}
+    least, most = index.whole["g0"], index.whole["g1"]
+    if index.times:   # features may expire
+        least, most = min(least, _expired(ranker)), max(most, _expired(ranker))
+    box = {c: F.lit(index.whole[c]).cast("double") for c in ("a0", "a1", "o0", "o1")}
+    box.update(g0=F.lit(float(least)), g1=F.lit(float(most)))
     box.update(cosines(box.get))
     worst, best = score_bounds(F.col("rider_lat"), F.col("rider_lon"), ranker, box.get)
     return worst == best

@@ -175,12 +175,12 @@ def stored_index(spark: SparkSession, online_root: str, ranker, keep: int = 2):
     asked for.  The newest ``keep`` indexes stay.
     """
     from fleetcast.operators.match import drop_unlocated
-    from fleetcast.operators.spatial import DriverIndex, build_index
+    from fleetcast.operators.spatial import LAYOUT, DriverIndex, build_index
 
     views = (("driver_status", ["lat", "lon"], "position_ts"),
              ("driver_agg", ["accept_rate_7d", "avg_response_ms"], "features_ts"))
     versions = [max(store.committed_versions(spark, online_root, v), default=0) for v, _, _ in views]
-    made_for = json.dumps([versions, ranker.to_row()], sort_keys=True)
+    made_for = json.dumps([LAYOUT, versions, ranker.to_row()], sort_keys=True)
     log = ManifestLog(spark, f"{online_root.rstrip('/')}/_index")
 
     def found(head) -> str | None:

@@ -1,6 +1,7 @@
 """Haversine, validation and the exact grid top-k against brute force."""
 
 import math
+import datetime as dt
 import random
 
 import pytest
@@ -268,3 +269,35 @@ def test_stored_index_answers_as_the_fresh_one(spark, tmp_dir):
     cells = index.drivers.withColumn("part", spatial.part_of(F.col("cell"))).groupBy("part").agg(
         F.min("lat").alias("a"), F.max("lat").alias("b"), F.min("lon").alias("c"), F.max("lon").alias("d")).collect()
     assert len(cells) == 16 and all(r["b"] - r["a"] < 0.026 and r["d"] - r["c"] < 0.026 for r in cells)
+
+
+def test_cells_met_do_not_grow_with_the_drivers(spark):
+    """Static scores part drivers as places do: sixteen times the drivers, about as many pairs a request."""
+    def met(n: int) -> float:
+        ddf = spark.range(n).select(
+            F.concat(F.lit("d"), "id").alias("driver_id"), (40.69 + F.rand(1) * 0.04).alias("lat"),
+            (-74.03 + F.rand(2) * 0.04).alias("lon"), (0.5 + F.rand(3) / 2).alias("accept_rate_7d"),
+            (200 + F.rand(4) * 1300).alias("avg_response_ms"))
+        rdf = spark.range(100).select(F.concat(F.lit("q"), "id").alias("request_id"), (40.66 + F.rand(5) * 0.1).alias("rider_lat"),
+                                      (-74.06 + F.rand(6) * 0.1).alias("rider_lon"), F.lit(5).alias("top_k"))
+        return pairs_formed(rdf, spatial.build_index(ddf, FIXTURE_RANKER)).agg(F.avg("n")).first()[0]
+    assert met(32_000) < 2 * met(2_000) < 200
+
+
+def test_stored_index_counts_the_drivers_left(spark):
+    """Every cell holds expired drivers: those left are counted all the same, so few are looked at."""
+    t0 = dt.datetime(2024, 1, 1)
+    ddf = spark.range(4000).select(
+        F.concat(F.lit("d"), "id").alias("driver_id"), (40.69 + F.rand(1) * 0.04).alias("lat"),
+        (-74.03 + F.rand(2) * 0.04).alias("lon"), (0.5 + F.rand(3) / 2).alias("accept_rate_7d"), F.lit(700.0).alias("avg_response_ms"),
+        (F.lit(t0).cast("timestamp_ntz") + F.make_dt_interval(hours=F.when(F.col("id") % 4 == 0, 0).otherwise(20))).alias("position_ts")) \
+        .withColumn("features_ts", F.col("position_ts")).localCheckpoint()
+    rdf = spark.range(50).select(F.concat(F.lit("q"), "id").alias("request_id"), (40.66 + F.rand(5) * 0.1).alias("rider_lat"),
+                                 (-74.06 + F.rand(6) * 0.1).alias("rider_lon"), F.lit(5).alias("top_k")).localCheckpoint()
+    after = t0 + dt.timedelta(hours=8)
+    index, expiry = spatial.build_index(ddf, FIXTURE_RANKER), spatial.Expiry(after, after)
+    asked = rdf.withColumnRenamed("top_k", "_k")
+    assert spatial.pairs(asked, asked.columns, index, FIXTURE_RANKER, expiry=expiry).count() < 50 * 150
+    left = ddf.where(F.col("position_ts") >= F.lit(after)).drop("position_ts", "features_ts")
+    want = mt.match_top_k(rdf, left, FIXTURE_RANKER).collect()
+    assert sorted(mt.match_top_k(rdf, None, FIXTURE_RANKER, index=index, expiry=expiry).collect()) == sorted(want)
