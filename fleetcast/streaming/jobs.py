@@ -250,7 +250,8 @@ def stream_drift(observations: DataFrame, baseline: DataFrame, state_root: str,
             keep = both.join(F.broadcast(bounds.select("feature_name", F.col("_hi").alias("total"))), "feature_name") \
                 .where(F.col("_n") > F.col("total") - F.lit(window - 1))
             to = f"tail={uuid.uuid4().hex[:12]}"
-            keep.select("feature_name", "_n", "value", "total").coalesce(1).write.parquet(f"{log.table}/{to}")
+            # One file by a shuffle of the few rows kept; ``coalesce`` would read the whole batch in one task.
+            keep.select("feature_name", "_n", "value", "total").repartition(1).write.parquet(f"{log.table}/{to}")
         finally:
             both.unpersist()
         log.commit(lambda h: replace(h, live={"tail": to}, marks={"batch": batch_id}))
