@@ -47,39 +47,49 @@ def _numbered(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(texts: list[str], k: int = KMER, tuple_size: int = TUPLE, sketches: int = SKETCHES) -> np.ndarray:
-    """One row of ``sketches`` unsigned 32-bit tuple hashes for each text.
-
-    A text shorter than k is its own only k-mer; the empty text has none, and
-    all zeros.
-    """
+def _kmers(texts: list[str], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many k-mers each text has, and of every k-mer its hash without and with its number."""
     lengths = np.array([len(t) for t in texts], np.int64)
     points = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4")
     n = np.maximum(lengths - k + 1, (lengths > 0).astype(np.int64))
-    out = np.zeros((len(texts), sketches), np.uint32)
-    if not len(points):
-        return out
     start = spread(np.cumsum(lengths) - lengths, n)
     width = np.repeat(np.minimum(lengths, k), n)
     doc = np.repeat(np.arange(len(texts)), n)
     h = Ranges(points.astype(U) + U(1)).of(start, start + width)
-    base = mix(h + _numbered(doc, h).astype(U) * U(0xD6E8FEB86659FD93))
-    # Hashes below a limit that _LIKELY k-mers of a text pass on average: enough, nearly always.
+    return n, h, mix(h + _numbered(doc, h).astype(U) * U(0xD6E8FEB86659FD93))
+
+
+def _factors(sketches: int) -> list[np.uint64]:
+    return [U((j * 0x9E3779B97F4A7C15 + 0xC2B2AE3D27D4EB4F) % (1 << 64) | 1) for j in range(sketches)]
+
+
+def _limits(n: np.ndarray) -> np.ndarray:
+    """Hashes below which _LIKELY k-mers of a text are on average: enough, nearly always."""
     limit = np.minimum(_LIKELY / np.maximum(n, 1), 1.0)
-    limit = np.where(limit >= 1, U(2 ** 64 - 1), (limit * 2.0 ** 64 * (1 - 2.0 ** -50)).astype(U))
-    limit = np.repeat(limit, n)
-    factors = [U((j * 0x9E3779B97F4A7C15 + 0xC2B2AE3D27D4EB4F) % (1 << 64) | 1) for j in range(sketches)]
-    at, group, value = [], [], []
+    return np.where(limit >= 1, U(2 ** 64 - 1), (limit * 2.0 ** 64 * (1 - 2.0 ** -50)).astype(U))
+
+
+def _below(base: np.ndarray, limit: np.ndarray, doc: np.ndarray, sketches: int) -> tuple[np.ndarray, ...]:
+    """Place, text and function in one number, and hash of the k-mers not above their limit."""
+    at, group, value = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, U)]
     for lo in range(0, len(base), _BLOCK):  # blocks that stay in the processor's cache
         x, most, of = base[lo:lo + _BLOCK], limit[lo:lo + _BLOCK], doc[lo:lo + _BLOCK]
         hashed = np.empty_like(x)
-        for j, factor in enumerate(factors):
+        for j, factor in enumerate(_factors(sketches)):
             np.multiply(x, factor, out=hashed)
             below = np.flatnonzero(hashed <= most)
             at.append(below + lo)
             group.append(of[below] * sketches + j)
             value.append(hashed[below])
-    at, group, value = np.concatenate(at), np.concatenate(group), np.concatenate(value)
+    return np.concatenate(at), np.concatenate(group), np.concatenate(value)
+
+
+def _selected(n: np.ndarray, h: np.ndarray, base: np.ndarray, at: np.ndarray, group: np.ndarray, value: np.ndarray,
+              tuple_size: int, sketches: int) -> np.ndarray:
+    """Fingerprints from the k-mers below the limits."""
+    out = np.zeros((len(n), sketches), np.uint32)
+    if not len(base):
+        return out
     need = np.repeat(np.minimum(n, tuple_size), sketches)
     lacking = np.flatnonzero(np.bincount(group, minlength=len(need)) < need)
     if len(lacking):  # too few below the limit: all k-mers of that text for that function
@@ -89,7 +99,7 @@ def fingerprints(texts: list[str], k: int = KMER, tuple_size: int = TUPLE, sketc
         more = spread(first[d], n[d])
         of = np.repeat(lacking, n[d])
         at, group = np.concatenate((at[keep], more)), np.concatenate((group[keep], of))
-        value = np.concatenate((value[keep], base[more] * np.array(factors, U)[of % sketches]))
+        value = np.concatenate((value[keep], base[more] * np.array(_factors(sketches), U)[of % sketches]))
     order = np.lexsort((value, group))
     edge = runs(group[order])
     rank = spread(np.zeros(len(edge) - 1, np.int64), np.diff(edge))
@@ -102,6 +112,47 @@ def fingerprints(texts: list[str], k: int = KMER, tuple_size: int = TUPLE, sketc
     return out
 
 
+def fingerprints(texts: list[str], k: int = KMER, tuple_size: int = TUPLE, sketches: int = SKETCHES) -> np.ndarray:
+    """One row of ``sketches`` unsigned 32-bit tuple hashes for each text.
+
+    A text shorter than k is its own only k-mer; the empty text has none, and
+    all zeros.
+    """
+    n, h, base = _kmers(texts, k)
+    found = _below(base, np.repeat(_limits(n), n), np.repeat(np.arange(len(n)), n), sketches)
+    return _selected(n, h, base, *found, tuple_size, sketches)
+
+
+def with_edited(texts: list[str], which: np.ndarray, edited: list[str], kept: np.ndarray, k: int = KMER,
+                tuple_size: int = TUPLE, sketches: int = SKETCHES) -> tuple[np.ndarray, np.ndarray]:
+    """``fingerprints`` of the texts and of the edited texts.
+
+    The first ``kept[i]`` code points of ``edited[i]`` are those of
+    ``texts[which[i]]``.  K-mers inside them have the same numbers in both, and
+    are put through the hash functions once.
+    """
+    n, h, base = _kmers(texts, k)
+    limit = _limits(n)
+    at, group, value = _below(base, np.repeat(limit, n), np.repeat(np.arange(len(n)), n), sketches)
+    prints = _selected(n, h, base, at, group, value, tuple_size, sketches)
+
+    m, h, base = _kmers(edited, k)
+    both = np.maximum(kept - k + 1, 0)
+    rest = m - both
+    first, begin = np.cumsum(n) - n, np.cumsum(m) - m
+    of = np.full(len(n), -1)
+    of[which] = np.arange(len(which))
+    doc = group // sketches
+    place, to = at - first[doc], of[doc]
+    shared = (to >= 0) & (place < both[to])
+    tail = spread(begin + both, rest)
+    more = _below(base[tail], np.repeat(limit[which], rest), np.repeat(np.arange(len(m)), rest), sketches)
+    at = np.concatenate(((begin[to] + place)[shared], tail[more[0]]))
+    group = np.concatenate(((to * sketches + group % sketches)[shared], more[1]))
+    value = np.concatenate((value[shared], more[2]))
+    return prints, _selected(m, h, base, at, group, value, tuple_size, sketches)
+
+
 def as_text(prints: np.ndarray) -> list[str]:
     """Lower-case hex, eight digits a place."""
     width = prints.shape[1] * 8
@@ -123,9 +174,9 @@ def _pairs(k: int, tuple_size: int, sketches: int):
         real = np.flatnonzero(~np.array(stub[:-1], bool))
         if not len(real):
             return
-        prints = fingerprints(texts, k, tuple_size, sketches)
-        edited = [texts[i][:len(texts[i]) - len(texts[i]) // 4] + texts[i + 1][:len(texts[i]) // 4] for i in real]
-        changed = fingerprints(edited, k, tuple_size, sketches)
+        kept_points = [len(texts[i]) - len(texts[i]) // 4 for i in real]
+        edited = [texts[i][:c] + texts[i + 1][:len(texts[i]) - c] for i, c in zip(real, kept_points)]
+        prints, changed = with_edited(texts, real, edited, np.array(kept_points), k, tuple_size, sketches)
         kept = rows.take(pa.array(real)).combine_chunks()
         yield pa.RecordBatch.from_arrays(
             [kept.column("row").combine_chunks(),

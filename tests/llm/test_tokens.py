@@ -316,6 +316,24 @@ def test_order_min_hash_by_brute_force(odd_rows):
     assert near > 0.8 > moved > other  # order counts: the same k-mers in other order are less alike
 
 
+def test_kept_part_is_hashed_once(monkeypatch, odd_rows):
+    """Fingerprints of edited texts are those of the texts alone, without their kept k-mers hashed again."""
+    rng = random.Random(12)
+    texts = [r[1] or "" for r in odd_rows] + [sentence(rng, 200) for _ in range(12)] + ["a" * 90, "abc", "", "ab" * 30]
+    which = np.array([i for i in range(len(texts) - 1) if i % 5 != 3])
+    kept = np.array([len(texts[i]) - len(texts[i]) // 4 for i in which])
+    edited = [texts[i][:c] + texts[i + 1][:len(texts[i]) - c] for i, c in zip(which, kept)]
+    hashed = []
+    below = fingerprints._below
+    monkeypatch.setattr(fingerprints, "_below", lambda base, *rest: (hashed.append(len(base)), below(base, *rest))[1])
+    a, b = fingerprints.with_edited(texts, which, edited, kept)
+    assert hashed[1] < 0.35 * hashed[0]
+    assert (a == fingerprints.fingerprints(texts)).all() and (b == fingerprints.fingerprints(edited)).all()
+    a, b = fingerprints.with_edited(texts, which, edited, kept, 3, 4, 7)
+    assert (a == fingerprints.fingerprints(texts, 3, 4, 7)).all()
+    assert (b == fingerprints.fingerprints(edited, 3, 4, 7)).all()
+
+
 def test_packing_stops_when_rounds_save_nothing(spark, monkeypatch):
     """Pieces that never share a sequence are not packed again and again."""
     rounds = []
