@@ -41,9 +41,9 @@ LOWER_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class IntMap:
     """Many lookups at once from non-negative integers to int32 (-1: absent)."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, room: int = 0):
-        """``room``: keys that will be put in all, if more are to come."""
-        bits = max(4, max(len(keys), room).bit_length() + 2)
+    def __init__(self, keys: np.ndarray, values: np.ndarray, room: int = 0, spare: int = 2):
+        """``room``: keys that will be put in all, if more are to come; ``spare``: doublings of the places."""
+        bits = max(4, max(len(keys), room).bit_length() + spare)
         self._shift = np.uint64(64 - bits)
         self._keys = np.full(1 << bits, -1, np.int64)
         self._values = np.full(1 << bits, -1, np.int32)

@@ -5,11 +5,14 @@ word and an end behind the last, so the probability of a text is that of its
 token sequence.
 
 * Counting: every byte with the DEPTH before it, added up per task and then by
-  Spark; shorter contexts are sums of longer ones.
+  Spark; shorter contexts are sums of longer ones.  Pairs of bytes are counted
+  ahead, with the words.
 * Growing: a context is retained if its next-byte distribution diverges from its
   parent's: n * KL(context || parent) above ``least_gain`` nats.  Nothing else
   drops a context, so the tree grows with the text.  Parents of retained
-  contexts are retained.  All contexts stay in Spark tables, one a length.
+  contexts are retained.  One shuffle brings grams with the same two bytes before
+  their last to one task, in order of their contexts read backwards: the contexts
+  of such a group, but for those of one byte, are in no other.
 * Smoothing: counts of a state are mixed with its parent's distribution.
 * Scoring: the longest retained suffix at each position gives the distribution.
   It is looked up once for each distinct gram (a byte and the DEPTH before it)
@@ -47,7 +50,7 @@ LEAST_GAIN = 8.0
 PARENT_WEIGHT = 2.0
 SPELLING = 0.75
 COMMON_SHARE = 2.0 ** -21
-SENT = 1 << 20     # grams known to every task
+SENT = 1 << 21     # grams known to every task
 HELD = 1 << 21  # distinct keys a task adds up before it hands them on
 
 
@@ -112,31 +115,63 @@ def _grams(raw: np.ndarray, start: np.ndarray) -> np.ndarray:
     return key[_scored(len(x), start)]
 
 
-WORDS, LEARNED, MET = range(3)  # what is counted: words and grams of training texts, grams of other texts
+def turned(key: np.ndarray) -> np.ndarray:
+    """Grams with the bytes before the last one in reverse order, most recent first; and back."""
+    return ((key >> 8).byteswap().view(np.uint64) >> np.uint64(8)).view(np.int64) & ~np.int64(255) | (key & 255)
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[tuple[bool, Texts]]:
+    """Texts of slices, with whether they teach."""
+    train = batch.column("train")
+    for learn in (True, False):
+        for part in slices(batch.filter(train if learn else pa.compute.invert(train))):
+            yield learn, Texts(part.column("text"))
+
+
+WORDS, PAIRS = range(2)  # counted in training texts, before the grams
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums = (Sums(), Sums(), Sums())
+    """Words, and bytes with the one before."""
+    words, pairs = Sums(), np.zeros(SYMBOLS * SYMBOLS, np.int64)
 
-    def out(kind: int) -> pa.RecordBatch:
-        keys, counts = sums[kind].take()
+    def out(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys),
                                            pa.array(counts)], ["kind", "key", "n"])
 
     for batch in batches:
-        train = batch.column("train")
-        for learn in (True, False):
-            for part in slices(batch.filter(train if learn else pa.compute.invert(train))):
-                t = Texts(part.column("text"))
-                lowered = t.lowered()
-                if learn:
-                    sums[WORDS].add(signed(t.word_hash(values=lowered)))
-                sums[LEARNED if learn else MET].add(_grams(*streams(t, lowered)))
-                for kind in (WORDS, LEARNED, MET):
-                    if len(sums[kind].keys) > HELD:
-                        yield out(kind)
-    for kind in (WORDS, LEARNED, MET):
-        yield out(kind)
+        for _, t in _parts(batch.filter(batch.column("train"))):
+            lowered = t.lowered()
+            words.add(signed(t.word_hash(values=lowered)))
+            raw, start = streams(t, lowered)
+            pair = raw[DEPTH - 1:-1].astype(np.int64) << 8 | raw[DEPTH:]
+            pairs += np.bincount(pair[_scored(len(raw), start)], minlength=len(pairs))
+            if len(words.keys) > HELD:
+                yield out(WORDS, *words.take())
+    yield out(WORDS, *words.take())
+    there = np.flatnonzero(pairs)
+    yield out(PAIRS, there, pairs[there])
+
+
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Grams, turned, with their number in training texts (n) and in all texts (m)."""
+    learned, met = Sums(), Sums()
+
+    def out() -> pa.RecordBatch:
+        (a, n), (b, more) = learned.take(), met.take()
+        keys = np.union1d(a, b)
+        counts = np.zeros((2, len(keys)), np.int64)
+        counts[:, np.searchsorted(keys, a)] = n
+        counts[1, np.searchsorted(keys, b)] += more
+        return pa.RecordBatch.from_arrays([pa.array((keys >> 40).astype(np.int32)), pa.array(keys), *map(pa.array, counts)],
+                                          ["two", "key", "n", "m"])
+
+    for batch in batches:
+        for learn, t in _parts(batch):
+            (learned if learn else met).add(turned(_grams(*streams(t, t.lowered()))))
+            if len(learned.keys) + len(met.keys) > HELD:
+                yield out()
+    yield out()
 
 
 class Tree:
@@ -209,52 +244,93 @@ def symbol_table(byte_counts: dict[int, int]) -> np.ndarray:
     return np.arange(256)
 
 
-def gram_scores(scratch: Scratch, grams: DataFrame, least_gain: float = LEAST_GAIN) -> DataFrame:
-    """Rows (key, n, m) of ``grams`` with logp, the log10 probability of a gram's byte after the others.
+def _divergence(n: np.ndarray, above: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """What each next byte adds to n * KL(context || parent)."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(n > 0, n * np.log(n / total / above), 0.0)
+
 
-    n: how often the gram was met in training texts, m: in all texts.  Only n
-    teaches.  The tree is grown and read level by level; a key's lower bytes are
-    the gram with a shorter context, and all but its lowest byte the context.
+def group_scores(key: np.ndarray, n: np.ndarray, pairs: np.ndarray, least_gain: float) -> np.ndarray:
+    """log10 probability of the last byte of turned grams in order, NaN where two bytes are no state.
+
+    All grams that have two bytes before the last in common must be here.
+    ``pairs``: probability of a byte after the one before, as one array.
     """
-    def lower(column: str, size: int):
-        return F.col(column).bitwiseAND((1 << 8 * size) - 1)
+    levels = {DEPTH: (key, n.astype(np.float64))}
+    up = {}
+    for d in range(DEPTH - 1, 1, -1):  # grams without their first byte
+        longer, count = levels[d + 1]
+        keys, up[d + 1] = np.unique((longer >> 16 << 8) | (longer & 255), return_inverse=True)
+        levels[d] = keys, np.bincount(up[d + 1], count, len(keys))
+    p, keep, contexts, of = {}, {}, {}, {}
+    for d in range(2, DEPTH + 1):
+        keys, n = levels[d]
+        above = pairs[(keys >> 16 << 8) | (keys & 255)] if d == 2 else p[d - 1][up[d]]
+        edge = runs(keys >> 8)
+        contexts[d], of[d] = keys[edge[:-1]] >> 8, np.repeat(np.arange(len(edge) - 1), np.diff(edge))
+        total = np.add.reduceat(n, edge[:-1])[of[d]]
+        keep[d] = np.add.reduceat(_divergence(n, above, total), edge[:-1]) > least_gain
+        p[d] = (n + PARENT_WEIGHT * above) / (total + PARENT_WEIGHT)
+    for d in range(DEPTH, 2, -1):  # a retained context's suffixes are states too
+        keep[d - 1][np.searchsorted(contexts[d - 1], contexts[d][keep[d]] >> 8)] = True
+    out = np.where(keep[2][of[2]], np.log10(p[2]), np.nan)
+    for d in range(3, DEPTH + 1):
+        out = np.where(keep[d][of[d]], np.log10(p[d]), out[up[d]])
+    return out
+
+
+GROUPED = 1 << 18  # grams that a task works on at once, or one group if that is larger
+
+
+def _tree(pairs: np.ndarray, least_gain: float):
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        key, n, m = (rows.column(c).to_numpy() for c in ("key", "n", "m"))
+        logp = group_scores(key, n, pairs, least_gain)
+        size = np.floor(8 * np.log2(m)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(turned(key)), pa.array(logp, from_pandas=True), pa.array(size)],
+                                          ["key", "logp", "size"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows >= GROUPED and batch.num_rows:
+                table = pa.Table.from_batches(held)
+                two = table.column("two").to_numpy()
+                whole = int(np.searchsorted(two, two[-1]))  # the last group may go on
+                if whole:
+                    yield work(table.slice(0, whole))
+                    held = table.slice(whole).to_batches()
+                rows = table.num_rows - whole if whole else 0
+        if sum(b.num_rows for b in held):
+            yield work(pa.Table.from_batches(held))
+    return run
 
-    counted = {DEPTH: grams}
-    for d in range(DEPTH - 1, 0, -1):
-        counted[d] = scratch.keep(counted[d + 1].groupBy(lower("key", d + 1).alias("key")).agg(F.sum("n").alias("n")))
-    root = {r["b"]: r["n"] for r in counted[1].groupBy(lower("key", 1).alias("b")).agg(F.sum("n").alias("n")).collect()}
-    total = sum(root.values()) + 0.5 * SYMBOLS
-    first = [(root.get(b, 0) + 0.5) / total for b in range(SYMBOLS)]
 
-    def at_root(values: list[float]):
-        return F.element_at(F.array(*[F.lit(float(x)) for x in values]), (lower("key", 1) + 1).cast("int"))
+def gram_scores(scratch: Scratch, grams: DataFrame, pairs: np.ndarray, least_gain: float = LEAST_GAIN) -> DataFrame:
+    """Grams (key) with logp, the log10 probability of a gram's byte after the others, and size.
 
-    context = Window.partitionBy("context")
-    levels, kept = {}, {}
-    for d in range(1, DEPTH + 1):
-        rows = counted[d].withColumn("up", lower("key", d)).withColumn("context", F.shiftright("key", 8))
-        rows = rows.withColumn("above", at_root(first)) if d == 1 else \
-            rows.join(levels[d - 1].select(F.col("key").alias("up"), F.col("p").alias("above")), "up")
-        rows = rows.withColumn("total", F.sum("n").over(context))
-        gain = F.sum(F.when(F.col("n") > 0, F.col("n") * F.log(F.col("n") / F.col("total") / F.col("above")))) \
-            .over(context)
-        p = (F.col("n") + PARENT_WEIGHT * F.col("above")) / (F.col("total") + PARENT_WEIGHT)
-        kept[d] = [c for c in counted[d].columns if c != "n"]
-        levels[d] = scratch.keep(rows.select(*kept[d], p.alias("p"),
-                                             (F.coalesce(gain, F.lit(0.0)) > least_gain).alias("diverges")))
-    states = {}
-    for d in range(DEPTH, 0, -1):  # a retained context's suffixes are states too
-        own = levels[d].filter("diverges").select(F.shiftright("key", 8).alias("context"))
-        own = own if d == DEPTH else own.union(states[d + 1].select(lower("context", d).alias("context")))
-        states[d] = scratch.keep(own.distinct())
-    out = None
-    for d in range(1, DEPTH + 1):
-        rows = levels[d].drop("diverges").withColumn("up", lower("key", d)) \
-            .join(states[d].select("context", F.lit(True).alias("state")), F.shiftright("key", 8) == F.col("context"), "left")
-        rows = rows.withColumn("short", at_root([float(np.log10(x)) for x in first])) if d == 1 else \
-            rows.join(out.select(F.col("key").alias("up"), F.col("logp").alias("short")), "up")
-        out = rows.select(*kept[d], F.when(F.col("state"), F.log10("p")).otherwise(F.col("short")).alias("logp"))
-    return scratch.keep(out.withColumn("size", F.floor(8 * F.log2("m")).cast("int")))
+    ``grams``: rows of _count_grams, added up here.  n: how often a gram was met
+    in training texts, m: in all texts.  Only n teaches.  size is that of m.
+    ``pairs``: counts of a byte (column) after another (row) in training texts.
+    """
+    root = (pairs.sum(0) + 0.5) / (pairs.sum() + 0.5 * SYMBOLS)
+    total = pairs.sum(1, keepdims=True)
+    after = (pairs + PARENT_WEIGHT * root) / (total + PARENT_WEIGHT)
+    deep = scratch.keep(
+        grams.repartition("two").groupBy("two", "key").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+        .sortWithinPartitions("two", "key").mapInArrow(_tree(after.ravel(), least_gain), "key long, logp double, size int"))
+    one = F.shiftright("key", 8).bitwiseAND(255).cast("int")
+    longer = [r["one"] for r in deep.filter("logp is not null").select(one.alias("one")).distinct().collect()]
+    keep = _divergence(pairs, root, total).sum(1) > least_gain
+    keep[longer] = True
+    short = np.log10(np.where(keep[:, None], after, root))  # of one byte before or none: SYMBOLS ** 2 numbers
+    pair = F.col("key").bitwiseAND(0xFFFF).cast("int")
+    short = scratch.spark.createDataFrame(pa.table({"pair": pa.array(np.arange(short.size, dtype=np.int32)),
+                                                    "short": pa.array(short.ravel())}))
+    return deep.withColumn("pair", pair).join(F.broadcast(short), "pair") \
+        .select("key", F.coalesce("logp", "short").alias("logp"), "size")
 
 
 def frequent(scores: DataFrame, sent: int) -> int:
@@ -281,7 +357,7 @@ def _lists(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, logs, words, counts, n, w, ends = model.value
-        spell = IntMap(grams, np.arange(len(grams), dtype=np.int32))
+        spell = IntMap(grams, np.arange(len(grams), dtype=np.int32), spare=1)
         known = IntMap((words.view(np.uint64) >> np.uint64(1)).view(np.int64), np.arange(len(words), dtype=np.int32))
         logs, counts = np.append(logs, 0.0), np.append(counts, -1.0)
         for batch in batches:
@@ -333,8 +409,8 @@ def score_texts(docs: DataFrame, train: str = "train", least_gain: float = LEAST
     keep = [c for c in docs.columns if c != "text" and c not in added]
     spark = docs.sparkSession
     with Scratch(spark, "suffixtree") as scratch:
-        counts = scratch.keep(docs.select("text", F.coalesce(F.col(train), F.lit(False)).alias("train"))
-                              .mapInArrow(_count, "kind int, key long, n long")
+        texts = docs.select("text", F.coalesce(F.col(train), F.lit(False)).alias("train"))
+        counts = scratch.keep(texts.mapInArrow(_count, "kind int, key long, n long")
                               .groupBy("kind", "key").agg(F.sum("n").alias("n")))
         ends = docs.filter(F.col(train)).count()
         vocabulary = counts.filter(F.col("kind") == WORDS).select("key", "n")
@@ -342,9 +418,11 @@ def score_texts(docs: DataFrame, train: str = "train", least_gain: float = LEAST
         n, v = total["n"] + ends, total["v"] + (ends > 0)
         least = max(1.0, n * common_share)
         common = vocabulary.filter(F.col("n") >= least).toArrow()
-        grams = counts.filter(F.col("kind") != WORDS).groupBy("key").agg(
-            F.sum(F.when(F.col("kind") == LEARNED, F.col("n")).otherwise(0)).alias("n"), F.sum("n").alias("m"))
-        scores = gram_scores(scratch, scratch.keep(grams), least_gain)
+        pairs = np.zeros(SYMBOLS * SYMBOLS)
+        for r in counts.filter(F.col("kind") == PAIRS).collect():   # SYMBOLS ** 2 rows at most
+            pairs[r["key"]] = r["n"]
+        grams = texts.mapInArrow(_count_grams, "two int, key long, n long, m long")
+        scores = gram_scores(scratch, grams, pairs.reshape(SYMBOLS, SYMBOLS), least_gain)
         size = frequent(scores, sent)
         often = scores.filter(F.col("size") >= size).select("key", "logp").toArrow()
         weight = spelling if n else 1.0
@@ -366,11 +444,14 @@ def score_texts(docs: DataFrame, train: str = "train", least_gain: float = LEAST
         # Tokens with a gram that the tasks did not know, spelled to the end here.
         opened = scored.select("uid", F.posexplode(F.arrays_zip("open_words", "open_spelled", "open_counts", "open_grams"))
                                .alias("token", "x")) \
-            .select("uid", "token", F.col("x.open_words").alias("word"), F.col("x.open_spelled").alias("so_far"),
-                    F.col("x.open_counts").alias("count"), F.explode("x.open_grams").alias("key")) \
+            .select("uid", "token", "x", F.posexplode("x.open_grams").alias("place", "key"))
+        first = F.col("place") == 0  # the only row of a token to carry what holds for the whole token
+        opened = opened.select("uid", "token", "key", F.when(first, F.col("x.open_words")).alias("word"),
+                               F.when(first, F.col("x.open_spelled")).alias("so_far"),
+                               F.when(first, F.col("x.open_counts")).alias("count")) \
             .join(scores.filter(F.col("size") < size).select("key", "logp"), "key", "left").groupBy("uid", "token") \
-            .agg(F.first("word").alias("key"), (F.first("so_far") + F.sum("logp")).alias("spelled"),
-                 F.first("count").alias("count"))
+            .agg(F.max("word").alias("key"), (F.max("so_far") + F.sum("logp")).alias("spelled"),
+                 F.max("count").alias("count"))
         opened = scratch.keep(opened.drop("token"))
         seldom = vocabulary.filter(F.col("n") < least)
         met = rows.unionByName(opened.filter("count < 0").drop("count")).join(seldom, "key", "left") \

@@ -239,6 +239,56 @@ def test_seldom_contexts_are_learned(spark):
         assert np.allclose([got[i] for i, _, _ in rows], want, rtol=1e-5, atol=1e-3), (sent, share)
 
 
+def test_groups_of_grams_give_the_scores_of_the_tree(monkeypatch):
+    """One pass over grams in order of their contexts, however they are cut, is the tree from all counts."""
+    rng, d = random.Random(10), suffixtree.DEPTH
+    texts = [" ".join(rng.choice(["abra", "cadabra", "Ünit", "bra", "xy"]) for _ in range(60)) for _ in range(30)] + ["q"]
+    t = Texts(pa.array(texts))
+    raw, start = suffixtree.streams(t, t.lowered())
+    grams, n = np.unique(suffixtree._grams(raw, start), return_counts=True)
+    n[::7] = 0  # met, not learned
+    sums = [Counter() for _ in range(d + 1)]
+    pairs = np.zeros((256, 256))
+    for g, c in zip(grams.tolist(), n.tolist()):
+        b = g.to_bytes(d + 1, "big")
+        pairs[b[-2], b[-1]] += c
+        for depth in range(d + 1):
+            sums[depth][int.from_bytes(b[d - depth:d][::-1], "big"), b[-1]] += c
+    byte = {b: c for (_, b), c in sums[0].items()}
+    tree = suffixtree.grow(byte, [np.array([(a, b, c) for (a, b), c in x.items()]) for x in sums])
+    known = [{int(c): i for i, c in enumerate(k)} for k in tree.contexts]
+    first = np.concatenate(([0], np.cumsum([len(k) for k in tree.contexts])))
+    want = {}
+    for g in grams.tolist():
+        b = g.to_bytes(d + 1, "big")
+        depth = max(i for i in range(d + 1) if int.from_bytes(b[d - i:d][::-1], "big") in known[i])
+        at = first[depth] + known[depth][int.from_bytes(b[d - depth:d][::-1], "big")]
+        want[g] = tree.logs[at, b[-1]] if depth > 1 else None
+    root = (pairs.sum(0) + 0.5) / (pairs.sum() + 128)
+    after = (pairs + 2 * root) / (pairs.sum(1, keepdims=True) + 2)
+    key = suffixtree.turned(grams)
+    order = np.argsort(key)
+    rows = pa.RecordBatch.from_arrays([pa.array(x) for x in ((key >> 40)[order], key[order], n[order], n[order] + 1)],
+                                      ["two", "key", "n", "m"])
+    assert (suffixtree.turned(key) == grams).all()
+    for grouped, size in ((1 << 18, 1 << 18), (20, 7), (1, 1)):
+        monkeypatch.setattr(suffixtree, "GROUPED", grouped)
+        parts = [rows.slice(i, size) for i in range(0, rows.num_rows, size)]
+        got = pa.Table.from_batches(suffixtree._tree(after.ravel(), suffixtree.LEAST_GAIN)(iter(parts))).to_pylist()
+        assert len(got) == len(want) and any(x is None for x in want.values())
+        for r in got:
+            x = want[r["key"]]
+            assert r["logp"] is None if x is None else abs(r["logp"] - x) < 1e-5
+
+
+def test_scoring_keeps_few_tables(odd_docs, monkeypatch):
+    """The tree is not written level by level."""
+    kept, keep = [], suffixtree.Scratch.keep
+    monkeypatch.setattr(suffixtree.Scratch, "keep", lambda self, df, *a: (kept.append(df.columns), keep(self, df, *a))[1])
+    suffixtree.score_texts(odd_docs.withColumn("train", F.lit(True)))
+    assert len(kept) <= 4
+
+
 def test_scores_of_held_out_text_are_near_the_entropy(spark):
     """Words of 2 to 5 random syllables: no model can do better than their entropy, and this one comes close."""
     rng = random.Random(6)
