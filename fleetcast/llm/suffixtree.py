@@ -34,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,7 +50,9 @@ PARENT_WEIGHT = 2.0
 SPELLING = 0.75
 COMMON_SHARE = 2.0 ** -21
 SENT = 1 << 21     # grams known to every task
-HELD = 1 << 21  # distinct keys a task adds up before it hands them on
+HELD = 3 << 20  # distinct keys a task adds up before it hands them on
+HANDED = 1 << 18  # rows that it hands on at once
+WORKED = 1 << 18  # bytes of text whose grams are made at once
 
 
 class Sums:
@@ -66,17 +67,26 @@ class Sums:
         got = np.unique(keys, return_counts=True)
         self._parts.append(got)
         self._pending += len(got[0])
-        if self._pending > max(HELD // 4, len(self.keys) // 2):
+        if self._pending > max(HELD // 6, len(self.keys) // 4):
             self.settle()
 
     def settle(self) -> None:
-        keys = np.concatenate([self.keys, *(p[0] for p in self._parts)])
-        counts = np.concatenate([self.counts, *(p[1] for p in self._parts)])
-        order = np.argsort(keys, kind="stable")
-        edge = runs(keys[order])
-        self.keys = keys[order][edge[:-1]]
-        self.counts = np.add.reduceat(counts[order], edge[:-1]) if len(keys) else counts
+        """Adds what is pending to the keys held, which are in order and are not sorted again."""
+        if not self._pending:
+            return
+        keys, counts = map(np.concatenate, zip(*self._parts))
         self._parts, self._pending = [], 0
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        edge = runs(keys)
+        keys, counts = keys[edge[:-1]], np.add.reduceat(counts, edge[:-1])
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        self.counts[at[known]] += counts[known]
+        at, keys, counts = at[~known], keys[~known], counts[~known]
+        self.keys = np.insert(self.keys, at, keys)
+        self.counts = np.insert(self.counts, at, counts)
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
         self.settle()
@@ -120,14 +130,6 @@ def turned(key: np.ndarray) -> np.ndarray:
     return ((key >> 8).byteswap().view(np.uint64) >> np.uint64(8)).view(np.int64) & ~np.int64(255) | (key & 255)
 
 
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[bool, Texts]]:
-    """Texts of slices, with whether they teach."""
-    train = batch.column("train")
-    for learn in (True, False):
-        for part in slices(batch.filter(train if learn else pa.compute.invert(train))):
-            yield learn, Texts(part.column("text"))
-
-
 WORDS, PAIRS = range(2)  # counted in training texts, before the grams
 
 
@@ -135,43 +137,57 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words, and bytes with the one before."""
     words, pairs = Sums(), np.zeros(SYMBOLS * SYMBOLS, np.int64)
 
-    def out(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys),
-                                           pa.array(counts)], ["kind", "key", "n"])
+    def out(kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(keys), HANDED):
+            part = slice(at, at + HANDED)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[part]), kind, np.int32)), pa.array(keys[part]),
+                                              pa.array(counts[part])], ["kind", "key", "n"])
 
     for batch in batches:
-        for _, t in _parts(batch.filter(batch.column("train"))):
+        for part in slices(batch):
+            part = part.filter(part.column("train"))
+            if not part.num_rows:
+                continue
+            t = Texts(part.column("text"))
             lowered = t.lowered()
             words.add(signed(t.word_hash(values=lowered)))
             raw, start = streams(t, lowered)
             pair = raw[DEPTH - 1:-1].astype(np.int64) << 8 | raw[DEPTH:]
             pairs += np.bincount(pair[_scored(len(raw), start)], minlength=len(pairs))
             if len(words.keys) > HELD:
-                yield out(WORDS, *words.take())
-    yield out(WORDS, *words.take())
+                yield from out(WORDS, *words.take())
+    yield from out(WORDS, *words.take())
     there = np.flatnonzero(pairs)
-    yield out(PAIRS, there, pairs[there])
+    yield from out(PAIRS, there, pairs[there])
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Grams, turned, with their number in training texts (n) and in all texts (m)."""
-    learned, met = Sums(), Sums()
-
-    def out() -> pa.RecordBatch:
-        (a, n), (b, more) = learned.take(), met.take()
-        keys = np.union1d(a, b)
-        counts = np.zeros((2, len(keys)), np.int64)
-        counts[:, np.searchsorted(keys, a)] = n
-        counts[1, np.searchsorted(keys, b)] += more
-        return pa.RecordBatch.from_arrays([pa.array((keys >> 40).astype(np.int32)), pa.array(keys), *map(pa.array, counts)],
-                                          ["two", "key", "n", "m"])
+    met = Sums()  # a key: a gram, and whether the text teaches as last bit
+
+    def out() -> Iterator[pa.RecordBatch]:
+        codes, counts = met.take()
+        at = 0
+        while at < len(codes):
+            to = min(at + HANDED, len(codes))
+            to += to < len(codes) and codes[to - 1] >> 1 == codes[to] >> 1  # a gram's two keys stay together
+            keys = codes[at:to] >> 1
+            edge = runs(keys)[:-1]
+            n, m = np.add.reduceat(counts[at:to] * (codes[at:to] & 1), edge), np.add.reduceat(counts[at:to], edge)
+            keys = keys[edge]
+            yield pa.RecordBatch.from_arrays([pa.array((keys >> 40).astype(np.int32)), *map(pa.array, (keys, n, m))],
+                                             ["two", "key", "n", "m"])
+            at = to
 
     for batch in batches:
-        for learn, t in _parts(batch):
-            (learned if learn else met).add(turned(_grams(*streams(t, t.lowered()))))
-            if len(learned.keys) + len(met.keys) > HELD:
-                yield out()
-    yield out()
+        for part in slices(batch, most=WORKED):
+            t = Texts(part.column("text"))
+            raw, start = streams(t, t.lowered())
+            learn = part.column("train").to_numpy(zero_copy_only=False)
+            met.add(turned(_grams(raw, start)) << 1 | np.repeat(learn, np.diff(start) - DEPTH))
+            if len(met.keys) > HELD:
+                yield from out()
+    yield from out()
 
 
 class Tree:
@@ -357,11 +373,13 @@ def _lists(sizes: np.ndarray, values: pa.Array) -> pa.ListArray:
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, logs, words, counts, n, w, ends = model.value
-        spell = IntMap(grams, np.arange(len(grams), dtype=np.int32), spare=1)
+        spell = IntMap(grams[:0], np.zeros(0, np.int32), room=len(grams), spare=1)
+        for i in range(0, len(grams), HANDED):
+            spell.put(grams[i:i + HANDED], np.arange(i, min(i + HANDED, len(grams)), dtype=np.int32))
         known = IntMap((words.view(np.uint64) >> np.uint64(1)).view(np.int64), np.arange(len(words), dtype=np.int32))
-        logs, counts = np.append(logs, 0.0), np.append(counts, -1.0)
+        counts = np.append(counts, -1.0)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=WORKED):
                 t = Texts(part.column("text"))
                 lowered = t.lowered()
                 gram = _grams(*streams(t, lowered))
@@ -427,7 +445,7 @@ def score_texts(docs: DataFrame, train: str = "train", least_gain: float = LEAST
         often = scores.filter(F.col("size") >= size).select("key", "logp").toArrow()
         weight = spelling if n else 1.0
         model = spark.sparkContext.broadcast(
-            (np.asarray(often["key"]).astype(np.int64), np.asarray(often["logp"]).astype(np.float64),
+            (np.asarray(often["key"]).astype(np.int64), np.append(np.asarray(often["logp"]).astype(np.float64), 0.0),
              np.asarray(common["key"]).astype(np.int64), np.asarray(common["n"]).astype(np.float64),
              max(n, 1), weight, ends))
         src = docs.select(F.struct(*keep).alias("row"), "text", F.monotonically_increasing_id().alias("uid"))

@@ -3,6 +3,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -281,6 +282,49 @@ def test_groups_of_grams_give_the_scores_of_the_tree(monkeypatch):
             assert r["logp"] is None if x is None else abs(r["logp"] - x) < 1e-5
 
 
+def test_counting_holds_little(monkeypatch):
+    """Grams and words are added up in little memory and handed on in small batches, none lost."""
+    rng, d = random.Random(12), suffixtree.DEPTH
+    texts = ["".join(rng.choice("abcdefghij    \n") for _ in range(rng.choice([0, 9, 30000]))) for _ in range(200)] + [None, "Ä"]
+    train = [rng.random() < 0.8 for _ in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(train)], ["text", "train"])
+    n, m, vocabulary = Counter(), Counter(), Counter()
+    for t, learn in zip(texts, train):
+        x = b"\n" * d + "".join(w + " " for w in words(low(t or ""))).encode() + b"\n"
+        grams = [int.from_bytes(x[i - d:i][::-1] + x[i:i + 1], "big") for i in range(d, len(x))]
+        m.update(grams)
+        if learn:
+            n.update(grams)
+            vocabulary.update(words(low(t or "")))
+
+    def counted():
+        got = Counter(), Counter(), Counter()
+        for out in suffixtree._count_grams(iter([batch])):
+            most.append(out.num_rows)
+            for r in out.to_pylist():
+                assert r["two"] == r["key"] >> 40
+                got[0][r["key"]] += r["n"]
+                got[1][r["key"]] += r["m"]
+        for out in suffixtree._count(iter([batch.slice(0, 90), batch.slice(90)])):
+            most.append(out.num_rows)
+            for r in out.to_pylist():
+                if r["kind"] == suffixtree.WORDS:
+                    got[2][r["key"]] += r["n"]
+        assert +got[0] == n and got[1] == m and sorted(got[2].values()) == sorted(vocabulary.values())
+
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in suffixtree._count_grams(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(m) and peak < 56 * len(m), (peak, rows)
+    for held, handed in ((1 << 30, 1 << 12), (1 << 16, 1 << 12), (1 << 30, 3)):
+        most = []
+        monkeypatch.setattr(suffixtree, "HELD", held)
+        monkeypatch.setattr(suffixtree, "HANDED", handed)
+        counted()
+        assert max(most) <= handed + 1
+
+
 def test_scoring_keeps_few_tables(odd_docs, monkeypatch):
     """The tree is not written level by level."""
     kept, keep = [], suffixtree.Scratch.keep
